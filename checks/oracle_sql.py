@@ -33,4 +33,98 @@ FROM trips t JOIN zone_pts z ON t.DOLocationID = z.LocationID"""
 SELECT trip_id, round({geodesic_sql('PU_lat', 'PU_lon', 'DO_lat', 'DO_lon')}, 6) AS pu_do_km FROM located"""
     q["nearest_station_join"] = with_(TRIPS, ZONES, LOCATED, STATIONS, NEAREST) + f"""
 SELECT {MERGED_COLS} FROM merged"""
+    q.update(oracle_sql_more())
+    return q
+
+
+def _unescape(expr: str) -> str:
+    from skyfare.sources.web import ENTITIES
+    for ent, ch in ENTITIES:
+        ch = ch.replace("'", "''")
+        expr = f"replace({expr}, '{ent}', '{ch}')"
+    return expr
+
+
+def _sq(s: str) -> str:
+    return s.replace("'", "''")
+
+
+TRIP_TYPED_COLS = ("trip_id, lpep_pickup_datetime, PULocationID, DOLocationID, passenger_count, "
+                   "trip_distance, fare_amount, total_amount, date")
+EVENTS_UPSERTED = """
+WITH u AS (
+  SELECT event_id, ts, user_id, event_type, value, props, 0 AS b FROM events
+  UNION ALL
+  SELECT event_id, ts + INTERVAL 1 HOUR, user_id, event_type, value + 1.0, props, 1 FROM events
+  WHERE event_type = 'click'
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ts DESC, b DESC) AS rn FROM u
+)
+SELECT event_id, ts, user_id, event_type, value, props FROM r WHERE rn = 1"""
+
+
+def oracle_sql_more() -> dict[str, str]:
+    from skyfare.sources.web import A_TAG, HREF_ATTR
+    q: dict[str, str] = {}
+    base = with_(TRIPS, ZONES, LOCATED, STATIONS, NEAREST)
+    q["rename_columns"] = base + " SELECT trip_id, date, station, tempAvg AS weather FROM merged"
+    q["cast_features"] = base + """
+SELECT trip_id, CAST(PULocationID AS DOUBLE) AS PULocationID, CAST(DOLocationID AS DOUBLE) AS DOLocationID,
+       passenger_count, trip_distance, fare_amount, total_amount, tempAvg AS weather FROM merged"""
+    q["fare_features"] = base + """
+SELECT trip_id, trip_distance, CAST(passenger_count AS INTEGER) AS passenger_count, tempAvg AS weather,
+       total_amount AS fare FROM merged"""
+    numeric = [c.strip() for c in MERGED_COLS.split(",") if c.strip() not in ("date", "station")]
+    filled = ", ".join(f"coalesce({c}, 0) AS {c}" for c in numeric)
+    q["fill_zero"] = base + f" SELECT date, station, {filled} FROM merged"
+    filled_no_snow = ", ".join(f"coalesce({c}, 0) AS {c}" for c in numeric if c != "newSnow")
+    q["drop_incomplete"] = base + f" SELECT date, station, {filled_no_snow} FROM merged WHERE station IS NOT NULL"
+    q["surrogate_id"] = with_(TRIPS) + """
+SELECT trip_id, date, sha256(concat_ws('|', CAST(trip_id AS VARCHAR), CAST(date AS VARCHAR))) AS id FROM trips"""
+    q["limit_rows"] = with_(TRIPS) + f" SELECT {TRIP_TYPED_COLS} FROM trips ORDER BY trip_id LIMIT 20"
+    q["month_key"] = with_(TRIPS) + """
+SELECT trip_id, strftime(date, '%Y_%m') AS month_key, lpad(CAST(month(date) AS VARCHAR), 2, '0') AS month
+FROM trips"""
+    q["month_station_grid"] = with_(STATIONS) + """
+SELECT station, CAST(year(m) AS INTEGER) AS year, lpad(CAST(month(m) AS VARCHAR), 2, '0') AS month,
+       strftime(m, '%Y_%m') AS month_key
+FROM (SELECT DISTINCT station FROM station_rows)
+CROSS JOIN (SELECT CAST(unnest(generate_series(DATE '2023-11-01', DATE '2024-02-01', INTERVAL 1 MONTH)) AS DATE) AS m)"""
+    q["overlay_columns"] = base + " SELECT trip_id, station, lat, lon FROM merged"
+    q["use_database"] = "SELECT * FROM events"
+    q["read_table"] = "SELECT * FROM events"
+    q["append_table"] = "SELECT * FROM events"
+    q["raw_sql"] = """
+SELECT event_type, count(*) AS n, max(value) AS max_value, min(ts) AS first_ts
+FROM events WHERE value >= 10.0 GROUP BY event_type"""
+    q["upsert_table"] = EVENTS_UPSERTED
+    q["delete_by_key"] = """
+SELECT * FROM events WHERE event_id NOT IN (SELECT event_id FROM events WHERE event_type = 'error')"""
+    q["append_partitioned"] = with_(TRIPS) + f"""
+SELECT {TRIP_TYPED_COLS}, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month FROM trips"""
+    q["scan_month_range"] = with_(TRIPS) + f"""
+SELECT {TRIP_TYPED_COLS}, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month FROM trips
+WHERE date >= DATE '2024-01-01' AND date < DATE '2024-03-01'"""
+    href = lambda i: f"regexp_extract(tag, '{_sq(HREF_ATTR)}', {i})"
+    link = _unescape(f"({href(1)} || {href(2)} || {href(3)})")
+    q["extract_links"] = f"""
+WITH t AS (SELECT page_id, regexp_extract_all(html, '{_sq(A_TAG)}', 0) AS tags FROM pages),
+x AS (SELECT page_id, CAST(unnest(range(0, len(tags))) AS INTEGER) AS link_pos, unnest(tags) AS tag FROM t),
+l AS (SELECT page_id, link_pos, {link} AS link FROM x)
+SELECT * FROM l WHERE link <> '' AND contains(link, '/') AND NOT contains(link, 'the')"""
+    q["link_metadata"] = """
+WITH l AS (SELECT page_id, url || '.csv' AS link FROM pages)
+SELECT page_id, link, string_split(link, '/')[-1] AS file_name,
+       CASE WHEN strpos(link, '.csv') > 7 THEN substring(link, strpos(link, '.csv') - 2, 2) END AS month,
+       CASE WHEN strpos(link, '.csv') > 7 THEN substring(link, strpos(link, '.csv') - 7, 4) END AS year
+FROM l"""
+    from skyfare.sources.weather import WEATHER_FIELDS
+    cells = ", ".join(
+        f"trim({_unescape(f'regexp_replace(cells[{i + 1}], ' + chr(39) + '<[^>]*>' + chr(39) + ', ' + chr(39) + chr(39) + ', ' + chr(39) + 'g' + chr(39) + ')')}) AS {name}"
+        for i, name in enumerate(WEATHER_FIELDS))
+    q["html_rows"] = f"""
+WITH r AS (SELECT page_id, regexp_extract_all(html, '(?is)<ul(?:\\s[^>]*)?>(.*?)</ul>', 1) AS rs FROM pages),
+x AS (SELECT page_id, CAST(unnest(range(0, len(rs))) AS INTEGER) AS row_pos, unnest(rs) AS row_html FROM r),
+c AS (SELECT page_id, row_pos, regexp_extract_all(row_html, '(?is)<li(?:\\s[^>]*)?>(.*?)</li>', 1) AS cells FROM x)
+SELECT page_id, row_pos, {cells} FROM c"""
     return q

@@ -88,3 +88,163 @@ def geodesic_q(spark, sf):
 def nearest_station_join(spark, sf):
     merged = enrich.nearest_station_join(_located(spark, sf), _stations(spark, sf))
     return merged.select(*MERGED_COLS)
+
+
+# ---- cleaning -------------------------------------------------------------------------------
+
+from skyfare.operators import clean  # noqa: E402
+from skyfare.sources import lake, web  # noqa: E402
+from skyfare.sources.trips import scan_month_range  # noqa: E402
+from skyfare.session import scratch_path  # noqa: E402
+
+MODEL_INPUTS = ["PULocationID", "DOLocationID", "passenger_count", "trip_distance", "fare_amount",
+                "total_amount", "weather"]
+
+
+def _merged(spark, sf):
+    return enrich.nearest_station_join(_located(spark, sf), _stations(spark, sf))
+
+
+def rename_columns(spark, sf):
+    return clean.rename_columns(_merged(spark, sf), {"tempAvg": "weather"}).select(
+        "trip_id", "date", "station", "weather")
+
+
+def cast_features(spark, sf):
+    df = clean.rename_columns(_merged(spark, sf), {"tempAvg": "weather"})
+    return clean.cast_features(df.select("trip_id", *MODEL_INPUTS), MODEL_INPUTS)
+
+
+def fare_features(spark, sf):
+    df = clean.rename_columns(_merged(spark, sf), {"tempAvg": "weather"})
+    return clean.fare_features(df, keep=["trip_id"])
+
+
+def fill_zero(spark, sf):
+    return clean.fill_zero(_merged(spark, sf).select(*MERGED_COLS))
+
+
+def drop_incomplete(spark, sf):
+    filled = clean.fill_zero(_merged(spark, sf).select(*MERGED_COLS))
+    return clean.drop_incomplete(filled.drop("newSnow"))
+
+
+def surrogate_id(spark, sf):
+    return clean.surrogate_id(merge.proxy_trips(spark, sf).select("trip_id", "date"),
+                              ["trip_id", "date"])
+
+
+def limit_rows(spark, sf):
+    return clean.limit_rows(scan_trips(spark, sf), 20, ["trip_id"])
+
+
+def month_key(spark, sf):
+    from skyfare.functions.dates import month_key as mk, month_str
+    t = merge.proxy_trips(spark, sf)
+    return t.select("trip_id", mk("date").alias("month_key"), month_str(F.month("date")).alias("month"))
+
+
+def month_station_grid(spark, sf):
+    return clean.month_station_grid(merge.proxy_station_rows(spark, sf), "2023-11", "2024-02")
+
+
+def overlay_columns(spark, sf):
+    trips = _located(spark, sf).withColumn("lat", F.col("PU_lat")).withColumn("lon", F.col("PU_lon"))
+    merged = enrich.nearest_station_join(trips, _stations(spark, sf))
+    return merged.select("trip_id", "station", "lat", "lon")
+
+
+# ---- lake -----------------------------------------------------------------------------------
+
+def _events(spark, sf):
+    return proxies.read(spark, sf, "events")
+
+
+def use_database(spark, sf):
+    previous = spark.catalog.currentDatabase()
+    lake.use_database(spark, "skyfare_lake", scratch_path(spark, "db"))
+    name = "events_" + scratch_path(spark, "t").rsplit("-", 1)[-1]
+    lake.append_table(_events(spark, sf), name, as_table=True)
+    out = lake.read_table(spark, f"skyfare_lake.{name}")
+    spark.catalog.setCurrentDatabase(previous)
+    return out
+
+
+def read_table(spark, sf):
+    lake.use_database(spark, "skyfare_lake", scratch_path(spark, "db"))
+    spark.catalog.setCurrentDatabase("default")
+    name = "skyfare_lake.events_" + scratch_path(spark, "t").rsplit("-", 1)[-1]
+    lake.append_table(_events(spark, sf), name, as_table=True)
+    return lake.read_table(spark, name)
+
+
+def raw_sql(spark, sf):
+    _events(spark, sf).createOrReplaceTempView("skyfare_events")
+    return lake.raw_sql(spark, """
+        SELECT event_type, count(*) AS n, max(value) AS max_value, min(ts) AS first_ts
+        FROM skyfare_events WHERE value >= :min_value GROUP BY event_type""", {"min_value": 10.0})
+
+
+def append_table(spark, sf):
+    path = scratch_path(spark, "append")
+    ev = _events(spark, sf)
+    lake.append_table(ev.where(F.col("event_type").isin("click", "view")), path)
+    lake.append_table(ev.where(~F.col("event_type").isin("click", "view")), path)
+    return spark.read.parquet(path)
+
+
+def _click_changes(ev):
+    return (ev.where(F.col("event_type") == "click")
+              .withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 HOUR"))
+              .withColumn("value", F.col("value") + F.lit(1.0)))
+
+
+def upsert_table(spark, sf):
+    base = scratch_path(spark, "upsert-base")
+    ev = _events(spark, sf)
+    lake.append_table(ev, base)
+    return lake.upsert_table(spark, base, _click_changes(ev), ["event_id"], "ts",
+                             scratch_path(spark, "upsert-out"))
+
+
+def delete_by_key(spark, sf):
+    base = scratch_path(spark, "delete-base")
+    ev = _events(spark, sf)
+    lake.append_table(ev, base)
+    keys = ev.where(F.col("event_type") == "error")
+    return lake.delete_by_key(spark, base, keys, ["event_id"], scratch_path(spark, "delete-out"))
+
+
+def append_partitioned(spark, sf):
+    path = scratch_path(spark, "trips-by-month")
+    t = scan_trips(spark, sf)
+    lake.append_partitioned(t.withColumn("year", F.year("date")).withColumn("month", F.month("date")),
+                            path, ["year", "month"])
+    return spark.read.parquet(path)
+
+
+def scan_month_range_q(spark, sf):
+    path = scratch_path(spark, "trips-by-month")
+    t = scan_trips(spark, sf)
+    lake.append_partitioned(t.withColumn("year", F.year("date")).withColumn("month", F.month("date")),
+                            path, ["year", "month"])
+    return scan_month_range(spark, path, "2024-01", "2024-02", layout="hive", fmt="parquet")
+
+
+# ---- web pages ------------------------------------------------------------------------------
+
+def _pages(spark, sf):
+    return proxies.read(spark, sf, "pages")
+
+
+def extract_links(spark, sf):
+    return web.extract_links(_pages(spark, sf), include=["/"], exclude=["the"])
+
+
+def link_metadata(spark, sf):
+    p = _pages(spark, sf).select("page_id", F.concat("url", F.lit(".csv")).alias("link"))
+    return web.link_metadata(p)
+
+
+def html_rows(spark, sf):
+    return web.html_rows(_pages(spark, sf), row_tag="ul", cell_tag="li")
