@@ -34,6 +34,7 @@ SELECT trip_id, round({geodesic_sql('PU_lat', 'PU_lon', 'DO_lat', 'DO_lon')}, 6)
     q["nearest_station_join"] = with_(TRIPS, ZONES, LOCATED, STATIONS, NEAREST) + f"""
 SELECT {MERGED_COLS} FROM merged"""
     q.update(oracle_sql_more())
+    q.update(oracle_sql_models())
     return q
 
 
@@ -128,3 +129,90 @@ x AS (SELECT page_id, CAST(unnest(range(0, len(rs))) AS INTEGER) AS row_pos, unn
 c AS (SELECT page_id, row_pos, regexp_extract_all(row_html, '(?is)<li(?:\\s[^>]*)?>(.*?)</li>', 1) AS cells FROM x)
 SELECT page_id, row_pos, {cells} FROM c"""
     return q
+
+
+def _det(m: list[list[str]]) -> str:
+    if len(m) == 1:
+        return m[0][0]
+    terms = []
+    for j in range(len(m)):
+        minor = [row[:j] + row[j + 1:] for row in m[1:]]
+        sign = "+" if j % 2 == 0 else "-"
+        terms.append(f"{sign} ({m[0][j]}) * ({_det(minor)})")
+    return "(" + " ".join(terms) + ")"
+
+
+def ols_sql(subset: list[str], label: str = "total_amount") -> tuple[str, list[str]]:
+    """(intercept expr, coefficient exprs) over a one-row CTE g of covariances and means."""
+    a = [[f"g.c_{x}_{y}" for y in subset] for x in subset]
+    r = [f"g.c_{x}_{label}" for x in subset]
+    det = _det(a)
+    coefs = []
+    for i in range(len(subset)):
+        ai = [[r[row] if col == i else a[row][col] for col in range(len(subset))] for row in range(len(subset))]
+        coefs.append(f"({_det(ai)} / {det})")
+    intercept = f"(g.m_{label} - (" + " + ".join(f"{c} * g.m_{x}" for c, x in zip(coefs, subset)) + "))"
+    return intercept, coefs
+
+
+def oracle_sql_models() -> dict[str, str]:
+    from skyfare.operators.ml import FORWARD_SETS
+    q: dict[str, str] = {}
+    base = with_(TRIPS, ZONES, LOCATED, STATIONS, NEAREST) + """,
+rows AS (
+  SELECT trip_id, coalesce(trip_distance, 0) AS trip_distance, coalesce(passenger_count, 0) AS passenger_count,
+         coalesce(tempAvg, 0) AS weather, coalesce(total_amount, 0) AS total_amount,
+         coalesce(fare_amount, 0) AS fare_amount,
+         ('0x' || substr(md5(CAST(trip_id AS VARCHAR)), 1, 8))::BIGINT % 10 AS bucket
+  FROM merged
+),
+train AS (SELECT * FROM rows WHERE bucket < 8),
+test AS (SELECT * FROM rows WHERE bucket >= 8)"""
+    feats = ["trip_distance", "passenger_count", "weather"]
+    q["correlation_matrix"] = base + " " + " UNION ALL ".join(
+        f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 9) AS r FROM rows"
+        for a in feats for b in feats)
+    q["residuals"] = base + """
+SELECT trip_id, total_amount, fare_amount AS prediction, total_amount - fare_amount AS residual FROM rows"""
+    q["rmse"] = base + " SELECT round(sqrt(avg((total_amount - fare_amount) ^ 2)), 6) AS rmse FROM rows"
+    q["r2"] = base + """
+SELECT round(1.0 - sum((total_amount - fare_amount) ^ 2) / (var_pop(total_amount) * count(*)), 9) AS r2 FROM rows"""
+    q["prediction_bounds"] = base + """
+SELECT least(min(total_amount), min(fare_amount)) AS low, greatest(max(total_amount), max(fare_amount)) AS high
+FROM rows"""
+    q["train_test_split"] = base + """
+SELECT trip_id, CASE WHEN bucket < 8 THEN 'train' ELSE 'test' END AS split FROM rows"""
+    q["assemble_features"] = base + """
+SELECT trip_id, trip_distance AS f0, passenger_count AS f1, tempAvg AS f2 FROM merged
+WHERE trip_distance IS NOT NULL AND passenger_count IS NOT NULL AND tempAvg IS NOT NULL"""
+    lr = """,
+fit AS (SELECT regr_intercept(total_amount, trip_distance) AS a, regr_slope(total_amount, trip_distance) AS b FROM train)"""
+    q["linear_regression"] = base + lr + """
+SELECT round(any_value(fit.a), 6) AS intercept, round(any_value(fit.b), 6) AS slope, count(*) AS n_test,
+       round(sqrt(avg((total_amount - (fit.a + fit.b * trip_distance)) ^ 2)), 6) AS rmse,
+       round(1.0 - sum((total_amount - (fit.a + fit.b * trip_distance)) ^ 2) / (var_pop(total_amount) * count(*)), 6) AS r2
+FROM test, fit"""
+    q["actual_vs_predicted"] = base + lr + """
+SELECT trip_id, total_amount AS actual, round(fit.a + fit.b * trip_distance, 2) AS predicted FROM test, fit"""
+    cols = feats + ["total_amount"]
+    gparts = [f"avg({c}) AS m_{c}" for c in cols]
+    gparts += [f"covar_pop({x}, {y}) AS c_{x}_{y}" for x in cols for y in cols]
+    g = ",\ng AS (SELECT " + ", ".join(gparts) + " FROM train)"
+    sels = []
+    for subset in FORWARD_SETS:
+        icpt, coefs = ols_sql(list(subset))
+        pred = icpt + "".join(f" + {c} * t.{x}" for c, x in zip(coefs, subset))
+        name = ",".join(subset)
+        sels.append(f"""SELECT '{name}' AS predictors,
+       round(sqrt(avg((t.total_amount - ({pred})) ^ 2)), 6) AS rmse,
+       round(1.0 - sum((t.total_amount - ({pred})) ^ 2) / (var_pop(t.total_amount) * count(*)), 6) AS r2
+FROM test t, g""")
+    q["forward_selection"] = base + g + "\n" + "\nUNION ALL\n".join(sels)
+    scaled = [f"""CASE WHEN s.hi_{c} = s.lo_{c} THEN 0.5 ELSE (r.{c} - s.lo_{c}) / (s.hi_{c} - s.lo_{c}) END AS {c}_scaled"""
+              for c in feats]
+    sc = base + ",\ns AS (SELECT " + ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in feats) + \
+        " FROM train)\nSELECT r.trip_id, CASE WHEN r.bucket < 8 THEN 'train' ELSE 'test' END AS split, " + \
+        ", ".join(scaled) + ", r.total_amount AS fare FROM rows r, s"
+    q["scale_features"] = sc
+    q["write_features"] = sc
+    return q

@@ -248,3 +248,131 @@ def link_metadata(spark, sf):
 
 def html_rows(spark, sf):
     return web.html_rows(_pages(spark, sf), row_tag="ul", cell_tag="li")
+
+
+# ---- statistics and models ------------------------------------------------------------------
+
+from skyfare.operators import ml, mlp as mlp_ops, stats  # noqa: E402
+from skyfare.plans import fare_models as FM  # noqa: E402
+
+
+def _model_rows(spark, sf, fill=True):
+    return FM.model_rows(_merged(spark, sf), fill)
+
+
+def correlation_matrix(spark, sf):
+    return stats.correlation_matrix(_model_rows(spark, sf), FM.FEATURES)
+
+
+def residuals(spark, sf):
+    rows = _model_rows(spark, sf).select("trip_id", "total_amount", F.col("fare_amount").alias("prediction"))
+    return stats.residuals(rows, "total_amount", "prediction")
+
+
+def rmse(spark, sf):
+    return stats.rmse(_model_rows(spark, sf), "total_amount", "fare_amount").select(
+        F.round("rmse", 6).alias("rmse"))
+
+
+def r2(spark, sf):
+    return stats.r2(_model_rows(spark, sf), "total_amount", "fare_amount").select(
+        F.round("r2", 9).alias("r2"))
+
+
+def prediction_bounds(spark, sf):
+    return stats.prediction_bounds(_model_rows(spark, sf), "total_amount", "fare_amount")
+
+
+def train_test_split(spark, sf):
+    rows = _model_rows(spark, sf).select("trip_id")
+    return rows.select("trip_id", F.when(ml.split_bucket(FM.KEY) < 8, "train").otherwise("test").alias("split"))
+
+
+def assemble_features(spark, sf):
+    rows = _model_rows(spark, sf, fill=False)
+    vec = ml.assemble_features(rows, FM.FEATURES, label=FM.LABEL).select("trip_id", "features")
+    return ml.vector_columns(vec, "features", ["f0", "f1", "f2"])
+
+
+def linear_regression(spark, sf):
+    train, test = FM.split(_model_rows(spark, sf))
+    model = ml.linear_regression(train, ["trip_distance"], FM.LABEL)
+    scored = ml.predict(model, test, ["trip_distance"])
+    m = stats.regression_metrics(scored, FM.LABEL, "prediction")
+    return m.select(F.lit(round(model.intercept, 6)).alias("intercept"),
+                    F.lit(round(float(model.coefficients[0]), 6)).alias("slope"),
+                    F.col("n").alias("n_test"), F.round("rmse", 6).alias("rmse"),
+                    F.round("r2", 6).alias("r2"))
+
+
+def actual_vs_predicted(spark, sf):
+    train, test = FM.split(_model_rows(spark, sf))
+    model = ml.linear_regression(train, ["trip_distance"], FM.LABEL)
+    scored = ml.predict(model, test, ["trip_distance"])
+    return scored.select("trip_id", F.col(FM.LABEL).alias("actual"),
+                         F.round("prediction", 2).alias("predicted"))
+
+
+def forward_selection(spark, sf):
+    train, test = FM.split(_model_rows(spark, sf))
+    out = ml.forward_selection(train, test, FM.LABEL)
+    return out.select("predictors", F.round("rmse", 6).alias("rmse"), F.round("r2", 6).alias("r2"))
+
+
+def _scaled(spark, sf):
+    rows = _model_rows(spark, sf)
+    bucket = ml.split_bucket(FM.KEY)
+    train = rows.where(bucket < 8)
+    fit = ml.scale_fit(train, FM.FEATURES)
+    tagged = rows.withColumn("split", F.when(bucket < 8, "train").otherwise("test"))
+    return ml.scale_apply(tagged, fit).select(
+        "trip_id", "split", *[c + "_scaled" for c in FM.FEATURES], F.col(FM.LABEL).alias("fare"))
+
+
+def scale_features(spark, sf):
+    return _scaled(spark, sf)
+
+
+def write_features(spark, sf):
+    path = scratch_path(spark, "features")
+    lake.write_features(_scaled(spark, sf), path)
+    return lake.read_features(spark, path)
+
+
+def random_forest_fare(spark, sf):
+    train, test = FM.split(_model_rows(spark, sf))
+    model = ml.random_forest(train, FM.FEATURES, FM.LABEL)
+    return stats.regression_metrics(ml.predict(model, test, FM.FEATURES), FM.LABEL, "prediction")
+
+
+def cv_grid_search(spark, sf):
+    train, _ = FM.split(_model_rows(spark, sf))
+    return ml.cv_grid_search(train, FM.FEATURES, FM.LABEL, depths=(2, 5), bins=(16,), trees=(5, 10),
+                             folds=3)
+
+
+def _mlp(spark, sf, epochs=5):
+    scaled = _scaled(spark, sf)
+    feats = [c + "_scaled" for c in FM.FEATURES]
+    train = scaled.where(F.col("split") == "train")
+    ws, hist = mlp_ops.train_mlp(train, feats, "fare", FM.KEY, epochs=epochs)
+    return scaled, feats, ws, hist
+
+
+def mlp_regressor(spark, sf):
+    _, _, _, hist = _mlp(spark, sf)
+    return mlp_ops.history_frame(spark, hist)
+
+
+def batch_predict(spark, sf):
+    scaled, feats, ws, _ = _mlp(spark, sf)
+    test = scaled.where(F.col("split") == "test")
+    return mlp_ops.batch_predict(test, ws, feats).select("trip_id", "fare", "prediction")
+
+
+def training_history(spark, sf):
+    _, _, _, hist = _mlp(spark, sf)
+    path = scratch_path(spark, "train-history")
+    mlp_ops.history_frame(spark, hist).write.option("header", True).csv(path)
+    return spark.read.option("header", True).schema(
+        "epoch INT, loss DOUBLE, lr DOUBLE, val_loss DOUBLE").csv(path)
