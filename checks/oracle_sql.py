@@ -35,6 +35,7 @@ SELECT trip_id, round({geodesic_sql('PU_lat', 'PU_lon', 'DO_lat', 'DO_lon')}, 6)
 SELECT {MERGED_COLS} FROM merged"""
     q.update(oracle_sql_more())
     q.update(oracle_sql_models())
+    q["stream_enrich"] = q["nearest_station_join"]
     return q
 
 

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyfare.functions.geo import geodesic_km
-from skyfare.operators.sizing import broadcast_if_small, salt_buckets, salted_left_join
+from skyfare.operators.sizing import (bounded_count, broadcast_if_small, checked_count,
+                                     max_broadcast_rows, salt_buckets, salted_left_join)
 
 
 def _dedup_geocodes(geocodes: DataFrame, place_col: str = "place",
@@ -43,18 +44,27 @@ def zone_points(zones: DataFrame, geocodes: DataFrame) -> DataFrame:
         "LocationID", "lat", "lon")
 
 
-def join_pickup_zone(trips: DataFrame, points: DataFrame) -> DataFrame:
-    """Inner join on PULocationID; adds PU_lat, PU_lon, PULocationIDAlias."""
+def _maybe_broadcast(df: DataFrame, small: bool | None) -> DataFrame:
+    if small is None:
+        return broadcast_if_small(df)[0]
+    return F.broadcast(df) if small else df
+
+
+def join_pickup_zone(trips: DataFrame, points: DataFrame, small: bool | None = None) -> DataFrame:
+    """Inner join on PULocationID; adds PU_lat, PU_lon, PULocationIDAlias.
+
+    ``small``: the caller's verdict of a size check on ``points`` (None: check here).
+    """
     pu = points.select(F.col("LocationID").alias("PULocationIDAlias"),
                        F.col("lat").alias("PU_lat"), F.col("lon").alias("PU_lon"))
-    pu, _ = broadcast_if_small(pu)
+    pu = _maybe_broadcast(pu, small)
     return trips.join(pu, trips["PULocationID"] == pu["PULocationIDAlias"], "inner")
 
 
-def join_dropoff_zone(trips: DataFrame, points: DataFrame) -> DataFrame:
+def join_dropoff_zone(trips: DataFrame, points: DataFrame, small: bool | None = None) -> DataFrame:
     """Inner join on DOLocationID; adds DO_lat, DO_lon and keeps LocationID."""
     do = points.select("LocationID", F.col("lat").alias("DO_lat"), F.col("lon").alias("DO_lon"))
-    do, _ = broadcast_if_small(do)
+    do = _maybe_broadcast(do, small)
     return trips.join(do, trips["DOLocationID"] == do["LocationID"], "inner")
 
 
@@ -86,7 +96,7 @@ def nearest_stations(points: DataFrame, stations: DataFrame, date_col: str = "da
 def nearest_station_join(trips: DataFrame, stations: DataFrame, date_col: str = "date",
                          lat_col: str = "PU_lat", lon_col: str = "PU_lon",
                          station_col: str = "station", st_lat: str = "lat", st_lon: str = "lon",
-                         checkpoint: bool = True) -> DataFrame:
+                         max_points: int | None = None) -> DataFrame:
     """Every trip with the readings of the nearest station on its pickup date.
 
     The nearest station depends only on (date, pickup point), so it is solved
@@ -96,16 +106,24 @@ def nearest_station_join(trips: DataFrame, stations: DataFrame, date_col: str =
     with a salted shuffle so a hot (date, zone) cannot land in one task.  Trips
     without a station that day keep null readings (left join).  On a name
     clash the station's column wins.
+
+    ``max_points``: a proven bound on the number of distinct pickup points
+    (e.g. the size of the zone table when points come from zones).  Then the
+    table has at most (station dates x max_points) rows; when that fits the
+    budget it is broadcast straight away, without being written first.
     """
     best = nearest_stations(trips, stations, date_col, lat_col, lon_col, station_col, st_lat, st_lon)
-    if checkpoint:
-        from skyfare.session import scratch_root
-        scratch_root(trips.sparkSession)
-        best = best.checkpoint(eager=True)
     keys = [date_col, lat_col, lon_col]
     right_cols = [c for c in best.columns if c not in keys]
     left = trips.drop(*[c for c in right_cols if c in trips.columns])
-    small, is_broadcast = broadcast_if_small(best)
-    if is_broadcast:
-        return left.join(small, keys, "left")
+    budget_rows = max_broadcast_rows(best)
+    if max_points is not None:
+        n_dates = bounded_count(stations.select(date_col).distinct(), budget_rows)
+        if n_dates is not None and n_dates * max_points <= budget_rows:
+            return left.join(F.broadcast(best), keys, "left")
+    from skyfare.session import scratch_root
+    scratch_root(trips.sparkSession)
+    best = best.checkpoint(eager=True)       # cut lineage; the count below reads the files
+    if bounded_count(best, budget_rows) is not None:
+        return left.join(F.broadcast(best), keys, "left")
     return salted_left_join(left, best, keys, salt_buckets(trips))

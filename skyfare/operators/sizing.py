@@ -49,11 +49,19 @@ def bounded_count(df: DataFrame, max_rows: int) -> int | None:
     return n if n <= max_rows else None
 
 
+def max_broadcast_rows(df: DataFrame, max_bytes: int | None = None) -> int:
+    budget = max_bytes if max_bytes is not None else broadcast_budget(df)
+    return max(1, budget // estimated_row_bytes(df.schema))
+
+
+def checked_count(df: DataFrame, max_bytes: int | None = None) -> int | None:
+    """Row count when df provably fits the broadcast budget, else None."""
+    return bounded_count(df, max_broadcast_rows(df, max_bytes))
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
     """(broadcast(df), True) when df provably fits ``max_bytes``; else (df, False)."""
-    budget = max_bytes if max_bytes is not None else broadcast_budget(df)
-    max_rows = max(1, budget // estimated_row_bytes(df.schema))
-    if bounded_count(df, max_rows) is None:
+    if checked_count(df, max_bytes) is None:
         return df, False
     return F.broadcast(df), True
 
@@ -69,3 +77,17 @@ def salted_left_join(big: DataFrame, small: DataFrame, keys: list[str], buckets:
     big_s = big.withColumn("_salt", salt)
     small_s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     return big_s.join(small_s, keys + ["_salt"], "left").drop("_salt")
+
+
+def ensure_parallelism(df: DataFrame, key: str | None = None, minimum: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    A large input already splits into many partitions and passes through
+    untouched; a file with one row group would otherwise keep every narrow
+    step after the scan in a single task.  Hash partitioning on ``key`` keeps
+    the placement deterministic when a task is retried.
+    """
+    want = minimum or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, key) if key else df.repartition(want)

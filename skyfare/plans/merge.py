@@ -10,16 +10,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skyfare.operators.enrich import (geocode_lookup, join_dropoff_zone, join_pickup_zone,
                                       nearest_station_join, zone_points)
+from skyfare.operators.sizing import checked_count
 from skyfare.sources import proxies
 from skyfare.sources.trips import type_trips
 from skyfare.sources.weather import encode_weather_docs, parse_weather_docs, type_station_rows
 from pyspark.sql import functions as F
 
 
+def locate_trips_counted(trips: DataFrame, zones: DataFrame,
+                         zone_geocodes: DataFrame) -> tuple[DataFrame, int | None]:
+    """(located trips, number of zone points if it passed the broadcast check)."""
+    points = zone_points(zones, zone_geocodes)
+    n_points = checked_count(points)          # one size check serves both joins
+    small = n_points is not None
+    located = join_dropoff_zone(join_pickup_zone(trips, points, small), points, small)
+    return located, n_points
+
+
 def locate_trips(trips: DataFrame, zones: DataFrame, zone_geocodes: DataFrame) -> DataFrame:
     """Typed trips -> trips with pickup and dropoff coordinates (unknown zone ids dropped)."""
-    points = zone_points(zones, zone_geocodes)
-    return join_dropoff_zone(join_pickup_zone(trips, points), points)
+    return locate_trips_counted(trips, zones, zone_geocodes)[0]
 
 
 def locate_stations(station_rows: DataFrame, station_geocodes: DataFrame) -> DataFrame:
@@ -29,9 +39,10 @@ def locate_stations(station_rows: DataFrame, station_geocodes: DataFrame) -> Dat
 
 def merge_trips_weather(trips: DataFrame, zones: DataFrame, zone_geocodes: DataFrame,
                         station_rows: DataFrame, station_geocodes: DataFrame) -> DataFrame:
-    located = locate_trips(trips, zones, zone_geocodes)
+    located, n_points = locate_trips_counted(trips, zones, zone_geocodes)
     stations = locate_stations(station_rows, station_geocodes)
-    return nearest_station_join(located, stations)
+    # pickup points come from the zone table, so their number is bounded by it
+    return nearest_station_join(located, stations, max_points=n_points)
 
 
 # ---- the same job over the stand-in tables -------------------------------------------------
@@ -40,9 +51,12 @@ def proxy_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return type_trips(proxies.trip_text(spark, sf_dir))
 
 
-def proxy_station_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Station rows that went through the monthly-file text form and back."""
+def proxy_station_rows(spark: SparkSession, sf_dir: str, via_files: bool = True) -> DataFrame:
+    """Typed station rows.  ``via_files``: through the monthly-file text form and back
+    (what reading weather files does); otherwise typed straight from the day rows."""
     days = proxies.station_day_text(spark, sf_dir)
+    if not via_files:
+        return type_station_rows(days)
     docs = encode_weather_docs(days, F.substring("date", 1, 7))
     return type_station_rows(parse_weather_docs(docs, "value"))
 

@@ -22,13 +22,18 @@ MERGED_COLS = ["trip_id", "date", "PULocationID", "DOLocationID", "PU_lat", "PU_
                "passenger_count", "trip_distance", "total_amount"]
 
 
+def _located_counted(spark, sf):
+    return merge.locate_trips_counted(merge.proxy_trips(spark, sf), proxies.zones(spark, sf),
+                                      proxies.zone_geocodes(spark, sf))
+
+
 def _located(spark, sf):
-    return merge.locate_trips(merge.proxy_trips(spark, sf), proxies.zones(spark, sf),
-                              proxies.zone_geocodes(spark, sf))
+    return _located_counted(spark, sf)[0]
 
 
-def _stations(spark, sf):
-    return merge.locate_stations(merge.proxy_station_rows(spark, sf), proxies.station_geocodes(spark))
+def _stations(spark, sf, via_files=False):
+    rows = merge.proxy_station_rows(spark, sf, via_files)
+    return merge.locate_stations(rows, proxies.station_geocodes(spark))
 
 
 # ---- scans and typing ----------------------------------------------------------------------
@@ -44,7 +49,7 @@ def scan_zones(spark, sf):
 
 
 def station_rows(spark, sf):
-    return _stations(spark, sf)
+    return _stations(spark, sf, via_files=True)
 
 
 def filter_station_q(spark, sf):
@@ -86,8 +91,7 @@ def geodesic_q(spark, sf):
 
 
 def nearest_station_join(spark, sf):
-    merged = enrich.nearest_station_join(_located(spark, sf), _stations(spark, sf))
-    return merged.select(*MERGED_COLS)
+    return _merged(spark, sf).select(*MERGED_COLS)
 
 
 # ---- cleaning -------------------------------------------------------------------------------
@@ -102,7 +106,8 @@ MODEL_INPUTS = ["PULocationID", "DOLocationID", "passenger_count", "trip_distanc
 
 
 def _merged(spark, sf):
-    return enrich.nearest_station_join(_located(spark, sf), _stations(spark, sf))
+    located, n_points = _located_counted(spark, sf)
+    return enrich.nearest_station_join(located, _stations(spark, sf), max_points=n_points)
 
 
 def rename_columns(spark, sf):
@@ -376,3 +381,17 @@ def training_history(spark, sf):
     mlp_ops.history_frame(spark, hist).write.option("header", True).csv(path)
     return spark.read.option("header", True).schema(
         "epoch INT, loss DOUBLE, lr DOUBLE, val_loss DOUBLE").csv(path)
+
+
+# ---- streaming ------------------------------------------------------------------------------
+
+def stream_enrich(spark, sf):
+    from skyfare.streaming.enrich_stream import stream_enrich as run
+    landing = scratch_path(spark, "trips-landing")
+    merge.proxy_trips(spark, sf).repartition(4, "trip_id").write.parquet(landing)
+    schema = spark.read.parquet(landing).schema
+    out = scratch_path(spark, "trips-enriched")
+    q = run(spark, landing, schema, proxies.zones(spark, sf), proxies.zone_geocodes(spark, sf),
+            _stations(spark, sf), out, scratch_path(spark, "stream-ckpt"), max_files_per_trigger=2)
+    q.awaitTermination()
+    return spark.read.parquet(out).select(*MERGED_COLS)

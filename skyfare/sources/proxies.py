@@ -14,6 +14,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyfare.operators.sizing import ensure_parallelism
 from skyfare.session import table_path
 from skyfare.sources.weather import WEATHER_FIELDS
 
@@ -27,8 +28,25 @@ DOLOCATION_MOD = 27               # ids 25 and 26 have no zone
 MISSING_GEOCODE_SUFFIX = "3"      # zone names ending in 3 have no geocode
 
 
+# the first column of each big table: a well-spread hash key
+SPREAD_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id",
+               "pages": "page_id", "customer": "c_custkey"}
+
+
+_READERS: dict = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    """The table's DataFrame; file listing and schema are resolved once per session."""
+    cache_key = (id(spark), sf_dir, name)
+    df = _READERS.get(cache_key)
+    if df is None:
+        df = spark.read.parquet(table_path(sf_dir, name))
+        key = SPREAD_KEYS.get(name)
+        if key:
+            df = ensure_parallelism(df, key)
+        _READERS[cache_key] = df
+    return df
 
 
 def trip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
