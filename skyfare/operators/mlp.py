@@ -135,6 +135,10 @@ def train_mlp(train: DataFrame, feats: Sequence[str], label: str, key_cols: Sequ
                  .select(*feats, label, "_is_val")
                  .persist(StorageLevel.MEMORY_AND_DISK))
     ws = init_weights(layer_sizes(len(feats)), seed)
+    # start the output unit at the label mean: with a zero bias the output ReLU can
+    # begin dead for every row, and then no gradient ever flows
+    label_mean = data.agg(F.avg(label)).first()[0]
+    ws[-1] = ws[-1] + float(label_mean or 0.0)
     flat = _flatten(ws)
     m = np.zeros_like(flat)
     v = np.zeros_like(flat)
