@@ -70,21 +70,29 @@ def join_dropoff_zone(trips: DataFrame, points: DataFrame, small: bool | None =
 
 def nearest_stations(points: DataFrame, stations: DataFrame, date_col: str = "date",
                      lat_col: str = "PU_lat", lon_col: str = "PU_lon",
-                     station_col: str = "station", st_lat: str = "lat", st_lon: str = "lon") -> DataFrame:
+                     station_col: str = "station", st_lat: str = "lat", st_lon: str = "lon",
+                     stations_small: bool | None = None) -> DataFrame:
     """For each distinct (date, lat, lon) point: the nearest station row of that date.
 
     Candidates are pairs of a point and a station reading of the same date (an
-    equi-join on date).  The winner is the smallest distance rounded to 1e-6 km,
-    then the smallest station name; ``min`` over a struct does this as a
-    partially aggregated groupBy, so no group is sorted or gathered whole.
+    equi-join on date).  The station-day table is broadcast when a size check
+    allows, so points are never shuffled by date (a date holding a third of all
+    points would otherwise sit in one task); larger station tables fall back to
+    a shuffled join that AQE splits when a date is skewed.  The winner has the
+    smallest distance rounded to 1e-6 km, then the smallest station name;
+    ``min`` over a struct does this as a partially aggregated groupBy, so no
+    group is gathered whole.
     """
     pts = (points.select(F.col(date_col).alias("_d"), F.col(lat_col).alias("_plat"),
                          F.col(lon_col).alias("_plon"))
-                 .where(F.col("_d").isNotNull()).distinct())
+                 .where(F.col("_d").isNotNull() & F.col("_plat").isNotNull() & F.col("_plon").isNotNull())
+                 .distinct())
     st_cols = [c for c in stations.columns if c != date_col]
-    st = stations.select(F.col(date_col).alias("_d"), *st_cols)
+    st = (stations.select(F.col(date_col).alias("_d"), *st_cols)
+                  .where(F.col(st_lat).isNotNull() & F.col(st_lon).isNotNull()))
+    st = _maybe_broadcast(st, stations_small)
     dist = F.round(geodesic_km("_plat", "_plon", st_lat, st_lon), 6)
-    cand = pts.join(st, "_d").withColumn("distance_km", dist).where(F.col("distance_km").isNotNull())
+    cand = pts.join(st, "_d").withColumn("distance_km", dist)
     ordered = ["distance_km", station_col] + [c for c in st_cols if c != station_col]
     best = (cand.groupBy("_d", "_plat", "_plon")
                 .agg(F.min(F.struct(*ordered)).alias("_best"))
@@ -112,13 +120,18 @@ def nearest_station_join(trips: DataFrame, stations: DataFrame, date_col: str =
     table has at most (station dates x max_points) rows; when that fits the
     budget it is broadcast straight away, without being written first.
     """
-    best = nearest_stations(trips, stations, date_col, lat_col, lon_col, station_col, st_lat, st_lon)
+    n_station_rows = checked_count(stations)
+    best = nearest_stations(trips, stations, date_col, lat_col, lon_col, station_col, st_lat, st_lon,
+                            stations_small=n_station_rows is not None)
     keys = [date_col, lat_col, lon_col]
     right_cols = [c for c in best.columns if c not in keys]
     left = trips.drop(*[c for c in right_cols if c in trips.columns])
     budget_rows = max_broadcast_rows(best)
-    if max_points is not None:
-        n_dates = bounded_count(stations.select(date_col).distinct(), budget_rows)
+    if max_points is not None and n_station_rows is not None:
+        # distinct station dates <= station rows; count them only if the cheap bound fails
+        n_dates = n_station_rows
+        if n_dates * max_points > budget_rows:
+            n_dates = bounded_count(stations.select(date_col).distinct(), budget_rows)
         if n_dates is not None and n_dates * max_points <= budget_rows:
             return left.join(F.broadcast(best), keys, "left")
     from skyfare.session import scratch_root

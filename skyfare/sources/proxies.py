@@ -30,7 +30,7 @@ MISSING_GEOCODE_SUFFIX = "3"      # zone names ending in 3 have no geocode
 
 # the first column of each big table: a well-spread hash key
 SPREAD_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id",
-               "pages": "page_id", "customer": "c_custkey"}
+               "pages": "page_id"}
 
 
 _READERS: dict = {}
