@@ -99,7 +99,7 @@ STATIONS = f"""
 ev AS (
   SELECT CAST(ts AS DATE) AS day, CAST(user_id % 4 AS INTEGER) AS j, event_type,
          CAST(round(value * 100) AS BIGINT) AS c
-  FROM events WHERE (user_id % 4) <> 3 OR value > 100
+  FROM events
 ),
 sd AS (
   SELECT day, j, max(c) AS cmax, min(c) AS cmin, sum(c) AS csum, count(*) AS n,
