@@ -36,6 +36,8 @@ SELECT {MERGED_COLS} FROM merged"""
     q.update(oracle_sql_more())
     q.update(oracle_sql_models())
     q["stream_enrich"] = q["nearest_station_join"]
+    q["scan_trip_csv"] = q["scan_trips"]
+    q["weather_files"] = q["station_rows"]
     return q
 
 

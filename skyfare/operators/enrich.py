@@ -33,9 +33,9 @@ def geocode_lookup(df: DataFrame, place_col: str, geocodes: DataFrame,
     """
     g, _ = broadcast_if_small(_dedup_geocodes(geocodes))
     joined = df.join(g, F.col(place_col) == F.col("_place"), "left")
-    return (joined.withColumn(lat_name, F.coalesce(F.col("_glat"), F.lit(0.0)))
-                  .withColumn(lon_name, F.coalesce(F.col("_glng"), F.lit(0.0)))
-                  .drop("_place", "_glat", "_glng"))
+    keep = [F.col(c) for c in df.columns if c not in (lat_name, lon_name)]
+    return joined.select(*keep, F.coalesce(F.col("_glat"), F.lit(0.0)).alias(lat_name),
+                         F.coalesce(F.col("_glng"), F.lit(0.0)).alias(lon_name))
 
 
 def zone_points(zones: DataFrame, geocodes: DataFrame) -> DataFrame:

@@ -396,3 +396,25 @@ def stream_enrich(spark, sf):
             _stations(spark, sf), out, scratch_path(spark, "stream-ckpt"), max_files_per_trigger=2)
     q.awaitTermination()
     return spark.read.parquet(out).select(*MERGED_COLS)
+
+
+# ---- file round trips through the real readers ----------------------------------------------
+
+def scan_trip_csv(spark, sf):
+    """Stand-in trips written as header CSV files, then read with ``scan_trips``."""
+    from skyfare.sources.trips import scan_trips as read_csv_trips
+    path = scratch_path(spark, "trip-csv")
+    proxies.trip_text(spark, sf).write.option("header", True).csv(path)
+    return read_csv_trips(spark, path).select(
+        "trip_id", "lpep_pickup_datetime", "PULocationID", "DOLocationID", "passenger_count",
+        "trip_distance", "fare_amount", "total_amount", "date")
+
+
+def weather_files(spark, sf):
+    """Monthly weather files (one single-quoted object per file) read with ``read_weather_files``."""
+    from skyfare.sources.weather import encode_weather_docs, read_weather_files, type_station_rows
+    path = scratch_path(spark, "weather-files")
+    docs = encode_weather_docs(proxies.station_day_text(spark, sf), F.substring("date", 1, 7))
+    docs.write.partitionBy("doc_key").text(path)
+    rows = type_station_rows(read_weather_files(spark, f"{path}/doc_key=*/*.txt"))
+    return merge.locate_stations(rows, proxies.station_geocodes(spark))
