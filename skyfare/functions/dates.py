@@ -26,11 +26,17 @@ def pickup_date(c) -> Column:
 def trip_duration_seconds(start, end, fmt: str = TRIP_TS_FORMAT) -> Column:
     """Seconds from start to end, both text in ``fmt``; 0.0 if either fails to parse.
 
-    Negative when the dropoff precedes the pickup, as in the source data.
+    Negative when the dropoff precedes the pickup, as in the source data.  The
+    difference is taken between wall-clock (time-zone-free) values, so it does
+    not depend on the session time zone or its daylight-saving rules.
     """
-    a = F.try_to_timestamp(_col(start).cast("string"), F.lit(fmt))
-    b = F.try_to_timestamp(_col(end).cast("string"), F.lit(fmt))
-    diff = (F.unix_micros(b) - F.unix_micros(a)).cast("double") / F.lit(1e6)
+    def wall(c):
+        text = _col(c).cast("string")
+        ok = F.try_to_timestamp(text, F.lit(fmt)).isNotNull()
+        # only rows that match ``fmt`` reach the (raising) parser
+        return F.when(ok, F.to_timestamp_ntz(text, F.lit(fmt)))
+
+    diff = F.timestamp_diff("SECOND", wall(start), wall(end)).cast("double")
     return F.coalesce(diff, F.lit(0.0))
 
 

@@ -57,7 +57,7 @@ def trip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = o.join(c, o.o_custkey == c.c_custkey, "inner")
     day = F.pmod(F.datediff(F.to_date("o_orderdate"), F.lit(ORDER_EPOCH)), F.lit(TRIP_DATE_SPAN_DAYS))
     secs = F.pmod(F.col("o_orderkey") * 7919, F.lit(86400))
-    base = F.lit(_dt.datetime(2024, 1, 1)).cast("timestamp_ntz")
+    base = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")     # zone-free literal
     pickup = F.timestamp_add("SECOND", day * 86400 + secs, base)
     dropoff = F.timestamp_add("SECOND", F.pmod(F.col("o_custkey"), F.lit(3000)) + 60, pickup)
     broken = (F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "P")

@@ -84,3 +84,13 @@ def test_try_double_and_months(spark):
     assert [r[0] for r in got] == [1.5, None, None, None]
     assert [r[1] for r in got] == ["03", "11", "01", "12"]
     assert [r[2] for r in got] == ["2021_03", "2021_11", "2021_01", "2021_12"]
+
+
+def test_trip_duration_ignores_session_time_zone(spark):
+    df = spark.createDataFrame([("2021-03-14 01:30:00", "2021-03-14 03:30:00")], "a STRING, b STRING")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = df.select(trip_duration_seconds("a", "b"), pickup_date("a")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got[0] == 7200.0 and got[1] == dt.date(2021, 3, 14)
