@@ -37,6 +37,15 @@ SELECT {MERGED_COLS} FROM merged"""
     q.update(oracle_sql_models())
     q["stream_enrich"] = q["nearest_station_join"]
     q["scan_trip_csv"] = q["scan_trips"]
+    q["raw_sql_window"] = """
+SELECT user_id, event_id,
+       row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn,
+       round(sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS running_value
+FROM events"""
+    q["raw_sql_semi"] = """
+SELECT o_orderkey, o_orderdate FROM orders o
+WHERE EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_quantity > 45.0)"""
     q["weather_files"] = q["station_rows"]
     return q
 

@@ -418,3 +418,31 @@ def weather_files(spark, sf):
     docs.write.partitionBy("doc_key").text(path)
     rows = type_station_rows(read_weather_files(spark, f"{path}/doc_key=*/*.txt"))
     return merge.locate_stations(rows, proxies.station_geocodes(spark))
+
+
+# ---- raw increasing id; conformance queries through raw_sql ---------------------------------
+
+def increasing_id(spark, sf):
+    """Spark's increasing id over the typed trips (unique, not stable across runs: rows-only)."""
+    return clean.raw_increasing_id(merge.proxy_trips(spark, sf).select("trip_id", "date"))
+
+
+def raw_sql_window(spark, sf):
+    """Conformance: a window function reached through raw_sql (inherited from Spark SQL)."""
+    _events(spark, sf).createOrReplaceTempView("skyfare_events")
+    return lake.raw_sql(spark, """
+        SELECT user_id, event_id,
+               row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn,
+               round(sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS running_value
+        FROM skyfare_events""")
+
+
+def raw_sql_semi(spark, sf):
+    """Conformance: an EXISTS (semi) join with a parameter, through raw_sql."""
+    proxies.read(spark, sf, "orders").createOrReplaceTempView("skyfare_orders")
+    proxies.read(spark, sf, "lineitem").createOrReplaceTempView("skyfare_lineitem")
+    return lake.raw_sql(spark, """
+        SELECT o_orderkey, o_orderdate FROM skyfare_orders o
+        WHERE EXISTS (SELECT 1 FROM skyfare_lineitem l
+                      WHERE l.l_orderkey = o.o_orderkey AND l.l_quantity > :q)""", {"q": 45.0})

@@ -3,7 +3,8 @@ import importlib
 import duckdb
 
 SF = "/root/testdata/sf0.001"
-ROWS_ONLY = {"random_forest_fare", "cv_grid_search", "mlp_regressor", "batch_predict", "training_history"}
+ROWS_ONLY = {"random_forest_fare", "cv_grid_search", "mlp_regressor", "batch_predict", "training_history",
+             "increasing_id"}
 CHEAP = ["scan_zones", "geocode_lookup", "pickup_date", "join_dropoff_zone", "station_rows",
          "nearest_station_join", "upsert_table", "extract_links", "html_rows", "forward_selection"]
 
