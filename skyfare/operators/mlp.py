@@ -1,10 +1,11 @@
 """A small fully connected regressor trained data-parallel on Spark.
 
-Each epoch is one Spark job: every partition runs the forward and backward
-pass over its rows with numpy inside ``mapInPandas`` and emits one row of
-summed gradients and losses.  Those rows (one per partition, a few thousand
-numbers each) are added on the driver, which takes an Adam step.  Rows never
-leave their executors.  Validation rows are scored in the same job.
+Each epoch is one pass over the cached rows: every partition runs the forward
+and backward pass over its rows with numpy inside ``mapInPandas`` and emits one
+row of summed gradients and losses.  Those rows are added up on the executors
+(one group per weight), so the driver receives one number per weight however
+many partitions there are, and takes an Adam step.  Rows never leave their
+executors.  Validation rows are scored in the same pass.
 
 Deviation from mini-batch training: one full-batch step per epoch.
 """
@@ -112,13 +113,20 @@ def _epoch_job(data: DataFrame, feats: Sequence[str], label: str, ws: list[np.nd
             if val.any():
                 vl += float(((forward(w, x[val]) - y[val]) ** 2).sum())
                 vn += int(val.sum())
-        yield pd.DataFrame({"grad": [g_sum.tolist()], "tl": [tl], "tn": [tn], "vl": [vl], "vn": [vn]})
-
-    rows = data.mapInPandas(part, "grad array<double>, tl double, tn long, vl double, vn long").collect()
-    g = np.sum([np.asarray(r["grad"]) for r in rows], axis=0)
-    tl, tn = sum(r["tl"] for r in rows), sum(r["tn"] for r in rows)
-    vl, vn = sum(r["vl"] for r in rows), sum(r["vn"] for r in rows)
-    return g / max(tn, 1), tl / max(tn, 1), (vl / vn if vn else float("nan"))
+        # gradient sums followed by the four loss totals, in one array
+        yield pd.DataFrame({"grad": [g_sum.tolist() + [tl, float(tn), vl, float(vn)]]})
+
+    parts = data.mapInPandas(part, "grad array<double>")
+    # add the per-partition rows up on the executors: the driver receives one number per
+    # weight plus four totals, however many partitions there are
+    summed = (parts.select(F.posexplode("grad").alias("i", "g"))
+                   .groupBy("i").agg(F.sum("g").alias("g")).collect())
+    acc = np.zeros(len(flat) + 4)
+    for r in summed:
+        acc[r["i"]] = r["g"]
+    g = acc[:len(flat)]
+    tl, tn, vl, vn = acc[len(flat):]
+    return g / max(tn, 1.0), tl / max(tn, 1.0), (vl / vn if vn else float("nan"))
 
 
 def train_mlp(train: DataFrame, feats: Sequence[str], label: str, key_cols: Sequence[str],
