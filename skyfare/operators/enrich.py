@@ -29,9 +29,11 @@ def geocode_lookup(df: DataFrame, place_col: str, geocodes: DataFrame,
     """Add (lat, lon) of ``place_col`` from a geocode table (place, lat, lng).
 
     Unknown places get (0.0, 0.0), as the geocoding service failure did.  The
-    geocode table is broadcast only after a size check.
+    geocode table is broadcast only after a size check; the check counts the
+    raw table (a plain scan), which bounds its de-duplicated form.
     """
-    g, _ = broadcast_if_small(_dedup_geocodes(geocodes))
+    g = _dedup_geocodes(geocodes)
+    g = _maybe_broadcast(g, checked_count(geocodes) is not None)
     joined = df.join(g, F.col(place_col) == F.col("_place"), "left")
     keep = [F.col(c) for c in df.columns if c not in (lat_name, lon_name)]
     return joined.select(*keep, F.coalesce(F.col("_glat"), F.lit(0.0)).alias(lat_name),

@@ -21,7 +21,9 @@ def locate_trips_counted(trips: DataFrame, zones: DataFrame,
                          zone_geocodes: DataFrame) -> tuple[DataFrame, int | None]:
     """(located trips, number of zone points if it passed the broadcast check)."""
     points = zone_points(zones, zone_geocodes)
-    n_points = checked_count(points)          # one size check serves both joins
+    # points are 1:1 with zones (left join on de-duplicated geocodes), so counting the
+    # zone table proves their size; one check serves both joins
+    n_points = checked_count(zones.select("LocationID"))
     small = n_points is not None
     located = join_dropoff_zone(join_pickup_zone(trips, points, small), points, small)
     return located, n_points
