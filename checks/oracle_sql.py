@@ -38,11 +38,14 @@ SELECT {MERGED_COLS} FROM merged"""
     q["stream_enrich"] = q["nearest_station_join"]
     q["scan_trip_csv"] = q["scan_trips"]
     q["raw_sql_window"] = """
-SELECT user_id, event_id,
-       row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn,
-       round(sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
-                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS running_value
-FROM events"""
+WITH daily AS (
+  SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n, round(sum(value), 2) AS v
+  FROM events GROUP BY user_id, CAST(ts AS DATE))
+SELECT user_id, day, n, v,
+       row_number() OVER (PARTITION BY user_id ORDER BY day) AS day_rank,
+       CAST(sum(n) OVER (PARTITION BY user_id ORDER BY day
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_events
+FROM daily"""
     q["raw_sql_semi"] = """
 SELECT o_orderkey, o_orderdate FROM orders o
 WHERE EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_quantity > 45.0)"""

@@ -428,14 +428,22 @@ def increasing_id(spark, sf):
 
 
 def raw_sql_window(spark, sf):
-    """Conformance: a window function reached through raw_sql (inherited from Spark SQL)."""
+    """Conformance: window functions reached through raw_sql (inherited from Spark SQL).
+
+    Events are first reduced to one row per (user, day) with a partially aggregated
+    GROUP BY, so each window group holds at most one row per calendar day however
+    many events a user has.
+    """
     _events(spark, sf).createOrReplaceTempView("skyfare_events")
     return lake.raw_sql(spark, """
-        SELECT user_id, event_id,
-               row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn,
-               round(sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
-                                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS running_value
-        FROM skyfare_events""")
+        WITH daily AS (
+          SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n, round(sum(value), 2) AS v
+          FROM skyfare_events GROUP BY user_id, CAST(ts AS DATE))
+        SELECT user_id, day, n, v,
+               row_number() OVER (PARTITION BY user_id ORDER BY day) AS day_rank,
+               sum(n) OVER (PARTITION BY user_id ORDER BY day
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_events
+        FROM daily""")
 
 
 def raw_sql_semi(spark, sf):
