@@ -14,7 +14,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyfare.operators.sizing import ensure_parallelism
+from skyfare.operators.sizing import broadcast_if_small, ensure_parallelism
 from skyfare.session import table_path
 from skyfare.sources.weather import WEATHER_FIELDS
 
@@ -54,6 +54,7 @@ def trip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    c, _ = broadcast_if_small(c)
     t = o.join(c, o.o_custkey == c.c_custkey, "inner")
     day = F.pmod(F.datediff(F.to_date("o_orderdate"), F.lit(ORDER_EPOCH)), F.lit(TRIP_DATE_SPAN_DAYS))
     secs = F.pmod(F.col("o_orderkey") * 7919, F.lit(86400))
@@ -78,7 +79,7 @@ def trip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed zones: LocationID int, Borough, Zone, service_zone."""
     n = read(spark, sf_dir, "nation")
-    r = read(spark, sf_dir, "region")
+    r, _ = broadcast_if_small(read(spark, sf_dir, "region"))
     return (n.join(r, n.n_regionkey == r.r_regionkey, "inner")
              .select(F.col("n_nationkey").alias("LocationID"), F.col("r_name").alias("Borough"),
                      F.col("n_name").alias("Zone"), F.lit("Boro Zone").alias("service_zone")))
