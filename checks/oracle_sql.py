@@ -37,6 +37,13 @@ SELECT {MERGED_COLS} FROM merged"""
     q.update(oracle_sql_models())
     q["stream_enrich"] = q["nearest_station_join"]
     q["scan_trip_csv"] = q["scan_trips"]
+    q["monthly_ingest"] = with_(TRIPS, ZONES, LOCATED, STATIONS, NEAREST) + """
+SELECT sha256(concat_ws('|', CAST(trip_id AS VARCHAR), CAST(date AS VARCHAR))) AS id, trip_id, date,
+       CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, PULocationID, DOLocationID,
+       station, distance_km, tempAvg, coalesce(precipitation, 0) AS precipitation, total_amount
+FROM merged
+WHERE station IS NOT NULL AND date >= DATE '2024-01-01' AND date < DATE '2024-03-01'
+  AND lpep_pickup_datetime IS NOT NULL AND total_amount IS NOT NULL"""
     q["raw_sql_window"] = """
 WITH daily AS (
   SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n, round(sum(value), 2) AS v

@@ -454,3 +454,24 @@ def raw_sql_semi(spark, sf):
         SELECT o_orderkey, o_orderdate FROM skyfare_orders o
         WHERE EXISTS (SELECT 1 FROM skyfare_lineitem l
                       WHERE l.l_orderkey = o.o_orderkey AND l.l_quantity > :q)""", {"q": 45.0})
+
+
+# ---- monthly ingest into the lake -----------------------------------------------------------
+
+INGEST_COLS = ["id", "trip_id", "date", "year", "month", "PULocationID", "DOLocationID", "station",
+               "distance_km", "tempAvg", "precipitation", "total_amount"]
+
+
+def monthly_ingest(spark, sf):
+    """Trips of 2024-01..2024-02 (partitioned files) + weather -> lake table; read back."""
+    from skyfare.plans.ingest import ingest
+    landing = scratch_path(spark, "trips-by-month")
+    t = merge.proxy_trips(spark, sf)
+    lake.append_partitioned(t.withColumns({"year": F.year("date"), "month": F.month("date")}),
+                            landing, ["year", "month"])
+    months = scan_month_range(spark, landing, "2024-01", "2024-02", layout="hive",
+                              fmt="parquet").drop("year", "month")
+    table = scratch_path(spark, "lake-trips-weather")
+    ingest(months, proxies.zones(spark, sf), proxies.zone_geocodes(spark, sf),
+           merge.proxy_station_rows(spark, sf, via_files=False), proxies.station_geocodes(spark), table)
+    return spark.read.parquet(table).select(*INGEST_COLS)
