@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 
 from skyfare.functions.dates import trip_duration_seconds
 from skyfare.functions.geo import geodesic_km
-from skyfare.operators import enrich
+from skyfare.operators import clean, enrich, ml, stats
+from skyfare.operators import mlp as mlp_ops
+from skyfare.plans import fare_models as FM
 from skyfare.plans import merge
-from skyfare.sources import proxies
+from skyfare.session import scratch_path
+from skyfare.sources import lake, proxies, web
+from skyfare.sources.trips import scan_month_range
 from skyfare.sources.weather import filter_station
 
 MERGED_COLS = ["trip_id", "date", "PULocationID", "DOLocationID", "PU_lat", "PU_lon", "DO_lat",
@@ -96,10 +100,6 @@ def nearest_station_join(spark, sf):
 
 # ---- cleaning -------------------------------------------------------------------------------
 
-from skyfare.operators import clean  # noqa: E402
-from skyfare.sources import lake, web  # noqa: E402
-from skyfare.sources.trips import scan_month_range  # noqa: E402
-from skyfare.session import scratch_path  # noqa: E402
 
 MODEL_INPUTS = ["PULocationID", "DOLocationID", "passenger_count", "trip_distance", "fare_amount",
                 "total_amount", "weather"]
@@ -258,9 +258,6 @@ def html_rows(spark, sf):
 
 # ---- statistics and models ------------------------------------------------------------------
 
-from skyfare.operators import ml, mlp as mlp_ops, stats  # noqa: E402
-from skyfare.plans import fare_models as FM  # noqa: E402
-
 
 def _model_rows(spark, sf, fill=True):
     return FM.model_rows(_merged(spark, sf), fill)

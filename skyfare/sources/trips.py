@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -99,7 +97,3 @@ def scan_month_range(spark: SparkSession, root: str, start: str, end: str,
         F.regexp_extract(path, r"/(\d{4})/(\d{2})/[^/]*$", 2).cast("int").alias("month"),
     )
     return raw
-
-
-def default_pickup_date() -> _dt.date:
-    return _dt.date(1970, 1, 1)
