@@ -25,7 +25,8 @@ def _dedup_geocodes(geocodes: DataFrame, place_col: str = "place",
 
 
 def geocode_lookup(df: DataFrame, place_col: str, geocodes: DataFrame,
-                   lat_name: str = "lat", lon_name: str = "lon") -> DataFrame:
+                   lat_name: str = "lat", lon_name: str = "lon",
+                   geocodes_small: bool | None = None) -> DataFrame:
     """Add (lat, lon) of ``place_col`` from a geocode table (place, lat, lng).
 
     Unknown places get (0.0, 0.0), as the geocoding service failure did.  The
@@ -33,17 +34,19 @@ def geocode_lookup(df: DataFrame, place_col: str, geocodes: DataFrame,
     raw table (a plain scan), which bounds its de-duplicated form.
     """
     g = _dedup_geocodes(geocodes)
-    g = _maybe_broadcast(g, checked_count(geocodes) is not None)
+    if geocodes_small is None:
+        geocodes_small = checked_count(geocodes) is not None
+    g = _maybe_broadcast(g, geocodes_small)
     joined = df.join(g, F.col(place_col) == F.col("_place"), "left")
     keep = [F.col(c) for c in df.columns if c not in (lat_name, lon_name)]
     return joined.select(*keep, F.coalesce(F.col("_glat"), F.lit(0.0)).alias(lat_name),
                          F.coalesce(F.col("_glng"), F.lit(0.0)).alias(lon_name))
 
 
-def zone_points(zones: DataFrame, geocodes: DataFrame) -> DataFrame:
+def zone_points(zones: DataFrame, geocodes: DataFrame, geocodes_small: bool | None = None) -> DataFrame:
     """Zones -> (LocationID, lat, lon) via the geocode table on the zone name."""
-    return geocode_lookup(zones.select("LocationID", "Zone"), "Zone", geocodes).select(
-        "LocationID", "lat", "lon")
+    return geocode_lookup(zones.select("LocationID", "Zone"), "Zone", geocodes,
+                          geocodes_small=geocodes_small).select("LocationID", "lat", "lon")
 
 
 def _maybe_broadcast(df: DataFrame, small: bool | None) -> DataFrame:
@@ -106,7 +109,7 @@ def nearest_stations(points: DataFrame, stations: DataFrame, date_col: str = "da
 def nearest_station_join(trips: DataFrame, stations: DataFrame, date_col: str = "date",
                          lat_col: str = "PU_lat", lon_col: str = "PU_lon",
                          station_col: str = "station", st_lat: str = "lat", st_lon: str = "lon",
-                         max_points: int | None = None) -> DataFrame:
+                         max_points: int | None = None, station_rows: int | None = -1) -> DataFrame:
     """Every trip with the readings of the nearest station on its pickup date.
 
     The nearest station depends only on (date, pickup point), so it is solved
