@@ -124,8 +124,11 @@ def nearest_station_join(trips: DataFrame, stations: DataFrame, date_col: str =
     (e.g. the size of the zone table when points come from zones).  Then the
     table has at most (station dates x max_points) rows; when that fits the
     budget it is broadcast straight away, without being written first.
+
+    ``station_rows``: the caller's ``checked_count`` of ``stations`` (None: too
+    large to broadcast); the default -1 checks here.
     """
-    n_station_rows = checked_count(stations)
+    n_station_rows = checked_count(stations) if station_rows == -1 else station_rows
     best = nearest_stations(trips, stations, date_col, lat_col, lon_col, station_col, st_lat, st_lon,
                             stations_small=n_station_rows is not None)
     keys = [date_col, lat_col, lon_col]
@@ -139,9 +142,8 @@ def nearest_station_join(trips: DataFrame, stations: DataFrame, date_col: str =
             n_dates = bounded_count(stations.select(date_col).distinct(), budget_rows)
         if n_dates is not None and n_dates * max_points <= budget_rows:
             return left.join(F.broadcast(best), keys, "left")
-    from skyfare.session import scratch_root
-    scratch_root(trips.sparkSession)
-    best = best.checkpoint(eager=True)       # cut lineage; the count below reads the files
+    from skyfare.session import materialize
+    best = materialize(best)                 # cut lineage; the count below reads the files
     if bounded_count(best, budget_rows) is not None:
         return left.join(F.broadcast(best), keys, "left")
     return salted_left_join(left, best, keys, salt_buckets(trips))

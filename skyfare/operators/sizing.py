@@ -59,17 +59,22 @@ def checked_count(df: DataFrame, max_bytes: int | None = None) -> int | None:
     return bounded_count(df, max_broadcast_rows(df, max_bytes))
 
 
-def checked_counts(dfs: list[DataFrame], max_bytes: int | None = None) -> list[int | None]:
-    """``checked_count`` of several independent inputs, submitted as concurrent jobs.
+def bounded_counts(checks: list[tuple[DataFrame, int]]) -> list[int | None]:
+    """``bounded_count`` of several independent (df, max_rows) pairs, as concurrent jobs.
 
     The counts are small jobs whose time is mostly scheduling latency; running
     them from separate driver threads lets the scheduler overlap them.
     """
     from concurrent.futures import ThreadPoolExecutor
-    if len(dfs) <= 1:
-        return [checked_count(d, max_bytes) for d in dfs]
-    with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
-        return list(pool.map(lambda d: checked_count(d, max_bytes), dfs))
+    if len(checks) <= 1:
+        return [bounded_count(d, n) for d, n in checks]
+    with ThreadPoolExecutor(max_workers=len(checks)) as pool:
+        return list(pool.map(lambda c: bounded_count(*c), checks))
+
+
+def checked_counts(dfs: list[DataFrame], max_bytes: int | None = None) -> list[int | None]:
+    """``checked_count`` of several independent inputs, submitted as concurrent jobs."""
+    return bounded_counts([(d, max_broadcast_rows(d, max_bytes)) for d in dfs])
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool]:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyfare.operators import clean, ml
+from skyfare.session import materialize
 
 FEATURES = ["trip_distance", "passenger_count", "weather"]
 LABEL = "total_amount"
@@ -20,5 +21,15 @@ def model_rows(merged: DataFrame, fill: bool = True) -> DataFrame:
     return clean.fill_zero(df) if fill else df
 
 
+def written_rows(merged: DataFrame, fill: bool = True) -> DataFrame:
+    """``model_rows`` written once to the shared checkpoint folder.
+
+    Fits read their rows several times (gram sums, then scoring; scaler
+    statistics, then scaling; every epoch or fold).  Without this each pass
+    would re-run the whole merge -- scans, zone joins, nearest station.
+    """
+    return materialize(model_rows(merged, fill))
+
+
 def split(rows: DataFrame):
     return ml.train_test_split(rows, KEY)

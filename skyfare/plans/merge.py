@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from skyfare.operators.enrich import (geocode_lookup, join_dropoff_zone, join_pickup_zone,
                                       nearest_station_join, zone_points)
-from skyfare.operators.sizing import checked_count
+from skyfare.operators.sizing import bounded_counts, checked_count, max_broadcast_rows
 from skyfare.sources import proxies
 from skyfare.sources.trips import type_trips
 from skyfare.sources.weather import encode_weather_docs, parse_weather_docs, type_station_rows
@@ -41,10 +41,27 @@ def locate_stations(station_rows: DataFrame, station_geocodes: DataFrame) -> Dat
 
 def merge_trips_weather(trips: DataFrame, zones: DataFrame, zone_geocodes: DataFrame,
                         station_rows: DataFrame, station_geocodes: DataFrame) -> DataFrame:
-    located, n_points = locate_trips_counted(trips, zones, zone_geocodes)
-    stations = locate_stations(station_rows, station_geocodes)
+    """Every located trip with the readings of the nearest station on its date.
+
+    The four small inputs get their size checks up front, as concurrent jobs.
+    Located stations are 1:1 with station rows (a left join on de-duplicated
+    geocodes), so counting the rows proves the located table's size.
+    """
+    row_bound = max_broadcast_rows(geocode_lookup(station_rows, "station", station_geocodes,
+                                                  geocodes_small=False))
+    point_bound = max_broadcast_rows(zone_points(zones, zone_geocodes, geocodes_small=False))
+    checks = [(zones.select("LocationID"), point_bound),
+              (zone_geocodes, max_broadcast_rows(zone_geocodes)),
+              (station_geocodes, max_broadcast_rows(station_geocodes)),
+              (station_rows, row_bound)]
+    n_points, n_zone_geo, n_station_geo, n_station_rows = bounded_counts(checks)
+    points = zone_points(zones, zone_geocodes, geocodes_small=n_zone_geo is not None)
+    small = n_points is not None
+    located = join_dropoff_zone(join_pickup_zone(trips, points, small), points, small)
+    stations = geocode_lookup(station_rows, "station", station_geocodes,
+                              geocodes_small=n_station_geo is not None)
     # pickup points come from the zone table, so their number is bounded by it
-    return nearest_station_join(located, stations, max_points=n_points)
+    return nearest_station_join(located, stations, max_points=n_points, station_rows=n_station_rows)
 
 
 # ---- the same job over the stand-in tables -------------------------------------------------

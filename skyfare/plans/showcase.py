@@ -106,8 +106,9 @@ MODEL_INPUTS = ["PULocationID", "DOLocationID", "passenger_count", "trip_distanc
 
 
 def _merged(spark, sf):
-    located, n_points = _located_counted(spark, sf)
-    return enrich.nearest_station_join(located, _stations(spark, sf), max_points=n_points)
+    return merge.merge_trips_weather(
+        merge.proxy_trips(spark, sf), proxies.zones(spark, sf), proxies.zone_geocodes(spark, sf),
+        merge.proxy_station_rows(spark, sf, via_files=False), proxies.station_geocodes(spark))
 
 
 def rename_columns(spark, sf):
@@ -263,6 +264,11 @@ def _model_rows(spark, sf, fill=True):
     return FM.model_rows(_merged(spark, sf), fill)
 
 
+def _written_rows(spark, sf):
+    """Model rows for queries that read them in several passes."""
+    return FM.written_rows(_merged(spark, sf))
+
+
 def correlation_matrix(spark, sf):
     return stats.correlation_matrix(_model_rows(spark, sf), FM.FEATURES)
 
@@ -298,7 +304,7 @@ def assemble_features(spark, sf):
 
 
 def linear_regression(spark, sf):
-    train, test = FM.split(_model_rows(spark, sf))
+    train, test = FM.split(_written_rows(spark, sf))
     model = ml.linear_regression(train, ["trip_distance"], FM.LABEL)
     scored = ml.predict(model, test, ["trip_distance"])
     m = stats.regression_metrics(scored, FM.LABEL, "prediction")
@@ -309,7 +315,7 @@ def linear_regression(spark, sf):
 
 
 def actual_vs_predicted(spark, sf):
-    train, test = FM.split(_model_rows(spark, sf))
+    train, test = FM.split(_written_rows(spark, sf))
     model = ml.linear_regression(train, ["trip_distance"], FM.LABEL)
     scored = ml.predict(model, test, ["trip_distance"])
     return scored.select("trip_id", F.col(FM.LABEL).alias("actual"),
@@ -317,13 +323,13 @@ def actual_vs_predicted(spark, sf):
 
 
 def forward_selection(spark, sf):
-    train, test = FM.split(_model_rows(spark, sf))
+    train, test = FM.split(_written_rows(spark, sf))
     out = ml.forward_selection(train, test, FM.LABEL)
     return out.select("predictors", F.round("rmse", 6).alias("rmse"), F.round("r2", 6).alias("r2"))
 
 
 def _scaled(spark, sf):
-    rows = _model_rows(spark, sf)
+    rows = _written_rows(spark, sf)
     bucket = ml.split_bucket(FM.KEY)
     train = rows.where(bucket < 8)
     fit = ml.scale_fit(train, FM.FEATURES)
@@ -343,13 +349,13 @@ def write_features(spark, sf):
 
 
 def random_forest_fare(spark, sf):
-    train, test = FM.split(_model_rows(spark, sf))
+    train, test = FM.split(_written_rows(spark, sf))
     model = ml.random_forest(train, FM.FEATURES, FM.LABEL)
     return stats.regression_metrics(ml.predict(model, test, FM.FEATURES), FM.LABEL, "prediction")
 
 
 def cv_grid_search(spark, sf):
-    train, _ = FM.split(_model_rows(spark, sf))
+    train, _ = FM.split(_written_rows(spark, sf))
     return ml.cv_grid_search(train, FM.FEATURES, FM.LABEL, depths=(2, 5), bins=(16,), trees=(5, 10),
                              folds=3)
 

@@ -67,5 +67,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and read it from there.
+
+    For inputs that several passes read (model fits, the static side of a
+    stream): the plan behind them runs once, later passes read the files, and
+    a lost executor costs a re-read, not a re-run of the whole lineage.
+    """
+    scratch_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

@@ -49,12 +49,30 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+_VERDICTS: dict = {}
+
+
+def broadcast_checked(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> DataFrame:
+    """``df`` (a projection of the driver table ``name``) behind a size check.
+
+    The driver tables are fixed files, so a table's verdict is kept for the
+    session instead of being counted again by every query.
+    """
+    cache_key = (id(spark), sf_dir, name, tuple(df.columns))
+    small = _VERDICTS.get(cache_key)
+    if small is None:
+        df, small = broadcast_if_small(df)
+        _VERDICTS[cache_key] = small
+        return df
+    return F.broadcast(df) if small else df
+
+
 def trip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips as a header CSV would load them: every column text."""
     o = read(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    c, _ = broadcast_if_small(c)
+    c = broadcast_checked(spark, sf_dir, "customer", c)
     t = o.join(c, o.o_custkey == c.c_custkey, "inner")
     day = F.pmod(F.datediff(F.to_date("o_orderdate"), F.lit(ORDER_EPOCH)), F.lit(TRIP_DATE_SPAN_DAYS))
     secs = F.pmod(F.col("o_orderkey") * 7919, F.lit(86400))
@@ -79,7 +97,7 @@ def trip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed zones: LocationID int, Borough, Zone, service_zone."""
     n = read(spark, sf_dir, "nation")
-    r, _ = broadcast_if_small(read(spark, sf_dir, "region"))
+    r = broadcast_checked(spark, sf_dir, "region", read(spark, sf_dir, "region"))
     return (n.join(r, n.n_regionkey == r.r_regionkey, "inner")
              .select(F.col("n_nationkey").alias("LocationID"), F.col("r_name").alias("Borough"),
                      F.col("n_name").alias("Zone"), F.lit("Boro Zone").alias("service_zone")))
