@@ -43,11 +43,20 @@ def append_table(df: DataFrame, target: str, as_table: bool = False, fmt: str =
         writer.save(target)
 
 
-def append_partitioned(df: DataFrame, path: str, cols: Iterable[str], fmt: str = "parquet") -> None:
-    """Append into ``path/col=value/...`` folders; readers prune on those columns."""
-    # no repartition by the partition columns: a month holding a third of the rows
-    # would then be written by a single task
-    df.write.mode("append").partitionBy(*list(cols)).format(fmt).save(path)
+def append_partitioned(df: DataFrame, path: str, cols: Iterable[str], fmt: str = "parquet",
+                       rebalance: bool = True) -> None:
+    """Append into ``path/col=value/...`` folders; readers prune on those columns.
+
+    A REBALANCE on the partition columns gathers each partition's rows into few
+    tasks, so a partition gets files in proportion to its size instead of one
+    file from every writing task.  AQE splits a partition holding a third of
+    the rows into advisory-size tasks (never one task per partition) and merges
+    small ones.  ``rebalance=False`` skips that shuffle for input already
+    clustered by the partition columns (e.g. read from per-month folders).
+    """
+    cols = list(cols)
+    out = df.hint("rebalance", *cols) if rebalance else df
+    out.write.mode("append").partitionBy(*cols).format(fmt).save(path)
 
 
 def upsert_rows(base: DataFrame, changes: DataFrame, key: Iterable[str], sort_key: str) -> DataFrame:

@@ -51,6 +51,17 @@ def test_ols_and_forward_selection_recover_signal(planted):
     assert icpt == pytest.approx(model.intercept, rel=1e-8)
 
 
+def test_ols_gram_keeps_digits_at_a_large_offset(spark):
+    # x = 1e8 + (i mod 100): raw sums of x*x reach 1e19 and their difference with
+    # n * mean^2 would lose the spread; the centred aggregates keep the exact line
+    df = (spark.range(100000, numPartitions=8)
+          .select((F.lit(1e8) + (F.col("id") % 100).cast("double")).alias("x"))
+          .withColumn("y", F.col("x") * 2.0 + 5.0))
+    icpt, coef = ml.ols_from_gram(ml.ols_gram(df, ["x"], "y"), ["x"])
+    assert coef[0] == pytest.approx(2.0, rel=1e-9)
+    assert icpt == pytest.approx(5.0, abs=1e-3)
+
+
 def test_scaling_constant_and_out_of_range(spark):
     train = spark.createDataFrame([(0.0, 5.0), (10.0, 5.0)], "x DOUBLE, c DOUBLE")
     test = spark.createDataFrame([(20.0, 7.0)], "x DOUBLE, c DOUBLE")
