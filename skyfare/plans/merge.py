@@ -6,12 +6,16 @@ weather rows -> station coordinates -> nearest station of the same date (left)
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfare.operators.enrich import (geocode_lookup, join_dropoff_zone, join_pickup_zone,
                                       nearest_station_join, zone_points)
-from skyfare.operators.sizing import bounded_counts, checked_count, max_broadcast_rows
+from skyfare.operators.sizing import checked_count, checked_counts
+from skyfare.session import materialize
 from skyfare.sources import proxies
 from skyfare.sources.trips import type_trips
 from skyfare.sources.weather import encode_weather_docs, parse_weather_docs, type_station_rows
@@ -39,29 +43,48 @@ def locate_stations(station_rows: DataFrame, station_geocodes: DataFrame) -> Dat
     return geocode_lookup(station_rows, "station", station_geocodes)
 
 
-def merge_trips_weather(trips: DataFrame, zones: DataFrame, zone_geocodes: DataFrame,
-                        station_rows: DataFrame, station_geocodes: DataFrame) -> DataFrame:
-    """Every located trip with the readings of the nearest station on its date.
+@dataclass
+class StaticSide:
+    """The small derived tables every trip is joined with, written once."""
+    points: DataFrame          # (LocationID, lat, lon)
+    n_points: int | None       # checked count (None: too large to broadcast)
+    stations: DataFrame        # located station rows
+    n_stations: int | None     # checked count
 
-    The four small inputs get their size checks up front, as concurrent jobs.
-    Located stations are 1:1 with station rows (a left join on de-duplicated
-    geocodes), so counting the rows proves the located table's size.
+
+def prepare_static(zones: DataFrame, zone_geocodes: DataFrame, station_rows: DataFrame,
+                   station_geocodes: DataFrame) -> StaticSide:
+    """Zone points and located stations, written to the shared checkpoint folder.
+
+    Both are read by several branches of the merge (pickup join, dropoff join,
+    the distinct pickup points, the station candidates).  Written once, they
+    are derived once, and their size checks read the written files.  The
+    geocode checks run first, as concurrent jobs; so do the two writes and the
+    two counts.
     """
-    row_bound = max_broadcast_rows(geocode_lookup(station_rows, "station", station_geocodes,
-                                                  geocodes_small=False))
-    point_bound = max_broadcast_rows(zone_points(zones, zone_geocodes, geocodes_small=False))
-    checks = [(zones.select("LocationID"), point_bound),
-              (zone_geocodes, max_broadcast_rows(zone_geocodes)),
-              (station_geocodes, max_broadcast_rows(station_geocodes)),
-              (station_rows, row_bound)]
-    n_points, n_zone_geo, n_station_geo, n_station_rows = bounded_counts(checks)
-    points = zone_points(zones, zone_geocodes, geocodes_small=n_zone_geo is not None)
-    small = n_points is not None
-    located = join_dropoff_zone(join_pickup_zone(trips, points, small), points, small)
-    stations = geocode_lookup(station_rows, "station", station_geocodes,
-                              geocodes_small=n_station_geo is not None)
+    n_zone_geo, n_station_geo = checked_counts([zone_geocodes, station_geocodes])
+    pts = zone_points(zones, zone_geocodes, geocodes_small=n_zone_geo is not None)
+    st = geocode_lookup(station_rows, "station", station_geocodes,
+                        geocodes_small=n_station_geo is not None)
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        points, stations = pool.map(materialize, [pts, st])
+    n_points, n_stations = checked_counts([points, stations])
+    return StaticSide(points, n_points, stations, n_stations)
+
+
+def enrich_trips(trips: DataFrame, side: StaticSide) -> DataFrame:
+    """Typed trips -> located (inner zone joins) -> nearest station of the pickup date."""
+    small = side.n_points is not None
+    located = join_dropoff_zone(join_pickup_zone(trips, side.points, small), side.points, small)
     # pickup points come from the zone table, so their number is bounded by it
-    return nearest_station_join(located, stations, max_points=n_points, station_rows=n_station_rows)
+    return nearest_station_join(located, side.stations, max_points=side.n_points,
+                                station_rows=side.n_stations)
+
+
+def merge_trips_weather(trips: DataFrame, zones: DataFrame, zone_geocodes: DataFrame,
+                        station_rows: DataFrame, station_geocodes: DataFrame) -> DataFrame:
+    """Every located trip with the readings of the nearest station on its date."""
+    return enrich_trips(trips, prepare_static(zones, zone_geocodes, station_rows, station_geocodes))
 
 
 # ---- the same job over the stand-in tables -------------------------------------------------

@@ -395,8 +395,11 @@ def stream_enrich(spark, sf):
     merge.proxy_trips(spark, sf).repartition(4, "trip_id").write.parquet(landing)
     schema = spark.read.parquet(landing).schema
     out = scratch_path(spark, "trips-enriched")
-    q = run(spark, landing, schema, proxies.zones(spark, sf), proxies.zone_geocodes(spark, sf),
-            _stations(spark, sf), out, scratch_path(spark, "stream-ckpt"), max_files_per_trigger=2)
+    side = merge.prepare_static(proxies.zones(spark, sf), proxies.zone_geocodes(spark, sf),
+                                merge.proxy_station_rows(spark, sf, via_files=False),
+                                proxies.station_geocodes(spark))
+    q = run(spark, landing, schema, side, out, scratch_path(spark, "stream-ckpt"),
+            max_files_per_trigger=2)
     q.awaitTermination()
     return spark.read.parquet(out).select(*MERGED_COLS)
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -23,6 +24,11 @@ DEFAULT_CONF = {
     # explicit bounded count (operators/sizing.py) or chosen by AQE from measured sizes
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10485760",
+    # HotSpot does not JIT-compile a method over 8000 bytes of bytecode.  The merge's
+    # last stage fuses three joins, the fills, the key hash and a 30-column null check
+    # into one ~19.5 kB method, which then runs interpreted (measured 3x slower);
+    # above this limit Spark keeps per-operator generated code, which does compile
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -45,6 +51,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+_SCRATCH_LOCK = threading.Lock()
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for written tables and checkpoints.
 
@@ -52,12 +61,13 @@ def scratch_root(spark: SparkSession) -> str:
     when it is unset (tests, local runs).
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="skyfare-ckpt-")
-    # register it for Dataset.checkpoint() if the context has none yet
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(current)
+    with _SCRATCH_LOCK:          # materialize() may run from several driver threads
+        current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+        if not current:
+            current = tempfile.mkdtemp(prefix="skyfare-ckpt-")
+        # register it for Dataset.checkpoint() if the context has none yet
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
     return current
 
 

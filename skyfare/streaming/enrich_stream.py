@@ -1,10 +1,10 @@
 """Trips arriving as files -> located and matched with the nearest station, incrementally.
 
-The static side (zone points, located stations) is prepared once before the
-stream starts: both are small derived tables, written to the shared checkpoint
-folder and size-checked there, so a micro-batch neither re-derives them nor
-re-counts them.  Each micro-batch then runs the same batch operators (zone
-joins, nearest-station join) through ``foreachBatch``.  Output goes to
+The static side (zone points, located stations) is prepared once by the caller
+(``plans.merge.prepare_static``): both are small derived tables, written to the
+shared checkpoint folder and size-checked there, so a micro-batch neither
+re-derives them nor re-counts them.  Each micro-batch runs the batch merge
+(zone joins, nearest-station join) through ``foreachBatch``.  Output goes to
 ``out_path/batch=<id>`` with overwrite, so a micro-batch replayed after a
 failure rewrites its own folder instead of duplicating rows.  The stream's
 progress lives in ``checkpoint_path`` (a shared folder), so a restarted query
@@ -13,50 +13,21 @@ resumes.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from skyfare.operators.enrich import (join_dropoff_zone, join_pickup_zone, nearest_station_join,
-                                      zone_points)
-from skyfare.operators.sizing import checked_counts
-from skyfare.session import materialize
-
-
-@dataclass
-class StaticSide:
-    points: DataFrame          # (LocationID, lat, lon), written
-    n_points: int | None       # checked count of points (None: too large to broadcast)
-    stations: DataFrame        # located station rows, written
-    n_stations: int | None     # checked count of stations
-
-
-def prepare_static(zones: DataFrame, zone_geocodes: DataFrame, stations: DataFrame) -> StaticSide:
-    points = materialize(zone_points(zones, zone_geocodes))
-    stations = materialize(stations)
-    n_points, n_stations = checked_counts([points, stations])
-    return StaticSide(points, n_points, stations, n_stations)
-
-
-def enrich_batch(batch: DataFrame, side: StaticSide) -> DataFrame:
-    small = side.n_points is not None
-    located = join_dropoff_zone(join_pickup_zone(batch, side.points, small), side.points, small)
-    return nearest_station_join(located, side.stations, max_points=side.n_points,
-                                station_rows=side.n_stations)
+from skyfare.plans.merge import StaticSide, enrich_trips
 
 
-def stream_enrich(spark: SparkSession, source_path: str, schema: StructType, zones: DataFrame,
-                  zone_geocodes: DataFrame, stations: DataFrame, out_path: str,
-                  checkpoint_path: str, max_files_per_trigger: int = 1,
+def stream_enrich(spark: SparkSession, source_path: str, schema: StructType, side: StaticSide,
+                  out_path: str, checkpoint_path: str, max_files_per_trigger: int = 1,
                   available_now: bool = True, fmt: str = "parquet"):
     """Start the stream; with ``available_now`` it processes what is there and stops."""
-    side = prepare_static(zones, zone_geocodes, stations)
     src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
                 .format(fmt).load(source_path))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        enrich_batch(batch, side).write.mode("overwrite").parquet(
+        enrich_trips(batch, side).write.mode("overwrite").parquet(
             f"{out_path.rstrip('/')}/batch={batch_id}")
 
     writer = src.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_path)
