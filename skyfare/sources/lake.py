@@ -7,11 +7,12 @@ never overwrites the path it reads; the caller swaps the pointer afterwards.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyfare.operators.sizing import broadcast_if_small
+from skyfare.operators.sizing import broadcast_if_small, checked_count
 
 
 def use_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -59,15 +60,10 @@ def append_partitioned(df: DataFrame, path: str, cols: Iterable[str], fmt: str =
     out.write.mode("append").partitionBy(*cols).format(fmt).save(path)
 
 
-def upsert_rows(base: DataFrame, changes: DataFrame, key: Iterable[str], sort_key: str) -> DataFrame:
-    """Latest version of every key over base and changes.
-
-    The winner has the largest ``sort_key``; on a tie the change wins.  Computed
-    with ``max`` over a struct in a groupBy, so every task combines its rows
-    before the shuffle and a key with millions of versions is reduced map-side.
-    """
-    key = list(key)
-    cols = [c for c in base.columns]
+def _latest(base: DataFrame, changes: DataFrame, key: list[str], sort_key: str) -> DataFrame:
+    # max over a struct in a groupBy: every task combines its rows before the shuffle,
+    # so a key with millions of versions is reduced map-side
+    cols = list(base.columns)
     both = (base.select(*cols, F.lit(0).alias("_batch"))
                 .unionByName(changes.select(*cols, F.lit(1).alias("_batch"))))
     rest = [c for c in cols if c not in key]
@@ -77,6 +73,33 @@ def upsert_rows(base: DataFrame, changes: DataFrame, key: Iterable[str], sort_ke
                 .select(*cols))
 
 
+def upsert_rows(base: DataFrame, changes: DataFrame, key: Iterable[str], sort_key: str,
+                changes_small: bool | None = None) -> DataFrame:
+    """Latest version of every key over base and changes.
+
+    The winner has the largest ``sort_key``; on a tie the change wins.  Keys
+    compare null-safely (a null key is one key, as in a GROUP BY).
+
+    When the change set passes the broadcast size check (``changes_small``;
+    None: check here), the base is never shuffled: its rows with keys the
+    changes do not touch pass through a broadcast anti join, and only rows of
+    touched keys are grouped with the changes.  Otherwise everything is grouped
+    in one shuffle.  Either way base rows of untouched keys are kept as they
+    are; a base that already holds several rows of one key (bulk appends) is
+    reduced only for the keys the changes touch, as in a MERGE.
+    """
+    key = list(key)
+    if changes_small is None:
+        changes_small = checked_count(changes.select(*key)) is not None
+    if not changes_small:
+        return _latest(base, changes, key, sort_key)
+    touched = F.broadcast(changes.select(*[F.col(k).alias(f"_k_{k}") for k in key]).distinct())
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in key])
+    untouched = base.join(touched, on, "left_anti")
+    hit = base.join(touched, on, "left_semi")
+    return untouched.unionByName(_latest(hit, changes, key, sort_key))
+
+
 def upsert_table(spark: SparkSession, base_path: str, changes: DataFrame, key: Iterable[str],
                  sort_key: str, out_path: str, fmt: str = "parquet") -> DataFrame:
     """Write the upserted table to ``out_path`` (never ``base_path``) and read it back."""

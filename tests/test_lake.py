@@ -40,6 +40,18 @@ def test_upsert_latest_wins_change_wins_ties_idempotent(spark, tmp_dir):
     assert out.count() == 4 and spark.read.parquet(p0).count() == 3      # source untouched
 
 
+def test_upsert_broadcast_path_equals_grouped_path(spark):
+    # unique base keys plus a null key; changes repeat keys and touch the null key
+    base = spark.createDataFrame([(i, _ts(i % 7), float(i)) for i in range(1, 200)] + [(None, _ts(1), -1.0)], EV)
+    changes = spark.createDataFrame([(i % 50, _ts(i % 9), 1000.0 + i) for i in range(0, 120)] + [(None, _ts(3), -2.0)], EV)
+    fast = lake.upsert_rows(base, changes, ["event_id"], "ts", changes_small=True)
+    full = lake.upsert_rows(base, changes, ["event_id"], "ts", changes_small=False)
+    assert sorted(map(tuple, fast.collect()), key=str) == sorted(map(tuple, full.collect()), key=str)
+    assert fast.where("event_id IS NULL").first().value == -2.0
+    plan = fast._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "BroadcastHashJoin" in plan
+
+
 def test_delete_by_key(spark, tmp_dir):
     base = spark.createDataFrame([(1, _ts(1), 1.0), (2, _ts(1), 2.0), (3, _ts(1), 3.0)], EV)
     keys = spark.createDataFrame([(2,), (2,), (9,)], "event_id BIGINT")
