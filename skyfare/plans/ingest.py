@@ -26,9 +26,9 @@ def prepare_ingest(trips: DataFrame, zones: DataFrame, zone_geocodes: DataFrame,
                    station_rows: DataFrame, station_geocodes: DataFrame,
                    key_cols: Sequence[str] = KEY_COLUMNS) -> DataFrame:
     merged = merge_trips_weather(trips, zones, zone_geocodes, station_rows, station_geocodes)
-    keyed = clean.surrogate_id(clean.fill_zero(merged), key_cols)
-    return (clean.drop_incomplete(keyed)
-                 .withColumns({"year": F.year("date"), "month": F.month("date")}))
+    # the key is never null, so keying after the drop keeps the same rows
+    keyed = clean.surrogate_id(clean.fill_zero_and_drop(merged), key_cols)
+    return keyed.withColumns({"year": F.year("date"), "month": F.month("date")})
 
 
 def ingest(trips: DataFrame, zones: DataFrame, zone_geocodes: DataFrame, station_rows: DataFrame,

@@ -38,3 +38,12 @@ def test_overlay_right_wins(spark):
     right = spark.createDataFrame([(1, "r")], "k INT, name STRING")
     r = clean.overlay_columns(left, right, ["k"]).first()
     assert (r.k, r.name, r.v) == (1, "r", 1.0)
+
+
+def test_fill_zero_and_drop_equals_fill_then_drop(spark):
+    df = spark.createDataFrame(
+        [(1, float("nan"), "a"), (None, 2.0, "b"), (3, None, None), (4, 4.0, "d"), (None, None, "e")],
+        "n INT, x DOUBLE, s STRING")
+    got = sorted(map(tuple, clean.fill_zero_and_drop(df).collect()))
+    want = sorted(map(tuple, clean.drop_incomplete(clean.fill_zero(df)).collect()))
+    assert got == want == [(0, 0.0, "e"), (0, 2.0, "b"), (1, 0.0, "a"), (4, 4.0, "d")]
