@@ -58,6 +58,17 @@ def test_delete_by_key(spark, tmp_dir):
     assert sorted(r.event_id for r in lake.delete_rows(base, keys, ["event_id"]).collect()) == [1, 3]
 
 
+def test_rebalanced_write_gives_few_files_per_partition(spark, tmp_dir):
+    # 16 input partitions, every one holding rows of both months
+    df = spark.range(4000, numPartitions=16).selectExpr("id AS k", "2020 AS year", "CAST(1 + id % 2 AS INT) AS month")
+    out = os.path.join(tmp_dir, "rebalanced")
+    lake.append_partitioned(df, out, ["year", "month"])
+    for m in ("month=1", "month=2"):
+        files = [f for f in os.listdir(os.path.join(out, "year=2020", m)) if f.endswith(".parquet")]
+        assert len(files) == 1
+    assert spark.read.parquet(out).count() == 4000
+
+
 def test_partitioned_write_and_month_scans(spark, tmp_dir):
     df = spark.createDataFrame([(1, 2020, 1), (2, 2020, 2), (3, 2020, 3)], "k INT, year INT, month INT")
     hive = os.path.join(tmp_dir, "hive")
