@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -12,6 +15,7 @@ from skyfare.functions.dates import pickup_date
 PICKUP_COL = "lpep_pickup_datetime"
 DROPOFF_COL = "lpep_dropoff_datetime"
 ID_COLUMNS = ["PULocationID", "DOLocationID"]
+TRIP_KINDS = ["green", "yellow"]
 NUMERIC_COLUMNS = [
     "passenger_count", "trip_distance", "fare_amount", "extra", "mta_tax", "tip_amount",
     "tolls_amount", "improvement_surcharge", "total_amount", "payment_type", "trip_type",
@@ -62,13 +66,22 @@ def month_list(start: str, end: str) -> list[str]:
 
 def scan_month_range(spark: SparkSession, root: str, start: str, end: str,
                      layout: str = "plain", fmt: str = "csv",
-                     empty_schema: str | None = None) -> DataFrame:
+                     empty_schema: str | None = None,
+                     kinds: Sequence[str] | None = None) -> DataFrame:
     """All trip files of the months ``start``..``end`` under ``root``.
 
     ``layout="plain"``: files live in ``root/YYYY/MM/``.  Only those month
     folders are listed (one glob with alternation), so other months are never
     opened; ``year`` and ``month`` come from each row's file path.
 
+    ``kinds``: file-name prefixes of trip files with different columns kept
+    side by side in a month folder (``TRIP_KINDS``: green and yellow).  One
+    CSV read applies a single header to every file it opens, so each kind is
+    read on its own, with its own header, and the kinds are combined by column
+    name; a column a kind lacks is null (yellow rows have no
+    ``lpep_pickup_datetime``).  ``trip_kind`` names the kind of each row.
+    None: every file in one read.
+
     ``layout="hive"``: ``root/year=YYYY/month=M/`` as written by
     ``append_partitioned``; the month filter prunes partitions.
     """
@@ -79,21 +92,32 @@ def scan_month_range(spark: SparkSession, root: str, start: str, end: str,
         lo = int(start.replace("-", ""))
         hi = int(end.replace("-", ""))
         return df.where((key >= lo) & (key <= hi))
-    pattern = root.rstrip("/") + "/{" + ",".join(months) + "}/*"
+    folders = root.rstrip("/") + "/{" + ",".join(months) + "}/"
+    parts = []
+    for kind in (kinds or [None]):
+        raw = _read_files(spark, folders + ("*" if kind is None else f"{kind}*"), fmt)
+        if raw is None:
+            continue
+        path = F.col("_metadata.file_path")
+        extra = [F.regexp_extract(path, r"/(\d{4})/(\d{2})/[^/]*$", 1).cast("int").alias("year"),
+                 F.regexp_extract(path, r"/(\d{4})/(\d{2})/[^/]*$", 2).cast("int").alias("month")]
+        if kind is not None:
+            extra.append(F.lit(kind).alias("trip_kind"))
+        parts.append(raw.select("*", *extra))
+    if not parts:
+        # no month folder of the range holds a file
+        if empty_schema is None:
+            raise FileNotFoundError(f"no trip files under {folders}")
+        kind_col = ", trip_kind STRING" if kinds else ""
+        return spark.createDataFrame([], empty_schema + ", year INT, month INT" + kind_col)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _read_files(spark: SparkSession, pattern: str, fmt: str) -> DataFrame | None:
+    """The files matching ``pattern`` (CSV with its header), or None when there are none."""
     try:
         if fmt == "csv":
-            raw = spark.read.option("header", True).csv(pattern)
-        else:
-            raw = spark.read.format(fmt).load(pattern)
+            return spark.read.option("header", True).csv(pattern)
+        return spark.read.format(fmt).load(pattern)
     except AnalysisException:
-        # no month folder of the range exists
-        if empty_schema is None:
-            raise
-        return spark.createDataFrame([], empty_schema + ", year INT, month INT")
-    path = F.col("_metadata.file_path")
-    raw = raw.select(
-        "*",
-        F.regexp_extract(path, r"/(\d{4})/(\d{2})/[^/]*$", 1).cast("int").alias("year"),
-        F.regexp_extract(path, r"/(\d{4})/(\d{2})/[^/]*$", 2).cast("int").alias("month"),
-    )
-    return raw
+        return None

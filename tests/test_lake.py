@@ -4,7 +4,7 @@ import os
 from pyspark.sql import functions as F
 
 from skyfare.sources import lake
-from skyfare.sources.trips import month_list, scan_month_range, scan_trips
+from skyfare.sources.trips import TRIP_KINDS, month_list, scan_month_range, scan_trips, type_trips
 
 EV = "event_id BIGINT, ts TIMESTAMP_NTZ, value DOUBLE"
 
@@ -90,6 +90,22 @@ def test_partitioned_write_and_month_scans(spark, tmp_dir):
     assert month_list("2020-11", "2021-02") == ["2020/11", "2020/12", "2021/01", "2021/02"]
 
 
+def test_month_scan_reads_each_trip_kind_with_its_own_header(spark, tmp_dir):
+    # green and yellow files side by side, with different columns in a different order
+    root = os.path.join(tmp_dir, "kinds")
+    os.makedirs(os.path.join(root, "2020", "01"))
+    with open(os.path.join(root, "2020", "01", "green_tripdata_2020-01.csv"), "w") as fh:
+        fh.write("lpep_pickup_datetime,PULocationID,total_amount\n2020-01-03 10:00:00,7,12.5\n")
+    with open(os.path.join(root, "2020", "01", "yellow_tripdata_2020-01.csv"), "w") as fh:
+        fh.write("VendorID,tpep_pickup_datetime,total_amount,PULocationID\n2,2020-01-04 11:00:00,30.0,9\n")
+    got = type_trips(scan_month_range(spark, root, "2020-01", "2020-01", kinds=TRIP_KINDS))
+    rows = {r.trip_kind: r for r in got.collect()}
+    assert (rows["green"].PULocationID, rows["green"].total_amount, rows["green"].date) == (7, 12.5, dt.date(2020, 1, 3))
+    assert (rows["yellow"].PULocationID, rows["yellow"].total_amount, rows["yellow"].date) == (9, 30.0, dt.date(1970, 1, 1))
+    assert rows["yellow"].VendorID == "2" and rows["green"].VendorID is None
+    assert (rows["yellow"].year, rows["yellow"].month) == (2020, 1)
+
+
 def test_scan_trips_csv_types_and_yellow_columns(spark, tmp_dir):
     path = os.path.join(tmp_dir, "trips.csv")
     with open(path, "w") as fh:
