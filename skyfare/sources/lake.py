@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyfare.operators.sizing import broadcast_if_small, checked_count
+from skyfare.operators.sizing import checked_count
 
 
 def use_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -111,9 +111,11 @@ def upsert_table(spark: SparkSession, base_path: str, changes: DataFrame, key: I
 def delete_rows(base: DataFrame, keys: DataFrame, key: Iterable[str]) -> DataFrame:
     """Rows of ``base`` whose key is not in ``keys`` (left anti join)."""
     key = list(key)
+    # the key rows bound their distinct keys, so the check scans them instead of
+    # computing the distinct twice (once to count, once to join)
+    small = checked_count(keys.select(*key)) is not None
     k = keys.select(*key).distinct()
-    small, _ = broadcast_if_small(k)
-    return base.join(small, key, "left_anti")
+    return base.join(F.broadcast(k) if small else k, key, "left_anti")
 
 
 def delete_by_key(spark: SparkSession, base_path: str, keys: DataFrame, key: Iterable[str],
