@@ -92,6 +92,28 @@ def nearest_stations(points: DataFrame, stations: DataFrame, date_col: str = "da
                          F.col(lon_col).alias("_plon"))
                  .where(F.col("_d").isNotNull() & F.col("_plat").isNotNull() & F.col("_plon").isNotNull())
                  .distinct())
+    return _rank_candidates(pts, stations, date_col, lat_col, lon_col, station_col, st_lat, st_lon,
+                            stations_small)
+
+
+def calendar_points(points: DataFrame, first_day, last_day, lat_col: str = "PU_lat",
+                    lon_col: str = "PU_lon") -> DataFrame:
+    """(_d, _plat, _plon) for every distinct point and every day first_day..last_day.
+
+    The days are generated per point row (``sequence`` + ``explode``), so the
+    output is points x days, bounded by the caller's check; no join.
+    """
+    days = F.explode(F.sequence(F.lit(first_day), F.lit(last_day))).alias("_d")
+    return (points.select(F.col(lat_col).alias("_plat"), F.col(lon_col).alias("_plon"))
+                  .where(F.col("_plat").isNotNull() & F.col("_plon").isNotNull())
+                  .distinct()
+                  .select(days, "_plat", "_plon"))
+
+
+def _rank_candidates(pts: DataFrame, stations: DataFrame, date_col: str, lat_col: str, lon_col: str,
+                     station_col: str, st_lat: str, st_lon: str,
+                     stations_small: bool | None) -> DataFrame:
+    """(_d, _plat, _plon) points -> the nearest station row of the same date, per point."""
     st_cols = [c for c in stations.columns if c != date_col]
     st = (stations.select(F.col(date_col).alias("_d"), *st_cols)
                   .where(F.col(st_lat).isNotNull() & F.col(st_lon).isNotNull()))
@@ -109,7 +131,8 @@ def nearest_stations(points: DataFrame, stations: DataFrame, date_col: str = "da
 def nearest_station_join(trips: DataFrame, stations: DataFrame, date_col: str = "date",
                          lat_col: str = "PU_lat", lon_col: str = "PU_lon",
                          station_col: str = "station", st_lat: str = "lat", st_lon: str = "lon",
-                         max_points: int | None = None, station_rows: int | None = -1) -> DataFrame:
+                         max_points: int | None = None, station_rows: int | None = -1,
+                         points: DataFrame | None = None) -> DataFrame:
     """Every trip with the readings of the nearest station on its pickup date.
 
     The nearest station depends only on (date, pickup point), so it is solved
@@ -127,14 +150,32 @@ def nearest_station_join(trips: DataFrame, stations: DataFrame, date_col: str =
 
     ``station_rows``: the caller's ``checked_count`` of ``stations`` (None: too
     large to broadcast); the default -1 checks here.
+
+    ``points``: the table the trips' pickup coordinates come from (columns
+    ``lat_col``, ``lon_col``; e.g. the zone points), with ``max_points`` rows
+    at most.  Then the candidate points need no pass over the trips: every
+    distinct point gets a calendar of the station table's date range, which
+    joins the stations on date.  Used when (days x max_points) fits the budget;
+    the trips are then read once, by the final join.
     """
     n_station_rows = checked_count(stations) if station_rows == -1 else station_rows
+    small = n_station_rows is not None
     best = nearest_stations(trips, stations, date_col, lat_col, lon_col, station_col, st_lat, st_lon,
-                            stations_small=n_station_rows is not None)
+                            stations_small=small)
     keys = [date_col, lat_col, lon_col]
     right_cols = [c for c in best.columns if c not in keys]
     left = trips.drop(*[c for c in right_cols if c in trips.columns])
     budget_rows = max_broadcast_rows(best)
+    if points is not None and max_points is not None and small:
+        first, last = stations.agg(F.min(date_col), F.max(date_col)).first()
+        if first is None:
+            return left.join(F.broadcast(best.where(F.lit(False))), keys, "left")   # no readings
+        n_days = (last - first).days + 1
+        if n_days * max_points <= budget_rows:
+            pts = calendar_points(points, first, last, lat_col, lon_col)
+            by_day = _rank_candidates(pts, stations, date_col, lat_col, lon_col, station_col,
+                                      st_lat, st_lon, small)
+            return left.join(F.broadcast(by_day), keys, "left")
     if max_points is not None and n_station_rows is not None:
         # distinct station dates <= station rows; count them only if the cheap bound fails
         n_dates = n_station_rows

@@ -77,8 +77,9 @@ def enrich_trips(trips: DataFrame, side: StaticSide) -> DataFrame:
     small = side.n_points is not None
     located = join_dropoff_zone(join_pickup_zone(trips, side.points, small), side.points, small)
     # pickup points come from the zone table, so their number is bounded by it
+    pickup_points = side.points.select(F.col("lat").alias("PU_lat"), F.col("lon").alias("PU_lon"))
     return nearest_station_join(located, side.stations, max_points=side.n_points,
-                                station_rows=side.n_stations)
+                                station_rows=side.n_stations, points=pickup_points)
 
 
 def merge_trips_weather(trips: DataFrame, zones: DataFrame, zone_geocodes: DataFrame,

@@ -90,3 +90,26 @@ def test_nearest_with_point_bound_equals_checkpoint_path(spark):
     b = enrich.nearest_station_join(trips, stations).orderBy("trip_id").collect()
     assert [tuple(r) for r in a] == [tuple(r) for r in b]
     assert pd.Series([r.station for r in a]).notna().all()
+
+
+def test_nearest_calendar_path_matches_brute_force(spark):
+    # trips take their pickup point from a small point table; days with no readings,
+    # a gap inside the station date range and a day outside it all keep null readings
+    rnd = random.Random(11)
+    pts = [(round(40.5 + rnd.random() * 0.6, 6), round(-74.3 + rnd.random() * 0.6, 6)) for _ in range(7)]
+    pts.append(pts[0])                       # a repeated point must not repeat trips
+    days = [_d("2020-01-01"), _d("2020-01-02"), _d("2020-01-04")]
+    stations = [(f"S{j}", day, 40.5 + rnd.random() * 0.6, -74.3 + rnd.random() * 0.6, float(j))
+                for j, day in itertools.product(range(5), days)]
+    trip_days = days + [_d("2020-01-03"), _d("2019-12-31")]
+    trips = [(i, rnd.choice(trip_days), *rnd.choice(pts)) for i in range(300)]
+    points = spark.createDataFrame(pts, "PU_lat DOUBLE, PU_lon DOUBLE")
+    out = enrich.nearest_station_join(spark.createDataFrame(trips, TRIP_SCHEMA),
+                                      spark.createDataFrame(stations, STATION_SCHEMA),
+                                      max_points=len(pts), points=points)
+    got = {r.trip_id: r.station for r in out.collect()}
+    assert len(got) == out.count() == 300
+    assert got == _brute_force(trips, stations)
+    # the trips are read once (by the final join); the points come from the calendar
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD [trip_id") == 1 and "Generate explode" in plan
