@@ -8,6 +8,8 @@ nearest_station_join  per trip, the station of the same date nearest to the pick
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -128,6 +130,41 @@ def _rank_candidates(pts: DataFrame, stations: DataFrame, date_col: str, lat_col
     return best
 
 
+def nearest_by_day(points: DataFrame, stations: DataFrame, max_points: int, date_col: str = "date",
+                   lat_col: str = "PU_lat", lon_col: str = "PU_lon", station_col: str = "station",
+                   st_lat: str = "lat", st_lon: str = "lon") -> DataFrame | None:
+    """The nearest station row for every distinct point of ``points`` on every station date.
+
+    ``stations`` must have passed the broadcast size check, and ``points`` (columns
+    ``lat_col``, ``lon_col``) has at most ``max_points`` rows.  Each distinct point
+    gets a calendar of the station table's date range (``calendar_points``); the
+    calendar meets the broadcast stations in an equi-join on date.  Returns None
+    when (days x max_points) exceeds the broadcast budget; the result is then
+    not provably small enough to broadcast to the trips.
+    """
+    first, last = stations.agg(F.min(date_col), F.max(date_col)).first()
+    if first is None:
+        first = last = _dt.date(1970, 1, 1)        # no readings: an empty table
+        stations = stations.where(F.lit(False))
+    pts = calendar_points(points, first, last, lat_col, lon_col)
+    by_day = _rank_candidates(pts, stations, date_col, lat_col, lon_col, station_col,
+                              st_lat, st_lon, True)
+    n_days = (last - first).days + 1
+    return by_day if n_days * max_points <= max_broadcast_rows(by_day) else None
+
+
+def attach_nearest(trips: DataFrame, nearest: DataFrame, date_col: str = "date",
+                   lat_col: str = "PU_lat", lon_col: str = "PU_lon") -> DataFrame:
+    """Trips left-joined with a size-checked nearest table on (date, lat, lon), broadcast.
+
+    On a name clash the station's column wins.
+    """
+    keys = [date_col, lat_col, lon_col]
+    right_cols = [c for c in nearest.columns if c not in keys]
+    left = trips.drop(*[c for c in right_cols if c in trips.columns])
+    return left.join(F.broadcast(nearest), keys, "left")
+
+
 def nearest_station_join(trips: DataFrame, stations: DataFrame, date_col: str = "date",
                          lat_col: str = "PU_lat", lon_col: str = "PU_lon",
                          station_col: str = "station", st_lat: str = "lat", st_lon: str = "lon",
@@ -167,15 +204,10 @@ def nearest_station_join(trips: DataFrame, stations: DataFrame, date_col: str =
     left = trips.drop(*[c for c in right_cols if c in trips.columns])
     budget_rows = max_broadcast_rows(best)
     if points is not None and max_points is not None and small:
-        first, last = stations.agg(F.min(date_col), F.max(date_col)).first()
-        if first is None:
-            return left.join(F.broadcast(best.where(F.lit(False))), keys, "left")   # no readings
-        n_days = (last - first).days + 1
-        if n_days * max_points <= budget_rows:
-            pts = calendar_points(points, first, last, lat_col, lon_col)
-            by_day = _rank_candidates(pts, stations, date_col, lat_col, lon_col, station_col,
-                                      st_lat, st_lon, small)
-            return left.join(F.broadcast(by_day), keys, "left")
+        by_day = nearest_by_day(points, stations, max_points, date_col, lat_col, lon_col,
+                                station_col, st_lat, st_lon)
+        if by_day is not None:
+            return attach_nearest(trips, by_day, date_col, lat_col, lon_col)
     if max_points is not None and n_station_rows is not None:
         # distinct station dates <= station rows; count them only if the cheap bound fails
         n_dates = n_station_rows

@@ -12,8 +12,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyfare.operators.enrich import (geocode_lookup, join_dropoff_zone, join_pickup_zone,
-                                      nearest_station_join, zone_points)
+from skyfare.operators.enrich import (attach_nearest, geocode_lookup, join_dropoff_zone,
+                                      join_pickup_zone, nearest_by_day, nearest_station_join,
+                                      zone_points)
 from skyfare.operators.sizing import checked_count, checked_counts
 from skyfare.session import materialize
 from skyfare.sources import proxies
@@ -50,17 +51,20 @@ class StaticSide:
     n_points: int | None       # checked count (None: too large to broadcast)
     stations: DataFrame        # located station rows
     n_stations: int | None     # checked count
+    nearest: DataFrame | None  # nearest station per (date, pickup point), when provably small
 
 
 def prepare_static(zones: DataFrame, zone_geocodes: DataFrame, station_rows: DataFrame,
                    station_geocodes: DataFrame) -> StaticSide:
-    """Zone points and located stations, written to the shared checkpoint folder.
-
-    Both are read by several branches of the merge (pickup join, dropoff join,
-    the distinct pickup points, the station candidates).  Written once, they
-    are derived once, and their size checks read the written files.  The
-    geocode checks run first, as concurrent jobs; so do the two writes and the
-    two counts.
+    """Zone points, located stations and the nearest table, written to the shared folder.
+
+    Points and stations are read by several branches (pickup join, dropoff
+    join, station candidates).  Written once, they are derived once, and their
+    size checks read the written files.  The geocode checks run first, as
+    concurrent jobs; so do the two writes and the two counts.  When both pass,
+    the nearest station per (date, zone point) depends on nothing else, so it
+    is ranked here once (``nearest_by_day``) and written too; trips, whether a
+    batch or a stream's micro-batches, then only join it.
     """
     n_zone_geo, n_station_geo = checked_counts([zone_geocodes, station_geocodes])
     pts = zone_points(zones, zone_geocodes, geocodes_small=n_zone_geo is not None)
@@ -69,17 +73,30 @@ def prepare_static(zones: DataFrame, zone_geocodes: DataFrame, station_rows: Dat
     with ThreadPoolExecutor(max_workers=2) as pool:
         points, stations = pool.map(materialize, [pts, st])
     n_points, n_stations = checked_counts([points, stations])
-    return StaticSide(points, n_points, stations, n_stations)
+    nearest = None
+    if n_points is not None and n_stations is not None:
+        by_day = nearest_by_day(_pickup_points(points), stations, n_points)
+        nearest = materialize(by_day) if by_day is not None else None
+    return StaticSide(points, n_points, stations, n_stations, nearest)
+
+
+def _pickup_points(points: DataFrame) -> DataFrame:
+    return points.select(F.col("lat").alias("PU_lat"), F.col("lon").alias("PU_lon"))
 
 
 def enrich_trips(trips: DataFrame, side: StaticSide) -> DataFrame:
-    """Typed trips -> located (inner zone joins) -> nearest station of the pickup date."""
+    """Typed trips -> located (inner zone joins) -> nearest station of the pickup date.
+
+    With the static side's nearest table this is two zone joins and one
+    broadcast join: the trips are read once and nothing is ranked per batch.
+    """
     small = side.n_points is not None
     located = join_dropoff_zone(join_pickup_zone(trips, side.points, small), side.points, small)
+    if side.nearest is not None:
+        return attach_nearest(located, side.nearest)
     # pickup points come from the zone table, so their number is bounded by it
-    pickup_points = side.points.select(F.col("lat").alias("PU_lat"), F.col("lon").alias("PU_lon"))
     return nearest_station_join(located, side.stations, max_points=side.n_points,
-                                station_rows=side.n_stations, points=pickup_points)
+                                station_rows=side.n_stations, points=_pickup_points(side.points))
 
 
 def merge_trips_weather(trips: DataFrame, zones: DataFrame, zone_geocodes: DataFrame,
