@@ -55,16 +55,17 @@ class StaticSide:
 
 
 def prepare_static(zones: DataFrame, zone_geocodes: DataFrame, station_rows: DataFrame,
-                   station_geocodes: DataFrame) -> StaticSide:
+                   station_geocodes: DataFrame, write_nearest: bool = False) -> StaticSide:
     """Zone points, located stations and the nearest table, written to the shared folder.
 
     Points and stations are read by several branches (pickup join, dropoff
     join, station candidates).  Written once, they are derived once, and their
     size checks read the written files.  The geocode checks run first, as
     concurrent jobs; so do the two writes and the two counts.  When both pass,
-    the nearest station per (date, zone point) depends on nothing else, so it
-    is ranked here once (``nearest_by_day``) and written too; trips, whether a
-    batch or a stream's micro-batches, then only join it.
+    the nearest station per (date, zone point) depends on nothing else
+    (``nearest_by_day``).  ``write_nearest``: write that table too, for callers
+    that join it many times (a stream's micro-batches rank nothing); a single
+    batch joins its plan directly, which saves a job.
     """
     n_zone_geo, n_station_geo = checked_counts([zone_geocodes, station_geocodes])
     pts = zone_points(zones, zone_geocodes, geocodes_small=n_zone_geo is not None)
@@ -76,7 +77,7 @@ def prepare_static(zones: DataFrame, zone_geocodes: DataFrame, station_rows: Dat
     nearest = None
     if n_points is not None and n_stations is not None:
         by_day = nearest_by_day(_pickup_points(points), stations, n_points)
-        nearest = materialize(by_day) if by_day is not None else None
+        nearest = materialize(by_day) if by_day is not None and write_nearest else by_day
     return StaticSide(points, n_points, stations, n_stations, nearest)
 
 

@@ -397,7 +397,7 @@ def stream_enrich(spark, sf):
     out = scratch_path(spark, "trips-enriched")
     side = merge.prepare_static(proxies.zones(spark, sf), proxies.zone_geocodes(spark, sf),
                                 merge.proxy_station_rows(spark, sf, via_files=False),
-                                proxies.station_geocodes(spark))
+                                proxies.station_geocodes(spark), write_nearest=True)
     q = run(spark, landing, schema, side, out, scratch_path(spark, "stream-ckpt"),
             max_files_per_trigger=2)
     q.awaitTermination()

@@ -1,9 +1,10 @@
 """Trips arriving as files -> located and matched with the nearest station, incrementally.
 
-The static side (zone points, located stations) is prepared once by the caller
-(``plans.merge.prepare_static``): both are small derived tables, written to the
-shared checkpoint folder and size-checked there, so a micro-batch neither
-re-derives them nor re-counts them.  Each micro-batch runs the batch merge
+The static side (zone points, located stations, the nearest station per date and
+zone point) is prepared once by the caller (``plans.merge.prepare_static`` with
+``write_nearest=True``): small derived tables, written to the shared checkpoint
+folder and size-checked there, so a micro-batch neither re-derives, re-counts
+nor re-ranks them.  Each micro-batch runs the batch merge
 (zone joins, nearest-station join) through ``foreachBatch``.  Output goes to
 ``out_path/batch=<id>`` with overwrite, so a micro-batch replayed after a
 failure rewrites its own folder instead of duplicating rows.  The stream's

@@ -14,7 +14,7 @@ def test_stream_equals_batch_merge(spark, tmp_dir):
     trips.repartition(3, "trip_id").write.parquet(landing)
     side = merge.prepare_static(proxies.zones(spark, SF_SMALL), proxies.zone_geocodes(spark, SF_SMALL),
                                 merge.proxy_station_rows(spark, SF_SMALL, via_files=False),
-                                proxies.station_geocodes(spark))
+                                proxies.station_geocodes(spark), write_nearest=True)
     out = os.path.join(tmp_dir, "out")
     q = stream_enrich(spark, landing, spark.read.parquet(landing).schema, side, out,
                       os.path.join(tmp_dir, "ckpt"), max_files_per_trigger=1)
