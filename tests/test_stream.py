@@ -27,3 +27,29 @@ def test_stream_equals_batch_merge(spark, tmp_dir):
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
     # some trips have no station that day and keep null readings
     assert streamed.where(F.col("station").isNull()).count() > 0
+
+
+def test_merge_without_any_broadcast_equals_default(spark):
+    # a 1-byte budget fails every size check: shuffled zone joins, no static nearest
+    # table, a written nearest table and the salted join
+    from skyfare.operators.sizing import BROADCAST_MAX_BYTES_CONF
+
+    def run():
+        side = merge.prepare_static(proxies.zones(spark, SF_SMALL), proxies.zone_geocodes(spark, SF_SMALL),
+                                    merge.proxy_station_rows(spark, SF_SMALL, via_files=False),
+                                    proxies.station_geocodes(spark))
+        out = merge.enrich_trips(merge.proxy_trips(spark, SF_SMALL), side)
+        return side, out.select("trip_id", "date", "station", "distance_km", "tempAvg")
+
+    side, default = run()
+    assert side.nearest is not None
+    spark.conf.set(BROADCAST_MAX_BYTES_CONF, "1")
+    try:
+        side, shuffled = run()
+        assert side.n_points is None and side.nearest is None
+        rows = sorted(map(tuple, shuffled.collect()), key=str)
+        plan = shuffled._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(BROADCAST_MAX_BYTES_CONF)
+    assert rows == sorted(map(tuple, default.collect()), key=str)
+    assert "_salt" in plan
