@@ -1,6 +1,8 @@
 import datetime as dt
 import os
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from skyfare.sources import lake
@@ -120,3 +122,20 @@ def test_scan_trips_csv_types_and_yellow_columns(spark, tmp_dir):
     with open(ypath, "w") as fh:
         fh.write("tpep_pickup_datetime,PULocationID\n2020-01-01 10:00:00,7\n")
     assert scan_trips(spark, ypath).first().date == dt.date(1970, 1, 1)
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.dictionaries(st.one_of(st.none(), st.integers(0, 30)), st.integers(0, 5), max_size=15),
+       st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 30)), st.integers(0, 5)), max_size=20))
+def test_upsert_properties(spark, base_rows, change_rows):
+    # unique base keys (a null key included at times); changes repeat keys and tie on time
+    base = spark.createDataFrame([(k, _ts(t), float(t)) for k, t in base_rows.items()], EV)
+    changes = spark.createDataFrame([(k, _ts(t), 100.0 + i) for i, (k, t) in enumerate(change_rows)], EV)
+    fast = lake.upsert_rows(base, changes, ["event_id"], "ts", changes_small=True)
+    full = lake.upsert_rows(base, changes, ["event_id"], "ts", changes_small=False)
+    rows = sorted(map(tuple, fast.collect()), key=str)
+    assert rows == sorted(map(tuple, full.collect()), key=str)
+    keys = [r[0] for r in rows]
+    assert len(keys) == len(set(keys)) and set(keys) == set(base_rows) | {k for k, _ in change_rows}
+    again = lake.upsert_rows(fast, changes, ["event_id"], "ts", changes_small=True)
+    assert sorted(map(tuple, again.collect()), key=str) == rows
