@@ -1,3 +1,6 @@
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from skyfare.sources import web
 
 HTML = """<html><body>
@@ -33,3 +36,19 @@ def test_html_rows(spark):
     rows = web.html_rows(pages).orderBy("row_pos").collect()
     assert [(r.date, r.tempMax, r.tempMin, r.tempAvg) for r in rows] == [
         ("2020-01-01", "40", "30", None), ("2020-01-02", "M", None, None)]
+
+
+def _metadata_rule(link):
+    # file name after the last '/'; month and year end 0 and 3 characters before the first '.csv'
+    i = link.find(".csv")
+    ok = i >= 7
+    return (link.rsplit("/", 1)[-1], link[i - 2:i] if ok else None, link[i - 7:i - 3] if ok else None)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["/", ".csv", "2020", "-", "01", "x", "trip+data", "_", "."]),
+                         max_size=10).map("".join), min_size=1, max_size=20))
+def test_link_metadata_follows_the_rule(spark, links):
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(links)], "i INT, link STRING")
+    got = [(r.file_name, r.month, r.year) for r in web.link_metadata(df).orderBy("i").collect()]
+    assert got == [_metadata_rule(s) for s in links]
