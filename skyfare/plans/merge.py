@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from skyfare.operators.enrich import (attach_nearest, geocode_lookup, join_dropoff_zone,
                                       join_pickup_zone, nearest_by_day, nearest_station_join,
                                       zone_points)
-from skyfare.operators.sizing import checked_count, checked_counts
+from skyfare.operators.sizing import checked_counts
 from skyfare.session import materialize
 from skyfare.sources import proxies
 from skyfare.sources.trips import type_trips
@@ -25,10 +25,11 @@ from skyfare.sources.weather import encode_weather_docs, parse_weather_docs, typ
 def locate_trips_counted(trips: DataFrame, zones: DataFrame,
                          zone_geocodes: DataFrame) -> tuple[DataFrame, int | None]:
     """(located trips, number of zone points if it passed the broadcast check)."""
-    points = zone_points(zones, zone_geocodes)
     # points are 1:1 with zones (left join on de-duplicated geocodes), so counting the
-    # zone table proves their size; one check serves both joins
-    n_points = checked_count(zones.select("LocationID"))
+    # zone table proves their size; one check serves both joins.  The two checks run
+    # as concurrent jobs.
+    n_geo, n_points = checked_counts([zone_geocodes, zones.select("LocationID")])
+    points = zone_points(zones, zone_geocodes, geocodes_small=n_geo is not None)
     small = n_points is not None
     located = join_dropoff_zone(join_pickup_zone(trips, points, small), points, small)
     return located, n_points
