@@ -12,6 +12,7 @@ import os
 import tempfile
 import threading
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -64,6 +65,8 @@ def scratch_root(spark: SparkSession) -> str:
     with _SCRATCH_LOCK:          # materialize() may run from several driver threads
         current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
         if not current:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             current = tempfile.mkdtemp(prefix="skyfare-ckpt-")
         # register it for Dataset.checkpoint() if the context has none yet
         if not sc.getCheckpointDir():
@@ -88,5 +91,42 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+def write_once(df, name: str):
+    """Write ``df`` as Parquet under the shared scratch folder and read it back.
+
+    The rows behind it are computed once, later passes prune columns and push
+    filters into the files, and a lost executor costs a re-read.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_SHIP_LOCK = threading.Lock()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, once per context.
+
+    Functions given to mapInPandas and its like are pickled by module name, so
+    workers need the package whatever their working directory is.
+    """
+    sc = spark.sparkContext
+    with _SHIP_LOCK:
+        if getattr(sc, "_skyfare_shipped", False):
+            return
+        package = os.path.dirname(os.path.abspath(__file__))
+        archive = os.path.join(tempfile.mkdtemp(prefix="skyfare-pkg-"), "skyfare_package.zip")
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+            for folder, _, files in sorted(os.walk(package)):
+                for f in sorted(files):
+                    if f.endswith(".py"):
+                        full = os.path.join(folder, f)
+                        z.write(full, os.path.join("skyfare", os.path.relpath(full, package)))
+        sc.addPyFile(archive)
+        sc._skyfare_shipped = True
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
