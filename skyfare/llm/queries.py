@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from skyfare.llm.exact_dedup import exact_dedup
 from skyfare.llm.token_counts import token_counts
-from skyfare.session import table_path
+from skyfare.llm.token_files import read_token_files, write_token_files
+from skyfare.session import scratch_path, table_path
 
 #: Sequence length in tokens of the training runs that the corpus is made for.
 CONTEXT = 512
@@ -29,8 +30,17 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > CONTEXT)
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "token-files")
+    manifest = write_token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+                                 folder, end_id=2)
+    return read_token_files(spark, folder, manifest).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op4_token_counts": op4_token_counts,
+        "op10_token_files": op10_token_files,
     }
