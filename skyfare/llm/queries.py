@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfare.llm.exact_dedup import exact_dedup
+from skyfare.llm.simhash import simhash_components
 from skyfare.llm.token_counts import token_counts
 from skyfare.llm.token_files import read_token_files, write_token_files
 from skyfare.session import scratch_path, table_path
@@ -25,6 +26,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_components(_table(spark, sf_dir, "documents"), shingle=3, reach=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > CONTEXT)
@@ -41,6 +47,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op3_simhash": op3_simhash,
         "op4_token_counts": op4_token_counts,
         "op10_token_files": op10_token_files,
     }
