@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfare.llm.exact_dedup import exact_dedup
+from skyfare.llm.line_dedup import line_dedup
 from skyfare.llm.simhash import simhash_components
 from skyfare.llm.token_counts import token_counts
 from skyfare.llm.token_files import read_token_files, write_token_files
@@ -36,6 +37,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > CONTEXT)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup(_table(spark, sf_dir, "documents"), min_chars=20, min_docs=3)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     manifest = write_token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
@@ -49,5 +55,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_exact_dedup": op1_exact_dedup,
         "op3_simhash": op3_simhash,
         "op4_token_counts": op4_token_counts,
+        "op6_line_dedup": op6_line_dedup,
         "op10_token_files": op10_token_files,
     }
