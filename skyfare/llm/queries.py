@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyfare.llm import lang_id
 from skyfare.llm.exact_dedup import exact_dedup
 from skyfare.llm.line_dedup import line_dedup
 from skyfare.llm.simhash import simhash_components
@@ -42,6 +43,18 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def held_out(id_col: str = "doc_id"):
+    """Documents of the third fold, by the CRC-32 of the id as text; the model never sees them."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 3 == 1
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = lang_id.fit(docs.filter(~held_out()))
+    return (lang_id.predict(docs, model)
+            .select("doc_id", held_out().alias("held_out"), "lang_pred", "score"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     manifest = write_token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
@@ -56,5 +69,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_simhash": op3_simhash,
         "op4_token_counts": op4_token_counts,
         "op6_line_dedup": op6_line_dedup,
+        "op7_language_id": op7_language_id,
         "op10_token_files": op10_token_files,
     }
