@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 from skyfare.llm import lang_id
 from skyfare.llm.exact_dedup import exact_dedup
 from skyfare.llm.line_dedup import line_dedup
+from skyfare.llm.packing import pack
 from skyfare.llm.simhash import simhash_components
 from skyfare.llm.token_counts import token_counts
 from skyfare.llm.token_files import read_token_files, write_token_files
 from skyfare.session import scratch_path, table_path
 
-#: Sequence length in tokens of the training runs that the corpus is made for.
-CONTEXT = 512
+#: Documents of more tokens are marked by op4.
+TOKEN_LIMIT = 512
+#: Longest sequence, tokens of a batch (padding included) and number of bucket lengths for op5.
+SEQUENCE, BATCH_TOKENS, BUCKETS = 2048, 16384, 16
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,7 +38,17 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
-    return counts.withColumn("over_limit", F.col("n_tokens") > CONTEXT)
+    return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Documents packed by their token counts."""
+    counts = token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(counts, SEQUENCE, BATCH_TOKENS, BUCKETS)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(_table(spark, sf_dir, "documents"))
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_exact_dedup": op1_exact_dedup,
         "op3_simhash": op3_simhash,
         "op4_token_counts": op4_token_counts,
+        "op5_packing": op5_packing,
         "op6_line_dedup": op6_line_dedup,
         "op7_language_id": op7_language_id,
         "op10_token_files": op10_token_files,
