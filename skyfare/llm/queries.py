@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from skyfare.llm import lang_id
 from skyfare.llm.exact_dedup import exact_dedup
+from skyfare.llm.license_scan import license_scan
+from skyfare.llm.license_texts import PHRASES, TEMPLATES
 from skyfare.llm.line_dedup import line_dedup
 from skyfare.llm.packing import pack
 from skyfare.llm.simhash import simhash_components
@@ -68,6 +70,19 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out().alias("held_out"), "lang_pred", "score"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan(_table(spark, sf_dir, "documents"), PHRASES, TEMPLATES)
+
+    def joined(labels):
+        return F.array_join(F.sort_array(F.array_distinct(labels)), ",")
+
+    base = F.col("places.label")
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min("places.start").alias("first_word"), F.array_max("places.start").alias("last_word"),
+        joined(base).alias("base_labels"), joined(F.concat(base, F.col("spans.label"))).alias("labels"), "score")
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     manifest = write_token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
@@ -84,5 +99,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_packing": op5_packing,
         "op6_line_dedup": op6_line_dedup,
         "op7_language_id": op7_language_id,
+        "op9_license_scan": op9_license_scan,
         "op10_token_files": op10_token_files,
     }
