@@ -11,7 +11,7 @@ from skyfare.operators.sizing import broadcast_budget
 from skyfare.session import ship_package
 
 #: Arrow batches are cut to about so many bytes of text before Python objects are made of them.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def prepare(df: DataFrame) -> SparkSession:

@@ -14,6 +14,7 @@ from skyfare.llm.license_scan import license_scan
 from skyfare.llm.license_texts import PHRASES, TEMPLATES
 from skyfare.llm.line_dedup import line_dedup
 from skyfare.llm.packing import pack
+from skyfare.llm.sentence_pieces import decode_pieces, encode_pieces
 from skyfare.llm.simhash import simhash_components
 from skyfare.llm.token_counts import token_counts
 from skyfare.llm.token_files import read_token_files, write_token_files
@@ -70,6 +71,14 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out().alias("held_out"), "lang_pred", "score"))
 
 
+def op8_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    both = decode_pieces(encode_pieces(_table(spark, sf_dir, "documents"), model), model)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.crc32(ids).alias("ids_crc32"),
+                       F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan(_table(spark, sf_dir, "documents"), PHRASES, TEMPLATES)
 
@@ -99,6 +108,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_packing": op5_packing,
         "op6_line_dedup": op6_line_dedup,
         "op7_language_id": op7_language_id,
+        "op8_sentence_pieces": op8_sentence_pieces,
         "op9_license_scan": op9_license_scan,
         "op10_token_files": op10_token_files,
     }
