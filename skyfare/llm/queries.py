@@ -13,6 +13,7 @@ from skyfare.llm.exact_dedup import exact_dedup
 from skyfare.llm.license_scan import license_scan
 from skyfare.llm.license_texts import PHRASES, TEMPLATES
 from skyfare.llm.line_dedup import line_dedup
+from skyfare.llm.multi_index import nearest_neighbours
 from skyfare.llm.packing import pack
 from skyfare.llm.sentence_pieces import decode_pieces, encode_pieces
 from skyfare.llm.simhash import simhash_components
@@ -34,6 +35,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op2_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return nearest_neighbours(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(_table(spark, sf_dir, "documents"), shingle=3, reach=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -103,6 +109,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op2_multi_index": op2_multi_index,
         "op3_simhash": op3_simhash,
         "op4_token_counts": op4_token_counts,
         "op5_packing": op5_packing,
