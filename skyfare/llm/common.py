@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfare.operators.sizing import broadcast_budget
-from skyfare.session import ship_package
+from skyfare.session import ship_package, write_once
 
 #: Arrow batches are cut to about so many bytes of text before Python objects are made of them.
 SLICE_BYTES = 2 << 20
@@ -72,6 +72,22 @@ def rows_of_ids(docs: DataFrame, ids: DataFrame, id_col: str, how: str) -> DataF
     return joined_on(docs, ids, [id_col], how)
 
 
+def keep_decided(docs: DataFrame, id_col: str, decide) -> DataFrame:
+    """Rows of ``docs`` that ``decide`` keeps, with all their columns.
+
+    ``decide(rows, key)`` returns (key, kept) for each row.  The key is the id
+    while ids are unique and not null; else rows get keys of their own, ordered
+    by id (null last), and then by place.
+    """
+    seen = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))
+    if seen.filter((F.col("n") > 1) | F.col(id_col).isNull()).isEmpty():
+        return rows_of_ids(docs, decide(docs, id_col).filter("not kept"), id_col, "left_anti")
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"),
+                   F.monotonically_increasing_id().alias("place"))
+    keyed = write_once(docs.withColumn("__row", key), "keyed-rows")
+    return rows_of_ids(keyed, decide(keyed, "__row").filter("not kept"), "__row", "left_anti").drop("__row")
+
+
 #: A class with more than this share of all members is joined by broadcast, so there are at most so many of them.
 HOT_CLASSES = 1000
 

@@ -166,3 +166,17 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = docs.schema["id"].dataType.simpleString()
     return docs.mapInArrow(task, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
+
+
+def keep_clear(docs: DataFrame, model: Model, min_share: float, text_col: str = "text") -> DataFrame:
+    """Rows of ``docs``, with all their columns, that are not ``und`` and whose score is ``min_share`` or more."""
+    spark = prepare(docs)
+    shared = spark.sparkContext.broadcast(model)
+
+    def task(batches):
+        labeller = _labeller(shared)
+        for batch in slices(batches, text_col):
+            langs, score = labeller(texts(batch.column(text_col)))
+            yield batch.filter(pa.array([x != UNKNOWN and s >= min_share for x, s in zip(langs, score, strict=True)]))
+
+    return docs.mapInArrow(task, docs.schema)
