@@ -8,14 +8,14 @@ nearest_station_join  per trip, the station of the same date nearest to the pick
 
 from __future__ import annotations
 
-import datetime as _dt
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyfare.functions.geo import geodesic_km
-from skyfare.operators.sizing import (bounded_count, broadcast_if_small, checked_count,
-                                     max_broadcast_rows, salt_buckets, salted_left_join)
+from skyfare.operators.sizing import broadcast_budget, broadcast_if_small, checked_count, concurrently, row_bytes
+from skyfare.session import write_once
 
 
 def _dedup_geocodes(geocodes: DataFrame, place_col: str = "place",
@@ -75,148 +75,92 @@ def join_dropoff_zone(trips: DataFrame, points: DataFrame, small: bool | None =
     return trips.join(do, trips["DOLocationID"] == do["LocationID"], "inner")
 
 
-def nearest_stations(points: DataFrame, stations: DataFrame, date_col: str = "date",
-                     lat_col: str = "PU_lat", lon_col: str = "PU_lon",
-                     station_col: str = "station", st_lat: str = "lat", st_lon: str = "lon",
-                     stations_small: bool | None = None) -> DataFrame:
-    """For each distinct (date, lat, lon) point: the nearest station row of that date.
-
-    Candidates are pairs of a point and a station reading of the same date (an
-    equi-join on date).  The station-day table is broadcast when a size check
-    allows, so points are never shuffled by date (a date holding a third of all
-    points would otherwise sit in one task); larger station tables fall back to
-    a shuffled join that AQE splits when a date is skewed.  The winner has the
-    smallest distance rounded to 1e-6 km, then the smallest station name;
-    ``min`` over a struct does this as a partially aggregated groupBy, so no
-    group is gathered whole.
-    """
-    pts = (points.select(F.col(date_col).alias("_d"), F.col(lat_col).alias("_plat"),
-                         F.col(lon_col).alias("_plon"))
-                 .where(F.col("_d").isNotNull() & F.col("_plat").isNotNull() & F.col("_plon").isNotNull())
-                 .distinct())
-    return _rank_candidates(pts, stations, date_col, lat_col, lon_col, station_col, st_lat, st_lon,
-                            stations_small)
-
+@dataclass
+class NearestSide:
+    """What the nearest-station join reads besides the trips; ``small`` has a verdict for each table.
 
-def calendar_points(points: DataFrame, first_day, last_day, lat_col: str = "PU_lat",
-                    lon_col: str = "PU_lon") -> DataFrame:
-    """(_d, _plat, _plon) for every distinct point and every day first_day..last_day.
-
-    The days are generated per point row (``sequence`` + ``explode``), so the
-    output is points x days, bounded by the caller's check; no join.
+    order     (lat, lon) of a pickup point -> all stations by (distance, name): station number, distance
+    days      date -> for each station number whether it has readings that day
+    readings  (date, station number) -> the station's name, place and readings
     """
-    days = F.explode(F.sequence(F.lit(first_day), F.lit(last_day))).alias("_d")
-    return (points.select(F.col(lat_col).alias("_plat"), F.col(lon_col).alias("_plon"))
-                  .where(F.col("_plat").isNotNull() & F.col("_plon").isNotNull())
-                  .distinct()
-                  .select(days, "_plat", "_plon"))
-
-
-def _rank_candidates(pts: DataFrame, stations: DataFrame, date_col: str, lat_col: str, lon_col: str,
-                     station_col: str, st_lat: str, st_lon: str,
-                     stations_small: bool | None) -> DataFrame:
-    """(_d, _plat, _plon) points -> the nearest station row of the same date, per point."""
-    st_cols = [c for c in stations.columns if c != date_col]
-    st = (stations.select(F.col(date_col).alias("_d"), *st_cols)
-                  .where(F.col(st_lat).isNotNull() & F.col(st_lon).isNotNull()))
-    st = _maybe_broadcast(st, stations_small)
-    dist = F.round(geodesic_km("_plat", "_plon", st_lat, st_lon), 6)
-    cand = pts.join(st, "_d").withColumn("distance_km", dist)
-    ordered = ["distance_km", station_col] + [c for c in st_cols if c != station_col]
-    best = (cand.groupBy("_d", "_plat", "_plon")
-                .agg(F.min(F.struct(*ordered)).alias("_best"))
-                .select(F.col("_d").alias(date_col), F.col("_plat").alias(lat_col),
-                        F.col("_plon").alias(lon_col), "_best.*"))
-    return best
-
-
-def nearest_by_day(points: DataFrame, stations: DataFrame, max_points: int, date_col: str = "date",
-                   lat_col: str = "PU_lat", lon_col: str = "PU_lon", station_col: str = "station",
-                   st_lat: str = "lat", st_lon: str = "lon") -> DataFrame | None:
-    """The nearest station row for every distinct point of ``points`` on every station date.
-
-    ``stations`` must have passed the broadcast size check, and ``points`` (columns
-    ``lat_col``, ``lon_col``) has at most ``max_points`` rows.  Each distinct point
-    gets a calendar of the station table's date range (``calendar_points``); the
-    calendar meets the broadcast stations in an equi-join on date.  Returns None
-    when (days x max_points) exceeds the broadcast budget; the result is then
-    not provably small enough to broadcast to the trips.
+    order: DataFrame
+    days: DataFrame
+    readings: DataFrame
+    small: dict[str, bool]
+
+
+def nearest_side(points: DataFrame, stations: DataFrame, date_col: str = "date", lat_col: str = "PU_lat",
+                 lon_col: str = "PU_lon", station_col: str = "station", st_lat: str = "lat", st_lon: str = "lon",
+                 n_points: int | None = None) -> NearestSide:
+    """The three tables for ``points`` (lat, lon) and ``stations`` (one row for each station and day).
+
+    A distance depends only on (point, station) and a date only decides which
+    stations report, so nothing here has a row for each date and point: the
+    sizes are points x stations and station-days.  They follow from one pass
+    over the stations and a count of the points (``n_points``, if known).
+    Distances are rounded to 1e-6 km; ties go to the smaller station name.  Of
+    several rows of one station and day the smallest stays.
     """
-    first, last = stations.agg(F.min(date_col), F.max(date_col)).first()
-    if first is None:
-        first = last = _dt.date(1970, 1, 1)        # no readings: an empty table
-        stations = stations.where(F.lit(False))
-    pts = calendar_points(points, first, last, lat_col, lon_col)
-    by_day = _rank_candidates(pts, stations, date_col, lat_col, lon_col, station_col,
-                              st_lat, st_lon, True)
-    n_days = (last - first).days + 1
-    return by_day if n_days * max_points <= max_broadcast_rows(by_day) else None
-
-
-def attach_nearest(trips: DataFrame, nearest: DataFrame, date_col: str = "date",
-                   lat_col: str = "PU_lat", lon_col: str = "PU_lon") -> DataFrame:
-    """Trips left-joined with a size-checked nearest table on (date, lat, lon), broadcast.
-
-    On a name clash the station's column wins.
+    place = F.struct(F.col(station_col).alias("s"), F.col(st_lat).alias("a"), F.col(st_lon).alias("o"))
+    st = stations.where(F.col(st_lat).isNotNull() & F.col(st_lon).isNotNull())
+    every = st.agg(F.array_sort(F.collect_set(place)).alias("every"))
+    points = points.select(lat_col, lon_col).where(F.col(lat_col).isNotNull() & F.col(lon_col).isNotNull())
+    sums = st.agg(F.count_distinct(place).alias("stations"), F.count_distinct(date_col).alias("days"),
+                  F.sum(row_bytes(st)).alias("bytes"))
+    known, n_points = concurrently([sums.first, lambda: points.count() if n_points is None else n_points])
+    n, budget = known["stations"], broadcast_budget(points)
+    per_entry = 32  # bytes of a number and a distance in an array
+    small = {"order": n_points * (64 + per_entry * n) <= budget,
+             "days": known["days"] * (64 + 8 * n) <= budget, "readings": (known["bytes"] or 0) <= budget}
+
+    every = every.scalar()
+    ranked = F.array_sort(F.transform("_every", lambda s, i: F.struct(
+        F.round(geodesic_km(lat_col, lon_col, s["a"], s["o"]), 6).alias("distance_km"), i.alias("number"))))
+    order = points.distinct().withColumn("_every", every).select(lat_col, lon_col, ranked.alias("_order"))
+    days = (st.groupBy(date_col).agg(F.collect_set(place).alias("_have")).withColumn("_every", every)
+            .select(date_col, F.transform("_every", lambda s: F.array_contains("_have", s)).alias("_present")))
+    keys = [date_col, station_col, st_lat, st_lon]
+    rest = [c for c in st.columns if c not in keys]
+    readings = (st.groupBy(*keys).agg(F.min(F.struct(F.lit(0).alias("_"), *rest)).alias("_r"))
+                .select(F.col(date_col).alias("_r_date"),
+                        (F.array_position(every, place) - 1).cast("int").alias("_r_number"),
+                        station_col, st_lat, st_lon, *[F.col(f"_r.{c}").alias(c) for c in rest]))
+    return NearestSide(order, days, readings, small)
+
+
+def attach_nearest(trips: DataFrame, side: NearestSide, date_col: str = "date", lat_col: str = "PU_lat",
+                   lon_col: str = "PU_lon") -> DataFrame:
+    """Every trip with the readings of the first station of its point's order that reports on its date.
+
+    Trips without one keep null readings.  On a name clash the station's column
+    wins.  Tables within the broadcast budget are broadcast, so the trips are
+    read once and not shuffled; larger ones are shuffled joins.
     """
-    keys = [date_col, lat_col, lon_col]
-    right_cols = [c for c in nearest.columns if c not in keys]
-    left = trips.drop(*[c for c in right_cols if c in trips.columns])
-    return left.join(F.broadcast(nearest), keys, "left")
-
-
-def nearest_station_join(trips: DataFrame, stations: DataFrame, date_col: str = "date",
-                         lat_col: str = "PU_lat", lon_col: str = "PU_lon",
-                         station_col: str = "station", st_lat: str = "lat", st_lon: str = "lon",
-                         max_points: int | None = None, station_rows: int | None = -1,
-                         points: DataFrame | None = None) -> DataFrame:
-    """Every trip with the readings of the nearest station on its pickup date.
-
-    The nearest station depends only on (date, pickup point), so it is solved
-    once per distinct point (``nearest_stations``) -- the work does not grow
-    with trips x stations.  That table is written to the shared checkpoint
-    folder, counted, then broadcast if it provably fits; otherwise it is joined
-    with a salted shuffle so a hot (date, zone) cannot land in one task.  Trips
-    without a station that day keep null readings (left join).  On a name
-    clash the station's column wins.
-
-    ``max_points``: a proven bound on the number of distinct pickup points
-    (e.g. the size of the zone table when points come from zones).  Then the
-    table has at most (station dates x max_points) rows; when that fits the
-    budget it is broadcast straight away, without being written first.
-
-    ``station_rows``: the caller's ``checked_count`` of ``stations`` (None: too
-    large to broadcast); the default -1 checks here.
+    found = [c for c in side.readings.columns if not c.startswith("_r_")] + ["distance_km"]
+    left = trips.drop(*[c for c in found if c in trips.columns and c not in (date_col, lat_col, lon_col)])
+
+    def table(name):
+        df = getattr(side, name)
+        return F.broadcast(df) if side.small[name] else df
+
+    left = left.join(table("order"), [lat_col, lon_col], "left").join(table("days"), [date_col], "left")
+    first = F.get(F.filter("_order", lambda o: F.get("_present", o["number"])), F.lit(0))
+    left = left.withColumn("_best", first).drop("_order", "_present")
+    near = left.join(table("readings"), (F.col(date_col) == F.col("_r_date"))
+                     & (F.col("_best.number") == F.col("_r_number")), "left")
+    return near.withColumn("distance_km", F.col("_best.distance_km")).drop("_best", "_r_date", "_r_number")
+
+
+def nearest_station_join(trips: DataFrame, stations: DataFrame, date_col: str = "date", lat_col: str = "PU_lat",
+                         lon_col: str = "PU_lon", station_col: str = "station", st_lat: str = "lat",
+                         st_lon: str = "lon", points: DataFrame | None = None) -> DataFrame:
+    """Every trip with the readings of the nearest station that reports on its pickup date.
 
     ``points``: the table the trips' pickup coordinates come from (columns
-    ``lat_col``, ``lon_col``; e.g. the zone points), with ``max_points`` rows
-    at most.  Then the candidate points need no pass over the trips: every
-    distinct point gets a calendar of the station table's date range, which
-    joins the stations on date.  Used when (days x max_points) fits the budget;
-    the trips are then read once, by the final join.
+    ``lat_col``, ``lon_col``); without it the trips are read once more for
+    their distinct points.  See ``nearest_side`` and ``attach_nearest``.
     """
-    n_station_rows = checked_count(stations) if station_rows == -1 else station_rows
-    small = n_station_rows is not None
-    best = nearest_stations(trips, stations, date_col, lat_col, lon_col, station_col, st_lat, st_lon,
-                            stations_small=small)
-    keys = [date_col, lat_col, lon_col]
-    right_cols = [c for c in best.columns if c not in keys]
-    left = trips.drop(*[c for c in right_cols if c in trips.columns])
-    budget_rows = max_broadcast_rows(best)
-    if points is not None and max_points is not None and small:
-        by_day = nearest_by_day(points, stations, max_points, date_col, lat_col, lon_col,
-                                station_col, st_lat, st_lon)
-        if by_day is not None:
-            return attach_nearest(trips, by_day, date_col, lat_col, lon_col)
-    if max_points is not None and n_station_rows is not None:
-        # distinct station dates <= station rows; count them only if the cheap bound fails
-        n_dates = n_station_rows
-        if n_dates * max_points > budget_rows:
-            n_dates = bounded_count(stations.select(date_col).distinct(), budget_rows)
-        if n_dates is not None and n_dates * max_points <= budget_rows:
-            return left.join(F.broadcast(best), keys, "left")
-    from skyfare.session import materialize
-    best = materialize(best)                 # cut lineage; the count below reads the files
-    if bounded_count(best, budget_rows) is not None:
-        return left.join(F.broadcast(best), keys, "left")
-    return salted_left_join(left, best, keys, salt_buckets(trips))
+    if points is None:
+        points = write_once(trips.select(lat_col, lon_col).distinct(), "pickup-points")
+    side = nearest_side(points, stations, date_col, lat_col, lon_col, station_col, st_lat, st_lon)
+    return attach_nearest(trips, side, date_col, lat_col, lon_col)

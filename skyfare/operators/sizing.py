@@ -1,111 +1,74 @@
 """Size checks that guard every broadcast.
 
-A side is broadcast only after a bounded count proves it small: the count stops
-at ``max_rows + 1`` so it never scans more than needed to decide.  Anything
-larger takes the shuffle path chosen by the caller.
+A side is broadcast only after its rows and real byte lengths have been added
+up, in one partially aggregated pass; each task sends one row of sums.  Anything
+above the budget is joined by a shuffle, where AQE splits skewed partitions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_MAX_BYTES_CONF = "skyfare.broadcast.maxBytes"
 DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-SALT_BUCKETS_CONF = "skyfare.skew.saltBuckets"
-DEFAULT_SALT_BUCKETS = 32
-
-
-def estimated_row_bytes(schema: T.StructType) -> int:
-    """Upper-end estimate of one row's in-memory size (strings counted as 48 bytes)."""
-    total = 16
-    for field in schema.fields:
-        dt = field.dataType
-        if isinstance(dt, (T.StringType, T.BinaryType)):
-            total += 48
-        elif isinstance(dt, T.StructType):
-            total += estimated_row_bytes(dt)
-        elif isinstance(dt, (T.ArrayType, T.MapType)):
-            total += 256
-        else:
-            total += 8
-    return total
+#: What a row, and each column of it, takes besides its own bytes.
+ROW_BYTES, COLUMN_BYTES = 32, 16
 
 
-def broadcast_budget(df: DataFrame) -> int:
-    conf = df.sparkSession.conf.get(BROADCAST_MAX_BYTES_CONF, None)
-    return int(conf) if conf else DEFAULT_BROADCAST_MAX_BYTES
+@dataclass
+class Size:
+    rows: int
+    bytes: int
 
 
-def salt_buckets(df: DataFrame) -> int:
-    conf = df.sparkSession.conf.get(SALT_BUCKETS_CONF, None)
-    return int(conf) if conf else DEFAULT_SALT_BUCKETS
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row of ``df``: real lengths of texts, nested values by their JSON text."""
+    total = F.lit(ROW_BYTES + COLUMN_BYTES * len(df.columns))
+    for field in df.schema.fields:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{field.name}`")))), F.lit(0))
+    return total.cast("long")
 
 
-def bounded_count(df: DataFrame, max_rows: int) -> int | None:
-    """Row count if it is at most ``max_rows``, else None."""
-    n = df.limit(max_rows + 1).count()
-    return n if n <= max_rows else None
+def measure(df: DataFrame) -> Size:
+    """Rows and bytes of ``df``."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df)).alias("b")).first()
+    return Size(row["n"], row["b"] or 0)
 
 
-def max_broadcast_rows(df: DataFrame, max_bytes: int | None = None) -> int:
-    budget = max_bytes if max_bytes is not None else broadcast_budget(df)
-    return max(1, budget // estimated_row_bytes(df.schema))
+def broadcast_budget(df: DataFrame) -> int:
+    conf = df.sparkSession.conf.get(BROADCAST_MAX_BYTES_CONF, None)
+    return int(conf) if conf else DEFAULT_BROADCAST_MAX_BYTES
 
 
 def checked_count(df: DataFrame, max_bytes: int | None = None) -> int | None:
-    """Row count when df provably fits the broadcast budget, else None."""
-    return bounded_count(df, max_broadcast_rows(df, max_bytes))
+    """Row count when ``df`` fits the broadcast budget by its measured bytes, else None."""
+    size = measure(df)
+    return size.rows if size.bytes <= (broadcast_budget(df) if max_bytes is None else max_bytes) else None
 
 
-def bounded_counts(checks: list[tuple[DataFrame, int]]) -> list[int | None]:
-    """``bounded_count`` of several independent (df, max_rows) pairs, as concurrent jobs.
-
-    The counts are small jobs whose time is mostly scheduling latency; running
-    them from separate driver threads lets the scheduler overlap them.
-    """
-    from concurrent.futures import ThreadPoolExecutor
-    if len(checks) <= 1:
-        return [bounded_count(d, n) for d, n in checks]
-    with ThreadPoolExecutor(max_workers=len(checks)) as pool:
-        return list(pool.map(lambda c: bounded_count(*c), checks))
+def concurrently(jobs: list) -> list:
+    """Results of independent callables, each a small Spark job, run from separate driver threads."""
+    if len(jobs) <= 1:
+        return [job() for job in jobs]
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return list(pool.map(lambda job: job(), jobs))
 
 
 def checked_counts(dfs: list[DataFrame], max_bytes: int | None = None) -> list[int | None]:
     """``checked_count`` of several independent inputs, submitted as concurrent jobs."""
-    return bounded_counts([(d, max_broadcast_rows(d, max_bytes)) for d in dfs])
+    return concurrently([lambda d=d: checked_count(d, max_bytes) for d in dfs])
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
-    """(broadcast(df), True) when df provably fits ``max_bytes``; else (df, False)."""
+    """(broadcast(df), True) when df fits ``max_bytes``; else (df, False)."""
     if checked_count(df, max_bytes) is None:
         return df, False
     return F.broadcast(df), True
-
-
-def salted_left_join(big: DataFrame, small: DataFrame, keys: list[str], buckets: int) -> DataFrame:
-    """Left join on ``keys`` that splits every key of ``big`` over ``buckets`` tasks.
-
-    ``small`` has one row per key, so replicating it ``buckets`` times is cheap
-    while a key holding a third of ``big`` still spreads over many tasks.  The
-    salt is a hash of the whole row, so a recomputed partition gets the same salt.
-    """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(buckets)).cast("int")
-    big_s = big.withColumn("_salt", salt)
-    small_s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return big_s.join(small_s, keys + ["_salt"], "left").drop("_salt")
-
-
-def ensure_parallelism(df: DataFrame, key: str | None = None, minimum: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores.
-
-    A large input already splits into many partitions and passes through
-    untouched; a file with one row group would otherwise keep every narrow
-    step after the scan in a single task.  Hash partitioning on ``key`` keeps
-    the placement deterministic when a task is retried.
-    """
-    want = minimum or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want, key) if key else df.repartition(want)

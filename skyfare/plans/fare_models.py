@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyfare.operators import clean, ml
-from skyfare.session import materialize
+from skyfare.session import write_once
 
 FEATURES = ["trip_distance", "passenger_count", "weather"]
 LABEL = "total_amount"
@@ -22,13 +22,13 @@ def model_rows(merged: DataFrame, fill: bool = True) -> DataFrame:
 
 
 def written_rows(merged: DataFrame, fill: bool = True) -> DataFrame:
-    """``model_rows`` written once to the shared checkpoint folder.
+    """``model_rows`` written once to the shared scratch folder.
 
     Fits read their rows several times (gram sums, then scoring; scaler
     statistics, then scaling; every epoch or fold).  Without this each pass
     would re-run the whole merge -- scans, zone joins, nearest station.
     """
-    return materialize(model_rows(merged, fill))
+    return write_once(model_rows(merged, fill), "model-rows")
 
 
 def split(rows: DataFrame):

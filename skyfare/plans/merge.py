@@ -6,38 +6,28 @@ weather rows -> station coordinates -> nearest station of the same date (left)
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyfare.operators.enrich import (attach_nearest, geocode_lookup, join_dropoff_zone,
-                                      join_pickup_zone, nearest_by_day, nearest_station_join,
-                                      zone_points)
-from skyfare.operators.sizing import checked_counts
-from skyfare.session import materialize
+from skyfare.operators.enrich import (NearestSide, attach_nearest, geocode_lookup, join_dropoff_zone,
+                                      join_pickup_zone, nearest_side, zone_points)
+from skyfare.operators.sizing import broadcast_budget, checked_counts, concurrently, measure
+from skyfare.session import write_once
 from skyfare.sources import proxies
 from skyfare.sources.trips import type_trips
 from skyfare.sources.weather import encode_weather_docs, parse_weather_docs, type_station_rows
 
 
-def locate_trips_counted(trips: DataFrame, zones: DataFrame,
-                         zone_geocodes: DataFrame) -> tuple[DataFrame, int | None]:
-    """(located trips, number of zone points if it passed the broadcast check)."""
-    # points are 1:1 with zones (left join on de-duplicated geocodes), so counting the
-    # zone table proves their size; one check serves both joins.  The two checks run
-    # as concurrent jobs.
-    n_geo, n_points = checked_counts([zone_geocodes, zones.select("LocationID")])
-    points = zone_points(zones, zone_geocodes, geocodes_small=n_geo is not None)
-    small = n_points is not None
-    located = join_dropoff_zone(join_pickup_zone(trips, points, small), points, small)
-    return located, n_points
-
-
 def locate_trips(trips: DataFrame, zones: DataFrame, zone_geocodes: DataFrame) -> DataFrame:
     """Typed trips -> trips with pickup and dropoff coordinates (unknown zone ids dropped)."""
-    return locate_trips_counted(trips, zones, zone_geocodes)[0]
+    # points are 1:1 with zones (left join on de-duplicated geocodes) and narrower, so the
+    # measured zone table bounds them; the two checks run as concurrent jobs
+    n_geo, n_points = checked_counts([zone_geocodes, zones])
+    points = zone_points(zones, zone_geocodes, geocodes_small=n_geo is not None)
+    small = n_points is not None
+    return join_dropoff_zone(join_pickup_zone(trips, points, small), points, small)
 
 
 def locate_stations(station_rows: DataFrame, station_geocodes: DataFrame) -> DataFrame:
@@ -49,56 +39,42 @@ def locate_stations(station_rows: DataFrame, station_geocodes: DataFrame) -> Dat
 class StaticSide:
     """The small derived tables every trip is joined with, written once."""
     points: DataFrame          # (LocationID, lat, lon)
-    n_points: int | None       # checked count (None: too large to broadcast)
-    stations: DataFrame        # located station rows
-    n_stations: int | None     # checked count
-    nearest: DataFrame | None  # nearest station per (date, pickup point), when provably small
+    points_small: bool         # verdict of the size check
+    nearest: NearestSide       # stations by distance, reporting days, readings
 
 
 def prepare_static(zones: DataFrame, zone_geocodes: DataFrame, station_rows: DataFrame,
                    station_geocodes: DataFrame, write_nearest: bool = False) -> StaticSide:
-    """Zone points, located stations and the nearest table, written to the shared folder.
-
-    Points and stations are read by several branches (pickup join, dropoff
-    join, station candidates).  Written once, they are derived once, and their
-    size checks read the written files.  The geocode checks run first, as
-    concurrent jobs; so do the two writes and the two counts.  When both pass,
-    the nearest station per (date, zone point) depends on nothing else
-    (``nearest_by_day``).  ``write_nearest``: write that table too, for callers
-    that join it many times (a stream's micro-batches rank nothing); a single
-    batch joins its plan directly, which saves a job.
+    """Zone points, located stations and the tables of the nearest-station join.
+
+    Points and stations are read by several branches, so they are written once
+    to the shared folder, and their sizes are measured there; independent jobs
+    run concurrently.  ``write_nearest``: write the join's three tables too, for
+    callers that join them many times (a stream's micro-batches).
     """
     n_zone_geo, n_station_geo = checked_counts([zone_geocodes, station_geocodes])
     pts = zone_points(zones, zone_geocodes, geocodes_small=n_zone_geo is not None)
     st = geocode_lookup(station_rows, "station", station_geocodes,
                         geocodes_small=n_station_geo is not None)
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        points, stations = pool.map(materialize, [pts, st])
-    n_points, n_stations = checked_counts([points, stations])
-    nearest = None
-    if n_points is not None and n_stations is not None:
-        by_day = nearest_by_day(_pickup_points(points), stations, n_points)
-        nearest = materialize(by_day) if by_day is not None and write_nearest else by_day
-    return StaticSide(points, n_points, stations, n_stations, nearest)
-
-
-def _pickup_points(points: DataFrame) -> DataFrame:
-    return points.select(F.col("lat").alias("PU_lat"), F.col("lon").alias("PU_lon"))
+    points, stations = concurrently([lambda: write_once(pts, "zone-points"), lambda: write_once(st, "stations")])
+    size = measure(points)
+    near = nearest_side(points.select(F.col("lat").alias("PU_lat"), F.col("lon").alias("PU_lon")), stations,
+                        n_points=size.rows)
+    if write_nearest:
+        tables = concurrently([lambda n=n: write_once(getattr(near, n), f"nearest-{n}")
+                               for n in ("order", "days", "readings")])
+        near = NearestSide(*tables, near.small)
+    return StaticSide(points, size.bytes <= broadcast_budget(points), near)
 
 
 def enrich_trips(trips: DataFrame, side: StaticSide) -> DataFrame:
     """Typed trips -> located (inner zone joins) -> nearest station of the pickup date.
 
-    With the static side's nearest table this is two zone joins and one
-    broadcast join: the trips are read once and nothing is ranked per batch.
+    The trips are read once; with every table in the broadcast budget they are not shuffled.
     """
-    small = side.n_points is not None
-    located = join_dropoff_zone(join_pickup_zone(trips, side.points, small), side.points, small)
-    if side.nearest is not None:
-        return attach_nearest(located, side.nearest)
-    # pickup points come from the zone table, so their number is bounded by it
-    return nearest_station_join(located, side.stations, max_points=side.n_points,
-                                station_rows=side.n_stations, points=_pickup_points(side.points))
+    located = join_dropoff_zone(join_pickup_zone(trips, side.points, side.points_small),
+                                side.points, side.points_small)
+    return attach_nearest(located, side.nearest)
 
 
 def merge_trips_weather(trips: DataFrame, zones: DataFrame, zone_geocodes: DataFrame,
@@ -121,10 +97,3 @@ def proxy_station_rows(spark: SparkSession, sf_dir: str, via_files: bool = True)
         return type_station_rows(days)
     docs = encode_weather_docs(days, F.substring("date", 1, 7))
     return type_station_rows(parse_weather_docs(docs, "value"))
-
-
-def proxy_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge_trips_weather(
-        proxy_trips(spark, sf_dir), proxies.zones(spark, sf_dir),
-        proxies.zone_geocodes(spark, sf_dir), proxy_station_rows(spark, sf_dir),
-        proxies.station_geocodes(spark))

@@ -62,7 +62,7 @@ def scratch_root(spark: SparkSession) -> str:
     when it is unset (tests, local runs).
     """
     sc = spark.sparkContext
-    with _SCRATCH_LOCK:          # materialize() may run from several driver threads
+    with _SCRATCH_LOCK:          # write_once() may run from several driver threads
         current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
         if not current:
             if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
@@ -80,17 +80,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df):
-    """Write ``df`` once to the shared checkpoint folder and read it from there.
-
-    For inputs that several passes read (model fits, the static side of a
-    stream): the plan behind them runs once, later passes read the files, and
-    a lost executor costs a re-read, not a re-run of the whole lineage.
-    """
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def write_once(df, name: str):
     """Write ``df`` as Parquet under the shared scratch folder and read it back.
 

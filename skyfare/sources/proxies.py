@@ -14,7 +14,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyfare.operators.sizing import broadcast_if_small, ensure_parallelism
+from skyfare.operators.sizing import broadcast_if_small
 from skyfare.session import table_path
 from skyfare.sources.weather import WEATHER_FIELDS
 
@@ -28,43 +28,13 @@ DOLOCATION_MOD = 27               # ids 25 and 26 have no zone
 MISSING_GEOCODE_SUFFIX = "3"      # zone names ending in 3 have no geocode
 
 
-# the first column of each big table: a well-spread hash key
-SPREAD_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id",
-               "pages": "page_id"}
-
-
-_READERS: dict = {}
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table's DataFrame; file listing and schema are resolved once per session."""
-    cache_key = (id(spark), sf_dir, name)
-    df = _READERS.get(cache_key)
-    if df is None:
-        df = spark.read.parquet(table_path(sf_dir, name))
-        key = SPREAD_KEYS.get(name)
-        if key:
-            df = ensure_parallelism(df, key)
-        _READERS[cache_key] = df
-    return df
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
-_VERDICTS: dict = {}
-
-
-def broadcast_checked(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> DataFrame:
-    """``df`` (a projection of the driver table ``name``) behind a size check.
-
-    The driver tables are fixed files, so a table's verdict is kept for the
-    session instead of being counted again by every query.
-    """
-    cache_key = (id(spark), sf_dir, name, tuple(df.columns))
-    small = _VERDICTS.get(cache_key)
-    if small is None:
-        df, small = broadcast_if_small(df)
-        _VERDICTS[cache_key] = small
-        return df
-    return F.broadcast(df) if small else df
+def broadcast_checked(df: DataFrame) -> DataFrame:
+    """``df`` (a projection of a driver table) behind a size check."""
+    return broadcast_if_small(df)[0]
 
 
 def trip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +42,7 @@ def trip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    c = broadcast_checked(spark, sf_dir, "customer", c)
+    c = broadcast_checked(c)
     t = o.join(c, o.o_custkey == c.c_custkey, "inner")
     day = F.pmod(F.datediff(F.to_date("o_orderdate"), F.lit(ORDER_EPOCH)), F.lit(TRIP_DATE_SPAN_DAYS))
     secs = F.pmod(F.col("o_orderkey") * 7919, F.lit(86400))
@@ -97,7 +67,7 @@ def trip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed zones: LocationID int, Borough, Zone, service_zone."""
     n = read(spark, sf_dir, "nation")
-    r = broadcast_checked(spark, sf_dir, "region", read(spark, sf_dir, "region"))
+    r = broadcast_checked(read(spark, sf_dir, "region"))
     return (n.join(r, n.n_regionkey == r.r_regionkey, "inner")
              .select(F.col("n_nationkey").alias("LocationID"), F.col("r_name").alias("Borough"),
                      F.col("n_name").alias("Zone"), F.lit("Boro Zone").alias("service_zone")))

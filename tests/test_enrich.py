@@ -1,7 +1,6 @@
 import itertools
 import random
 
-import pandas as pd
 import pytest
 
 from skyfare.operators import enrich
@@ -81,35 +80,51 @@ def test_nearest_matches_brute_force(spark, force_shuffle):
     assert got == _brute_force(trips, stations)
 
 
-def test_nearest_with_point_bound_equals_checkpoint_path(spark):
-    stations = spark.createDataFrame([("A", _d("2020-01-01"), 40.1, -74.0, 1.0),
-                                      ("B", _d("2020-01-01"), 40.5, -74.0, 2.0)], STATION_SCHEMA)
-    trips = spark.createDataFrame([(i, _d("2020-01-01"), 40.0 + 0.1 * (i % 5), -74.0) for i in range(20)],
-                                  TRIP_SCHEMA)
-    a = enrich.nearest_station_join(trips, stations, max_points=5).orderBy("trip_id").collect()
-    b = enrich.nearest_station_join(trips, stations).orderBy("trip_id").collect()
-    assert [tuple(r) for r in a] == [tuple(r) for r in b]
-    assert pd.Series([r.station for r in a]).notna().all()
-
-
-def test_nearest_calendar_path_matches_brute_force(spark):
+def _point_trips(n=300):
     # trips take their pickup point from a small point table; days with no readings,
     # a gap inside the station date range and a day outside it all keep null readings
     rnd = random.Random(11)
     pts = [(round(40.5 + rnd.random() * 0.6, 6), round(-74.3 + rnd.random() * 0.6, 6)) for _ in range(7)]
     pts.append(pts[0])                       # a repeated point must not repeat trips
     days = [_d("2020-01-01"), _d("2020-01-02"), _d("2020-01-04")]
-    stations = [(f"S{j}", day, 40.5 + rnd.random() * 0.6, -74.3 + rnd.random() * 0.6, float(j))
-                for j, day in itertools.product(range(5), days)]
+    stations = [(f"S{j}", day, 40.5 + 0.1 * j, -74.3 + 0.1 * j, float(j))
+                for j, day in itertools.product(range(5), days) if (j, day.day) != (2, 2)]
     trip_days = days + [_d("2020-01-03"), _d("2019-12-31")]
-    trips = [(i, rnd.choice(trip_days), *rnd.choice(pts)) for i in range(300)]
-    points = spark.createDataFrame(pts, "PU_lat DOUBLE, PU_lon DOUBLE")
-    out = enrich.nearest_station_join(spark.createDataFrame(trips, TRIP_SCHEMA),
-                                      spark.createDataFrame(stations, STATION_SCHEMA),
-                                      max_points=len(pts), points=points)
+    return pts, stations, [(i, rnd.choice(trip_days), *rnd.choice(pts)) for i in range(n)]
+
+
+def test_nearest_with_a_point_table(spark):
+    pts, stations, trips = _point_trips()
+    st = spark.createDataFrame(stations, STATION_SCHEMA)
+    tr = spark.createDataFrame(trips, TRIP_SCHEMA)
+    out = enrich.nearest_station_join(tr, st, points=spark.createDataFrame(pts, "PU_lat DOUBLE, PU_lon DOUBLE"))
     got = {r.trip_id: r.station for r in out.collect()}
     assert len(got) == out.count() == 300
     assert got == _brute_force(trips, stations)
-    # the trips are read once (by the final join); the points come from the calendar
-    plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("LogicalRDD [trip_id") == 1 and "Generate explode" in plan
+    own = enrich.nearest_station_join(tr, st)           # the points read from the trips give the same
+    assert sorted(map(tuple, own.select(out.columns).collect()), key=str) == sorted(map(tuple, out.collect()), key=str)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD [trip_id") == 1
+
+
+def test_nearest_at_the_full_date_range_does_not_shuffle_trips(spark):
+    # 265 zones x 1,673 days: neither the tables nor the plan grow with their product
+    points = spark.range(265).selectExpr("40.5 + id * 0.001 AS PU_lat", "-74.2 + id * 0.001 AS PU_lon")
+    stations = (spark.range(1673 * 20).selectExpr(
+        "concat('S', id % 20) AS station", "date_add(DATE '2017-01-01', CAST(id DIV 20 AS INT)) AS date",
+        "40.5 + (id % 20) * 0.0213 + 0.00037 AS lat", "-74.2 + (id % 20) * 0.0191 AS lon", "CAST(id AS DOUBLE) AS tempAvg")
+        .where("xxhash64(station, date) % 3 != 0"))
+    trips = spark.range(5000, numPartitions=7).selectExpr(
+        "id AS trip_id", "date_add(DATE '2017-01-01', CAST(id * 7919 % 1673 AS INT)) AS date",
+        "40.5 + (id % 265) * 0.001 AS PU_lat", "-74.2 + (id % 265) * 0.001 AS PU_lon")
+    side = enrich.nearest_side(points, stations)
+    assert side.small == {"order": True, "days": True, "readings": True}
+    assert side.order.count() == 265 and side.days.count() <= 1673
+    out = enrich.attach_nearest(trips, side)
+    assert out.rdd.getNumPartitions() == 7              # the trips' own partitions: no exchange above their scan
+    rows = out.limit(60).collect()
+    days = {}
+    for r in stations.collect():
+        days.setdefault(r.date, []).append((r.station, r.date, r.lat, r.lon))
+    want = _brute_force([(r.trip_id, r.date, r.PU_lat, r.PU_lon) for r in rows],
+                        [s for d in {r.date for r in rows} for s in days.get(d, [])])
+    assert {r.trip_id: r.station for r in rows} == want

@@ -30,8 +30,7 @@ def test_stream_equals_batch_merge(spark, tmp_dir):
 
 
 def test_merge_without_any_broadcast_equals_default(spark):
-    # a 1-byte budget fails every size check: shuffled zone joins, no static nearest
-    # table, a written nearest table and the salted join
+    # a 1-byte budget fails every size check: all joins are shuffled
     from skyfare.operators.sizing import BROADCAST_MAX_BYTES_CONF
 
     def run():
@@ -42,14 +41,42 @@ def test_merge_without_any_broadcast_equals_default(spark):
         return side, out.select("trip_id", "date", "station", "distance_km", "tempAvg")
 
     side, default = run()
-    assert side.nearest is not None
+    assert side.points_small and all(side.nearest.small.values())
     spark.conf.set(BROADCAST_MAX_BYTES_CONF, "1")
     try:
         side, shuffled = run()
-        assert side.n_points is None and side.nearest is None
+        assert not side.points_small and not any(side.nearest.small.values())
         rows = sorted(map(tuple, shuffled.collect()), key=str)
-        plan = shuffled._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset(BROADCAST_MAX_BYTES_CONF)
     assert rows == sorted(map(tuple, default.collect()), key=str)
-    assert "_salt" in plan
+
+
+def test_weather_that_arrives_between_two_batches(spark, tmp_dir):
+    trips = merge.proxy_trips(spark, SF_SMALL)
+    cut = trips.select(F.min("trip_id")).first()[0]
+    landing, weather = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "weather")
+    rows = merge.proxy_station_rows(spark, SF_SMALL, via_files=False)
+    rows.limit(0).write.parquet(weather)
+    schema = trips.schema
+
+    def side():
+        return merge.prepare_static(proxies.zones(spark, SF_SMALL), proxies.zone_geocodes(spark, SF_SMALL),
+                                    spark.read.schema(rows.schema).parquet(weather), proxies.station_geocodes(spark))
+
+    def go():
+        q = stream_enrich(spark, landing, schema, side, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt"))
+        q.awaitTermination()
+
+    trips.where(F.col("trip_id") % 2 == cut % 2).coalesce(1).write.mode("append").parquet(landing)
+    go()
+    rows.write.mode("append").parquet(weather)
+    trips.where(F.col("trip_id") % 2 != cut % 2).coalesce(1).write.mode("append").parquet(landing)
+    go()
+    out = spark.read.parquet(os.path.join(tmp_dir, "out"))
+    first, second = (out.where(F.col("trip_id") % 2 == (cut + i) % 2) for i in (0, 1))
+    assert first.count() > 0 and first.where("station IS NOT NULL").count() == 0
+    assert second.where("station IS NOT NULL").count() > 0
+    before = out.count()
+    go()                                                # nothing new: a restart adds no rows
+    assert spark.read.parquet(os.path.join(tmp_dir, "out")).count() == before
