@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyfare.functions.dates import pickup_date, trip_duration_seconds
-
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
             T.DecimalType)
 
@@ -18,15 +16,6 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, _NUMERIC)]
 
 
-def add_pickup_date(df: DataFrame, pickup_col: str, out: str = "date") -> DataFrame:
-    """Calendar date of the pickup; unparseable -> 1970-01-01."""
-    return df.withColumn(out, pickup_date(pickup_col))
-
-
-def add_trip_duration(df: DataFrame, start: str, end: str, out: str = "trip_duration") -> DataFrame:
-    return df.withColumn(out, trip_duration_seconds(start, end))
-
-
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """Rename columns; names not present are ignored."""
     return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns})
@@ -61,27 +50,36 @@ def drop_incomplete(df: DataFrame, subset: Iterable[str] | None = None) -> DataF
     return df.dropna(how="any", subset=list(subset) if subset is not None else None)
 
 
-def fill_zero_and_drop(df: DataFrame) -> DataFrame:
-    """``fill_zero`` then ``drop_incomplete`` over all columns, in one step.
+def fill_zero_and_drop(df: DataFrame, subset: Iterable[str] | None = None) -> DataFrame:
+    """``fill_zero`` then ``drop_incomplete`` over ``subset`` (default: all columns), in one step.
 
     Filled numeric columns hold neither null nor NaN, so only the other columns
     can still drop a row; checking just those gives the same rows with a null
     test over a few columns instead of every column.
     """
     numeric = set(numeric_columns(df))
-    rest = [c for c in df.columns if c not in numeric]
+    rest = [c for c in (df.columns if subset is None else subset) if c not in numeric]
     filled = fill_zero(df)
     return drop_incomplete(filled, rest) if rest else filled
 
 
+def key_text(key_cols: Iterable[str]) -> Column:
+    """The key columns as one text: '<length>:<text>' of each part, '-' for null."""
+    parts = [F.col(c).cast("string") for c in key_cols]
+    return F.concat(*[F.when(p.isNull(), F.lit("-")).otherwise(
+        F.concat(F.length(p).cast("string"), F.lit(":"), p)) for p in parts])
+
+
 def surrogate_id(df: DataFrame, key_cols: Iterable[str], out: str = "id") -> DataFrame:
-    """Deterministic record key: SHA-256 of the key columns joined by '|'.
+    """Deterministic record key: SHA-256 of the key columns in an unambiguous form.
+
+    Each part is written as its length and its text ('-' for null), so that
+    neither separators inside a value nor null and '' make two keys equal.
 
     Unlike a per-file increasing id it does not restart per input file, so keys
     from different files do not collide, and a recomputed task yields the same keys.
     """
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key_cols]
-    return df.withColumn(out, F.sha2(F.concat_ws("|", *parts), 256))
+    return df.withColumn(out, F.sha2(key_text(key_cols), 256))
 
 
 def raw_increasing_id(df: DataFrame, out: str = "id") -> DataFrame:

@@ -19,20 +19,24 @@ from skyfare.operators import clean
 from skyfare.plans.merge import merge_trips_weather
 from skyfare.sources.lake import append_partitioned
 
-KEY_COLUMNS = ["trip_id", "date"]
-
-
 def prepare_ingest(trips: DataFrame, zones: DataFrame, zone_geocodes: DataFrame,
                    station_rows: DataFrame, station_geocodes: DataFrame,
-                   key_cols: Sequence[str] = KEY_COLUMNS) -> DataFrame:
+                   key_cols: Sequence[str] | None = None, required: Sequence[str] | None = None) -> DataFrame:
+    """Merged rows with a key, year and month.
+
+    ``key_cols``: what makes a trip's key (default: all its columns).
+    ``required``: columns that must not be null after the fill (default: all);
+    name them when trip kinds with different columns are ingested together,
+    since each kind has nulls in the columns of the others.
+    """
     merged = merge_trips_weather(trips, zones, zone_geocodes, station_rows, station_geocodes)
     # the key is never null, so keying after the drop keeps the same rows
-    keyed = clean.surrogate_id(clean.fill_zero_and_drop(merged), key_cols)
+    keyed = clean.surrogate_id(clean.fill_zero_and_drop(merged, required), key_cols or trips.columns)
     return keyed.withColumns({"year": F.year("date"), "month": F.month("date")})
 
 
 def ingest(trips: DataFrame, zones: DataFrame, zone_geocodes: DataFrame, station_rows: DataFrame,
-           station_geocodes: DataFrame, table_path: str,
-           key_cols: Sequence[str] = KEY_COLUMNS) -> None:
-    rows = prepare_ingest(trips, zones, zone_geocodes, station_rows, station_geocodes, key_cols)
+           station_geocodes: DataFrame, table_path: str, key_cols: Sequence[str] | None = None,
+           required: Sequence[str] | None = None) -> None:
+    rows = prepare_ingest(trips, zones, zone_geocodes, station_rows, station_geocodes, key_cols, required)
     append_partitioned(rows, table_path, ["year", "month"])

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfare.operators.sizing import checked_count
+from skyfare.session import write_once
 
 
 def use_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -60,62 +61,72 @@ def append_partitioned(df: DataFrame, path: str, cols: Iterable[str], fmt: str =
     out.write.mode("append").partitionBy(*cols).format(fmt).save(path)
 
 
+def _ordered(df: DataFrame, col: str):
+    """The column in a form that can be compared and hashed (maps as text)."""
+    kind = df.schema[col].dataType.simpleString()
+    return F.to_json(F.struct(F.col(col))) if "map<" in kind or kind == "variant" else F.col(col)
+
+
 def _latest(base: DataFrame, changes: DataFrame, key: list[str], sort_key: str) -> DataFrame:
-    # max over a struct in a groupBy: every task combines its rows before the shuffle,
-    # so a key with millions of versions is reduced map-side
+    # max_by in a groupBy: every task combines its rows before the shuffle, so a key
+    # with millions of versions is reduced map-side; the hash settles equal versions
     cols = list(base.columns)
     both = (base.select(*cols, F.lit(0).alias("_batch"))
                 .unionByName(changes.select(*cols, F.lit(1).alias("_batch"))))
-    rest = [c for c in cols if c not in key]
-    best = F.max(F.struct(F.col(sort_key).alias("_s"), F.col("_batch"), *[F.col(c) for c in rest]))
-    return (both.groupBy(*key).agg(best.alias("_w"))
-                .select(*key, *[F.col(f"_w.{c}").alias(c) for c in rest])
-                .select(*cols))
+    order = F.struct(F.col(sort_key), F.col("_batch"), F.xxhash64(*[_ordered(base, c) for c in cols]))
+    best = F.max_by(F.struct(*[F.col(c) for c in cols]), order)
+    return both.groupBy(*key).agg(best.alias("_w")).select(*[F.col(f"_w.{c}").alias(c) for c in cols])
+
+
+def _same_key(key: list[str]):
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in key])
 
 
 def upsert_rows(base: DataFrame, changes: DataFrame, key: Iterable[str], sort_key: str,
                 changes_small: bool | None = None) -> DataFrame:
-    """Latest version of every key over base and changes.
-
-    The winner has the largest ``sort_key``; on a tie the change wins.  Keys
-    compare null-safely (a null key is one key, as in a GROUP BY).
-
-    When the change set passes the broadcast size check (``changes_small``;
-    None: check here), the base is never shuffled: its rows with keys the
-    changes do not touch pass through a broadcast anti join, and only rows of
-    touched keys are grouped with the changes.  Otherwise everything is grouped
-    in one shuffle.  Either way base rows of untouched keys are kept as they
-    are; a base that already holds several rows of one key (bulk appends) is
-    reduced only for the keys the changes touch, as in a MERGE.
+    """The base with the latest version of every key that ``changes`` touch.
+
+    Of a touched key one row stays, the one with the largest ``sort_key`` over
+    base and changes; on a tie the change wins.  Base rows of untouched keys
+    stay as they are, also several rows of one key (bulk appends), as in a
+    MERGE.  Keys compare null-safely (a null key is one key, as in a GROUP BY).
+
+    ``changes_small`` (None: checked here) only chooses the plan: within the
+    broadcast budget the touched keys are broadcast and the base is not
+    shuffled; beyond it both joins shuffle on the key.
     """
     key = list(key)
     if changes_small is None:
         changes_small = checked_count(changes.select(*key)) is not None
-    if not changes_small:
-        return _latest(base, changes, key, sort_key)
-    touched = F.broadcast(changes.select(*[F.col(k).alias(f"_k_{k}") for k in key]).distinct())
-    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in key])
-    untouched = base.join(touched, on, "left_anti")
-    hit = base.join(touched, on, "left_semi")
+    touched = changes.select(*[F.col(k).alias(f"_k_{k}") for k in key]).distinct()
+    if changes_small:
+        touched = F.broadcast(touched)
+    untouched = base.join(touched, _same_key(key), "left_anti")
+    hit = base.join(touched, _same_key(key), "left_semi")
     return untouched.unionByName(_latest(hit, changes, key, sort_key))
 
 
 def upsert_table(spark: SparkSession, base_path: str, changes: DataFrame, key: Iterable[str],
                  sort_key: str, out_path: str, fmt: str = "parquet") -> DataFrame:
-    """Write the upserted table to ``out_path`` (never ``base_path``) and read it back."""
+    """Write the upserted table to ``out_path`` (never ``base_path``) and read it back.
+
+    The changes are written once first: the check, the touched keys and the
+    merge read them from there.
+    """
     base = spark.read.format(fmt).load(base_path)
+    changes = write_once(changes, "upsert-changes")
     upsert_rows(base, changes, key, sort_key).write.mode("overwrite").format(fmt).save(out_path)
     return spark.read.format(fmt).load(out_path)
 
 
 def delete_rows(base: DataFrame, keys: DataFrame, key: Iterable[str]) -> DataFrame:
-    """Rows of ``base`` whose key is not in ``keys`` (left anti join)."""
+    """Rows of ``base`` whose key is not in ``keys``; keys compare null-safely, as in ``upsert_rows``."""
     key = list(key)
     # the key rows bound their distinct keys, so the check scans them instead of
-    # computing the distinct twice (once to count, once to join)
+    # computing the distinct twice (once to measure, once to join)
     small = checked_count(keys.select(*key)) is not None
-    k = keys.select(*key).distinct()
-    return base.join(F.broadcast(k) if small else k, key, "left_anti")
+    k = keys.select(*[F.col(c).alias(f"_k_{c}") for c in key]).distinct()
+    return base.join(F.broadcast(k) if small else k, _same_key(key), "left_anti")
 
 
 def delete_by_key(spark: SparkSession, base_path: str, keys: DataFrame, key: Iterable[str],

@@ -23,8 +23,12 @@ NUMERIC_COLUMNS = [
 
 
 def scan_trips(spark: SparkSession, path, pickup_col: str = PICKUP_COL) -> DataFrame:
-    """Read trip CSV file(s) with a header and type them (see ``type_trips``)."""
-    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+    """Read trip CSV file(s) of one kind with a header and type them (see ``type_trips``).
+
+    A file whose header differs from the others fails the job instead of
+    shifting its values into the wrong columns.
+    """
+    raw = _csv(spark, path)
     return type_trips(raw, pickup_col=pickup_col)
 
 
@@ -80,7 +84,7 @@ def scan_month_range(spark: SparkSession, root: str, start: str, end: str,
     read on its own, with its own header, and the kinds are combined by column
     name; a column a kind lacks is null (yellow rows have no
     ``lpep_pickup_datetime``).  ``trip_kind`` names the kind of each row.
-    None: every file in one read.
+    None: every file in one read, which fails if their headers differ.
 
     ``layout="hive"``: ``root/year=YYYY/month=M/`` as written by
     ``append_partitioned``; the month filter prunes partitions.
@@ -113,11 +117,15 @@ def scan_month_range(spark: SparkSession, root: str, start: str, end: str,
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def _csv(spark: SparkSession, path) -> DataFrame:
+    return spark.read.option("header", True).option("enforceSchema", False).csv(path)
+
+
 def _read_files(spark: SparkSession, pattern: str, fmt: str) -> DataFrame | None:
     """The files matching ``pattern`` (CSV with its header), or None when there are none."""
     try:
-        if fmt == "csv":
-            return spark.read.option("header", True).csv(pattern)
-        return spark.read.format(fmt).load(pattern)
-    except AnalysisException:
-        return None
+        return _csv(spark, pattern) if fmt == "csv" else spark.read.format(fmt).load(pattern)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise

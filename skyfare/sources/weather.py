@@ -30,14 +30,23 @@ DOC_SCHEMA = T.MapType(T.StringType(), T.ArrayType(DAY_STRUCT))
 
 def read_weather_files(spark: SparkSession, path) -> DataFrame:
     """Weather file(s) -> one text row per file -> station rows (text fields)."""
-    docs = spark.read.text(path, wholetext=True)
-    return parse_weather_docs(docs, "value")
+    docs = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
+    return parse_weather_docs(docs, "value", "path")
 
 
-def parse_weather_docs(docs: DataFrame, text_col: str = "value") -> DataFrame:
-    """Text column of station->days objects -> (station, date, tempMax, ...) text rows."""
-    parsed = docs.select(
-        F.from_json(F.col(text_col), DOC_SCHEMA, {"allowSingleQuotes": "true"}).alias("doc"))
+def parse_weather_docs(docs: DataFrame, text_col: str = "value", name_col: str | None = None) -> DataFrame:
+    """Text column of station->days objects -> (station, date, tempMax, ...) text rows.
+
+    A document that does not parse fails the job, with its name (``name_col``)
+    and its first characters; a null or blank one has no stations.
+    """
+    doc = F.from_json(F.col(text_col), DOC_SCHEMA, {"allowSingleQuotes": "true", "mode": "PERMISSIVE"})
+    name = F.col(name_col) if name_col else F.lit("(no name)")
+    unreadable = F.raise_error(F.concat(F.lit("unreadable weather document "), name, F.lit(": "),
+                                        F.substring(text_col, 1, 80))).cast(DOC_SCHEMA)
+    blank = F.coalesce(F.trim(F.col(text_col)), F.lit("")) == ""
+    parsed = docs.select(F.when(blank, F.lit(None).cast(DOC_SCHEMA)).when(doc.isNull(), unreadable)
+                         .otherwise(doc).alias("doc"))
     per_station = parsed.select(F.explode("doc").alias("station", "days"))
     return per_station.select("station", F.inline("days"))
 
@@ -70,5 +79,8 @@ def encode_weather_docs(day_rows: DataFrame, group_col: Column | str) -> DataFra
                    .agg(F.array_sort(F.collect_list(days)).alias("days")))
     per_doc = (per_station.groupBy("doc_key")
                .agg(F.map_from_entries(F.collect_list(F.struct("station", "days"))).alias("doc")))
-    text = F.regexp_replace(F.to_json("doc"), '"', "'")
+    text = F.to_json("doc")
+    # quotes and backslashes inside names become character codes, then the quotes of the syntax become single
+    for old, new in (("\\\\", "\\u005c"), ('\\"', "\\u0022"), ("'", "\\u0027"), ('"', "'")):
+        text = F.replace(text, F.lit(old), F.lit(new))
     return per_doc.select("doc_key", text.alias("value"))

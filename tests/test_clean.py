@@ -47,3 +47,16 @@ def test_fill_zero_and_drop_equals_fill_then_drop(spark):
     got = sorted(map(tuple, clean.fill_zero_and_drop(df).collect()))
     want = sorted(map(tuple, clean.drop_incomplete(clean.fill_zero(df)).collect()))
     assert got == want == [(0, 0.0, "e"), (0, 2.0, "b"), (1, 0.0, "a"), (4, 4.0, "d")]
+
+
+def test_surrogate_ids_of_different_keys_differ(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), (None, "x"), ("", "x"), ("x", None), ("x", ""), ("1:a", "b"), ("-", None)]
+    out = clean.surrogate_id(spark.createDataFrame(rows, "p STRING, q STRING"), ["p", "q"])
+    assert out.select("id").distinct().count() == len(rows)
+
+
+def test_ingest_drop_takes_a_column_subset(spark):
+    df = spark.createDataFrame([(1, "g", None), (2, None, "y"), (None, "g", None)], "n INT, green STRING, yellow STRING")
+    assert clean.fill_zero_and_drop(df).count() == 0
+    assert clean.fill_zero_and_drop(df, ["n"]).count() == 3
+    assert clean.fill_zero_and_drop(df, ["green"]).count() == 2

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from skyfare.sources.weather import (WEATHER_FIELDS, encode_weather_docs, filter_station,
@@ -45,3 +46,24 @@ def test_encode_parse_roundtrip(spark):
 def test_filter_station(spark):
     df = spark.createDataFrame([("A NY",), ("B NJ",)], "station STRING")
     assert [r[0] for r in filter_station(df, "NY").collect()] == ["A NY"]
+
+
+def test_bad_documents_fail_with_their_path_and_blank_ones_have_no_rows(spark, tmp_dir):
+    import os
+    for name, text in (("2020_01.txt", "{'A NY': []}"), ("2020_02.txt", "  ")):
+        with open(os.path.join(tmp_dir, name), "w") as fh:
+            fh.write(text)
+    assert read_weather_files(spark, tmp_dir).count() == 0
+    for bad in ("{'A NY': [{'date': '2020-01-01', 'tempMax", "{'A NY': None}"):
+        with open(os.path.join(tmp_dir, "2020_03.txt"), "w") as fh:
+            fh.write(bad)
+        with pytest.raises(Exception, match="2020_03.txt"):
+            read_weather_files(spark, tmp_dir).collect()
+
+
+def test_names_with_quotes_survive_the_file_form(spark):
+    names = ["O'HARE", 'THE "FIELD"', "BACK\\SLASH", "PLAIN"]
+    rows = [(n, "2020-01-01", *["1"] * 9) for n in names]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} STRING" for c in ["station", *WEATHER_FIELDS]))
+    docs = encode_weather_docs(df, F.lit("2020_01"))
+    assert sorted(r.station for r in parse_weather_docs(docs).collect()) == sorted(names)
