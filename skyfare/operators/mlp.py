@@ -1,13 +1,11 @@
 """A small fully connected regressor trained data-parallel on Spark.
 
-Each epoch is one pass over the cached rows: every partition runs the forward
-and backward pass over its rows with numpy inside ``mapInPandas`` and emits one
-row of summed gradients and losses.  Those rows are added up on the executors
-(one group per weight), so the driver receives one number per weight however
-many partitions there are, and takes an Adam step.  Rows never leave their
-executors.  Validation rows are scored in the same pass.
-
-Deviation from mini-batch training: one full-batch step per epoch.
+Each epoch is one pass over the written rows: every partition takes 64-row Adam
+steps over its rows with numpy inside ``mapInPandas``, from the same weights and
+moments, and emits what it arrived at, times its rows.  Those are added up on
+the executors and divided by the rows, so the driver receives one number per
+entry however many partitions there are, and the average starts the next pass.
+Rows never leave their executors.
 """
 
 from __future__ import annotations
@@ -16,11 +14,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyfare.operators.ml import split_bucket
+from skyfare.session import ship_package, write_once
 
 # Layer widths and training settings of the reference network.
 HIDDEN_UNITS = 32
@@ -30,6 +28,9 @@ EARLY_STOP_PATIENCE = 10
 LR_PATIENCE = 3
 LR_FACTOR = 0.2
 VALIDATION_TENTHS = 2
+BATCH_ROWS = 64
+MAX_EPOCHS = 500
+BETA_1, BETA_2, EPSILON = 0.9, 0.999, 1e-7
 
 
 def layer_sizes(n_inputs: int) -> list[int]:
@@ -85,96 +86,115 @@ def loss_and_grad(ws: Sequence[np.ndarray], x: np.ndarray, y: np.ndarray):
     return float((err ** 2).sum()), grads
 
 
-def _epoch_job(data: DataFrame, feats: Sequence[str], label: str, ws: list[np.ndarray]):
-    flat = _flatten(ws)
-    shapes = [w.shape for w in ws]
+def _adam_pass(shapes, state: np.ndarray, step: int, lr: float, batches, feats, label, scale: float, seed: int):
+    """64-row Adam steps over a partition's rows from the shared ``state`` (weights, both moments).
 
+    Returns (state after the last step, rows, summed loss).  Rows come in Arrow
+    batches; each batch is shuffled by itself, so memory is bounded.
+    """
+    n_weights = len(state) // 3
+    w, m, v = (state[i * n_weights:(i + 1) * n_weights].copy() for i in range(3))
+    like = [np.empty(s) for s in shapes]
+    rng, rows, total = np.random.default_rng(seed), 0, 0.0
+    for pdf in batches:
+        x = pdf[feats].to_numpy(dtype=float)
+        y = pdf[label].to_numpy(dtype=float) / scale
+        order = rng.permutation(len(y))
+        for at in range(0, len(y), BATCH_ROWS):
+            part = order[at:at + BATCH_ROWS]
+            loss, grads = loss_and_grad(_unflatten(w, like), x[part], y[part])
+            g = np.concatenate([a.ravel() for a in grads]) / len(part)
+            step += 1
+            m = BETA_1 * m + (1 - BETA_1) * g
+            v = BETA_2 * v + (1 - BETA_2) * g * g
+            w = w - lr * (m / (1 - BETA_1 ** step)) / (np.sqrt(v / (1 - BETA_2 ** step)) + EPSILON)
+            rows, total = rows + len(part), total + loss
+    return np.concatenate([w, m, v]), rows, total
+
+
+def _epoch(train: DataFrame, feats: list[str], label: str, shapes, state, step: int, lr: float, scale: float,
+           seed: int):
+    """One pass: every partition trains on its rows, the states are averaged by row count."""
     def part(batches):
-        w = []
-        i = 0
-        for s in shapes:
-            n = int(np.prod(s))
-            w.append(flat[i:i + n].reshape(s))
-            i += n
-        g_sum = np.zeros_like(flat)
-        tl = vl = 0.0
-        tn = vn = 0
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            x = pdf[list(feats)].to_numpy(dtype=float)
-            y = pdf[label].to_numpy(dtype=float)
-            val = pdf["_is_val"].to_numpy(dtype=bool)
-            if (~val).any():
-                loss, grads = loss_and_grad(w, x[~val], y[~val])
-                g_sum += np.concatenate([g.ravel() for g in grads])
-                tl += loss
-                tn += int((~val).sum())
-            if val.any():
-                vl += float(((forward(w, x[val]) - y[val]) ** 2).sum())
-                vn += int(val.sum())
-        # gradient sums followed by the four loss totals, in one array
-        yield pd.DataFrame({"grad": [g_sum.tolist() + [tl, float(tn), vl, float(vn)]]})
-
-    parts = data.mapInPandas(part, "grad array<double>")
-    # add the per-partition rows up on the executors: the driver receives one number per
-    # weight plus four totals, however many partitions there are
-    summed = (parts.select(F.posexplode("grad").alias("i", "g"))
-                   .groupBy("i").agg(F.sum("g").alias("g")).collect())
-    acc = np.zeros(len(flat) + 4)
+        from pyspark import TaskContext
+        out, rows, total = _adam_pass(shapes, state, step, lr, batches, feats, label, scale,
+                                      seed + TaskContext.get().partitionId())
+        if rows:
+            yield pd.DataFrame({"v": [(out * rows).tolist() + [float(rows), total, 1.0]]})
+
+    # the states are added up on the executors: one number for each entry reaches the
+    # driver, however many partitions there are
+    summed = (train.mapInPandas(part, "v array<double>").select(F.posexplode("v").alias("i", "v"))
+              .groupBy("i").agg(F.sum("v").alias("v")).collect())
+    acc = np.zeros(len(state) + 3)
     for r in summed:
-        acc[r["i"]] = r["g"]
-    g = acc[:len(flat)]
-    tl, tn, vl, vn = acc[len(flat):]
-    return g / max(tn, 1.0), tl / max(tn, 1.0), (vl / vn if vn else float("nan"))
+        acc[r["i"]] = r["v"]
+    rows, total, parts = acc[len(state):]
+    steps = int(np.ceil(rows / max(parts, 1) / BATCH_ROWS))
+    return acc[:len(state)] / max(rows, 1), step + steps, total / max(rows, 1) * scale ** 2
+
+
+def mean_squared_error(df: DataFrame, ws: Sequence[np.ndarray], feats: Sequence[str], label: str) -> float:
+    err = F.col(label) - F.col("prediction")
+    value = batch_predict(df, ws, feats).agg(F.avg(err * err)).first()[0]
+    return float("nan") if value is None else value
 
 
 def train_mlp(train: DataFrame, feats: Sequence[str], label: str, key_cols: Sequence[str],
-              epochs: int = 500, seed: int = 42):
+              epochs: int = MAX_EPOCHS, seed: int = 42):
     """Fit the network; returns (best weights, history rows).
 
     20% of the training rows (by key hash) are held out for validation.  The
     best weights by validation loss are kept; the learning rate drops x0.2
-    after 3 epochs without improvement and training stops after 10.
+    after 3 epochs without improvement and training stops after 10.  The label
+    is divided by its largest value while training, and the weights returned
+    give it back in its own unit.
     """
     feats = list(feats)
-    data = (train.select(*key_cols, *feats, label).dropna(subset=feats + [label])
-                 .withColumn("_is_val", split_bucket(key_cols, "val") < VALIDATION_TENTHS)
-                 .select(*feats, label, "_is_val")
-                 .persist(StorageLevel.MEMORY_AND_DISK))
+    ship_package(train.sparkSession)
+    rows = (train.select(*key_cols, *feats, label).dropna(subset=feats + [label])
+            .select(*feats, label, (split_bucket(key_cols, "val") < VALIDATION_TENTHS).alias("_is_val")))
+    rows = write_once(rows, "mlp-rows")
+    fit_rows, val_rows = (rows.where(c).select(*feats, label) for c in (~F.col("_is_val"), F.col("_is_val")))
+    top, mean = rows.agg(F.max(F.abs(label)), F.avg(label)).first()
+    scale = float(top or 1.0)
     ws = init_weights(layer_sizes(len(feats)), seed)
     # start the output unit at the label mean: with a zero bias the output ReLU can
     # begin dead for every row, and then no gradient ever flows
-    label_mean = data.agg(F.avg(label)).first()[0]
-    ws[-1] = ws[-1] + float(label_mean or 0.0)
+    ws[-1] = ws[-1] + float(mean or 0.0) / scale
+    shapes = [w.shape for w in ws]
     flat = _flatten(ws)
-    m = np.zeros_like(flat)
-    v = np.zeros_like(flat)
-    b1, b2, eps = 0.9, 0.999, 1e-7
-    lr = LEARNING_RATE
-    best, best_loss, since_best, since_lr = flat.copy(), float("inf"), 0, 0
-    history = []
-    try:
-        for epoch in range(epochs):
-            g, tl, vl = _epoch_job(data, feats, label, _unflatten(flat, ws))
-            history.append((epoch, tl, lr, vl))
-            if vl < best_loss:
-                best, best_loss, since_best, since_lr = flat.copy(), vl, 0, 0
-            else:
-                since_best += 1
-                since_lr += 1
-                if since_best >= EARLY_STOP_PATIENCE:
-                    break
-                if since_lr >= LR_PATIENCE:
-                    lr *= LR_FACTOR
-                    since_lr = 0
-            t = epoch + 1
-            m = b1 * m + (1 - b1) * g
-            v = b2 * v + (1 - b2) * g * g
-            flat = flat - lr * (m / (1 - b1 ** t)) / (np.sqrt(v / (1 - b2 ** t)) + eps)
-    finally:
-        data.unpersist()
-    return _unflatten(best, ws), history
+    state = np.concatenate([flat, np.zeros(2 * len(flat))])
+    lr, step, best, best_loss, since_best, since_lr, history = LEARNING_RATE, 0, ws, float("inf"), 0, 0, []
+
+    def in_unit(state):
+        out = _unflatten(state[:len(flat)].copy(), ws)
+        return [*out[:-2], out[-2] * scale, out[-1] * scale]
+
+    for epoch in range(epochs):
+        state, step, loss = _epoch(fit_rows, feats, label, shapes, state, step, lr, scale, seed * 1009 + epoch)
+        now = in_unit(state)
+        val = mean_squared_error(val_rows, now, feats, label)
+        history.append((epoch, loss, lr, val))
+        if val < best_loss:
+            best, best_loss, since_best, since_lr = now, val, 0, 0
+        else:
+            since_best, since_lr = since_best + 1, since_lr + 1
+            if since_best >= EARLY_STOP_PATIENCE:
+                break
+            if since_lr >= LR_PATIENCE:
+                lr, since_lr = lr * LR_FACTOR, 0
+    return best, history
+
+
+def save_weights(spark, ws: Sequence[np.ndarray], path: str) -> None:
+    """Write a network as a small table: one row for each tensor."""
+    spark.createDataFrame([(i, [int(n) for n in w.shape], [float(x) for x in w.ravel()]) for i, w in enumerate(ws)],
+                          "tensor INT, shape ARRAY<INT>, items ARRAY<DOUBLE>").coalesce(1).write.parquet(path)
+
+
+def load_weights(spark, path: str) -> list[np.ndarray]:
+    return [np.array(r["items"]).reshape(r["shape"]) for r in spark.read.parquet(path).orderBy("tensor").collect()]
 
 
 def history_frame(spark, history) -> DataFrame:
@@ -186,6 +206,7 @@ def batch_predict(df: DataFrame, ws: Sequence[np.ndarray], feats: Sequence[str],
                   out: str = "prediction") -> DataFrame:
     """Score every row with the trained weights (Arrow batches, weights in the closure)."""
     feats = list(feats)
+    ship_package(df.sparkSession)
     flat, shapes = _flatten(ws), [w.shape for w in ws]
     schema = df.schema.simpleString()[len("struct<"):-1] + f",{out}:double"
 

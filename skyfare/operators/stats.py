@@ -27,14 +27,17 @@ def residuals(df: DataFrame, label: str, prediction: str, out: str = "residual")
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """One row: n, rmse, r2 (1 - SSE/SST with SST = n * population variance)."""
+    """One row: n, rmse, r2 (1 - SSE/SST with SST = n * population variance).
+
+    Without rows rmse is null; with a constant label r2 is null.
+    """
     err = F.col(label) - F.col(prediction)
     n = F.count(F.lit(1))
     sse = F.sum(err * err)
     return df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull()).agg(
         n.alias("n"),
-        F.sqrt(sse / n).alias("rmse"),
-        (F.lit(1.0) - sse / (F.var_pop(label) * n)).alias("r2"))
+        F.sqrt(F.try_divide(sse, n)).alias("rmse"),
+        (F.lit(1.0) - F.try_divide(sse, F.var_pop(label) * n)).alias("r2"))
 
 
 def rmse(df: DataFrame, label: str, prediction: str) -> DataFrame:

@@ -1,8 +1,13 @@
+import os
+import subprocess
+import sys
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from skyfare.operators import ml, mlp, stats
+from tests.conftest import ROOT
 
 
 @pytest.fixture(scope="module")
@@ -98,3 +103,51 @@ def test_mlp_trains_and_predicts(spark, planted):
     assert min(h[3] for h in hist) < hist[0][3]
     pred = mlp.batch_predict(te_s.select("trip_id", *sf, "total_amount"), ws, sf)
     assert pred.count() == test.count() and pred.where(F.col("prediction").isNull()).count() == 0
+
+
+def test_network_learns_and_its_weights_survive_a_table(spark, planted, tmp_dir):
+    feats = ["trip_distance", "weather"]
+    train, test = ml.train_test_split(planted, ["trip_id"])
+    tr_s, te_s, _ = ml.scale_features(train.repartition(3, "trip_id"), test, feats)
+    names = [f + "_scaled" for f in feats]
+    ws, hist = mlp.train_mlp(tr_s, names, "total_amount", ["trip_id"], epochs=40)
+    variance = test.agg(F.var_pop("total_amount")).first()[0]
+    assert mlp.mean_squared_error(te_s, ws, names, "total_amount") < 0.2 * variance
+    mlp.save_weights(spark, ws, tmp_dir + "/weights")
+    assert all(np.array_equal(a, b) for a, b in zip(ws, mlp.load_weights(spark, tmp_dir + "/weights"), strict=True))
+
+
+def test_constant_label_and_constant_predictor(spark, planted):
+    one = spark.createDataFrame([(5.0, 4.0), (5.0, 6.0)], "y DOUBLE, p DOUBLE")
+    assert stats.regression_metrics(one, "y", "p").first().r2 is None
+    flat = planted.withColumn("weather", F.lit(0.0))
+    train, test = ml.train_test_split(flat, ["trip_id"])
+    found = {r.predictors: r for r in ml.forward_selection(train, test, "total_amount").collect()}
+    assert found["trip_distance,weather"].rmse == pytest.approx(found["trip_distance"].rmse, rel=1e-6)
+    same = planted.withColumn("total_amount", F.lit(7.0))
+    train, test = ml.train_test_split(same, ["trip_id"])
+    assert all(r.r2 is None for r in ml.forward_selection(train, test, "total_amount").collect())
+
+
+def test_predict_keeps_rows_with_a_null_feature(spark, planted):
+    model = ml.linear_regression(planted, ["trip_distance", "weather"], "total_amount")
+    df = spark.createDataFrame([(1, 2.0, None), (2, float("nan"), 1.0), (3, 1.0, 2.0)],
+                               "trip_id INT, trip_distance DOUBLE, weather DOUBLE")
+    got = {r.trip_id: r.prediction for r in ml.predict(model, df, ["trip_distance", "weather"]).collect()}
+    assert got[1] is None and got[2] is None and got[3] is not None
+
+
+def test_workers_find_the_package_from_another_folder(tmp_path):
+    # the driver has the package on its path only; the workers get it shipped
+    code = f"""
+import sys; sys.path.insert(0, {ROOT!r})
+from skyfare.session import build_session
+from skyfare.operators import mlp
+spark = build_session(master="local[2]", shuffle_partitions=2)
+df = spark.range(300).selectExpr("id AS k", "id / 300.0D AS x", "2.0D * id AS y")
+ws, hist = mlp.train_mlp(df, ["x"], "y", ["k"], epochs=2)
+assert len(hist) == 2 and mlp.batch_predict(df, ws, ["x"]).where("prediction IS NOT NULL").count() == 300
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
