@@ -38,7 +38,7 @@ SELECT {MERGED_COLS} FROM merged"""
     q["stream_enrich"] = q["nearest_station_join"]
     q["scan_trip_csv"] = q["scan_trips"]
     q["monthly_ingest"] = with_(TRIPS, ZONES, LOCATED, STATIONS, NEAREST) + """
-SELECT sha256(concat_ws('|', CAST(trip_id AS VARCHAR), CAST(date AS VARCHAR))) AS id, trip_id, date,
+SELECT sha256(concat(length(CAST(trip_id AS VARCHAR)), ':', trip_id, length(CAST(date AS VARCHAR)), ':', CAST(date AS VARCHAR))) AS id, trip_id, date,
        CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, PULocationID, DOLocationID,
        station, distance_km, tempAvg, coalesce(precipitation, 0) AS precipitation, total_amount
 FROM merged
@@ -60,8 +60,13 @@ WHERE EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l
     return q
 
 
+#: What the oracle takes for entities, anchors and their href, written independently of the package.
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+ANCHOR = r"<[aA](?:[ \t\r\n\f][^>]*)?>"
+HREF = r"""[ \t\r\n\f][hH][rR][eE][fF][ \t\r\n\f]*=[ \t\r\n\f]*(?:"([^"]*)"|'([^']*)'|([^ \t\r\n\f"'>]+))"""
+
+
 def _unescape(expr: str) -> str:
-    from skyfare.sources.web import ENTITIES
     for ent, ch in ENTITIES:
         ch = ch.replace("'", "''")
         expr = f"replace({expr}, '{ent}', '{ch}')"
@@ -87,7 +92,6 @@ SELECT event_id, ts, user_id, event_type, value, props FROM r WHERE rn = 1"""
 
 
 def oracle_sql_more() -> dict[str, str]:
-    from skyfare.sources.web import A_TAG, HREF_ATTR
     q: dict[str, str] = {}
     base = with_(TRIPS, ZONES, LOCATED, STATIONS, NEAREST)
     q["rename_columns"] = base + " SELECT trip_id, date, station, tempAvg AS weather FROM merged"
@@ -103,7 +107,7 @@ SELECT trip_id, trip_distance, CAST(passenger_count AS INTEGER) AS passenger_cou
     filled_no_snow = ", ".join(f"coalesce({c}, 0) AS {c}" for c in numeric if c != "newSnow")
     q["drop_incomplete"] = base + f" SELECT date, station, {filled_no_snow} FROM merged WHERE station IS NOT NULL"
     q["surrogate_id"] = with_(TRIPS) + """
-SELECT trip_id, date, sha256(concat_ws('|', CAST(trip_id AS VARCHAR), CAST(date AS VARCHAR))) AS id FROM trips"""
+SELECT trip_id, date, sha256(concat(length(CAST(trip_id AS VARCHAR)), ':', trip_id, length(CAST(date AS VARCHAR)), ':', CAST(date AS VARCHAR))) AS id FROM trips"""
     q["limit_rows"] = with_(TRIPS) + f" SELECT {TRIP_TYPED_COLS} FROM trips ORDER BY trip_id LIMIT 20"
     q["month_key"] = with_(TRIPS) + """
 SELECT trip_id, strftime(date, '%Y_%m') AS month_key, lpad(CAST(month(date) AS VARCHAR), 2, '0') AS month
@@ -113,7 +117,22 @@ SELECT station, CAST(year(m) AS INTEGER) AS year, lpad(CAST(month(m) AS VARCHAR)
        strftime(m, '%Y_%m') AS month_key
 FROM (SELECT DISTINCT station FROM station_rows)
 CROSS JOIN (SELECT CAST(unnest(generate_series(DATE '2023-11-01', DATE '2024-02-01', INTERVAL 1 MONTH)) AS DATE) AS m)"""
-    q["overlay_columns"] = base + " SELECT trip_id, station, lat, lon FROM merged"
+    q["overlay_columns"] = with_(TRIPS, ZONES) + """
+SELECT t.trip_id, t.PULocationID AS LocationID, z.lat, z.lon
+FROM trips t LEFT JOIN zone_pts z ON t.PULocationID = z.LocationID"""
+    q["increasing_id"] = "SELECT count(*) AS n, count(*) AS n_ids, true AS not_negative FROM trips"
+    q["increasing_id"] = with_(TRIPS) + " " + q["increasing_id"]
+    q["scan_month_files"] = with_(TRIPS) + """
+SELECT trip_id, CASE WHEN trip_id % 2 = 1 THEN 'yellow' ELSE 'green' END AS trip_kind,
+       CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
+       CASE WHEN trip_id % 2 = 1 THEN DATE '1970-01-01' ELSE date END AS date,
+       CASE WHEN trip_id % 2 = 0 THEN PULocationID END AS PULocationID,
+       CASE WHEN trip_id % 2 = 1 THEN DOLocationID END AS DOLocationID, total_amount
+FROM trips WHERE date >= DATE '2024-01-01' AND date < DATE '2024-03-01'"""
+    parts = ["m.lpep_pickup_datetime", "CAST(m.PULocationID AS VARCHAR)", "CAST(m.DOLocationID AS VARCHAR)",
+             "CAST(m.trip_id AS VARCHAR)"]
+    text = ", ".join(f"CASE WHEN {p} IS NULL THEN '-' ELSE concat(length({p}), ':', {p}) END" for p in parts)
+    q["demo_job"] = base + f" SELECT sha256(concat({text})) AS id, {MERGED_COLS} FROM merged m"
     q["use_database"] = "SELECT * FROM events"
     q["read_table"] = "SELECT * FROM events"
     q["append_table"] = "SELECT * FROM events"
@@ -128,10 +147,10 @@ SELECT {TRIP_TYPED_COLS}, CAST(year(date) AS INTEGER) AS year, CAST(month(date)
     q["scan_month_range"] = with_(TRIPS) + f"""
 SELECT {TRIP_TYPED_COLS}, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month FROM trips
 WHERE date >= DATE '2024-01-01' AND date < DATE '2024-03-01'"""
-    href = lambda i: f"regexp_extract(tag, '{_sq(HREF_ATTR)}', {i})"
+    href = lambda i: f"regexp_extract(tag, '{_sq(HREF)}', {i})"
     link = _unescape(f"({href(1)} || {href(2)} || {href(3)})")
     q["extract_links"] = f"""
-WITH t AS (SELECT page_id, regexp_extract_all(html, '{_sq(A_TAG)}', 0) AS tags FROM pages),
+WITH t AS (SELECT page_id, regexp_extract_all(html, '{_sq(ANCHOR)}', 0) AS tags FROM pages),
 x AS (SELECT page_id, CAST(unnest(range(0, len(tags))) AS INTEGER) AS link_pos, unnest(tags) AS tag FROM t),
 l AS (SELECT page_id, link_pos, {link} AS link FROM x)
 SELECT * FROM l WHERE link <> '' AND contains(link, '/') AND NOT contains(link, 'the')"""
@@ -235,6 +254,15 @@ FROM test t, g""")
     sc = base + ",\ns AS (SELECT " + ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in feats) + \
         " FROM train)\nSELECT r.trip_id, CASE WHEN r.bucket < 8 THEN 'train' ELSE 'test' END AS split, " + \
         ", ".join(scaled) + ", r.total_amount AS fare FROM rows r, s"
+    q["random_forest_fare"] = base + """
+SELECT count(*) AS n_test, true AS all_predicted, true AS beats_mean FROM test"""
+    q["mlp_regressor"] = q["random_forest_fare"]
+    q["batch_predict"] = base + " SELECT trip_id, total_amount AS fare, true AS predicted FROM test"
+    q["training_history"] = """
+SELECT true AS every_epoch_once, true AS within_limit, true AS finite, true AS improves"""
+    q["cv_grid_search"] = """
+SELECT d AS "maxDepth", b AS "maxBins", 5 AS "numTrees", true AS beats_mean
+FROM (VALUES (2), (5)) t(d), (VALUES (20), (40)) u(b)"""
     q["scale_features"] = sc
     q["write_features"] = sc
     return q
