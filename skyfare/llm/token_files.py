@@ -24,11 +24,11 @@ import hashlib
 import json
 import os
 import struct
-import zlib
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
+import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -51,53 +51,125 @@ SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 2000, 8192, 1 << 16
 #: Fixed value: a pre-token pattern under which white space is always dropped, so words can be encoded one by one.
 DROPS_WHITE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
+#: ASCII signs that are one token together when a letter or digit comes before and nothing after them.
+SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Up to here all Unicode versions agree what a letter is; but one character is two in lower case.
+UNSETTLED = regex.compile(r"[^\u0000-\u012f\u0131-\u024f]")
+
+
+def _ends_settled(word: bytes) -> bool:
+    """Whether the word's last character is surely a letter or an ASCII digit."""
+    if word[-1:].isalnum() or not word:
+        return bool(word)
+    last = word[-2:].decode(errors="replace")[-1:] if word[-1] >= 0x80 else ""
+    return last.isalpha() and UNSETTLED.search(last) is None
+
 
 class Encoder:
-    """Ids of whole texts as little-endian uint32, by the tokenizers library."""
+    """Ids of whole texts as little-endian integers of ``width`` bytes, by the tokenizers library."""
 
-    #: Words whose ids are kept, about; then the memory starts afresh.
-    KEEP = 1 << 19
+    #: Words of a generation, about; the words of the last two generations are kept.
+    KEEP = 1 << 18
+    #: Words given to the library at once.
+    AT_ONCE = 1 << 14
 
-    def __init__(self, content: bytes):
+    def __init__(self, content: bytes, width: int):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        self.kind = f"<u{width}"
         self.library = Tokenizer.from_str(content.decode())
         self.library.no_truncation()
         self.library.no_padding()
-        pre = json.loads(content).get("pre_tokenizer") or {}
+        spec = json.loads(content)
+        pre = spec.get("pre_tokenizer") or {}
         first = (pre.get("pretokenizers") or [pre])[0]
-        special = [t["content"] for t in json.loads(content).get("added_tokens", [])]
+        added = spec.get("added_tokens", [])
+        lower = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])]
         self.by_word = (first.get("behavior") == "Removed" and first.get("invert") is True
-                        and first.get("pattern") == {"Regex": DROPS_WHITE}
-                        and not any(t.split() != [t] for t in special)
-                        and not any(t["lstrip"] or t["rstrip"] for t in json.loads(content).get("added_tokens", [])))
+                        and first.get("pattern") == {"Regex": DROPS_WHITE} and len(added) > 0
+                        and not any(t["lstrip"] or t["rstrip"] or t["normalized"] or t["content"].split() != [t["content"]]
+                                    for t in added))
+        self.to_lower = lower == ["NFC", "Replace", "Lowercase"]
+        self.added = [t["content"].encode() for t in added]
+        self.lower_added = [a.lower() for a in self.added]
+        self.between = added[0] if added else None
         self.memory: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.cores: dict[bytes, bytes] = {}
 
-    def _library(self, texts: list[str]) -> list[bytes]:
+    def _texts(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [np.array(e.ids, self.kind).tobytes() for e in found]
+
+    def _cut(self, ids: list[int], cuts: np.ndarray) -> list[bytes]:
+        """Bytes of ids[cuts[i]:cuts[i + 1]]."""
+        raw = np.array(ids, self.kind).tobytes()
+        at = (cuts * np.dtype(self.kind).itemsize).tolist()
+        return [raw[a:b] for a, b in zip(at, at[1:])]
+
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are one pre-token each, encoded as one line."""
+        found = self.library.encode(" ".join(words), add_special_tokens=False)
+        of = np.array(found.word_ids, np.int64)
+        if not len(of) or of[-1] != len(words) - 1:
+            raise ValueError("a word of letters is not one pre-token")
+        return self._cut(found.ids, np.searchsorted(of, np.arange(len(words) + 1)))
+
+    def _signs(self, words: list[str]) -> list[bytes]:
+        """Ids of any words without an added token: one line with an added token between them."""
+        found = self.library.encode(self.between["content"].join(words), add_special_tokens=False).ids
+        ends = np.append(np.flatnonzero(np.array(found, self.kind) == self.between["id"]), len(found))
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        pairs = self._cut(found, np.stack([starts, ends], axis=1).ravel())
+        return pairs[::2]
+
+    def _learn(self, words: list[bytes]) -> None:
+        line = b" ".join(words)
+        odd = {w for w in words if any(a in w for a in self.added)} if any(a in line for a in self.added) else set()
+        self.memory.update(zip(odd, self._texts([w.decode() for w in odd]), strict=True))
+        words = [w for w in words if w not in odd]
+        # signs at the end, after a letter or digit, are a token of their own: both parts are looked up by themselves
+        parts = [(core, w[len(core):]) if len(core := w.rstrip(SIGNS)) < len(w) and _ends_settled(core) else (w, b"")
+                 for w in words]
+        new = list({p for pair in parts for p in pair if p}.difference(self.cores))
+        read = [p.decode() for p in new]
+        settled = UNSETTLED.search(" ".join(read)) is None
+        plain = [w.isalpha() and (settled or UNSETTLED.search(w) is None) for w in read]
+        for kind, encode_line in ((True, self._letters), (False, self._signs)):
+            own = [i for i, p in enumerate(plain) if p is kind]
+            for at in range(0, len(own), self.AT_ONCE):
+                part = own[at:at + self.AT_ONCE]
+                self.cores.update(zip([new[i] for i in part], encode_line([read[i] for i in part]), strict=True))
+        self.cores[b""] = b""
+        get = self.cores.__getitem__
+        self.memory.update((w, get(a) + get(b)) for w, (a, b) in zip(words, parts, strict=True))
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
-            return self._library([t.decode() for t in texts])
-        words = [t.split() for t in texts]  # at ASCII white space
+            return self._texts([t.decode() for t in texts])
         if len(self.memory) > self.KEEP:
-            self.memory.clear()
-        new = list(set().union(*words).difference(self.memory))
-        if new:
-            self.memory.update(zip(new, self._library([w.decode() for w in new]), strict=True))
+            self.memory, self.older, self.cores = {}, self.memory, {}
+        words = []
+        for t in texts:  # at ASCII white space; in lower case where that can't make an added token or change NFC
+            low = t.lower() if self.to_lower and b"\xcc" not in t and b"\xcd" not in t else t
+            words.append((t if any(a in low for a in self.lower_added) else low).split())
+        new = set().union(*words).difference(self.memory)
+        known = new.intersection(self.older)
+        self.memory.update(zip(known, map(self.older.__getitem__, known), strict=True))
+        if new := list(new.difference(known)):
+            self._learn(new)
         get = self.memory.__getitem__
         return [b"".join(map(get, w)) for w in words]
 
 
-_LOADED: dict[int, Encoder] = {}
+_LOADED: dict[tuple[int, int], Encoder] = {}
 
 
-def _encoder(content: bytes) -> Encoder:
-    key = hash(content)
+def _encoder(content: bytes, width: int) -> Encoder:
+    key = hash(content), width
     if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = Encoder(content)
+        _LOADED[key] = Encoder(content, width)
     return _LOADED[key]
 
 
@@ -122,17 +194,17 @@ def train_dictionary(samples: list[bytes]) -> bytes:
         return b"".join(samples)[:DICTIONARY_BYTES]
 
 
-def encode(docs: DataFrame, tokenizer_path: str, end_id: int | None) -> DataFrame:
-    """(id, n, ids) with ids as little-endian uint32 bytes, for ``docs`` (id, text)."""
+def encode(docs: DataFrame, tokenizer_path: str, end_id: int | None, width: int) -> DataFrame:
+    """(id, n, ids) with ids as little-endian integers of ``width`` bytes, for ``docs`` (id, text)."""
     content = shared_file(prepare(docs), tokenizer_path)
-    end = b"" if end_id is None else struct.pack("<I", end_id)
+    end = b"" if end_id is None else end_id.to_bytes(width, "little")
 
     def task(batches):
-        encoder = _encoder(content.value)
+        encoder = _encoder(content.value, width)
         for batch in slices(batches):
             ids = [x + end for x in encoder(text_bytes(batch.column("text")))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+                [batch.column("id"), pa.array([len(x) // width for x in ids], pa.int64()), pa.array(ids, pa.binary())],
                 names=["id", "n", "ids"])
 
     kind = docs.schema["id"].dataType.simpleString()
@@ -171,8 +243,6 @@ def _writer(folder: str, width: int, dictionary, file_ids: int):
         held = 0
         for batch in slices(batches, "ids"):
             for x, n in zip(batch.column("ids").to_pylist(), batch.column("n").to_pylist(), strict=True):
-                if width == 2:
-                    x = np.frombuffer(x, "<u4").astype("<u2").tobytes()
                 frames.append(packer.compress(x))
                 lengths.append(len(frames[-1]))
                 counts.append(n)
@@ -196,15 +266,13 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id:
     top = max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"]), end_id or 0])
     width = 2 if top < 1 << 16 else 4
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    staged = write_once(encode(docs, tokenizer_path, end_id), "token-files-ids")
+    staged = write_once(encode(docs, tokenizer_path, end_id, width), "token-files-ids")
     total, rows = staged.agg(F.sum("n"), F.count(F.lit(1))).first()
     # a hash decides which documents the dictionary is trained on; SAMPLE_DOCS bounds their number
     one_in = max(1, (rows or 0) // SAMPLE_DOCS)
     sample = (staged.filter(F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(one_in)) == 0)
               .select(F.expr(f"substring(ids, 1, {SAMPLE_BYTES})").alias("x")).limit(2 * SAMPLE_DOCS).collect())
     cut = [bytes(r["x"]) for r in sample]
-    if width == 2:
-        cut = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in cut]
     content = train_dictionary([x for x in cut if x])
     fs, root = _filesystem(folder)
     fs.create_dir(root, recursive=True)
