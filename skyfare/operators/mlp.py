@@ -89,16 +89,23 @@ def loss_and_grad(ws: Sequence[np.ndarray], x: np.ndarray, y: np.ndarray):
 def _adam_pass(shapes, state: np.ndarray, step: int, lr: float, batches, feats, label, scale: float, seed: int):
     """64-row Adam steps over a partition's rows from the shared ``state`` (weights, both moments).
 
-    Returns (state after the last step, rows, summed loss).  Rows come in Arrow
-    batches; each batch is shuffled by itself, so memory is bounded.
+    Returns (state after the last step, rows, summed loss, validation rows, their
+    summed squared error under the shared weights).  Rows come in Arrow batches;
+    each batch is shuffled by itself, so memory is bounded.
     """
     n_weights = len(state) // 3
     w, m, v = (state[i * n_weights:(i + 1) * n_weights].copy() for i in range(3))
     like = [np.empty(s) for s in shapes]
-    rng, rows, total = np.random.default_rng(seed), 0, 0.0
+    given = _unflatten(w.copy(), like)
+    rng, rows, total, val_rows, val_total = np.random.default_rng(seed), 0, 0.0, 0, 0.0
     for pdf in batches:
+        held = pdf["_is_val"].to_numpy(dtype=bool)
         x = pdf[feats].to_numpy(dtype=float)
         y = pdf[label].to_numpy(dtype=float) / scale
+        if held.any():
+            val_rows += int(held.sum())
+            val_total += float(((forward(given, x[held]) - y[held]) ** 2).sum())
+            x, y = x[~held], y[~held]
         order = rng.permutation(len(y))
         for at in range(0, len(y), BATCH_ROWS):
             part = order[at:at + BATCH_ROWS]
@@ -109,29 +116,35 @@ def _adam_pass(shapes, state: np.ndarray, step: int, lr: float, batches, feats,
             v = BETA_2 * v + (1 - BETA_2) * g * g
             w = w - lr * (m / (1 - BETA_1 ** step)) / (np.sqrt(v / (1 - BETA_2 ** step)) + EPSILON)
             rows, total = rows + len(part), total + loss
-    return np.concatenate([w, m, v]), rows, total
+    return np.concatenate([w, m, v]), rows, total, val_rows, val_total
 
 
-def _epoch(train: DataFrame, feats: list[str], label: str, shapes, state, step: int, lr: float, scale: float,
+def _epoch(data: DataFrame, feats: list[str], label: str, shapes, state, step: int, lr: float, scale: float,
            seed: int):
-    """One pass: every partition trains on its rows, the states are averaged by row count."""
+    """One pass: every partition trains on its rows, the states are averaged by row count.
+
+    Returns (state, steps so far, training loss, validation loss of the state that was given).
+    """
     def part(batches):
         from pyspark import TaskContext
-        out, rows, total = _adam_pass(shapes, state, step, lr, batches, feats, label, scale,
-                                      seed + TaskContext.get().partitionId())
-        if rows:
-            yield pd.DataFrame({"v": [(out * rows).tolist() + [float(rows), total, 1.0]]})
+        out, rows, total, val_rows, val_total = _adam_pass(
+            shapes, state, step, lr, batches, feats, label, scale, seed + TaskContext.get().partitionId())
+        if rows or val_rows:
+            sums = [float(rows), total, float(rows > 0), float(val_rows), val_total]
+            yield pd.DataFrame({"v": [(out * rows).tolist() + sums]})
 
     # the states are added up on the executors: one number for each entry reaches the
     # driver, however many partitions there are
-    summed = (train.mapInPandas(part, "v array<double>").select(F.posexplode("v").alias("i", "v"))
+    summed = (data.mapInPandas(part, "v array<double>").select(F.posexplode("v").alias("i", "v"))
               .groupBy("i").agg(F.sum("v").alias("v")).collect())
-    acc = np.zeros(len(state) + 3)
+    acc = np.zeros(len(state) + 5)
     for r in summed:
         acc[r["i"]] = r["v"]
-    rows, total, parts = acc[len(state):]
+    rows, total, parts, val_rows, val_total = acc[len(state):]
     steps = int(np.ceil(rows / max(parts, 1) / BATCH_ROWS))
-    return acc[:len(state)] / max(rows, 1), step + steps, total / max(rows, 1) * scale ** 2
+    after = acc[:len(state)] / rows if rows else state
+    val = val_total / val_rows * scale ** 2 if val_rows else float("nan")
+    return after, step + steps, total / max(rows, 1) * scale ** 2, val
 
 
 def mean_squared_error(df: DataFrame, ws: Sequence[np.ndarray], feats: Sequence[str], label: str) -> float:
@@ -146,7 +159,9 @@ def train_mlp(train: DataFrame, feats: Sequence[str], label: str, key_cols: Sequ
 
     20% of the training rows (by key hash) are held out for validation.  The
     best weights by validation loss are kept; the learning rate drops x0.2
-    after 3 epochs without improvement and training stops after 10.  The label
+    after 3 epochs without improvement and training stops after 10.  A pass also
+    scores the weights it starts from, so an epoch's validation loss is known
+    one pass later and no pass is for validation alone.  The label
     is divided by its largest value while training, and the weights returned
     give it back in its own unit.
     """
@@ -155,7 +170,6 @@ def train_mlp(train: DataFrame, feats: Sequence[str], label: str, key_cols: Sequ
     rows = (train.select(*key_cols, *feats, label).dropna(subset=feats + [label])
             .select(*feats, label, (split_bucket(key_cols, "val") < VALIDATION_TENTHS).alias("_is_val")))
     rows = write_once(rows, "mlp-rows")
-    fit_rows, val_rows = (rows.where(c).select(*feats, label) for c in (~F.col("_is_val"), F.col("_is_val")))
     top, mean = rows.agg(F.max(F.abs(label)), F.avg(label)).first()
     scale = float(top or 1.0)
     ws = init_weights(layer_sizes(len(feats)), seed)
@@ -171,19 +185,21 @@ def train_mlp(train: DataFrame, feats: Sequence[str], label: str, key_cols: Sequ
         out = _unflatten(state[:len(flat)].copy(), ws)
         return [*out[:-2], out[-2] * scale, out[-1] * scale]
 
-    for epoch in range(epochs):
-        state, step, loss = _epoch(fit_rows, feats, label, shapes, state, step, lr, scale, seed * 1009 + epoch)
-        now = in_unit(state)
-        val = mean_squared_error(val_rows, now, feats, label)
-        history.append((epoch, loss, lr, val))
-        if val < best_loss:
-            best, best_loss, since_best, since_lr = now, val, 0, 0
-        else:
-            since_best, since_lr = since_best + 1, since_lr + 1
-            if since_best >= EARLY_STOP_PATIENCE:
-                break
-            if since_lr >= LR_PATIENCE:
-                lr, since_lr = lr * LR_FACTOR, 0
+    last = None
+    for epoch in range(epochs + 1):
+        after, steps, loss, val = _epoch(rows, feats, label, shapes, state, step, lr, scale, seed * 1009 + epoch)
+        if last is not None:  # ``state`` is what the epoch before arrived at
+            history.append((epoch - 1, *last, val))
+            if val < best_loss:
+                best, best_loss, since_best, since_lr = in_unit(state), val, 0, 0
+            else:
+                since_best, since_lr = since_best + 1, since_lr + 1
+                if since_best >= EARLY_STOP_PATIENCE:
+                    break
+        last = (loss, lr)
+        state, step = after, steps
+        if since_lr >= LR_PATIENCE:
+            lr, since_lr = lr * LR_FACTOR, 0
     return best, history
 
 

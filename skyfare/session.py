@@ -88,10 +88,29 @@ def write_once(df, name: str):
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Tables that ``write_once`` made and ``discard_written`` has not deleted yet.
+_WRITTEN: list[str] = []
+
+
+def discard_written(spark: SparkSession) -> int:
+    """Delete the tables that ``write_once`` has made; call it when all results have been read.
+
+    DataFrames that were returned before may still read them, so nothing is
+    deleted on its own.  Returns the number of tables.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    done = 0
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        done += bool(path.getFileSystem(conf).delete(path, True))
+    return done
+
+
 _SHIP_LOCK = threading.Lock()
 
 

@@ -94,3 +94,14 @@ def test_trip_duration_ignores_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got[0] == 7200.0 and got[1] == dt.date(2021, 3, 14)
+
+
+def test_written_tables_are_discarded_on_request(spark):
+    from skyfare import session
+    kept, session._WRITTEN[:] = list(session._WRITTEN), []
+    df = session.write_once(spark.range(5).toDF("x"), "discard-me")
+    path = session._WRITTEN[0]
+    assert df.count() == 5 and session.discard_written(spark) == 1
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    assert not fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs_path)
+    session._WRITTEN[:] = kept
