@@ -18,10 +18,12 @@ from __future__ import annotations
 import math
 import struct
 
-import numpy as np
+import ahocorasick
 import regex
 
 MARK = "▁"
+#: Stands between the parts that the automaton reads in one line; and their number, about.
+SEPARATOR, LINE_PARTS = "\0", 1 << 15
 #: Piece types of the model file (fixed values).
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -84,8 +86,8 @@ class Spec:
 class PieceTransducer:
     """Encoder and decoder of one model."""
 
-    #: Units and neighbouring pieces that are kept, about; then the memory starts afresh.
-    KEEP_UNITS, KEEP_PAIRS = 1 << 19, 1 << 19
+    #: Units of a generation (the last two are kept), and neighbouring pieces, about.
+    KEEP_UNITS, KEEP_PAIRS = 1 << 18, 1 << 19
 
     def __init__(self, content: bytes):
         self.spec = spec = Spec(content)
@@ -99,15 +101,17 @@ class PieceTransducer:
         self.by_word = not any(MARK in p.lstrip(MARK) for p in self.ids)
         self.units_of = regex.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
         self.memory: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
-        self.pairs: dict[str | None, dict[str, bool]] = {}
+        self.pairs: dict[str, dict[str, bool]] = {}
         self.kept = 0
-        self.trie: dict = {}
+        self.automaton = ahocorasick.Automaton()
         for p in self.ids:
-            node = self.trie
-            for c in p:
-                node = node.setdefault(c, {})
-            node[""] = p
+            self.automaton.add_word(p, (p, len(p)))
+        self.automaton.make_automaton()
+        self.characters = {p for p in self.ids if len(p) == 1}
+        if any(SEPARATOR in p for p in self.ids) or self.spec.kind == BPE and not self.spec.byte_fallback:
+            raise ValueError("BPE models without byte fallback, or with a zero character in a piece, are not supported")
         # no piece holds two characters side by side that are not among these: units can be cut there
         self.beside = {a + b for p in self.ids for a, b in zip(p, p[1:])}
         self.histories: dict[str, tuple] = {}
@@ -173,35 +177,42 @@ class PieceTransducer:
 
     # shortest paths
 
-    def _fits(self, before: str | None, piece: str) -> bool:
-        return self._history(piece)[0] is not None if before is None else self.together(before, piece)
+    def _fits(self, before: str, piece: str) -> bool:
+        return self.together(before, piece) if before else self._history(piece)[0] is not None
 
-    def _bpe_path(self, unit: str) -> list[str]:
-        n, trie, pairs = len(unit), self.trie, self.pairs
-        last: list[str | None] = [None] * (n + 1)  # the piece before each place, on the only finite path
-        for start in range(n):
-            before = last[start]
-            if (known := pairs.get(before)) is None:
-                known = pairs[before] = {}
-            node = trie
-            for end in range(start + 1, n + 1):
-                node = node.get(unit[end - 1])
-                if node is None:
-                    break
-                if last[end] is None and (piece := node.get("")) is not None:
-                    if (fits := known.get(piece)) is None:
-                        fits = known[piece] = self._fits(before, piece)
-                        self.kept += 1
-                    if fits:
-                        last[end] = piece
-            if last[start + 1] is None and unit[start] not in self.ids:  # a character for byte fallback
-                if self._fits(before, unit[start]):
-                    last[start + 1] = unit[start]
-        out, at = [], n
-        while at:
-            out.append(last[at])
-            at -= len(last[at])
-        return out[::-1]
+    def _bpe_paths(self, parts: list[str]) -> list[list[str]]:
+        """The only finite path through each part; all characters must be pieces.
+
+        The parts stand in one line that the automaton of all pieces reads once;
+        it reports the arcs by the place where they end, longest first.  The
+        state at a place is the piece before it, and of the arcs that end there
+        just one fits the state that it comes from.
+        """
+        line, pairs, fits_of = SEPARATOR.join(parts), self.pairs, self._fits
+        last: list[str | None] = [None] * (len(line) + 1)
+        at = 0
+        for part in parts:
+            last[at] = ""
+            at += len(part) + 1
+        for end, (piece, size) in self.automaton.iter(line):
+            if last[end + 1] is None:
+                before = last[end + 1 - size]
+                if (known := pairs.get(before)) is None:
+                    known = pairs[before] = {}
+                if (fits := known.get(piece)) is None:
+                    fits = known[piece] = fits_of(before, piece)
+                    self.kept += 1
+                if fits:
+                    last[end + 1] = piece
+        out, start = [], 0
+        for part in parts:
+            path, at = [], start + len(part)
+            while at > start:
+                path.append(last[at])
+                at -= len(last[at])
+            out.append(path[::-1])
+            start += len(part) + 1
+        return out
 
     def _unigram_path(self, unit: str) -> list[str]:
         n = len(unit)
@@ -218,19 +229,16 @@ class PieceTransducer:
             at -= len(last[at])
         return out[::-1]
 
-    def _unit_ids(self, unit: str) -> bytes:
+    def _cut(self, unit: str) -> list[str]:
+        """The unit cut where no piece can go across; characters that are no piece come out alone."""
+        if not self.spec.byte_fallback:  # unknown characters in a row are one piece
+            return [unit]
+        if unit[1:].isalpha() and self.characters.issuperset(unit):
+            return [unit]
         cuts = [i for i in range(1, len(unit)) if unit[i - 1:i + 1] not in self.beside]
-        if not cuts or not self.spec.byte_fallback:  # without fallback, unknown characters side by side are one piece
-            return self._ids(unit)
-        out = []
-        for a, b in zip([0, *cuts], [*cuts, len(unit)]):
-            if (ids := self.parts.get(part := unit[a:b])) is None:
-                ids = self.parts[part] = self._ids(part)
-            out.append(ids)
-        return b"".join(out)
-
-    def _ids(self, unit: str) -> bytes:
-        path = self._bpe_path(unit) if self.spec.kind == BPE else self._unigram_path(unit)
+        return [unit[a:b] for a, b in zip([0, *cuts], [*cuts, len(unit)])]
+
+    def _ids_of(self, path: list[str]) -> bytes:
         out, unknown = [], False
         for piece in path:
             if (i := self.ids.get(piece)) is not None:
@@ -240,14 +248,27 @@ class PieceTransducer:
             elif not unknown:  # neighbouring unknown characters are one unknown piece
                 out.append(self.unknown)
             unknown = i is None
-        return np.array(out, "<i4").tobytes()
+        return struct.pack(f"<{len(out)}i", *out)
+
+    def _learn(self, units: list[str]) -> list[bytes]:
+        """Ids of new units."""
+        cut = [self._cut(u) for u in units]
+        new = list({p for parts in cut for p in parts}.difference(self.parts))
+        if self.spec.kind == UNIGRAM:
+            self.parts.update((p, self._ids_of(self._unigram_path(p))) for p in new)
+        else:
+            whole = [p for p in new if self.characters.issuperset(p)]
+            self.parts.update((p, self._ids_of([*p])) for p in new if not self.characters.issuperset(p))
+            for at in range(0, len(whole), LINE_PARTS):
+                some = whole[at:at + LINE_PARTS]
+                self.parts.update(zip(some, map(self._ids_of, self._bpe_paths(some)), strict=True))
+        get = self.parts.__getitem__
+        return [get(parts[0]) if len(parts) == 1 else b"".join(map(get, parts)) for parts in cut]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian int32."""
         if len(self.memory) > self.KEEP_UNITS:
-            self.memory.clear()
-        if len(self.parts) > self.KEEP_UNITS:
-            self.parts.clear()
+            self.memory, self.older, self.parts = {}, self.memory, {}
         if self.kept > self.KEEP_PAIRS:
             self.pairs.clear()
             self.kept = 0
@@ -261,8 +282,12 @@ class PieceTransducer:
                 units = self.units_of(line) if self.by_word else [line] if line else []
                 # a unit with one mark before it is kept without it, any other with a space in front as a sign
                 found.append([u[1:] if u[0] == MARK and MARK not in u[1:] else " " + u for u in units])
-        for unit in set().union(*found).difference(self.memory):
-            self.memory[unit] = self._unit_ids(unit[1:] if unit[:1] == " " else MARK + unit)
+        new = set().union(*found).difference(self.memory)
+        known = new.intersection(self.older)
+        self.memory.update(zip(known, map(self.older.__getitem__, known), strict=True))
+        if new := list(new.difference(known)):
+            ids = self._learn([unit[1:] if unit[:1] == " " else MARK + unit for unit in new])
+            self.memory.update(zip(new, ids, strict=True))
         get = self.memory.__getitem__
         return [b"".join(map(get, units)) for units in found]
 

@@ -58,7 +58,10 @@ def decode_pieces(encoded: DataFrame, model_path: str, id_col: str = "doc_id", i
         for batch in batches:
             for at in range(0, batch.num_rows, DECODE_ROWS):
                 part = batch.slice(at, DECODE_ROWS)
-                out = [transducer.decode(x or []) for x in part.column("ids").to_pylist()]
+                ends = part.column("ids").offsets.to_numpy()
+                values = part.column("ids").flatten().to_numpy(zero_copy_only=False).tolist()
+                ends = (ends - ends[0]).tolist()
+                out = [transducer.decode(values[a:b]) for a, b in zip(ends, ends[1:])]
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("ids"), pa.array(out, pa.string())],
                                                  names=["id", "ids", "text"])
 
