@@ -135,13 +135,12 @@ def _merge(batches):
 def repeated_filter(docs: DataFrame, min_chars: int) -> tuple[int, bytes]:
     """(log2 of the bits, compressed bits) of the twice-seen filter over all of ``docs``."""
     # an upper estimate of the keys: a line is a newline at least and min_chars long
-    text = F.coalesce("text", F.lit(""))
-    newlines = F.length(text) - F.length(F.translate(text, "\n", ""))
-    lines = docs.agg(F.sum(F.least(newlines + 1, F.floor(F.octet_length(text) / min_chars)).cast("long"))).first()[0]
+    size = F.octet_length("text")
+    newlines = size - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
+    lines = docs.agg(F.sum(F.least(newlines + 1, F.floor(size / min_chars)).cast("long"))).first()[0]
     log2 = min(MAX_LOG2, max(MIN_LOG2, int(BITS_PER_LINE * max(1, lines or 0) - 1).bit_length()))
     filled = docs.select("text").mapInArrow(_fill(log2, min_chars),
                                             "segment int, part int, once binary, twice binary")
-    filled = write_once(filled, "line-dedup-filters")
     segments = 1 << max(0, log2 - SEGMENT_LOG2)
     merged = (filled.repartition(segments, "segment").sortWithinPartitions("segment")
               .mapInArrow(_merge, "segment int, bits binary")).collect()  # bounded by MAX_LOG2
