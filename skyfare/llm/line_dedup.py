@@ -199,10 +199,12 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, id_col:
                  "suspects array<struct<key: string, lines: array<int>>>"), "line-dedup-marked")
     held = marked.filter("size(suspects) > 0")
     lines = held.select("row", "id", F.explode("suspects").alias("s")).select("row", "id", "s.key", "s.lines")
+    # counted by the exact key; what goes back to the rows is its digest, so the join's rows are small
+    digest = F.unhex(F.sha2("key", 256)).alias("digest")
     repeated = (lines.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.max("id").alias("keeper"))
-                .filter(F.col("docs") >= min_docs))
+                .filter(F.col("docs") >= min_docs).select(digest, "docs", "keeper"))
     repeated = write_once(repeated, "line-dedup-repeated")
-    drops = (join_by_class(lines, repeated, "key", "docs").filter(~F.col("id").eqNullSafe(F.col("keeper")))
+    drops = (join_by_class(lines.select("row", "id", digest, "lines"), repeated, "digest", "docs").filter(~F.col("id").eqNullSafe(F.col("keeper")))
              .groupBy("row").agg(F.flatten(F.collect_list("lines")).alias("drop")))
     columns = ["id", "text", "n_lines", "n_dropped"]
     changed = (held.select("row", "id", "text", "n_lines").join(drops, "row", "left").drop("row")
