@@ -41,7 +41,7 @@ class ByteBpe:
     """Token counts of a byte-level BPE tokenizer given as its JSON file's content."""
 
     #: Pre-tokens (and pieces between spaces) whose counts are kept, about; then the memory starts afresh.
-    KEEP = 1 << 20
+    KEEP = 1 << 19
 
     def __init__(self, content: bytes):
         spec = json.loads(content)

@@ -21,6 +21,21 @@ def prepare(df: DataFrame) -> SparkSession:
     return spark
 
 
+_STATE: dict = {}
+
+
+def worker_state(key, make):
+    """What ``make()`` gave for ``key`` in this worker process; only the last key's is kept.
+
+    Workers outlive a task, so tokenizers and their memories of words are made
+    once; the operator that comes next frees those of the one before.
+    """
+    if key not in _STATE:
+        _STATE.clear()
+        _STATE[key] = make()
+    return _STATE[key]
+
+
 def slices(batches, text: str = "text"):
     """Arrow batches cut to at most SLICE_BYTES of text each (one row at least)."""
     for batch in batches:

@@ -19,6 +19,8 @@ read; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import regex
@@ -26,14 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyfare.llm import crf
-from skyfare.llm.common import prepare, slices, texts
+from skyfare.llm.common import prepare, slices, texts, worker_state
 
 SAMPLE_PER_LANG, WINDOW, MAX_LANGS = 300, 1500, 200
 PIECE = 100_000
 UNKNOWN = "und"
 WORD = r"\p{L}+"
 #: Words whose potentials a worker keeps, about; and words labelled at once.
-KEEP, STREAM = 1 << 18, 1 << 18
+KEEP, STREAM = 1 << 18, 1 << 17
 
 
 def sample(labelled: DataFrame) -> list[tuple[str, str]]:
@@ -56,6 +58,7 @@ class Model:
     """Labels and weights of a fitted field; small, so it is broadcast."""
 
     def __init__(self, rows: list[tuple[str, str]]):
+        self.key = uuid.uuid4().hex  # tells models apart in a worker
         find = regex.compile(WORD).findall
         found = [(lang, words) for lang, x in rows if (words := find(x.lower()))]
         self.labels = sorted({lang for lang, _ in found})
@@ -133,16 +136,9 @@ class Labeller:
             score.tolist()
 
 
-_LABELLERS: dict[int, Labeller] = {}
-
-
 def _labeller(shared) -> Labeller:
     """One labeller in each worker process and model."""
-    model = shared.value
-    if id(model) not in _LABELLERS:
-        _LABELLERS.clear()
-        _LABELLERS[id(model)] = Labeller(model)
-    return _LABELLERS[id(model)]
+    return worker_state(("labeller", shared.value.key), lambda: Labeller(shared.value))
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:

@@ -14,21 +14,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyfare.llm.common import prepare, slices, texts
+from skyfare.llm.common import prepare, slices, texts, worker_state
 from skyfare.llm.piece_fst import PieceTransducer
 from skyfare.llm.token_counts import shared_file
 
-_LOADED: dict[int, PieceTransducer] = {}
 #: Ids decoded at once.
 DECODE_ROWS = 256
 
 
 def _transducer(content: bytes) -> PieceTransducer:
-    key = hash(content)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = PieceTransducer(content)
-    return _LOADED[key]
+    return worker_state(("pieces", hash(content)), lambda: PieceTransducer(content))
 
 
 def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

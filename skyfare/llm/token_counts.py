@@ -13,12 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyfare.llm.bpe_arrays import ByteBpe
-from skyfare.llm.common import prepare, slices, texts
+from skyfare.llm.common import prepare, slices, texts, worker_state
 
 MAX_FILE_BYTES = 64 << 20
 
-_LOADED: dict[int, ByteBpe] = {}
-
 
 def shared_file(spark, path: str):
     """A tokenizer file's content as a broadcast; its size is checked."""
@@ -31,11 +29,7 @@ def shared_file(spark, path: str):
 
 def _counter(content: bytes) -> ByteBpe:
     """One counter in each worker process, with its memory of pre-tokens."""
-    key = hash(content)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = ByteBpe(content)
-    return _LOADED[key]
+    return worker_state(("byte-bpe", hash(content)), lambda: ByteBpe(content))
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyfare.llm.common import prepare, slices, text_bytes
+from skyfare.llm.common import prepare, slices, text_bytes, worker_state
 from skyfare.llm.token_counts import shared_file
 from skyfare.session import write_once
 
@@ -162,15 +162,8 @@ class Encoder:
         return [b"".join(map(get, w)) for w in words]
 
 
-_LOADED: dict[tuple[int, int], Encoder] = {}
-
-
 def _encoder(content: bytes, width: int) -> Encoder:
-    key = hash(content), width
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Encoder(content, width)
-    return _LOADED[key]
+    return worker_state(("encoder", hash(content), width), lambda: Encoder(content, width))
 
 
 def _filesystem(folder: str):

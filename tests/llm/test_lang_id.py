@@ -64,19 +64,19 @@ def test_code_switched_text(spark):
     assert (label[:80] == en).mean() > 0.9 and (label[80:] == fr).mean() > 0.9
 
 
-def test_edges(spark, edge_docs, monkeypatch):
+def test_edges(edge_docs, monkeypatch):
     model = Model([("aa", "alpha beta gamma delta the of word"), ("zz", "中文 été straße head tail line")] * 5)
-    want = {}
-    for pieces in (100_000, 7):  # long texts piece by piece: the same rows, every text whole
-        monkeypatch.setattr(lang_id, "PIECE", pieces)
-        monkeypatch.setattr(lang_id, "_LABELLERS", {})
-        rows = lang_id.predict(edge_docs, model).collect()
-        assert len(rows) == len(edge_rows())
-        no_letter = sorted(i for i, t in edge_rows() if i is not None and not any(c.isalpha() for c in t or ""))
-        assert sorted(r.doc_id for r in rows if r.lang_pred == "und" and r.doc_id is not None) == no_letter
-        assert all(r.score == 0 for r in rows if r.lang_pred == "und") and all(0 <= r.score <= 1 for r in rows)
-        want[pieces] = {r.doc_id: r.lang_pred for r in rows}
-    assert want[7][50] == want[100_000][50] == "aa"
+    rows = lang_id.predict(edge_docs, model).collect()
+    assert len(rows) == len(edge_rows())
+    no_letter = sorted(i for i, t in edge_rows() if i is not None and not any(c.isalpha() for c in t or ""))
+    assert sorted(r.doc_id for r in rows if r.lang_pred == "und" and r.doc_id is not None) == no_letter
+    assert all(r.score == 0 for r in rows if r.lang_pred == "und") and all(0 <= r.score <= 1 for r in rows)
+    found = {r.doc_id: r.lang_pred for r in rows}
+    monkeypatch.setattr(lang_id, "PIECE", 7)  # long texts piece by piece: every word still counts
+    monkeypatch.setattr(lang_id, "STREAM", 50)
+    langs, score = Labeller(model)([t or "" for _, t in edge_rows()])
+    assert found[50] == "aa" == dict(zip([i for i, _ in edge_rows()], langs, strict=True))[50]
+    assert all(0 <= s <= 1 for s in score)
 
 
 def test_no_labels_and_empty_table(spark, edge_docs, no_docs):
