@@ -9,7 +9,11 @@ The search has two rounds.  The first visits the nearest cells until they hold
 ``first`` vectors, which gives a lower bound of the k-th best score.  The second
 goes on until, by the spread of the vectors around their centroids, fewer than
 ``miss`` x k vectors above that bound can be expected in the cells left, so the
-recall aimed at is the same for any size and shape of the data.
+recall aimed at is the same for any size and shape of the data.  The spread is
+taken along the query: each centroid has the size of its residuals, and one
+covariance matrix over both halves has their shape and how the halves go
+together, so that vectors near a space of few dimensions are not taken to
+spread as little as in all of them.
 
 The codebooks are fitted on a bounded sample (``SAMPLE`` vectors, chosen by a
 hash); every vector is indexed.  Of equal vectors only the k + 1 smallest ids
@@ -83,7 +87,8 @@ class Index:
         self.books = [kmeans(sample[:, :self.half], k), kmeans(sample[:, self.half:], k)]
         self.k = k
         self.count = np.zeros(k * k, np.int64)
-        self.spread = [np.zeros(k), np.zeros(k)]
+        self.spread = [np.zeros(k), np.zeros(k)]  # mean squared residual of each centroid
+        self.shape = np.zeros((sample.shape[1], sample.shape[1]))  # mean outer product of ``scaled`` residuals
 
     def assign(self, x: np.ndarray):
         """(cell, squared residual of each half) of vectors."""
@@ -91,6 +96,22 @@ class Index:
         return (i * self.k + j, ((x[:, :self.half] - self.books[0][i]) ** 2).sum(axis=1),
                 ((x[:, self.half:] - self.books[1][j]) ** 2).sum(axis=1))
 
+    def scaled(self, x: np.ndarray, cell: np.ndarray) -> np.ndarray:
+        """Residuals of vectors, each half in units of its centroid's spread."""
+        out = []
+        for part, c, book, spread in zip((x[:, :self.half], x[:, self.half:]), (cell // self.k, cell % self.k),
+                                         self.books, self.spread, strict=True):
+            unit = np.divide(1.0, np.sqrt(spread), out=np.zeros(self.k), where=spread > 0)
+            out.append((part - book[c]) * unit[c, None])
+        return np.concatenate(out, axis=1)
+
+    def variance(self, q: np.ndarray) -> np.ndarray:
+        """(k, k): variance along ``q`` of the residuals of each cell; halves that go against each other count as free."""
+        h, (one, two) = self.half, self.spread
+        along = self.shape[:h, :h] @ q[:h] @ q[:h], self.shape[h:, h:] @ q[h:] @ q[h:]
+        both = max(0.0, float(q[:h] @ self.shape[:h, h:] @ q[h:]))
+        return along[0] * one[:, None] + along[1] * two[None, :] + 2 * both * np.sqrt(one[:, None] * two[None, :])
+
     def first_cells(self, q: np.ndarray, enough: int) -> list[int]:
         """Nearest cells until they hold ``enough`` vectors."""
         out, held = [], 0
@@ -105,10 +126,8 @@ class Index:
 
     def more_cells(self, q: np.ndarray, bound: float, skip: int, allowed: float) -> list[int]:
         """The cells after the first ``skip`` until ``allowed`` vectors above ``bound`` can be expected in the rest."""
-        q1, q2 = q[:self.half], q[self.half:]
-        s1, s2 = self.books[0] @ q1, self.books[1] @ q2
-        var = ((q1 @ q1) * self.spread[0])[:, None] + ((q2 @ q2) * self.spread[1])[None, :]
-        z = (bound - (s1[:, None] + s2[None, :])) / np.sqrt(np.maximum(var, 1e-18))
+        s1, s2 = self.books[0] @ q[:self.half], self.books[1] @ q[self.half:]
+        z = (bound - (s1[:, None] + s2[None, :])) / np.sqrt(np.maximum(self.variance(q), 1e-18))
         expected = self.count.reshape(self.k, self.k) * 0.5 * _erfc(z / math.sqrt(2))
         flat, count = expected.ravel().tolist(), self.count
         left, out = float(expected.sum()), []
@@ -247,10 +266,25 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, firs
         assign, f"id {kinds}, v array<double>, cell int, shard int, r1 double, r2 double"), "multi-index-points")
     for r in points.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():  # MAX_CENTROIDS ** 2 rows at most
         index.count[r["cell"]] = r["n"]
-    for side, (by, res, width) in enumerate(((F.col("shard"), "r1", index.half),
-                                             (F.col("cell") % index.k, "r2", dim - index.half))):
-        for r in points.groupBy(by.alias("c")).agg((F.avg(res) / max(1, width)).alias("s")).collect():
+    for side, (by, res) in enumerate(((F.col("shard"), "r1"), (F.col("cell") % index.k, "r2"))):
+        for r in points.groupBy(by.alias("c")).agg(F.avg(res).alias("s")).collect():
             index.spread[side][r["c"]] = r["s"]
+    spread = spark.sparkContext.broadcast(index)
+
+    def products(batches):
+        """Sum of the outer products of one partition's scaled residuals, an entry a row."""
+        total = np.zeros((dim, dim))
+        for batch in batches:
+            if batch.num_rows:
+                u = spread.value.scaled(_matrix(batch.column("v")), batch.column("cell").to_numpy())
+                total += u.T @ u
+        if total.any():
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim * dim, dtype=np.int32)), pa.array(total.ravel())],
+                                             names=["at", "x"])
+
+    entries = (points.select("v", "cell").mapInArrow(products, "at int, x double")
+               .groupBy("at").agg(F.sum("x").alias("x")).toArrow())  # dim ** 2 rows
+    index.shape.ravel()[entries.column("at").to_numpy()] = entries.column("x").to_numpy() / max(1, int(index.count.sum()))
     counted = spark.sparkContext.broadcast(index)
     points = points.select("id", "v", "cell", "shard")
 

@@ -85,6 +85,39 @@ def test_recall(spark, crowded, monkeypatch):
     assert hits / (20 * 300) >= 0.95
 
 
+@pytest.mark.parametrize("n, rank", [(4000, 16), (12_000, 16), (12_000, 32), (30_000, 8)])
+def test_recall_near_a_space_of_few_dimensions(spark, n, rank):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(n, rank)) @ rng.normal(size=(rank, 64))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    df = frame(spark, [(i, v.tolist()) for i, v in enumerate(x)]).repartition(6)
+    out = nearest_neighbours(df, df.filter(f"vec_id % {n // 60} = 0"), k=20, first=300).toPandas()
+    y = x.astype(np.float64)
+    hits = total = 0
+    for q, part in out.groupby("query_id"):
+        score = y @ y[q]
+        score[q] = -np.inf
+        hits += (part.score.to_numpy() >= np.sort(score)[-20] - 1e-12).sum()
+        total += 20
+    assert total >= 20 * 60 and hits / total >= 0.97
+
+
+def test_variance_along_a_query_is_that_of_the_residuals():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(4000, 3)) @ rng.normal(size=(3, 12))
+    index = Index(x, 4)
+    cell, *residual = index.assign(x)
+    for side, c in enumerate((cell // 4, cell % 4)):
+        index.spread[side] = np.bincount(c, residual[side], 4) / np.bincount(c, minlength=4)
+    u = index.scaled(x, cell)
+    index.shape = u.T @ u / len(u)
+    ratio = []
+    for q in x[:200]:
+        off = (x[:, :6] - index.books[0][cell // 4]) @ q[:6] + (x[:, 6:] - index.books[1][cell % 4]) @ q[6:]
+        ratio.append((off ** 2).mean() / index.variance(q).ravel()[cell].mean())
+    assert 0.7 < np.median(ratio) < 1.3
+
+
 def test_codebooks_cover_both_halves():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(500, 7))
