@@ -4,7 +4,9 @@ The words of many sequences stand one after the other in one stream.  It is cut
 into equal blocks that forward-backward goes through side by side: transfer
 matrices of all blocks first, then the state at each block's ends, then the
 marginals inside the blocks.  Where a sequence starts the chain is reset, so
-sequences may begin anywhere in a block.
+sequences may begin anywhere in a block.  The transfer matrices cost the third power of
+the number of labels; with more than ``BLOCK_LABELS`` of them all sequences are
+gone through side by side instead, a word at a time, with the same marginals.
 """
 
 from __future__ import annotations
@@ -13,19 +15,27 @@ import numpy as np
 
 BLOCK = 128
 FLOOR = np.float32(1e-12)
-#: Rows of the weight table that features are hashed into.
-BUCKETS_LOG2 = 18
+BLOCK_LABELS = 48
+#: Rows of the weight table that features are hashed into, at most; and its entries, so with more labels it has fewer rows.
+BUCKETS_LOG2, TABLE_LOG2 = 18, 24
+#: Words times labels that training holds at once, about.
+CELLS = 1 << 25
 #: Affixes of these lengths, n-grams of these lengths, with a salt for each kind.
 AFFIXES, NGRAMS, LEXICON_SALT = (1, 2, 3), (2, 3), 97
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
+def buckets_log2(labels: int) -> int:
+    return min(BUCKETS_LOG2, TABLE_LOG2 - max(0, labels - 1).bit_length())
+
+
+def _mixed(h: np.ndarray, log2: int) -> np.ndarray:
     """Bucket of 64-bit hashes (multiplicative mixing)."""
     h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return (h >> np.uint64(64 - BUCKETS_LOG2)).astype(np.int32)
+    return (h >> np.uint64(64 - log2)).astype(np.int32)
 
 
-def word_features(words: list[str], lexicon: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_features(words: list[str], lexicon: np.ndarray,
+                  log2: int = BUCKETS_LOG2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(buckets, index of the word of each, whole-word hashes).
 
     Features of a word: prefixes and suffixes, inner n-grams, and its lexicon
@@ -44,7 +54,7 @@ def word_features(words: list[str], lexicon: np.ndarray) -> tuple[np.ndarray, np
     buckets, owners = [], []
 
     def add(values, of, salt):
-        buckets.append(_mixed(values * prime + np.uint64(salt)))
+        buckets.append(_mixed(values * prime + np.uint64(salt), log2))
         owners.append(of)
 
     for n in AFFIXES:
@@ -78,6 +88,8 @@ def potentials(scores: np.ndarray) -> np.ndarray:
 def forward_backward(b: np.ndarray, start: np.ndarray, trans: np.ndarray, first: np.ndarray):
     """(alpha, beta, marginals) of the stream; ``b``: potentials, ``start``: where sequences begin."""
     n, k = b.shape
+    if k > BLOCK_LABELS:
+        return _by_sequence(b, start, trans.astype(np.float32), first.astype(np.float32))
     blocks = -(-n // BLOCK)
     pad = blocks * BLOCK - n
     b = np.concatenate([b, np.ones((pad, k), np.float32)]).reshape(blocks, BLOCK, k).transpose(1, 0, 2).copy()
@@ -129,6 +141,42 @@ def forward_backward(b: np.ndarray, start: np.ndarray, trans: np.ndarray, first:
     return flat[0], flat[1], gamma
 
 
+def _by_sequence(b: np.ndarray, start: np.ndarray, trans: np.ndarray, first: np.ndarray):
+    """``forward_backward`` over all sequences side by side; the stream's first word starts one."""
+    n, k = b.shape
+    begin = np.flatnonzero(start)
+    size = np.diff(begin, append=n)
+    order = np.argsort(-size, kind="stable")
+    begin, size = begin[order], size[order]
+    longer = np.searchsorted(-size, -np.arange(size[0] + 1), side="left")  # sequences with a word at each place
+    alpha, beta = np.empty_like(b), np.full_like(b, 1 / k)
+    for t in range(size[0]):
+        at = begin[:longer[t]] + t
+        state = (alpha[at - 1] @ trans if t else first) * b[at]
+        alpha[at] = state / state.sum(axis=1, keepdims=True)
+    back = trans.T.copy()
+    for t in range(size[0] - 2, -1, -1):
+        at = begin[:longer[t + 1]] + t
+        state = (b[at + 1] * beta[at + 1]) @ back
+        beta[at] = state / state.sum(axis=1, keepdims=True)
+    gamma = alpha * beta
+    gamma /= gamma.sum(axis=1, keepdims=True)
+    return alpha, beta, gamma
+
+
+def _parts(start: np.ndarray, labels: int) -> list[slice]:
+    """The stream in whole sequences, about CELLS // labels words each."""
+    begin, most, cuts = np.flatnonzero(start), max(1, CELLS // labels), [0]
+    while len(start) - cuts[-1] > most:
+        place = np.searchsorted(begin, cuts[-1] + most, side="right") - 1
+        if begin[place] <= cuts[-1]:  # one sequence is longer
+            place += 1
+        if place == len(begin):
+            break
+        cuts.append(int(begin[place]))
+    return [slice(a, z) for a, z in zip(cuts, [*cuts[1:], len(start)], strict=True)]
+
+
 def train(words: list[str], word_of: np.ndarray, label: np.ndarray, start: np.ndarray, labels: int,
           lexicon_min: int = 2, rounds: int = 30, rate: float = 0.15, decay: float = 1e-3):
     """Fit by maximum likelihood (Adam); returns (weights, trans, first, lexicon).
@@ -138,28 +186,33 @@ def train(words: list[str], word_of: np.ndarray, label: np.ndarray, start: np.nd
     _, _, whole = word_features(words, np.empty(0, np.uint64))
     seen = np.bincount(word_of, minlength=len(words))
     lexicon = np.unique(whole[seen >= lexicon_min])
-    buckets, owners, _ = word_features(words, lexicon)
-    weights = np.zeros((1 << BUCKETS_LOG2, labels), np.float32)
+    log2 = buckets_log2(labels)
+    buckets, owners, _ = word_features(words, lexicon, log2)
+    weights = np.zeros((1 << log2, labels), np.float32)
     trans, first = np.zeros((labels, labels)), np.zeros(labels)
-    truth = np.zeros((len(word_of), labels), np.float32)
-    truth[np.arange(len(word_of)), label] = 1
     inner = np.flatnonzero(~start)
     pairs = np.zeros((labels, labels))
     np.add.at(pairs, (label[inner - 1], label[inner]), 1)
     params = [weights, trans, first]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
+    parts = _parts(start, labels)
     for step in range(1, rounds + 1):
-        b = potentials(emissions(weights, buckets, owners, len(words)))[word_of]
+        scores = potentials(emissions(weights, buckets, owners, len(words)))
         t, f = np.exp(trans - trans.max()), np.exp(first - first.max())
-        alpha, beta, gamma = forward_backward(b, start, t, f)
-        rest = gamma - truth
-        by_word = np.stack([np.bincount(word_of, rest[:, y], len(words)) for y in range(labels)], axis=1)
+        by_word, grad_t, grad_f = np.zeros((len(words), labels)), -pairs, np.zeros(labels)
+        for part in parts:
+            b, of, begins = scores[word_of[part]], word_of[part], start[part]
+            alpha, beta, rest = forward_backward(b, begins, t, f)
+            rest[np.arange(len(of)), label[part]] -= 1
+            for y in range(labels):
+                by_word[:, y] += np.bincount(of, rest[:, y], len(words))
+            inside = np.flatnonzero(~begins)
+            ahead = b[inside] * beta[inside]
+            before = alpha[inside - 1]
+            total = ((before @ t.astype(np.float32)) * ahead).sum(axis=1, keepdims=True)
+            grad_t = grad_t + (before / total).T.astype(np.float64) @ ahead * t
+            grad_f = grad_f + rest[begins].sum(axis=0)
         grad_w = np.stack([np.bincount(buckets, by_word[owners, y], len(weights)) for y in range(labels)], axis=1)
-        ahead = b[inner] * beta[inner]
-        before = alpha[inner - 1]
-        total = ((before @ t.astype(np.float32)) * ahead).sum(axis=1, keepdims=True)
-        grad_t = (before / total).T.astype(np.float64) @ ahead * t - pairs
-        grad_f = rest[start].sum(axis=0)
         for p, g, (m, v) in zip(params, (grad_w, grad_t, grad_f), moments, strict=True):
             g = g / len(word_of) + decay * p / len(word_of)
             m += 0.1 * (g - m)

@@ -6,9 +6,11 @@ switches inside a text are followed.  Forward-backward gives each word's label
 marginals; a text's language is the label with the largest mean over all its
 words, and the score is that mean.
 
-The model is fitted on a bounded sample: ``SAMPLE_PER_LANG`` labelled texts of a
-language at most, about ``WINDOW`` characters of each, chosen by a hash.
-Prediction reads whole texts; texts of more than ``PIECE`` words are labelled
+The model is fitted on a bounded sample of every language that labels a row:
+about ``SAMPLE_PER_LANG`` labelled texts of each (up to twice as many), fewer
+with many languages (``texts_per_lang``) but one at least, about ``WINDOW``
+characters of each text, chosen by a hash.  A language counts as soon as one of
+its texts has a letter in its window.  Prediction reads whole texts; texts of more than ``PIECE`` words are labelled
 piece by piece and the means go over all pieces.
 
 A null text or one without a letter is ``und`` with score 0, and so is
@@ -30,27 +32,41 @@ from pyspark.sql import functions as F
 from skyfare.llm import crf
 from skyfare.llm.common import prepare, slices, texts, worker_state
 
-SAMPLE_PER_LANG, WINDOW, MAX_LANGS = 300, 1500, 200
+SAMPLE_PER_LANG, WINDOW = 300, 1500
+#: Fewest texts of a language to aim at, and texts times squared languages, which training time goes by.
+LEAST_PER_LANG, WORK = 4, 1 << 19
 PIECE = 100_000
 UNKNOWN = "und"
 WORD = r"\p{L}+"
 #: Words whose potentials a worker keeps, about; and words labelled at once.
 KEEP, STREAM = 1 << 18, 1 << 17
+#: Words times labels of the words kept and of those labelled at once, which are fewer with many labels.
+KEEP_CELLS, STREAM_CELLS = 1 << 24, 1 << 22
+
+
+def texts_per_lang(langs: int) -> int:
+    return max(LEAST_PER_LANG, min(SAMPLE_PER_LANG, WORK // langs ** 2))
 
 
 def sample(labelled: DataFrame) -> list[tuple[str, str]]:
-    """(lang, window of text) of a bounded number of rows of ``labelled`` (id, text, lang)."""
+    """(lang, window of text) of a bounded number of rows of each language of ``labelled`` (id, text, lang)."""
     labelled = labelled.filter("lang IS NOT NULL AND text IS NOT NULL")
-    counts = (labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect())
-    if not counts:
-        return []
-    one_in = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], max(1, r["count"] // SAMPLE_PER_LANG))])
     key = F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("text"))
     start = F.pmod(F.xxhash64(key), F.greatest(F.lit(1), F.length("text") - WINDOW)).cast("int") + 1
-    rows = (labelled.withColumn("m", one_in[F.col("lang")]).filter(F.col("m").isNotNull())
-            .filter(F.pmod(key, F.col("m")) == 0)
-            .select("lang", F.substring("text", start, F.lit(WINDOW)).alias("x"), key.alias("key"))
-            .orderBy("key").limit(2 * SAMPLE_PER_LANG * len(counts)).collect())
+    window = F.substring("text", start, F.lit(WINDOW))
+    # the least key of those whose window has a letter is taken in any case, so that each language has a text
+    least = F.min(F.when(window.rlike(r"\p{L}"), key))
+    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), least.alias("least")).collect()
+    if not counts:
+        return []
+    each = texts_per_lang(len(counts))
+    one_in = labelled.sparkSession.createDataFrame(
+        [(r["lang"], max(1, r["n"] // each), r["least"]) for r in counts], "lang string, m long, least long")
+    # one row for each language; repeated rows count once
+    rows = (labelled.join(F.broadcast(one_in), "lang")
+            .filter((F.pmod(key, F.col("m")) == 0) | key.eqNullSafe(F.col("least")))
+            .select("lang", window.alias("x"), key.alias("key")).distinct().collect())
+    rows.sort(key=lambda r: (r["key"], r["lang"]))
     return [(r["lang"], r["x"]) for r in rows]
 
 
@@ -93,11 +109,11 @@ class Labeller:
         self.potentials = np.empty((0, len(model.labels)), np.float32)
 
     def _potentials(self, words: list[str]) -> np.ndarray:
-        if len(self.rows) > KEEP:
+        if len(self.rows) > min(KEEP, KEEP_CELLS // len(self.model.labels)):
             self.rows, self.potentials = {}, self.potentials[:0]
         new = list(set(words).difference(self.rows))
         if new:
-            buckets, owners, _ = crf.word_features(new, self.model.lexicon)
+            buckets, owners, _ = crf.word_features(new, self.model.lexicon, crf.buckets_log2(len(self.model.labels)))
             scores = crf.emissions(self.model.weights, buckets, owners, len(new))
             self.rows.update(zip(new, range(len(self.rows), len(self.rows) + len(new)), strict=True))
             self.potentials = np.concatenate([self.potentials, crf.potentials(scores)])
@@ -120,14 +136,16 @@ class Labeller:
                 words.clear(), starts.clear(), owner.clear()
 
         if self.model.labels:
+            most = max(1, STREAM_CELLS // len(self.model.labels))
+            piece, stream = min(PIECE, most), min(STREAM, most)
             for i, text in enumerate(texts):
                 found = self.find(text.lower())
                 count[i] = len(found)
-                for at in range(0, len(found), PIECE):
+                for at in range(0, len(found), piece):
                     starts.append(len(words))
                     owner.append(i)
-                    words += found[at:at + PIECE]
-                    if len(words) >= STREAM:
+                    words += found[at:at + piece]
+                    if len(words) >= stream:
                         flush()
             flush()
         best = sums.argmax(axis=1)

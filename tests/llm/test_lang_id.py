@@ -84,3 +84,49 @@ def test_no_labels_and_empty_table(spark, edge_docs, no_docs):
     model = lang_id.fit(unlabelled)
     assert {r.lang_pred for r in lang_id.predict(edge_docs, model).collect()} == {"und"}
     assert lang_id.predict(no_docs, lang_id.fit(no_docs)).count() == 0
+
+
+def test_every_language_is_sampled(spark):
+    rows = [(i, f"word{i % 97} of many", f"l{i % 230:03d}") for i in range(230 * 3)]
+    rows += [(10_000 + i, f"alpha {i}", "aa") for i in range(2000)] + [(20_000, "rare text", "zz")]
+    rows += [(30_000 + i, "1 2 3", "yy") for i in range(50)] + [(40_000, "only letters here", "yy")]
+    rows += [(50_000, "the very same", "xx")] * 700  # repeated rows, which share a key
+    rows += [(60_000, "no label", None), (60_001, None, "ww")]
+    df = spark.createDataFrame(rows, "id long, text string, lang string").repartition(5)
+    found = lang_id.sample(df)
+    assert {x for x, _ in found} == {x for _, t, x in rows if x and t}
+    assert ("yy", "only letters here") in found
+    assert len(found) <= 4 * 234 * lang_id.texts_per_lang(234)
+
+
+def test_more_than_200_languages_are_learned(spark):
+    langs = 210
+    text = {i: " ".join(chr(0x4E00 + 8 * i + j) * 2 for j in range(6)) for i in range(langs)}
+    df = spark.createDataFrame([(2 * i + c, text[i], f"l{i:03d}") for i in range(langs) for c in range(2)],
+                               "doc_id long, text string, lang string")
+    model = lang_id.fit(df)
+    assert len(model.labels) == langs
+    out = lang_id.predict(df, model).collect()
+    assert [r for r in out if r.lang_pred != f"l{r.doc_id // 2:03d}"] == []
+
+
+def test_many_labels_give_the_marginals_of_blocks(monkeypatch):
+    rng = np.random.default_rng(4)
+    n, k = 3 * crf.BLOCK + 17, 7
+    b, start = rng.random((n, k)).astype(np.float32), rng.random(n) < 0.02
+    start[0] = True
+    trans, first = rng.random((k, k)), rng.random(k)
+    blocks = crf.forward_backward(b, start, trans, first)
+    monkeypatch.setattr(crf, "BLOCK_LABELS", 3)
+    for x, y in zip(blocks, crf.forward_backward(b, start, trans, first), strict=True):
+        assert np.allclose(x, y, atol=1e-5)
+
+
+@pytest.mark.parametrize("cells", [1, 40, 90, 10_000])
+def test_parts_are_whole_sequences(cells, monkeypatch):
+    monkeypatch.setattr(crf, "CELLS", cells)
+    start = np.zeros(100, bool)
+    start[[0, 3, 30, 31, 60, 95]] = True
+    parts = crf._parts(start, 2)
+    assert [i for p in parts for i in range(p.start, p.stop)] == list(range(100))
+    assert all(start[p.start] and p.stop > p.start for p in parts)
