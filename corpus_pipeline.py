@@ -5,7 +5,9 @@ kept; it is written as Parquet and read again by the next.  All stages but the
 last return rows of ``documents`` with all its columns.
 
 - language ID: rejects texts without a letter and those where no language holds
-  ``MIN_SHARE`` of the words (by mean posterior); nothing else.
+  ``MIN_SHARE`` of the words (by mean posterior); nothing else.  Without any
+  usable label outside the held-out fold there is no language to tell, and only
+  null texts and texts without a letter are rejected.
 - exact dedup: of equal texts the row with the smallest doc_id stays.
 - SimHash near-dedup: of each component (3-word shingles, 3 bits) the document
   with the smallest doc_id stays.

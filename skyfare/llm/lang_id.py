@@ -14,7 +14,8 @@ its texts has a letter in its window.  Prediction reads whole texts; texts of mo
 piece by piece and the means go over all pieces.
 
 A null text or one without a letter is ``und`` with score 0, and so is
-everything if there is no labelled row.  Ties go to the label that sorts first.
+everything if there is no labelled row; ``keep_clear`` then keeps every text
+with a letter, as nothing tells which are unclear.  Ties go to the label that sorts first.
 Repeated rows get equal results; null ids pass through; extra columns are not
 read; an empty table gives an empty result.
 """
@@ -183,14 +184,22 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def keep_clear(docs: DataFrame, model: Model, min_share: float, text_col: str = "text") -> DataFrame:
-    """Rows of ``docs``, with all their columns, that are not ``und`` and whose score is ``min_share`` or more."""
+    """Rows of ``docs``, with all their columns, that are not ``und`` and whose score is ``min_share`` or more.
+
+    If the model has no labels: all rows whose text has a letter.
+    """
     spark = prepare(docs)
-    shared = spark.sparkContext.broadcast(model)
+    shared, model_has_labels = spark.sparkContext.broadcast(model), bool(model.labels)
+    letter = regex.compile(WORD).search
 
     def task(batches):
         labeller = _labeller(shared)
         for batch in slices(batches, text_col):
-            langs, score = labeller(texts(batch.column(text_col)))
-            yield batch.filter(pa.array([x != UNKNOWN and s >= min_share for x, s in zip(langs, score, strict=True)]))
+            found = texts(batch.column(text_col))
+            if model_has_labels:
+                keep = [x != UNKNOWN and s >= min_share for x, s in zip(*labeller(found), strict=True)]
+            else:
+                keep = [letter(x) is not None for x in found]
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(task, docs.schema)

@@ -69,3 +69,13 @@ def test_empty_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+def test_language_stage_without_any_label(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("lang", F.lit(None).cast("string"))
+    extra = [(10_000, "12 34 !!", None, "s", 8), (10_001, None, None, "s", 0), (10_002, "é", None, "s", 1)]
+    docs = docs.unionByName(spark.createDataFrame(extra, docs.schema))
+    out = corpus_pipeline.language_id(spark, docs, SF)
+    assert out.columns == KEEP
+    assert {r.doc_id for r in out.collect()} == \
+        {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
