@@ -12,7 +12,8 @@
 
 White space is compared as one space for each run of [\\x20\\x09-\\x0D].  A null
 text counts as empty; empty texts are equal to each other.  Repeated rows are
-copies like any other.  Of equal texts the row with the smallest id stays; null
+copies like any other.  Texts are compared as bytes, also where these are not
+valid UTF-8.  Of equal texts the row with the smallest id stays; null
 ids come last; between rows of the same id and text exactly one stays.  Only the
 id and text columns are read, so extra columns of any name do no harm.  An empty
 table gives an empty result.
@@ -52,6 +53,13 @@ def squeeze(text: bytes) -> bytes:
     return out + b" " if text[-1] in WHITE else out
 
 
+def _normed(batches):
+    """Task function: normalised texts as bytes, by the function that the fingerprints are made with."""
+    for batch in slices(batches):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([squeeze(t) for t in text_bytes(batch.column("text"))], pa.binary())], names=["norm"])
+
+
 def _send(owners: int, id_type: pa.DataType):
     """Task function: document rows (kind 0) and messages to the owners (kind 1)."""
     fields = [("kind", pa.int32()), ("run", pa.int64()), ("owner", pa.int32()), ("pos", pa.int32()),
@@ -150,19 +158,19 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     flagged = fingerprint_exchange(docs, owners)
     suspects = flagged.filter("suspect")
     # byte verification: the grouping key is the whole normalised text
-    norm = F.regexp_replace(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+", " ")
-    texts = rows_of_ids(docs, suspects, "id", "left_semi").select(norm.alias("norm"))
+    texts = rows_of_ids(docs, suspects, "id", "left_semi").select("text").mapInArrow(_normed, "norm binary")
     distinct = texts.groupBy("norm").agg(F.count(F.lit(1)).alias("rows"))
     verified = (distinct.select(F.unhex(F.sha2("norm", 256)).alias("sha"))
                 .groupBy("sha").agg(F.count(F.lit(1)).alias("texts")))
     groups = (suspects.groupBy("sha")
               .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "run", "ord")).alias("first"),
                    F.count(F.lit(1)).alias("group_size"))
-              .join(verified, "sha")
+              .join(verified, "sha", "left")
               .select("sha", F.col("first.id").alias("keep_id"), F.col("first.run").alias("keep_run"),
                       F.col("first.ord").alias("keep_ord"),
-                      F.when(F.col("texts") == 1, F.col("group_size")).otherwise(
-                          F.raise_error(F.lit("two different texts have one SHA-256"))).alias("group_size")))
+                      F.when(F.col("texts") == 1, F.col("group_size"))
+                      .when(F.col("texts").isNull(), F.raise_error(F.lit("no text has a suspect's SHA-256")))
+                      .otherwise(F.raise_error(F.lit("two different texts have one SHA-256"))).alias("group_size")))
     groups = write_once(groups, "exact-dedup-groups")
     members = join_by_class(suspects, groups, "sha", "group_size").select(
         "id", "keep_id", "group_size",

@@ -63,3 +63,12 @@ def test_hot_text(spark):
 def test_empty_table(no_docs):
     found = exact_dedup(no_docs)
     assert found.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"] and found.count() == 0
+
+
+def test_bytes_that_are_not_utf8(spark, tmp_path):
+    rows = [(1, b"a\xff b"), (2, b"a\xff  b"), (3, b"a\xfe b"), (4, b"\xc3"), (5, b"\xc3"), (6, "a\ufffd b".encode()), (7, b"x")]
+    spark.createDataFrame([(i, bytearray(t)) for i, t in rows], "doc_id long, text binary").write.parquet(f"{tmp_path}/t")
+    found = exact_dedup(spark.read.schema("doc_id long, text string").parquet(f"{tmp_path}/t"))
+    want = [(i, keep, n, hashlib.sha256(squeeze(t)).hexdigest()) for (i, t), keep, n in
+            zip(rows, [1, 1, 3, 4, 4, 6, 7], [2, 2, 1, 2, 2, 1, 1], strict=True)]
+    assert sorted((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in found.collect()) == want
