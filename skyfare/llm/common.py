@@ -57,8 +57,24 @@ def text_bytes(column: pa.Array) -> list[bytes]:
 
 
 def texts(column: pa.Array) -> list[str]:
-    """The column's texts; null counts as empty."""
-    return [x or "" for x in column.to_pylist()]
+    """The column's texts; null counts as empty.
+
+    Spark reads texts of invalid UTF-8 without complaint.  Where characters are
+    needed, each invalid sequence of bytes reads as U+FFFD.
+    """
+    try:
+        return [x or "" for x in column.to_pylist()]
+    except UnicodeDecodeError:
+        return [x.decode(errors="replace") for x in text_bytes(column)]
+
+
+def valid_bytes(column: pa.Array) -> list[bytes]:
+    """The texts of ``texts`` in UTF-8."""
+    try:
+        column.validate(full=True)
+    except pa.ArrowInvalid:
+        return [x.encode() for x in texts(column)]
+    return text_bytes(column)
 
 
 def joined_on(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:

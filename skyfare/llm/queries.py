@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfare.llm import lang_id
+from skyfare.llm.best_fit import cut_documents, pack_best_fit
 from skyfare.llm.exact_dedup import exact_dedup
 from skyfare.llm.license_scan import license_scan
 from skyfare.llm.license_texts import PHRASES, TEMPLATES
@@ -126,6 +127,17 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                         back.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+#: Tokens of a packed sequence and the id that ends a document for op13.
+CAPACITY, END_ID = 4096, 1
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = cut_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+                           CAPACITY, END_ID)
+    light = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return pack_best_fit(light, CAPACITY)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -139,4 +151,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_license_scan": op9_license_scan,
         "op10_token_files": op10_token_files,
         "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_best_fit_packing": op13_best_fit_packing,
     }

@@ -10,7 +10,7 @@ length; ``start`` counts ids within the file), then a footer: offset of the
 index (8 bytes, little-endian), bytes of an id (1 byte), SHA-256 of the
 dictionary (32 bytes), magic.  The dictionary stands beside the files.
 
-A null text counts as empty (the end id alone).  Null ids come first; documents
+A null text counts as empty (the end id alone); invalid UTF-8 reads as U+FFFD.  Null ids come first; documents
 of the same id stand in the order of a hash of their ids, repeated rows are
 written each.  An empty table gives no file and an empty result.  Files are
 written under a name of the attempt and renamed when complete, so that a
@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyfare.llm.common import prepare, slices, text_bytes, worker_state
+from skyfare.llm.common import prepare, slices, valid_bytes, worker_state
 from skyfare.llm.token_counts import shared_file
 from skyfare.session import write_once
 
@@ -195,7 +195,7 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int | None, width: int)
     def task(batches):
         encoder = _encoder(content.value, width)
         for batch in slices(batches):
-            ids = [x + end for x in encoder(text_bytes(batch.column("text")))]
+            ids = [x + end for x in encoder(valid_bytes(batch.column("text")))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array([len(x) // width for x in ids], pa.int64()), pa.array(ids, pa.binary())],
                 names=["id", "n", "ids"])
