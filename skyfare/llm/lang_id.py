@@ -13,7 +13,7 @@ characters of each text, chosen by a hash.  A language counts as soon as one of
 its texts has a letter in its window.  Prediction reads whole texts; texts of more than ``PIECE`` words are labelled
 piece by piece and the means go over all pieces.
 
-A null text or one without a letter is ``und`` with score 0, and so is
+Invalid UTF-8 reads as U+FFFD.  A null text or one without a letter is ``und`` with score 0, and so is
 everything if there is no labelled row; ``keep_clear`` then keeps every text
 with a letter, as nothing tells which are unclear.  Ties go to the label that sorts first.
 Repeated rows get equal results; null ids pass through; extra columns are not

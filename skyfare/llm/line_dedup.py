@@ -15,7 +15,9 @@ documents hold lose all their lines but those in the largest id that holds
 them.  A filter that is too small for the input suspects more lines, which costs
 time but never changes the result.
 
-A null text counts as empty, and an empty text is one empty line.  Each row
+A null text counts as empty, and an empty text is one empty line.  Texts of
+invalid UTF-8 keep their bytes and keys compare by bytes; an invalid sequence
+counts as one code point.  Each row
 counts as one document, repeated rows too; rows with the largest id all keep the
 line.  Null ids are below all others.  Extra columns are not read; an empty
 table gives an empty result.
@@ -50,7 +52,7 @@ def keys_of(text: bytes, min_chars: int) -> tuple[list[bytes], list[int], int]:
     for i, line in enumerate(lines):
         if len(line) >= min_chars:
             key = line.strip().lower()
-            if len(key) >= 4 * min_chars or len(key) >= min_chars and len(key.decode()) >= min_chars:
+            if len(key) >= 4 * min_chars or len(key) >= min_chars and len(key.decode(errors="replace")) >= min_chars:
                 keys.append(key)
                 at.append(i)
     return keys, at, len(lines)
@@ -173,13 +175,13 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, id_col:
                 own: dict[bytes, list[int]] = {}
                 for i in np.flatnonzero(hit[start:start + len(keys)]).tolist():
                     own.setdefault(keys[i], []).append(lines[i])
-                suspects.append([{"key": k.decode(), "lines": v} for k, v in own.items()])
+                suspects.append([{"key": k, "lines": v} for k, v in own.items()])
                 start += len(keys)
             n = len(found)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(row, row + n)), batch.column("id"), batch.column("text"),
                  pa.array([x[2] for x in found], pa.int64()),
-                 pa.array(suspects, pa.list_(pa.struct([("key", pa.string()), ("lines", pa.list_(pa.int32()))])))],
+                 pa.array(suspects, pa.list_(pa.struct([("key", pa.binary()), ("lines", pa.list_(pa.int32()))])))],
                 names=["row", "id", "text", "n_lines", "suspects"])
             row += n
 
@@ -188,15 +190,15 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, id_col:
             out = []
             for text, drop in zip(text_bytes(batch.column("text")), batch.column("drop").to_pylist(), strict=True):
                 gone = set(drop or ())
-                out.append(b"\n".join(x for i, x in enumerate(text.split(b"\n")) if i not in gone).decode())
+                out.append(b"\n".join(x for i, x in enumerate(text.split(b"\n")) if i not in gone))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(out, pa.string()), batch.column("n_lines"),
+                [batch.column("id"), pa.array(out, pa.binary()).view(pa.string()), batch.column("n_lines"),
                  pa.array([len(x or ()) for x in batch.column("drop").to_pylist()], pa.int64())],
                 names=["id", "text", "n_lines", "n_dropped"])
 
     marked = write_once(docs.mapInArrow(
         suspect, f"row long, id {id_kind}, text string, n_lines long, "
-                 "suspects array<struct<key: string, lines: array<int>>>"), "line-dedup-marked")
+                 "suspects array<struct<key: binary, lines: array<int>>>"), "line-dedup-marked")
     held = marked.filter("size(suspects) > 0")
     lines = held.select("row", "id", F.explode("suspects").alias("s")).select("row", "id", "s.key", "s.lines")
     # counted by the exact key; what goes back to the rows is its digest, so the join's rows are small

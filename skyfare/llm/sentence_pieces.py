@@ -1,6 +1,7 @@
 """SentencePiece encoding and decoding of whole texts (``piece_fst``).
 
-A null text counts as empty: no ids, and it decodes to the empty text.  The
+A null text counts as empty: no ids, and it decodes to the empty text.  Invalid
+UTF-8 reads as U+FFFD.  The
 space mark U+2581 in a text decodes to a space, as in the library.  Repeated
 rows get equal results; null ids pass through; extra columns are not read; an
 empty table gives an empty result.  The model file's content is broadcast (a few

@@ -1,6 +1,7 @@
 """Token counts of whole texts by rank-synchronous array merging (``bpe_arrays``).
 
-A null text counts as empty: no bytes, no tokens.  Repeated rows are counted
+A null text counts as empty: no bytes, no tokens.  Invalid UTF-8 reads as U+FFFD
+for the tokens, while the bytes are those of the text as it is.  Repeated rows are counted
 each; ids of any type, also null, pass through.  An empty table gives an empty
 result.  The tokenizer file's content is broadcast (a few MB at most, checked),
 so executors need no copy of the file.
