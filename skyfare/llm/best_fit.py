@@ -32,12 +32,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyfare.llm.common import prepare
+from skyfare.llm.common import prepare, slices, valid_texts, worker_state
 from skyfare.llm.ordering import with_places
-from skyfare.llm.token_files import encode
+from skyfare.llm.token_counts import shared_file
+from skyfare.llm.word_ids import RaggedEncoder
 from skyfare.session import write_once
 
 ID_BYTES = 4
+#: Bytes of text that are encoded at once: the more, the more words repeat.
+ENCODE_BYTES = 8 << 20
+#: Bytes of ids in an Arrow batch of pieces, about.
+BATCH_BYTES = 32 << 20
 
 
 class _Sums:
@@ -156,15 +161,39 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: i
 
     Only documents of more than ``capacity`` ids are cut; their last piece may be shorter.
     """
+    content = shared_file(prepare(docs), tokenizer_path)
+    last = np.array([] if end_id is None else [end_id], np.uint32)
+
+    def task(batches):
+        encoder = worker_state(("ragged", hash(content.value)), lambda: RaggedEncoder(content.value))
+        for batch in slices(batches, limit=ENCODE_BYTES):
+            ids, ends = encoder.ragged(valid_texts(batch.column("text")))
+            if len(last):
+                ids = np.insert(ids, ends, last[0])
+                ends = ends + np.arange(1, len(ends) + 1)
+            sizes = np.diff(ends, prepend=0)
+            pieces = -(-sizes // capacity)
+            owner = np.repeat(np.arange(len(sizes)), pieces)
+            piece = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            start = piece * capacity
+            length = np.minimum(sizes[owner] - start, capacity)
+            at = (ends - sizes)[owner] + start
+            step = max(1, BATCH_BYTES // (capacity * ID_BYTES))
+            for i in range(0, len(owner), step):
+                part = slice(i, i + step)
+                low, high = at[i], (at[part] + length[part])[-1]
+                offsets = np.append(at[part], high) - low
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").take(pa.array(owner[part])), pa.array(piece[part], pa.int32()),
+                     pa.array(start[part]), pa.array(length[part]),
+                     pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, [
+                         None, pa.py_buffer((offsets * ID_BYTES).astype(np.int32)),
+                         pa.py_buffer(ids[low:high].astype("<u4"))])],
+                    names=["id", "piece", "start", "length", "ids"])
+
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    ids = encode(docs, tokenizer_path, end_id, ID_BYTES)
-    pieces = ids.select("id", "n", "ids", F.explode(F.expr(f"sequence(0L, (n - 1) div {capacity})")).alias("at"))
-    start = F.col("at") * capacity
-    at = (start * ID_BYTES + 1).cast("int")
-    return pieces.filter("n > 0").select(
-        F.col("id").alias(id_col), F.col("at").cast("int").alias("piece"), start.alias("start"),
-        F.least(F.lit(capacity).cast("long"), F.col("n") - start).alias("length"),
-        F.substring("ids", at, F.lit(capacity * ID_BYTES)).alias("ids"))
+    kind = docs.schema["id"].dataType.simpleString()
+    return docs.mapInArrow(task, f"id {kind}, piece int, start long, length long, ids binary").withColumnRenamed("id", id_col)
 
 
 def pack_best_fit(pieces: DataFrame, capacity: int, length_col: str = "length") -> DataFrame:

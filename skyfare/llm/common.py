@@ -36,8 +36,8 @@ def worker_state(key, make):
     return _STATE[key]
 
 
-def slices(batches, text: str = "text"):
-    """Arrow batches cut to at most SLICE_BYTES of text each (one row at least)."""
+def slices(batches, text: str = "text", limit: int = SLICE_BYTES):
+    """Arrow batches cut to at most ``limit`` bytes of text each (one row at least)."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -45,7 +45,7 @@ def slices(batches, text: str = "text"):
         at = 0
         while at < batch.num_rows:
             base = size[at - 1] if at else 0
-            end = max(at + 1, int(size.searchsorted(base + SLICE_BYTES, side="right")))
+            end = max(at + 1, int(size.searchsorted(base + limit, side="right")))
             yield batch.slice(at, end - at)
             at = end
 
@@ -68,13 +68,18 @@ def texts(column: pa.Array) -> list[str]:
         return [x.decode(errors="replace") for x in text_bytes(column)]
 
 
-def valid_bytes(column: pa.Array) -> list[bytes]:
-    """The texts of ``texts`` in UTF-8."""
+def valid_texts(column: pa.Array) -> pa.Array:
+    """The texts of ``texts`` as an Arrow array."""
     try:
         column.validate(full=True)
     except pa.ArrowInvalid:
-        return [x.encode() for x in texts(column)]
-    return text_bytes(column)
+        return pa.array(texts(column), column.type)
+    return column.fill_null("")
+
+
+def valid_bytes(column: pa.Array) -> list[bytes]:
+    """The texts of ``texts`` in UTF-8."""
+    return text_bytes(valid_texts(column))
 
 
 def joined_on(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:

@@ -144,3 +144,23 @@ def test_empty_table_and_bad_lengths(spark, no_docs):
     assert [(r.doc_id, r.offset) for r in pack_best_fit(rows, 8).collect()] == [(3, 0)]
     with pytest.raises(Exception, match="a piece of length 9"):
         pack_best_fit(spark.createDataFrame([(1, 9)], "doc_id long, length long"), 8).collect()
+
+
+def test_words_give_the_ids_of_whole_texts():
+    import pyarrow as pa
+    from conftest import edge_rows
+    from skyfare.llm.word_ids import RaggedEncoder
+    with open(WORDS, "rb") as f:
+        content = f.read()
+    library = Tokenizer.from_file(WORDS)
+    texts = [t or "" for _, t in edge_rows()]
+    texts += ["don't <|startoftext|>x DON'T<|endoftext|> it's 12,5% (a-b)!!", "é É É, été; ǅ İi ﬁ 中文。ok", "a\x1cb\x85c\xa0d",
+              "<|StartOfText|> x", "...", "!?a!?", "9,9.", "naïve, ÿ; Ɏ! ɐ? ʰ."]
+    for size in (1, len(texts)):
+        encoder = RaggedEncoder(content)
+        encoder.KEEP_WORDS = 50
+        for at in range(0, len(texts), size):
+            part = texts[at:at + size]
+            ids, ends = encoder.ragged(pa.array(["skipped", *part]).slice(1))
+            want = [library.encode(t, add_special_tokens=False).ids for t in part]
+            assert [ids[a:b].tolist() for a, b in zip([0, *ends[:-1]], ends)] == want
