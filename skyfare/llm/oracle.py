@@ -84,9 +84,89 @@ FROM way{step} w, b{levels}
 OP12 = _merkle()
 
 
+def _crc32(text: str, table: str = "t") -> str:
+    """CRC-32 of an ASCII text by a 256-entry table."""
+    return (f"xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split({text}, ''), "
+            f"lambda c: ascii(c)::BIGINT)), lambda c, b: xor(c >> 8, {table}[(xor(c, b) & 255) + 1])))")
+
+
+def _repair() -> str:
+    """Damage, faults, the least (cost, audit) from each state by a recursion from the last row, the repaired rows."""
+    def after(cost, letter, state):
+        return f"{{'c': {cost} + w{state}.c, 's': '{letter}' || w{state}.s}}"
+
+    following = [2, 2, 3, 2]
+    kept = [{"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2}]
+    consume = []
+    for state in range(4):
+        ways = [after(3, "D", state)]
+        free = [f"CASE WHEN NOT gone THEN {after('2 + cut', 'R', following[state])} END"]
+        free += [f"CASE WHEN NOT gone AND ini = '{x}' THEN {after('cut', 'K', to)} END" for x, to in kept[state].items()]
+        consume.append(f"list_min(list_filter([{', '.join(ways + free)}], lambda x: x IS NOT NULL)) AS k{state}")
+
+    def inserted(own, state, column):
+        return f"list_min([{own}, {{'c': 2 + {column}.c, 's': 'I' || {column}.s}}]) AS {state}"
+
+    return f"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)),
+      lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+d AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS how
+  FROM conversations, crc_table),
+damaged AS (
+  SELECT conv_id, turn, CASE how WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE how WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM d, range(2) r(copy) WHERE how <> 0 AND (copy = 0 OR how = 3)),
+r AS (
+  SELECT *, coalesce(conv_id::VARCHAR, '-') AS conv, substring(role, 1, 1) AS ini,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS trimmed FROM damaged),
+f AS (
+  SELECT *, CASE WHEN trimmed = '' THEN 'b' WHEN i > min(i) OVER (PARTITION BY conv_id, role, text) THEN 'd' WHEN right(trimmed, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+         coalesce(lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini NOT IN ('su', 'ua', 'au'), false) AS illegal FROM r),
+n AS (
+  SELECT conv, any_value(conv_id) AS conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+         count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (illegal) AS illegal FROM f GROUP BY conv),
+dp AS (
+  SELECT conv, n AS i, {{'c': 0, 's': ''}} AS w0, {{'c': 4, 's': 'II'}} AS w1, {{'c': 2, 's': 'I'}} AS w2, {{'c': 0, 's': ''}} AS w3 FROM n
+  UNION ALL
+  SELECT conv, i, {inserted('k0', 'w0', 'x2')}, {inserted('k1', 'w1', 'x2')}, x2 AS w2, x3 AS w3 FROM (
+    SELECT *, {inserted('k2', 'x2', 'k3')}, {inserted('k3', 'x3', 'k2')} FROM (
+      SELECT f.conv, f.i - 1 AS i, {", ".join(consume)}
+      FROM dp JOIN (SELECT conv, i, ini, fault IN ('b', 'd') AS gone, (fault = 't')::INT AS cut FROM f) f
+      ON f.conv = dp.conv AND f.i = dp.i))),
+best AS (SELECT n.*, w0.c AS cost, w0.s AS audit FROM dp JOIN n ON dp.conv = n.conv WHERE dp.i = 0),
+letters AS (
+  SELECT conv, p, substring(audit, p, 1) AS letter,
+         count(*) FILTER (substring(audit, p, 1) <> 'I') OVER w AS i, count(*) FILTER (substring(audit, p, 1) <> 'D') OVER w AS e
+  FROM (SELECT conv, audit, unnest(range(1, length(audit) + 1)) AS p FROM best)
+  WINDOW w AS (PARTITION BY conv ORDER BY p ROWS UNBOUNDED PRECEDING)),
+kept AS (
+  SELECT l.conv, l.p, l.letter, l.e, f.role, f.text, f.ini FROM letters l LEFT JOIN f ON f.conv = l.conv AND f.i = l.i AND l.letter <> 'I'
+  WHERE l.letter <> 'D'),
+lead AS (SELECT conv, bool_or(e = 1 AND letter = 'K' AND ini = 's')::INT AS s FROM kept GROUP BY conv),
+text AS (
+  SELECT k.conv, string_agg(CASE letter WHEN 'K' THEN role ELSE CASE WHEN (e - s) % 2 = 1 THEN 'user' ELSE 'assistant' END END
+         || ':' || CASE letter WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY p) AS text FROM kept k JOIN lead ON k.conv = lead.conv GROUP BY k.conv)
+SELECT every.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(text.text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) every
+LEFT JOIN best ON every.conv_id IS NOT DISTINCT FROM best.conv_id LEFT JOIN text ON best.conv = text.conv
+"""
+
+
+OP11 = _repair()
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_dedup": OP1,
         "op6_line_dedup": OP6,
+        "op11_conversation_repair": OP11,
         "op12_merkle_manifest": OP12,
     }

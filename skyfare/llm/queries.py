@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from skyfare.llm import lang_id
 from skyfare.llm.best_fit import cut_documents, pack_best_fit
+from skyfare.llm.common import joined_on
+from skyfare.llm.conversation_repair import COUNTS, repair, repaired_digests
 from skyfare.llm.exact_dedup import exact_dedup
 from skyfare.llm.license_scan import license_scan
 from skyfare.llm.license_texts import PHRASES, TEMPLATES
@@ -108,6 +110,28 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with rows dropped, emptied, cut, repeated or given to the user, by a hash of their key."""
+    rows = turns.select("conv_id", "turn", *[F.coalesce(F.col(c), F.lit(" ")).alias(c) for c in ("role", "text")])
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    rows = rows.withColumn("how", F.crc32(key) % 20).filter("how != 0")
+    text = F.when(F.col("how") == 1, "").when(F.col("how") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    copies = F.array_repeat(F.lit(1), F.when(F.col("how") == 3, 2).otherwise(1))
+    return rows.select("conv_id", "turn", F.when(F.col("how") == 4, "user").otherwise(F.col("role")).alias("role"),
+                       text.alias("text"), F.explode(copies).alias("copy")).drop("copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    rows = damaged(turns)
+    found = repair(rows)
+    both = joined_on(found.report, repaired_digests(rows, found), ["conv_id"], "inner")
+    every = joined_on(turns.select("conv_id").distinct(), both, ["conv_id"], "left")
+    return every.select("conv_id", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in COUNTS],
+                        F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 #: What a manifest leaf is made of.
 LEAF = ("doc_id", "source", "lang", "n_chars", "text")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -150,6 +174,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sentence_pieces": op8_sentence_pieces,
         "op9_license_scan": op9_license_scan,
         "op10_token_files": op10_token_files,
+        "op11_conversation_repair": op11_conversation_repair,
         "op12_merkle_manifest": op12_merkle_manifest,
         "op13_best_fit_packing": op13_best_fit_packing,
     }
