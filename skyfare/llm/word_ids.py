@@ -27,7 +27,7 @@ class RaggedEncoder(Encoder):
     """Ids of whole texts as (flat unsigned 32-bit ids, ends of the texts)."""
 
     #: Different words whose ids are kept; then the memory starts afresh.
-    KEEP_WORDS = 1 << 19
+    KEEP_WORDS = 1 << 20
 
     def __init__(self, content: bytes):
         super().__init__(content, 4)
