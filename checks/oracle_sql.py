@@ -228,17 +228,19 @@ SELECT trip_id, trip_distance AS f0, passenger_count AS f1, tempAvg AS f2 FROM m
 WHERE trip_distance IS NOT NULL AND passenger_count IS NOT NULL AND tempAvg IS NOT NULL"""
     lr = """,
 fit AS (SELECT regr_intercept(total_amount, trip_distance) AS a, regr_slope(total_amount, trip_distance) AS b FROM train)"""
-    q["linear_regression"] = base + lr + """
-SELECT round(any_value(fit.a), 6) AS intercept, round(any_value(fit.b), 6) AS slope, count(*) AS n_test,
-       round(sqrt(avg((total_amount - (fit.a + fit.b * trip_distance)) ^ 2)), 6) AS rmse,
-       round(1.0 - sum((total_amount - (fit.a + fit.b * trip_distance)) ^ 2) / (var_pop(total_amount) * count(*)), 6) AS r2
-FROM test, fit"""
     q["actual_vs_predicted"] = base + lr + """
 SELECT trip_id, total_amount AS actual, round(fit.a + fit.b * trip_distance, 2) AS predicted FROM test, fit"""
     cols = feats + ["total_amount"]
     gparts = [f"avg({c}) AS m_{c}" for c in cols]
     gparts += [f"covar_pop({x}, {y}) AS c_{x}_{y}" for x in cols for y in cols]
     g = ",\ng AS (SELECT " + ", ".join(gparts) + " FROM train)"
+    icpt, coefs = ols_sql(list(feats))
+    q["linear_regression"] = base + g + ",\nfit AS (SELECT " + f"{icpt} AS a, " + \
+        ", ".join(f"{c} AS b_{f}" for c, f in zip(coefs, feats)) + " FROM g),\ne AS (SELECT fit.*, total_amount, total_amount - (a" + \
+        "".join(f" + b_{f} * {f}" for f in feats) + """) AS err FROM test, fit)
+SELECT round(any_value(a), 6) AS intercept, """ + ", ".join(f"round(any_value(b_{f}), 6) AS c_{f}" for f in feats) + """,
+       count(*) AS n_test, round(sqrt(avg(err ^ 2)), 6) AS rmse,
+       round(1.0 - sum(err ^ 2) / (var_pop(total_amount) * count(*)), 6) AS r2 FROM e"""
     sels = []
     for subset in FORWARD_SETS:
         icpt, coefs = ols_sql(list(subset))
@@ -261,8 +263,9 @@ SELECT count(*) AS n_test, true AS all_predicted, true AS beats_mean FROM test""
     q["training_history"] = """
 SELECT true AS every_epoch_once, true AS within_limit, true AS finite, true AS improves"""
     q["cv_grid_search"] = """
-SELECT d AS "maxDepth", b AS "maxBins", 5 AS "numTrees", true AS beats_mean
-FROM (VALUES (2), (5)) t(d), (VALUES (20), (40)) u(b)"""
+SELECT d AS "maxDepth", b AS "maxBins", n AS "numTrees", true AS beats_mean
+FROM (VALUES (2), (5), (10), (20), (30)) t(d), (VALUES (10), (20), (40), (80), (100)) u(b),
+     (VALUES (5), (20), (50), (100), (500)) v(n)"""
     q["scale_features"] = sc
     q["write_features"] = sc
     return q

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from skyfare.functions.dates import pickup_date as pickup_date_of
 from skyfare.functions.dates import trip_duration_seconds
 from skyfare.functions.geo import geodesic_km
-from skyfare.operators import clean, enrich, ml, stats
+from skyfare.operators import clean, enrich, forest, ml, stats
 from skyfare.operators import mlp as mlp_ops
 from skyfare.plans import fare_models as FM
 from skyfare.plans import merge
@@ -312,11 +312,11 @@ def assemble_features(spark, sf):
 
 def linear_regression(spark, sf):
     train, test = FM.split(_written_rows(spark, sf))
-    model = ml.linear_regression(train, ["trip_distance"], FM.LABEL)
-    scored = ml.predict(model, test, ["trip_distance"])
+    model = ml.linear_regression(train, FM.FEATURES, FM.LABEL)
+    scored = ml.predict(model, test, FM.FEATURES)
     m = stats.regression_metrics(scored, FM.LABEL, "prediction")
     return m.select(F.lit(round(model.intercept, 6)).alias("intercept"),
-                    F.lit(round(float(model.coefficients[0]), 6)).alias("slope"),
+                    *[F.lit(round(float(c), 6)).alias(f"c_{f}") for f, c in zip(FM.FEATURES, model.coefficients, strict=True)],
                     F.col("n").alias("n_test"), F.round("rmse", 6).alias("rmse"),
                     F.round("r2", 6).alias("r2"))
 
@@ -378,15 +378,13 @@ def random_forest_fare(spark, sf):
     return _against_mean(ml.predict(model, test, feats), FM.LABEL)
 
 
-#: The search over the whole grid is 125 points x 5 folds, of which the deepest forests alone take hours on
-#: this data size; the query searches these points of it (``ml.cv_grid_search`` has the whole grid as defaults).
-SEARCH_DEPTHS, SEARCH_BINS, SEARCH_TREES = ml.GRID_DEPTHS[:2], ml.GRID_BINS[1:3], ml.GRID_TREES[:1]
-
-
 def cv_grid_search(spark, sf):
+    """All 125 points of the grid with 5 folds, from one forest for each (bins, fold)."""
     rows, feats = _forest_rows(spark, sf)
     train, _ = FM.split(rows)
-    out = ml.cv_grid_search(train, feats, FM.LABEL, SEARCH_DEPTHS, SEARCH_BINS, SEARCH_TREES)
+    out = forest.nested_grid(train, feats, FM.LABEL, FM.KEY, ml.GRID_DEPTHS, ml.GRID_BINS, ml.GRID_TREES, ml.GRID_FOLDS)
+    if out is None:  # more rows than a task may hold: each point by itself, trees grown over the cluster
+        out = ml.cv_grid_search(train, feats, FM.LABEL)
     sd = train.agg(F.stddev_pop(FM.LABEL)).first()[0]
     return out.select("maxDepth", "maxBins", "numTrees",
                       (~F.isnan("avg_rmse") & (F.col("avg_rmse") < F.lit(sd))).alias("beats_mean"))
