@@ -40,7 +40,7 @@ class StaticSide:
     """The small derived tables every trip is joined with, written once."""
     points: DataFrame          # (LocationID, lat, lon)
     points_small: bool         # verdict of the size check
-    nearest: NearestSide       # stations by distance, reporting days, readings
+    nearest: NearestSide       # nearest station of each date and point, readings
 
 
 def prepare_static(zones: DataFrame, zone_geocodes: DataFrame, station_rows: DataFrame,
@@ -49,7 +49,7 @@ def prepare_static(zones: DataFrame, zone_geocodes: DataFrame, station_rows: Dat
 
     Points and stations are read by several branches, so they are written once
     to the shared folder, and their sizes are measured there; independent jobs
-    run concurrently.  ``write_nearest``: write the join's three tables too, for
+    run concurrently.  ``write_nearest``: write the join's two tables too, for
     callers that join them many times (a stream's micro-batches).
     """
     n_zone_geo, n_station_geo = checked_counts([zone_geocodes, station_geocodes])
@@ -62,7 +62,7 @@ def prepare_static(zones: DataFrame, zone_geocodes: DataFrame, station_rows: Dat
                         n_points=size.rows)
     if write_nearest:
         tables = concurrently([lambda n=n: write_once(getattr(near, n), f"nearest-{n}")
-                               for n in ("order", "days", "readings")])
+                               for n in ("near", "readings")])
         near = NearestSide(*tables, near.small)
     return StaticSide(points, size.bytes <= broadcast_budget(points), near)
 

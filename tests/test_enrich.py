@@ -1,9 +1,12 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from skyfare.operators import enrich
+from skyfare.functions.geo import geodesic_km
+from skyfare.operators import enrich, station_index
 from skyfare.operators.sizing import BROADCAST_MAX_BYTES_CONF
 from tests.test_functions import vincenty_km
 
@@ -107,7 +110,7 @@ def test_nearest_with_a_point_table(spark):
 
 
 def test_nearest_at_the_full_date_range_does_not_shuffle_trips(spark):
-    # 265 zones x 1,673 days: neither the tables nor the plan grow with their product
+    # 265 zones x 1,673 days: a narrow row for each still fits the broadcast budget
     points = spark.range(265).selectExpr("40.5 + id * 0.001 AS PU_lat", "-74.2 + id * 0.001 AS PU_lon")
     stations = (spark.range(1673 * 20).selectExpr(
         "concat('S', id % 20) AS station", "date_add(DATE '2017-01-01', CAST(id DIV 20 AS INT)) AS date",
@@ -117,8 +120,8 @@ def test_nearest_at_the_full_date_range_does_not_shuffle_trips(spark):
         "id AS trip_id", "date_add(DATE '2017-01-01', CAST(id * 7919 % 1673 AS INT)) AS date",
         "40.5 + (id % 265) * 0.001 AS PU_lat", "-74.2 + (id % 265) * 0.001 AS PU_lon")
     side = enrich.nearest_side(points, stations)
-    assert side.small == {"order": True, "days": True, "readings": True}
-    assert side.order.count() == 265 and side.days.count() <= 1673
+    assert side.small == {"near": True, "readings": True}
+    assert side.near.count() <= 265 * 1673
     out = enrich.attach_nearest(trips, side)
     assert out.rdd.getNumPartitions() == 7              # the trips' own partitions: no exchange above their scan
     rows = out.limit(60).collect()
@@ -128,3 +131,58 @@ def test_nearest_at_the_full_date_range_does_not_shuffle_trips(spark):
     want = _brute_force([(r.trip_id, r.date, r.PU_lat, r.PU_lon) for r in rows],
                         [s for d in {r.date for r in rows} for s in days.get(d, [])])
     assert {r.trip_id: r.station for r in rows} == want
+
+
+def _globe_rows(n, seed, lat=90, lon=180):
+    rnd = random.Random(seed)
+    rows = [(round(rnd.uniform(-lat, lat), 4), round(rnd.uniform(-lon, lon), 4)) for _ in range(n)]
+    return rows + [(90.0, 0.0), (-90.0, 10.0), (0.0, 180.0), (0.0, -180.0), (12.0, 179.99), (12.0, -179.99), (89.9, 90.0)]
+
+
+@pytest.mark.parametrize("level", [None, 4, 5, 7, 9, 12, 16])
+def test_index_over_the_globe_equals_all_distances(spark, level):
+    # any first level, date line and poles, empty dates and crowds: the same as ranking all stations of the date
+    points, places = _globe_rows(40, 1), _globe_rows(150, 2) + _globe_rows(60, 3, 2, 3)
+    pairs = spark.createDataFrame([(d, *p) for d in (1, 2, 3) for p in points], "_date INT, _lat DOUBLE, _lon DOUBLE")
+    stations = spark.createDataFrame([(1 + i % 2, f"S{i % 170}", *p) for i, p in enumerate(places)],
+                                     "_s_date INT, _s STRING, _s_lat DOUBLE, _s_lon DOUBLE")
+    place = F.struct(F.col("_s").alias("s"), F.col("_s_lat").alias("a"), F.col("_s_lon").alias("o"))
+    km = F.round(geodesic_km("_lat", "_lon", "_s_lat", "_s_lon"), 6)
+    want = (pairs.join(stations, F.col("_date") == F.col("_s_date")).groupBy("_date", "_lat", "_lon")
+            .agg(F.min(F.struct(km.alias("k"), place.alias("p"))).alias("b")).select("_date", "_lat", "_lon", "b.p", "b.k"))
+    got = station_index.nearest_found(pairs, stations, level, place, pairs_small=level == 9)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_reach_is_below_all_distances_outside(spark):
+    rnd = random.Random(4)
+    rows = []
+    for _ in range(4000):
+        level = rnd.randint(4, 12)
+        side, lat, lon = station_index.side_degrees(level), rnd.uniform(-89, 89), rnd.uniform(-180, 180)
+        up, east = rnd.choice([(side, rnd.uniform(0, side)), (rnd.uniform(0, 30), side), (-side, 0.0), (0.0, side), (rnd.uniform(-30, 0), side)])
+        rows.append((level, lat, lon, max(-90.0, min(90.0, lat + up)), lon + east, abs(lat + up) <= 90))
+    df = spark.createDataFrame(rows, "level INT, a DOUBLE, b DOUBLE, c DOUBLE, d DOUBLE, inside BOOLEAN").where("inside")
+    for level in range(4, 13):
+        part = df.where(F.col("level") == level)
+        assert part.where(geodesic_km("a", "b", "c", "d") < station_index.reach_km(F.col("a"), level)).isEmpty()
+
+
+def test_many_stations_on_many_days(spark):
+    # 20,000 stations x 400 days = 8 million station days, found through cells, never in one row
+    stations = spark.range(20_000 * 400, numPartitions=16).selectExpr(
+        "concat('S', id % 20000) AS station", "date_add(DATE '2020-01-01', CAST(id DIV 20000 AS INT)) AS date",
+        "25 + pmod(xxhash64(id % 20000), 240007) / 1e4D AS lat", "-120 + pmod(xxhash64(id % 20000, 1), 500009) / 1e4D AS lon",
+        "CAST(id AS DOUBLE) AS tempAvg")
+    trips = spark.range(2000).selectExpr(
+        "id AS trip_id", "date_add(DATE '2020-01-01', CAST(id % 400 AS INT)) AS date",
+        "26 + (id % 25) * 0.7D AS PU_lat", "-118 + (id % 25) * 1.7D AS PU_lon")
+    out = enrich.nearest_station_join(trips, stations)
+    rows = out.collect()
+    assert len(rows) == 2000 and all(r.station is not None for r in rows)
+    places = [(r.station, r.lat, r.lon) for r in stations.where("date = DATE '2020-01-01'").select("station", "lat", "lon").collect()]
+    lat, lon = np.array([p[1] for p in places]), np.array([p[2] for p in places])
+    for r in rows[:40]:  # all days have the same stations
+        near = np.argsort((lat - r.PU_lat) ** 2 + ((lon - r.PU_lon) * np.cos(np.radians(r.PU_lat))) ** 2)[:30]
+        assert r.station == min((round(vincenty_km(r.PU_lat, r.PU_lon, lat[i], lon[i]), 3), places[i][0]) for i in near)[1]
+        assert int(r.tempAvg) % 20_000 == int(r.station[1:])
