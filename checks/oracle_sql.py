@@ -36,6 +36,7 @@ SELECT {MERGED_COLS} FROM merged"""
     q.update(oracle_sql_more())
     q.update(oracle_sql_models())
     q["stream_enrich"] = q["nearest_station_join"]
+    q["stream_late_weather"] = q["nearest_station_join"]
     q["scan_trip_csv"] = q["scan_trips"]
     q["monthly_ingest"] = with_(TRIPS, ZONES, LOCATED, STATIONS, NEAREST) + """
 SELECT sha256(concat(length(CAST(trip_id AS VARCHAR)), ':', trip_id, length(CAST(date AS VARCHAR)), ':', CAST(date AS VARCHAR))) AS id, trip_id, date,

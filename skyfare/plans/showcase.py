@@ -446,6 +446,29 @@ def stream_enrich(spark, sf):
     return spark.read.parquet(out).select(*MERGED_COLS)
 
 
+def stream_late_weather(spark, sf):
+    """Trips and weather as two streams, ten days of trips at a time, the weather a step behind; restarted after each step."""
+    from skyfare.streaming import late_weather as late
+    trips = write_once(merge.locate_trips(merge.proxy_trips(spark, sf), proxies.zones(spark, sf),
+                                          proxies.zone_geocodes(spark, sf)).where(F.col("date").isNotNull()), "stream-trips")
+    weather = write_once(merge.locate_stations(merge.proxy_station_rows(spark, sf, via_files=False),
+                                               proxies.station_geocodes(spark)), "stream-weather")
+    days = sorted(r["date"] for r in trips.select("date").distinct().collect())  # bounded by the calendar
+    folder = scratch_path(spark, "late-weather")
+    step, steps = F.lit(0), -(-len(days) // 10)
+    for i in range(1, steps):
+        step = F.when(F.col("date") >= F.lit(days[10 * i]), i).otherwise(step)
+    for i in range(steps + 2):
+        more = [(trips, "trips", i), (weather, "weather", i - 1)]
+        for df, name, n in more:
+            new = late.close_rows(df) if i == steps + 1 else df.where(step == n) if n >= 0 else df.limit(0)
+            new.write.mode("append").parquet(f"{folder}/{name}")
+        query = late.stream_late_weather(late.file_stream(spark, f"{folder}/trips"), late.file_stream(spark, f"{folder}/weather"),
+                                         f"{folder}/out", f"{folder}/ckpt", wait="20 days")
+        query.awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select(*MERGED_COLS)
+
+
 # ---- file round trips through the real readers ----------------------------------------------
 
 def _trip_files(spark, sf):
