@@ -35,6 +35,8 @@ AROUND = 9
 POLAR_KM = 6356.752314245
 #: Least ratio of geocentric to geodetic differences of latitude: (1 - f)^2 on WGS-84.
 FLATTENED = (1 - 1 / 298.257223563) ** 2
+#: Shares that the points are dealt over when all places are ranked for each point.
+SHARES = 16
 #: Bytes of a found pair besides the station's name.
 FOUND_BYTES = 80
 
@@ -116,12 +118,13 @@ def nearest_by_order(points: DataFrame, stations: DataFrame, place: Column, poin
     For few stations a date; the rows are points x places, two small tables.
     """
     places = stations.select(place.alias("_place")).distinct()
-    everywhere = F.lit(0).alias("_world")
-    around = points.select("*", everywhere)
-    around = places.select("*", everywhere).join(F.broadcast(around) if points_small else around, "_world")
+    # points are dealt over shares and the places copied to each: a join on the share, not on one key
+    dealt = points.withColumn("_share", F.pmod(F.xxhash64("_lat", "_lon"), F.lit(SHARES)).cast("int"))
+    copied = places.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+    around = copied.join(F.broadcast(dealt) if points_small else dealt, "_share")
     km = F.round(geodesic_km("_lat", "_lon", "_place.a", "_place.o"), 6)
     rank = F.row_number().over(Window.partitionBy("_lat", "_lon").orderBy("distance_km", "_place"))
-    order = around.withColumn("distance_km", km).withColumn("_rank", rank).drop("_world")
+    order = around.withColumn("distance_km", km).withColumn("_rank", rank).drop("_share")
     if not order_small:
         order = write_once(order, "nearest-order")
     ranked = order.select(F.col("_place").alias("_at"), "_lat", "_lon", "_rank")
