@@ -7,13 +7,19 @@ with the exact inner product.
 
 The search has two rounds.  The first visits the nearest cells until they hold
 ``first`` vectors, which gives a lower bound of the k-th best score.  The second
-goes on until, by the spread of the vectors around their centroids, fewer than
-``miss`` x k vectors above that bound can be expected in the cells left, so the
-recall aimed at is the same for any size and shape of the data.  The spread is
-taken along the query: each centroid has the size of its residuals, and one
-covariance matrix over both halves has their shape and how the halves go
-together, so that vectors near a space of few dimensions are not taken to
-spread as little as in all of them.
+goes on until few vectors above that bound can be expected in the cells left.
+What can be expected follows the spread of the vectors along the query: one
+covariance matrix over both halves, corrected for each centroid by the residuals
+of sampled vectors, and the tail of those residuals as it was counted.  No such
+model fits all data, so how few is "few" is measured: for ``SAMPLE_QUERIES``
+queries, chosen by a hash, the k nearest are found among all vectors, and the
+search goes on as far as the recall of these queries needs, two standard errors
+of its mean included, to be ``aim`` (to all cells, if need be), and at least
+until ``miss`` x k are expected in the rest.
+
+A cell also knows the longest residual of its vectors.  Cells in which no vector
+can reach the bound are not visited.  With ``exact=True`` all others are, and
+the result is that of a comparison with every vector.
 
 The codebooks are fitted on a bounded sample (``SAMPLE`` vectors, chosen by a
 hash); every vector is indexed.  Of equal vectors only the k + 1 smallest ids
@@ -45,6 +51,10 @@ from skyfare.session import write_once
 SAMPLE, MAX_CENTROIDS, ROUNDS = 1 << 14, 512, 12
 #: Vectors of a block and queries of a block.
 BLOCK_POINTS, BLOCK_QUERIES = 1 << 15, 1 << 12
+#: Queries compared with all vectors to measure the recall; entries of the sampled residuals at most.
+SAMPLE_QUERIES, SAMPLE_ENTRIES = 256, 1 << 22
+#: A centroid's own spread counts in full when many more than so many sampled vectors are at it.
+FEW = 4
 
 
 def kmeans(points: np.ndarray, k: int) -> np.ndarray:
@@ -89,6 +99,13 @@ class Index:
         self.count = np.zeros(k * k, np.int64)
         self.spread = [np.zeros(k), np.zeros(k)]  # mean squared residual of each centroid
         self.shape = np.zeros((sample.shape[1], sample.shape[1]))  # mean outer product of ``scaled`` residuals
+        self.reach = np.zeros(k * k)  # longest residual in each cell
+        some = sample[::-(-sample.size // SAMPLE_ENTRIES)]
+        cell = self.assign(some)[0]
+        self.at = cell // k, cell % k
+        self.rest = np.concatenate([some[:, :self.half] - self.books[0][self.at[0]],
+                                    some[:, self.half:] - self.books[1][self.at[1]]], axis=1).astype(np.float32)
+        self.tail = np.zeros(1), np.ones(1), 0.0
 
     def assign(self, x: np.ndarray):
         """(cell, squared residual of each half) of vectors."""
@@ -110,7 +127,48 @@ class Index:
         h, (one, two) = self.half, self.spread
         along = self.shape[:h, :h] @ q[:h] @ q[:h], self.shape[h:, h:] @ q[h:] @ q[h:]
         both = max(0.0, float(q[:h] @ self.shape[:h, h:] @ q[h:]))
-        return along[0] * one[:, None] + along[1] * two[None, :] + 2 * both * np.sqrt(one[:, None] * two[None, :])
+        pooled = along[0] * one[:, None] + along[1] * two[None, :] + 2 * both * np.sqrt(one[:, None] * two[None, :])
+        i, j = self.at
+        off = (self.rest @ q.astype(np.float32)).astype(float) ** 2
+        times = np.divide(off, pooled[i, j], out=np.ones(len(off)), where=pooled[i, j] > 1e-18)
+        own = [(np.bincount(c, times, self.k) + FEW) / (np.bincount(c, minlength=self.k) + FEW) for c in (i, j)]
+        return pooled * np.maximum(own[0][:, None], own[1][None, :])
+
+    def learn_tail(self, queries: np.ndarray) -> None:
+        """Count how often a sampled residual along a query is so many times its expected size."""
+        size = []
+        for q in queries:
+            spread = np.sqrt(np.maximum(self.variance(q)[self.at], 1e-18))
+            size.append(np.abs(self.rest @ q.astype(np.float32)) / spread)
+        size = np.sort(np.concatenate(size))
+        share = np.geomspace(1.0, 1.0 / len(size), 400)
+        place = size[np.minimum((len(size) * (1 - share)).astype(int), len(size) - 1)]
+        high = int(np.searchsorted(-share, -10 * share[-1]))  # beyond the last, the fall of the last decade goes on
+        fall = math.log(share[high] / share[-1]) / max(place[-1] - place[high], 1e-9) if high < len(share) - 1 else 1.0
+        self.tail = place, share, fall
+
+    def expected(self, q: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
+        """(sums, vectors): sum of the centroids' inner products and vectors above ``bound`` to be expected, by cell."""
+        sums = ((self.books[0] @ q[:self.half])[:, None] + (self.books[1] @ q[self.half:])[None, :]).ravel()
+        z = (bound - sums) / np.sqrt(np.maximum(self.variance(q).ravel(), 1e-18))
+        place, share, fall = self.tail
+        a = np.abs(z)
+        beyond = share[-1] * np.exp(-fall * np.maximum(a - place[-1], 0.0))
+        above = np.where(a > place[-1], beyond, np.interp(a, place, share)) / 2
+        out = self.count * np.where(z > 0, above, 1 - above)
+        slack = 1e-9 * (1 + abs(bound)) if math.isfinite(bound) else 0.0
+        out[sums + np.linalg.norm(q) * self.reach < bound - slack] = 0.0
+        return sums, out
+
+    def needed(self, q: np.ndarray, bound: float, cells: np.ndarray, enough: int) -> np.ndarray:
+        """For each of ``cells`` what ``allowed`` must be below for ``more_cells`` to visit it; infinite for first cells."""
+        sums, expected = self.expected(q, bound)
+        out = np.empty(len(cells))
+        for c in np.unique(cells):
+            before = sums >= sums[c]
+            left = expected[~before].sum() + expected[c]
+            out[cells == c] = math.inf if self.count[before].sum() - self.count[c] < enough else left
+        return out
 
     def first_cells(self, q: np.ndarray, enough: int) -> list[int]:
         """Nearest cells until they hold ``enough`` vectors."""
@@ -126,32 +184,36 @@ class Index:
 
     def more_cells(self, q: np.ndarray, bound: float, skip: int, allowed: float) -> list[int]:
         """The cells after the first ``skip`` until ``allowed`` vectors above ``bound`` can be expected in the rest."""
-        s1, s2 = self.books[0] @ q[:self.half], self.books[1] @ q[self.half:]
-        z = (bound - (s1[:, None] + s2[None, :])) / np.sqrt(np.maximum(self.variance(q), 1e-18))
-        expected = self.count.reshape(self.k, self.k) * 0.5 * _erfc(z / math.sqrt(2))
-        flat, count = expected.ravel().tolist(), self.count
-        left, out = float(expected.sum()), []
-        for i, j in traverse(s1, s2):
+        if not math.isfinite(bound):  # fewer than k found: all the others are wanted
+            allowed = min(allowed, 0.0)
+        _, expected = self.expected(q, bound)
+        flat, count = expected.tolist(), self.count
+        left, todo, out = float(expected.sum()), int((expected > 0).sum()), []
+        for i, j in traverse(self.books[0] @ q[:self.half], self.books[1] @ q[self.half:]):
             cell = i * self.k + j
             if not count[cell]:
                 continue
-            if left <= allowed and skip <= 0:
+            if skip <= 0 and (left <= allowed or not todo):
                 break
             left -= flat[cell]
+            todo -= flat[cell] > 0
             if skip > 0:
                 skip -= 1
-            else:
+            elif flat[cell] > 0:
                 out.append(cell)
         return out
 
 
-def _erfc(x: np.ndarray) -> np.ndarray:
-    """Complementary error function by interpolation in a fine table."""
-    return np.interp(x, _ERFC_X, _ERFC_Y, left=2.0, right=0.0)
-
-
-_ERFC_X = np.linspace(-6, 6, 2401)
-_ERFC_Y = np.array([math.erfc(v) for v in _ERFC_X])
+def allowance(needs: list[np.ndarray], aim: float, most: float) -> float:
+    """The largest value, ``most`` at most, by which the queries' mean recall less two standard errors reaches ``aim``."""
+    needs = [n for n in needs if len(n)]
+    if not needs:
+        return most
+    for allowed in [most, *sorted({float(v) for n in needs for v in n if v < most}, reverse=True)]:
+        recall = np.array([(n > allowed).mean() for n in needs])
+        if recall.mean() - 2 * recall.std() / math.sqrt(len(recall)) >= aim:
+            return allowed
+    return -math.inf
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -215,8 +277,44 @@ def _probe(points: DataFrame, queries: DataFrame, k: int, kinds: str) -> DataFra
         lambda p, q: _rerank(k)(p, q), f"query {kinds}, key long, id {kinds}, score double")
 
 
+def _best_cells(points: DataFrame, ids: list, q: np.ndarray, bound: np.ndarray, k: int) -> list[np.ndarray]:
+    """For each of a bounded number of queries the cells of its k nearest of all ``points``.
+
+    Only vectors that reach a query's bound, k of a task at most, leave their task.
+    """
+    asked = points.sparkSession.sparkContext.broadcast((np.array(ids), q, bound))
+
+    def cut(n, cell, score):
+        order = np.lexsort((-score, n))
+        n, cell, score = n[order], cell[order], score[order]
+        best = np.arange(len(n)) - np.searchsorted(n, n) < k
+        return n[best], cell[best], score[best]
+
+    def task(batches):
+        own, queries, low = asked.value
+        held = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                score = queries @ _matrix(part.column("v")).T
+                here = part.column("id").to_numpy(zero_copy_only=False)
+                n, at_row = np.nonzero((score >= low[:, None] - 1e-9) & (here[None, :] != own[:, None]))
+                new = n, part.column("cell").to_numpy()[at_row].astype(np.int64), score[n, at_row]
+                held = cut(*[np.concatenate(x) for x in zip(held, new, strict=True)])
+        if len(held[0]):
+            yield pa.RecordBatch.from_arrays([pa.array(held[0].astype(np.int32)), pa.array(held[1].astype(np.int32)),
+                                              pa.array(held[2])], names=["n", "cell", "score"])
+
+    best = Window.partitionBy("n").orderBy(F.desc("score"), "cell")
+    rows = (points.select("id", "v", "cell").mapInArrow(task, "n int, cell int, score double")
+            .withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= k).select("n", "cell").toArrow())
+    n, cell = rows.column("n").to_numpy(), rows.column("cell").to_numpy()
+    return [cell[n == i] for i in range(len(ids))]
+
+
 def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, first: int = 2048, miss: float = 0.03,
-                       id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+                       id_col: str = "vec_id", vector_col: str = "embedding", aim: float = 0.97,
+                       exact: bool = False) -> DataFrame:
     """(query_id, rank, id, score): for each row of ``queries`` its k nearest rows of ``vectors`` found.
 
     Both frames have ``id_col`` and ``vector_col``; nearness is the inner
@@ -264,8 +362,9 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, firs
 
     points = write_once(found.mapInArrow(
         assign, f"id {kinds}, v array<double>, cell int, shard int, r1 double, r2 double"), "multi-index-points")
-    for r in points.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():  # MAX_CENTROIDS ** 2 rows at most
-        index.count[r["cell"]] = r["n"]
+    by_cell = points.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.max(F.expr("r1 + r2"))).alias("far"))
+    for r in by_cell.collect():  # MAX_CENTROIDS ** 2 rows at most
+        index.count[r["cell"]], index.reach[r["cell"]] = r["n"], r["far"]
     for side, (by, res) in enumerate(((F.col("shard"), "r1"), (F.col("cell") % index.k, "r2"))):
         for r in points.groupBy(by.alias("c")).agg(F.avg(res).alias("s")).collect():
             index.spread[side][r["c"]] = r["s"]
@@ -285,6 +384,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, firs
     entries = (points.select("v", "cell").mapInArrow(products, "at int, x double")
                .groupBy("at").agg(F.sum("x").alias("x")).toArrow())  # dim ** 2 rows
     index.shape.ravel()[entries.column("at").to_numpy()] = entries.column("x").to_numpy() / max(1, int(index.count.sum()))
+    index.learn_tail(sample[::-(-len(sample) // 64)])
     counted = spark.sparkContext.broadcast(index)
     points = points.select("id", "v", "cell", "shard")
 
@@ -298,7 +398,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, firs
                                                               ("query", "key", "bound")], strict=True)):
                     some = own.first_cells(q[n], first)
                     if second:
-                        some = own.more_cells(q[n], bound, len(some), miss * k)
+                        some = own.more_cells(q[n], bound, len(some), allowed)
                     by_shard: dict[int, list[int]] = {}
                     for c in some:
                         by_shard.setdefault(c // own.k, []).append(c)
@@ -321,6 +421,15 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, firs
     bounds = (near.filter(F.col("id") != F.col("query")).withColumn("n", F.row_number().over(ranked))
               .filter(F.col("n") == k).select("query", "key", F.col("score").alias("bound")))
     again = asked.join(bounds, ["query", "key"], "left").withColumn("bound", F.coalesce("bound", lowest))
+    allowed = -math.inf
+    if not exact:
+        tried = (again.orderBy(F.xxhash64("query", "key"), "query").limit(SAMPLE_QUERIES)
+                 .select("query", "v", "bound").toArrow().combine_chunks())
+        if tried.num_rows:
+            q = _matrix(tried.column("v").combine_chunks())
+            low = tried.column("bound").to_numpy()
+            best = _best_cells(points, tried.column("query").to_pylist(), q, low, k)
+            allowed = allowance([index.needed(*x, first) for x in zip(q, low, best, strict=True)], aim, miss * k)
     more = _probe(points, again.select("query", "key", "v", "bound").mapInArrow(cells(True), ask), k, kinds)
     best = (near.unionByName(more).filter(F.col("id") != F.col("query"))
             .withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k))

@@ -1,9 +1,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from skyfare.llm.multi_index import Index, nearest_neighbours, traverse
+from skyfare.llm.multi_index import Index, allowance, nearest_neighbours, traverse
 
 
 def test_traverse_goes_downhill_over_all_pairs():
@@ -124,3 +125,74 @@ def test_codebooks_cover_both_halves():
     index = Index(x, 8)
     cell, r1, r2 = index.assign(x)
     assert index.half == 3 and cell.max() < 64 and (r1 >= 0).all() and (r2 >= 0).all()
+
+
+def mixtures(n):
+    """Vectors that no one subspace and no Gaussian describes."""
+    rng = np.random.default_rng(11)
+
+    def clusters(many, rank, apart):
+        own, z = rng.integers(0, many, n), rng.normal(size=(n, rank))
+        x = np.einsum("nr,nrd->nd", z, rng.normal(size=(many, rank, 64))[own])
+        x += apart * rng.normal(size=(many, 64))[own]
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    return {"50 clusters of rank 8": lambda: clusters(50, 8, 0), "200 clusters of rank 6": lambda: clusters(200, 6, 3),
+            "Student's t": lambda: rng.standard_t(3, size=(n, 64)),
+            "log-normal norms": lambda: rng.normal(size=(n, 64)) * rng.lognormal(size=(n, 1))}
+
+
+@pytest.mark.parametrize("name, exact", [("50 clusters of rank 8", False), ("200 clusters of rank 6", False),
+                                         ("Student's t", False), ("log-normal norms", False), ("Student's t", True),
+                                         ("50 clusters of rank 8", True)])
+def test_recall_on_mixtures_and_heavy_tails(spark, name, exact):
+    n = 100_000
+    x = mixtures(n)[name]().astype(np.float32)
+    table = pa.table({"vec_id": np.arange(n), "embedding": pa.ListArray.from_arrays(np.arange(n + 1) * 64, x.ravel())})
+    df = spark.createDataFrame(table).repartition(8)
+    # 500 queries, of which 256 at most are measured by the operator itself
+    out = nearest_neighbours(df, df.filter("vec_id % 200 = 0"), k=20, exact=exact).toPandas()
+    y = x.astype(np.float64)
+    recall = []
+    for q, part in out.groupby("query_id"):
+        score = y @ y[q]
+        score[q] = -np.inf
+        recall.append((part.score.to_numpy() >= np.partition(score, -20)[-20] - 1e-9).mean())
+        assert np.allclose(part.score, y[part.vec_id] @ y[q])
+    assert len(recall) == 500
+    if exact:
+        assert min(recall) == 1
+    else:
+        assert np.mean(recall) - 2 * np.std(recall) / np.sqrt(500) >= 0.95
+
+
+def test_allowance_is_the_largest_that_keeps_the_recall():
+    needs = [np.array([5.0, 0.4, np.inf, 0.2])] * 4
+    assert allowance(needs, 0.5, 0.6) == 0.6
+    assert allowance(needs, 0.75, 0.6) == 0.2  # strictly below 0.4
+    assert allowance(needs, 1.0, 0.6) == -np.inf
+    assert allowance([], 0.9, 0.6) == 0.6
+
+
+def test_needed_tells_which_cells_are_visited():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 8))
+    index = Index(x, 8)
+    cell, *residual = index.assign(x)
+    index.count = np.bincount(cell, minlength=64)
+    np.maximum.at(index.reach, cell, np.sqrt(residual[0] + residual[1]))
+    for side, c in enumerate((cell // 8, cell % 8)):
+        index.spread[side] = np.bincount(c, residual[side], 8) / np.bincount(c, minlength=8)
+    u = index.scaled(x, cell)
+    index.shape = u.T @ u / len(u)
+    index.learn_tail(x[:20])
+    for q in x[:30]:
+        score = x @ q
+        bound = np.sort(score)[-40]
+        cells = cell[score >= bound]
+        needs = index.needed(q, bound, cells, 200)
+        head = index.first_cells(q, 200)
+        assert {c for c, n in zip(cells, needs) if np.isinf(n)} == set(cells) & set(head)
+        for allowed in (-np.inf, 0.0, 0.5, 5.0):
+            seen = set(head) | set(index.more_cells(q, bound, len(head), allowed))
+            assert {c for c, n in zip(cells, needs) if n > allowed} == set(cells) & seen
