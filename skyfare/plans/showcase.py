@@ -17,7 +17,7 @@ from skyfare.operators import mlp as mlp_ops
 from skyfare.plans import fare_models as FM
 from skyfare.plans import merge
 from skyfare.session import scratch_path, write_once
-from skyfare.sources import lake, proxies, web
+from skyfare.sources import lake, ledger, listed, proxies, web
 from skyfare.sources import zones as zone_files
 from skyfare.sources.trips import ID_COLUMNS, TRIP_KINDS, scan_month_range, type_trips
 from skyfare.sources.trips import scan_trips as read_csv_trips
@@ -229,6 +229,25 @@ def delete_by_key(spark, sf):
     return lake.delete_by_key(spark, base, keys, ["event_id"], scratch_path(spark, "delete-out"))
 
 
+def _listed_events(spark, sf):
+    """The events as a listed table, its files ranged by event_id."""
+    ev, path = _events(spark, sf), scratch_path(spark, "listed-events")
+    listed.create_listed(spark, path, ev.repartitionByRange("event_id"))
+    return ev, path
+
+
+def upsert_listed(spark, sf):
+    ev, path = _listed_events(spark, sf)
+    listed.upsert_listed(spark, path, _click_changes(ev), ["event_id"], "ts")
+    return listed.read_listed(spark, path)
+
+
+def delete_listed(spark, sf):
+    ev, path = _listed_events(spark, sf)
+    listed.delete_listed(spark, path, ev.where(F.col("event_type") == "error"), ["event_id"])
+    return listed.read_listed(spark, path)
+
+
 def append_partitioned(spark, sf):
     path = scratch_path(spark, "trips-by-month")
     t = scan_trips(spark, sf)
@@ -598,3 +617,26 @@ def monthly_ingest(spark, sf):
            merge.proxy_station_rows(spark, sf, via_files=False), proxies.station_geocodes(spark), table,
            key_cols=["trip_id", "date"])
     return spark.read.parquet(table).select(*INGEST_COLS)
+
+
+def ledger_ingest(spark, sf):
+    """The monthly ingest in three runs over growing folders, the last one over the same files; read back.
+
+    A month comes with its files; a run loads those that the ledger does not have.
+    """
+    from skyfare.plans.ingest import prepare_ingest
+    landing, table = scratch_path(spark, "landing-months"), scratch_path(spark, "listed-trips-weather")
+    trips = write_once(merge.proxy_trips(spark, sf), "landing-trips")
+    zones, geocodes = proxies.zones(spark, sf), proxies.zone_geocodes(spark, sf)
+    stations = write_once(merge.proxy_station_rows(spark, sf, via_files=False), "landing-stations")
+
+    def load(paths):
+        months = spark.read.schema(trips.schema).parquet(*paths).select("*", ledger.source_of_row())
+        return prepare_ingest(months, zones, geocodes, stations, proxies.station_geocodes(spark),
+                              key_cols=["trip_id", "date"])
+
+    for month in ("2024-01", "2024-02", None):
+        if month:
+            trips.where(F.date_format("date", "yyyy-MM") == month).write.parquet(f"{landing}/{month}")
+        ledger.ingest_new(spark, table, ledger.find_files(spark, landing, "*.parquet"), load)
+    return listed.read_listed(spark, table).select(*INGEST_COLS)

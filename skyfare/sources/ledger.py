@@ -60,8 +60,8 @@ def ingest_new(spark: SparkSession, table: str, files: DataFrame, load: Callable
     if first:
         old = write_once(changed.select(F.col("source").alias(SOURCE)), "changed-files")
         hit = write_once(listed.touched_files(spark, table, old, [SOURCE]), "touched-files")
-        kept, _ = listed._replaced(spark, table, hit, lambda rows: delete_rows(rows, old, [SOURCE]))
-    new = listed._write(spark, table, load(paths))
+        kept, _ = listed.replaced(spark, table, hit, lambda rows: delete_rows(rows, old, [SOURCE]))
+    new = listed.write_batch(spark, table, load(paths))
     sources = done.join(fresh, "source", "left_anti").unionByName(fresh.select("source", "size", "modified"))
     listed.commit(spark, table, new if kept is None else kept.unionByName(new), sources)
     return len(paths)

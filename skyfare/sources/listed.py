@@ -82,10 +82,10 @@ def read_listed(spark: SparkSession, path: str, version: int | None = None) -> D
     return spark.read.schema(_schema(spark, path, version)).parquet(*names)
 
 
-def _write(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
-    """Write rows as a new batch: (file) names.  Small files are merged, a table without rows keeps one for its columns."""
+def write_batch(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    """Write rows as a new, unlisted batch of files, one for each partition: (file) names."""
     batch = uuid.uuid4().hex
-    rows.hint("rebalance").write.parquet(f"{path}/data/{batch}")
+    rows.write.parquet(f"{path}/data/{batch}")
     names = [f.rsplit("/data/", 1)[1] for f in spark.read.schema(rows.schema).parquet(f"{path}/data/{batch}").inputFiles()]
     return spark.createDataFrame([(n,) for n in names], "file STRING")
 
@@ -101,10 +101,10 @@ def commit(spark: SparkSession, path: str, files: DataFrame, sources: DataFrame
 
 
 def create_listed(spark: SparkSession, path: str, rows: DataFrame) -> int:
-    """Version 0 of a new table."""
+    """Version 0 of a new table.  Rows sorted or ranged by a key put a change of few keys in few files."""
     if versions(spark, path):
         raise FileExistsError(path)
-    return commit(spark, path, _write(spark, path, rows))
+    return commit(spark, path, write_batch(spark, path, rows))
 
 
 def touched_files(spark: SparkSession, path: str, keys: DataFrame, key: Iterable[str]) -> DataFrame:
@@ -117,14 +117,17 @@ def touched_files(spark: SparkSession, path: str, keys: DataFrame, key: Iterable
     return rows.join(F.broadcast(wanted) if small else wanted, _same_key(key), "left_semi").select("file").distinct()
 
 
-def _replaced(spark: SparkSession, path: str, hit: DataFrame, rows_of) -> tuple[DataFrame, int]:
-    """(list in which the files of ``hit`` are replaced by ``rows_of`` their rows, files replaced)."""
+def replaced(spark: SparkSession, path: str, hit: DataFrame, rows_of) -> tuple[DataFrame, int]:
+    """(list in which the files of ``hit`` are replaced by ``rows_of`` their rows, files replaced).
+
+    The new files are of advisory size, whatever number of tasks made the rows.
+    """
     version = _version(spark, path, None)
     files, names = listed_files(spark, path, version), _names(spark, path, hit)
     schema = _schema(spark, path, version)
     old = spark.read.schema(schema).parquet(*names) if names else spark.createDataFrame([], schema)
     kept = files.join(hit, "file", "left_anti")
-    return kept.unionByName(_write(spark, path, rows_of(old))), len(names)
+    return kept.unionByName(write_batch(spark, path, rows_of(old).hint("rebalance"))), len(names)
 
 
 def upsert_listed(spark: SparkSession, path: str, changes: DataFrame, key: Iterable[str], sort_key: str) -> int:
@@ -135,7 +138,7 @@ def upsert_listed(spark: SparkSession, path: str, changes: DataFrame, key: Itera
     key = list(key)
     changes = write_once(changes, "upsert-changes")
     hit = write_once(touched_files(spark, path, changes, key), "touched-files")
-    files, _ = _replaced(spark, path, hit, lambda old: upsert_rows(old, changes, key, sort_key))
+    files, _ = replaced(spark, path, hit, lambda old: upsert_rows(old, changes, key, sort_key))
     return commit(spark, path, files)
 
 
@@ -144,5 +147,5 @@ def delete_listed(spark: SparkSession, path: str, keys: DataFrame, key: Iterable
     key = list(key)
     keys = write_once(keys.select(*key), "delete-keys")
     hit = write_once(touched_files(spark, path, keys, key), "touched-files")
-    files, n = _replaced(spark, path, hit, lambda old: delete_rows(old, keys, key))
+    files, n = replaced(spark, path, hit, lambda old: delete_rows(old, keys, key))
     return commit(spark, path, files) if n else _version(spark, path, None)
