@@ -5,7 +5,9 @@ words are streamed through it, which gives for each place the longest template
 substring that ends there (matching statistics).  A phrase stands at a place if
 it is a suffix of that substring.  Maximal matches of at least ``min_match``
 words are chained in template order with small gaps; a chain that covers at
-least ``min_cover`` of its template is a span with the template's label.
+least ``min_cover`` of its template is a span with the template's label.  A
+whole template is a span wherever it stands, also inside a longer match: like a
+phrase it is found as a suffix of the substring that ends at its last word.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` with A-Z in lower case.  A null
 text counts as empty: no words, no places, empty labels, score 0.  ``score`` is
@@ -16,6 +18,8 @@ an empty result.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -101,10 +105,10 @@ class Scanner:
         self.phrases = len(own)
         self.labels = [label for label, _ in own + others]
         self.sizes = [len(x) for x in ids]
-        # phrases that are suffixes of a state's substrings, with their lengths
+        # phrases and templates that are suffixes of a state's substrings, with their lengths
         a = self.automaton
         self.suffix: list[list[tuple[int, int]]] = [[] for _ in a.next]
-        for p in range(self.phrases):
+        for p in [p for p in range(len(ids)) if p < self.phrases or len(ids[p]) >= min_match]:
             state = 0
             for w in ids[p]:
                 state = a.next[state][w]
@@ -117,7 +121,7 @@ class Scanner:
         words = words_of(text)
         vocabulary, step = self.vocabulary, self.automaton.next
         link, length, suffix = self.automaton.link, self.automaton.length, self.suffix
-        places, matches = [], []
+        places, matches, whole = [], [], []
         state, size, before = 0, 0, -2
         for i, w in [(i, vocabulary[w]) for i, w in enumerate(words) if w in vocabulary]:
             if i != before + 1:
@@ -136,11 +140,28 @@ class Scanner:
             old, before = state, i
             for p, n in suffix[state]:
                 if n <= size:
-                    places.append((i - n + 1, p))
+                    (places if p < self.phrases else whole).append((i - n + 1, p))
         if size >= self.min_match:
             matches.append((before + 1, size, state))
         spans, best = self._chains(matches)
-        return len(words), places, spans, max(best, 1.0 if places else 0.0)
+        spans = self._with_whole(spans, whole)
+        return len(words), places, spans, max(best, 1.0 if places or whole else 0.0)
+
+    def _with_whole(self, spans, whole):
+        """``spans`` and the whole templates [(start, template)] that no span of their label covers."""
+        starts: dict[str, list[int]] = {}
+        ends: dict[str, list[int]] = {}  # the farthest end of the spans up to each start
+        for label, start, end, _ in spans:
+            starts.setdefault(label, []).append(start)
+            far = ends.setdefault(label, [])
+            far.append(max(end, far[-1]) if far else end)
+        out = set(spans)
+        for start, t in whole:
+            label, end = self.labels[t], start + self.sizes[t]
+            at = bisect_right(starts.get(label, ()), start)
+            if not at or ends[label][at - 1] < end:
+                out.add((label, start, end, 1.0))
+        return sorted(out, key=lambda s: (s[1], s[2], s[0]))
 
     def _chains(self, matches):
         """Chain the maximal matches [(end, words, state)] of each template; gaps are at most ``max_gap`` words."""

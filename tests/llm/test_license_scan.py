@@ -78,3 +78,30 @@ def test_edges_and_empty_table(edge_docs, no_docs):
     rows = license_scan(edge_docs, PHRASES, TEMPLATES).collect()
     assert len(rows) == len(edge_rows()) and all(r.score == 0 and not r.places for r in rows if not r.n_words)
     assert license_scan(no_docs, PHRASES, TEMPLATES).count() == 0
+
+
+def labels_at(scanner, text):
+    return {(s[0], s[1], s[2]) for s in scanner.scan(text.encode())[2] if s[3] == 1}
+
+
+def test_nested_overlapping_and_shared_prefix_templates():
+    scanner = Scanner({}, [("long", "x y z w v"), ("inner", "y z w"), ("prefix", "x y z"), ("cross", "w v u t"),
+                           ("short", "z w")], 3, 0.8, 2)
+    assert labels_at(scanner, "x y z w v") == {("long", 0, 5), ("inner", 1, 4), ("prefix", 0, 3)}
+    assert labels_at(scanner, "q x y z w v u t") >= {("long", 1, 6), ("inner", 2, 5), ("prefix", 1, 4), ("cross", 4, 8)}
+    assert ("inner", 1, 4) in labels_at(scanner, "q y z w q")
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_every_whole_template_is_in_a_span_of_its_label(seed):
+    rng = random.Random(seed)
+    for _ in range(60):
+        templates = [(f"t{i}", " ".join(rng.choice("abc") for _ in range(rng.randint(2, 6)))) for i in range(5)]
+        scanner = Scanner({}, templates, 2, 0.8, 3)
+        doc = [rng.choice("abcz") for _ in range(40)]
+        spans = scanner.scan(" ".join(doc).encode())[2]
+        for label, template in templates:
+            words = template.split()
+            for i in range(len(doc) - len(words) + 1):
+                if doc[i:i + len(words)] == words:
+                    assert any(s[0] == label and s[1] <= i and s[2] >= i + len(words) for s in spans)
