@@ -46,7 +46,8 @@ FROM merged
 WHERE station IS NOT NULL AND date >= DATE '2024-01-01' AND date < DATE '2024-03-01'
   AND lpep_pickup_datetime IS NOT NULL AND total_amount IS NOT NULL"""
     q["ledger_ingest"] = q["monthly_ingest"]
-    q["upsert_listed"], q["delete_listed"] = q["upsert_table"], q["delete_by_key"]
+    for kind in ("listed", "bucketed"):
+        q[f"upsert_{kind}"], q[f"delete_{kind}"] = q["upsert_table"], q["delete_by_key"]
     q["raw_sql_window"] = """
 WITH daily AS (
   SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n, round(sum(value), 2) AS v

@@ -248,6 +248,29 @@ def delete_listed(spark, sf):
     return listed.read_listed(spark, path)
 
 
+def _buckets(spark):
+    return max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _bucketed_events(spark, sf, job):
+    """(events, name of their bucketed table, name and path of the result's)."""
+    ev, path = _events(spark, sf), scratch_path(spark, f"bucketed-{job}")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    lake.write_bucketed(ev, name, ["event_id"], _buckets(spark), path)
+    return ev, name, f"{name}_out", f"{path}-out"
+
+
+def upsert_bucketed(spark, sf):
+    ev, base, name, path = _bucketed_events(spark, sf, "upsert")
+    return lake.upsert_bucketed(spark, base, _click_changes(ev), ["event_id"], "ts", name, _buckets(spark), path)
+
+
+def delete_bucketed(spark, sf):
+    ev, base, name, path = _bucketed_events(spark, sf, "delete")
+    return lake.delete_bucketed(spark, base, ev.where(F.col("event_type") == "error"), ["event_id"], name, _buckets(spark),
+                                path)
+
+
 def append_partitioned(spark, sf):
     path = scratch_path(spark, "trips-by-month")
     t = scan_trips(spark, sf)

@@ -136,6 +136,59 @@ def delete_by_key(spark: SparkSession, base_path: str, keys: DataFrame, key: Ite
     return spark.read.format(fmt).load(out_path)
 
 
+def write_bucketed(df: DataFrame, table: str, key: Iterable[str], buckets: int, path: str,
+                   gather: bool = True) -> None:
+    """A catalog table at ``path`` whose files are bucketed by the key: joins on it do not shuffle its rows.
+
+    ``gather`` shuffles the rows once, so that each bucket is about one file; pass
+    False for rows that come from tables of the same buckets.  All rows of one key
+    are in one bucket, which one task reads, as a stream.  Take at least
+    ``spark.sql.shuffle.partitions`` buckets: with fewer, Spark shuffles the table
+    for the sake of parallel tasks.
+    """
+    key = list(key)
+    rows = df.repartition(buckets, *key) if gather else df
+    rows.write.mode("overwrite").format("parquet").bucketBy(buckets, *key).option("path", path).saveAsTable(table)
+
+
+def _complete(df: DataFrame, key: list[str]):
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+
+
+def upsert_bucketed(spark: SparkSession, table: str, changes: DataFrame, key: Iterable[str], sort_key: str,
+                    out_table: str, buckets: int, out_path: str) -> DataFrame:
+    """``upsert_rows`` on a table of ``write_bucketed``, written as another one of the same buckets.
+
+    Only the changes are shuffled, whatever their size: the base's buckets are
+    joined where they lie, and its untouched rows are written as they come.
+    Null-safe joins cannot use buckets, so rows with a null in the key, of base
+    and changes, are merged by themselves.
+    """
+    key = list(key)
+    base, changes = spark.table(table), write_once(changes, "upsert-changes")
+    whole = _complete(base, key)
+    touched = changes.where(whole).select(*key).distinct()
+    known = base.where(whole)
+    hit = known.join(touched, key, "left_semi").select(*base.columns)
+    rows = (known.join(touched, key, "left_anti").select(*base.columns)
+            .unionByName(_latest(hit, changes.where(whole), key, sort_key))
+            .unionByName(upsert_rows(base.where(~whole), changes.where(~whole), key, sort_key)))
+    write_bucketed(rows, out_table, key, buckets, out_path, gather=False)
+    return spark.table(out_table)
+
+
+def delete_bucketed(spark: SparkSession, table: str, keys: DataFrame, key: Iterable[str], out_table: str, buckets: int,
+                    out_path: str) -> DataFrame:
+    """``delete_rows`` on a table of ``write_bucketed``, written as another one; only the keys are shuffled."""
+    key = list(key)
+    base, keys = spark.table(table), write_once(keys.select(*key), "delete-keys")
+    whole = _complete(base, key)
+    rows = (base.where(whole).join(keys.where(whole).distinct(), key, "left_anti").select(*base.columns)
+            .unionByName(delete_rows(base.where(~whole), keys.where(~whole), key)))
+    write_bucketed(rows, out_table, key, buckets, out_path, gather=False)
+    return spark.table(out_table)
+
+
 def write_features(df: DataFrame, path: str) -> None:
     """Write a feature table (as many files as the data needs; no single-file funnel)."""
     df.write.mode("overwrite").parquet(path)
