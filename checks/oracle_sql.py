@@ -245,6 +245,10 @@ SELECT trip_id, total_amount AS actual, round(fit.a + fit.b * trip_distance, 2)
 SELECT round(any_value(a), 6) AS intercept, """ + ", ".join(f"round(any_value(b_{f}), 6) AS c_{f}" for f in feats) + """,
        count(*) AS n_test, round(sqrt(avg(err ^ 2)), 6) AS rmse,
        round(1.0 - sum(err ^ 2) / (var_pop(total_amount) * count(*)), 6) AS r2 FROM e"""
+    q["saved_pipeline"] = base + g + ",\nfit AS (SELECT " + f"{icpt} AS a, " + \
+        ", ".join(f"{c} AS b_{f}" for c, f in zip(coefs, feats)) + """ FROM g)
+SELECT trip_id, total_amount AS actual, round(a""" + "".join(f" + b_{f} * {f}" for f in feats) + """, 2) AS predicted
+FROM test, fit"""
     sels = []
     for subset in FORWARD_SETS:
         icpt, coefs = ols_sql(list(subset))

@@ -6,13 +6,15 @@ the driver's tables (or data Spark derives from them) in full.
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfare.functions.dates import pickup_date as pickup_date_of
 from skyfare.functions.dates import trip_duration_seconds
 from skyfare.functions.geo import geodesic_km
-from skyfare.operators import clean, enrich, forest, ml, stats
+from skyfare.operators import clean, enrich, forest, ml, stages, stats
 from skyfare.operators import mlp as mlp_ops
 from skyfare.plans import fare_models as FM
 from skyfare.plans import merge
@@ -391,6 +393,16 @@ def scale_features(spark, sf):
     return _scaled(spark, sf)
 
 
+def saved_pipeline(spark, sf):
+    """Scaling and regression as one pipeline, fitted on train, saved, loaded, and applied to test."""
+    train, test = FM.split(_written_rows(spark, sf))
+    fitted = stages.feature_pipeline(FM.FEATURES, FM.LABEL, LinearRegression(labelCol=FM.LABEL, solver="normal")).fit(train)
+    path = scratch_path(spark, "fare-pipeline")
+    fitted.write().save(path)
+    return PipelineModel.load(path).transform(test).select(
+        "trip_id", F.col(FM.LABEL).alias("actual"), F.round("prediction", 2).alias("predicted"))
+
+
 def write_features(spark, sf):
     path = scratch_path(spark, "features")
     lake.write_features(_scaled(spark, sf), path)
