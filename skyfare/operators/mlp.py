@@ -91,12 +91,17 @@ def _adam_pass(shapes, state: np.ndarray, step: int, lr: float, batches, feats,
 
     Returns (state after the last step, rows, summed loss, validation rows, their
     summed squared error under the shared weights).  Rows come in Arrow batches;
-    each batch is shuffled by itself, so memory is bounded.
+    each batch is shuffled by itself, so memory is bounded.  A step is the one of
+    ``loss_and_grad``, written into arrays that all steps share.
     """
     n_weights = len(state) // 3
     w, m, v = (state[i * n_weights:(i + 1) * n_weights].copy() for i in range(3))
     like = [np.empty(s) for s in shapes]
-    given = _unflatten(w.copy(), like)
+    given, own, layers = _unflatten(w.copy(), like), _unflatten(w, like), len(shapes) // 2
+    grad, move, root = np.empty(n_weights), np.empty(n_weights), np.empty(n_weights)
+    grads = _unflatten(grad, like)
+    units = [np.empty((BATCH_ROWS, s[1])) for s in shapes[::2]]
+    backs, live = [np.empty_like(u) for u in units], [np.empty(u.shape, bool) for u in units]
     rng, rows, total, val_rows, val_total = np.random.default_rng(seed), 0, 0.0, 0, 0.0
     for pdf in batches:
         held = pdf["_is_val"].to_numpy(dtype=bool)
@@ -107,15 +112,40 @@ def _adam_pass(shapes, state: np.ndarray, step: int, lr: float, batches, feats,
             val_total += float(((forward(given, x[held]) - y[held]) ** 2).sum())
             x, y = x[~held], y[~held]
         order = rng.permutation(len(y))
+        x, y = np.ascontiguousarray(x[order]), y[order]
         for at in range(0, len(y), BATCH_ROWS):
-            part = order[at:at + BATCH_ROWS]
-            loss, grads = loss_and_grad(_unflatten(w, like), x[part], y[part])
-            g = np.concatenate([a.ravel() for a in grads]) / len(part)
+            part = x[at:at + BATCH_ROWS]
+            n, h = len(part), part
+            for k in range(layers):
+                z = units[k][:n]
+                np.matmul(h, own[2 * k], out=z)
+                z += own[2 * k + 1]
+                h = np.maximum(z, 0.0, out=z)
+                np.greater(h, 0.0, out=live[k][:n])
+            err = h[:, 0] - y[at:at + BATCH_ROWS]
+            back = np.multiply((2.0 * err)[:, None], live[-1][:n], out=backs[-1][:n])
+            for k in range(layers - 1, -1, -1):
+                np.matmul((units[k - 1][:n] if k else part).T, back, out=grads[2 * k])
+                np.add.reduce(back, axis=0, out=grads[2 * k + 1])
+                if k:
+                    back = np.matmul(back, own[2 * k].T, out=backs[k - 1][:n])
+                    back *= live[k - 1][:n]
             step += 1
-            m = BETA_1 * m + (1 - BETA_1) * g
-            v = BETA_2 * v + (1 - BETA_2) * g * g
-            w = w - lr * (m / (1 - BETA_1 ** step)) / (np.sqrt(v / (1 - BETA_2 ** step)) + EPSILON)
-            rows, total = rows + len(part), total + loss
+            np.divide(grad, n, out=grad)
+            m *= BETA_1
+            m += np.multiply(grad, 1 - BETA_1, out=move)
+            np.multiply(grad, 1 - BETA_2, out=move)
+            move *= grad
+            v *= BETA_2
+            v += move
+            np.divide(v, 1 - BETA_2 ** step, out=root)
+            np.sqrt(root, out=root)
+            root += EPSILON
+            np.divide(m, 1 - BETA_1 ** step, out=move)
+            move *= lr
+            move /= root
+            w -= move
+            rows, total = rows + n, total + float(np.dot(err, err))
     return np.concatenate([w, m, v]), rows, total, val_rows, val_total
 
 
