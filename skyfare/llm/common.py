@@ -77,11 +77,6 @@ def valid_texts(column: pa.Array) -> pa.Array:
     return column.fill_null("")
 
 
-def valid_bytes(column: pa.Array) -> list[bytes]:
-    """The texts of ``texts`` in UTF-8."""
-    return text_bytes(valid_texts(column))
-
-
 def joined_on(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Null-safe equi join on columns of the same name; the keys come once, from the left."""
     other = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})

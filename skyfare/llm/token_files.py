@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyfare.llm.common import prepare, slices, valid_bytes, worker_state
+from skyfare.llm.common import prepare, slices, valid_texts, worker_state
 from skyfare.llm.token_counts import shared_file
 from skyfare.session import write_once
 
@@ -46,6 +46,8 @@ DICTIONARY = "dictionary.zdict"
 LEVEL = 3
 #: Ids of a file, about: what a task holds while it writes or reads a file.
 FILE_IDS = 1 << 23
+#: Bytes of text that are encoded at once: the more, the more words repeat.
+ENCODE_BYTES = 8 << 20
 #: The dictionary is trained on about so many documents, each cut to so many bytes.
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 2000, 8192, 1 << 16
 #: Fixed value: a pre-token pattern under which white space is always dropped, so words can be encoded one by one.
@@ -162,10 +164,6 @@ class Encoder:
         return [b"".join(map(get, w)) for w in words]
 
 
-def _encoder(content: bytes, width: int) -> Encoder:
-    return worker_state(("encoder", hash(content), width), lambda: Encoder(content, width))
-
-
 def _filesystem(folder: str):
     """(pyarrow file system, path in it) of a folder that Spark names."""
     if folder.startswith("file:"):
@@ -187,18 +185,29 @@ def train_dictionary(samples: list[bytes]) -> bytes:
         return b"".join(samples)[:DICTIONARY_BYTES]
 
 
+def encoded(encoder, batches, end_id: int | None, width: int):
+    """Arrow batches (id, n, ids) for batches (id, text): the ids of a slice are one flat array, cut at its texts' ends."""
+    last = [] if end_id is None else [end_id]
+    for batch in slices(batches, limit=ENCODE_BYTES):
+        ids, ends = encoder.ragged(valid_texts(batch.column("text")))
+        if last:
+            ids = np.insert(ids, ends, last)
+            ends = ends + np.arange(1, len(ends) + 1)
+        offsets = (np.append(0, ends) * width).astype(np.int32)
+        column = pa.BinaryArray.from_buffers(pa.binary(), len(ends), [
+            None, pa.py_buffer(offsets), pa.py_buffer(ids.astype(f"<u{width}"))])
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.diff(ends, prepend=0), pa.int64()), column],
+                                         names=["id", "n", "ids"])
+
+
 def encode(docs: DataFrame, tokenizer_path: str, end_id: int | None, width: int) -> DataFrame:
     """(id, n, ids) with ids as little-endian integers of ``width`` bytes, for ``docs`` (id, text)."""
     content = shared_file(prepare(docs), tokenizer_path)
-    end = b"" if end_id is None else end_id.to_bytes(width, "little")
 
     def task(batches):
-        encoder = _encoder(content.value, width)
-        for batch in slices(batches):
-            ids = [x + end for x in encoder(valid_bytes(batch.column("text")))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array([len(x) // width for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                names=["id", "n", "ids"])
+        from skyfare.llm.word_ids import RaggedEncoder  # builds on this module
+        encoder = worker_state(("ragged", hash(content.value)), lambda: RaggedEncoder(content.value))
+        yield from encoded(encoder, batches, end_id, width)
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.mapInArrow(task, f"id {kind}, n long, ids binary")

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -11,7 +12,8 @@ from skyfare.llm.bpe_arrays import ByteBpe
 from skyfare.llm.piece_fst import PieceTransducer
 from skyfare.llm.sentence_pieces import decode_pieces, encode_pieces
 from skyfare.llm.token_counts import token_counts
-from skyfare.llm.token_files import Encoder, read_documents, read_token_files, write_token_files
+from skyfare.llm.token_files import Encoder, encoded, read_documents, read_token_files, write_token_files
+from skyfare.llm.word_ids import RaggedEncoder
 from tests.llm.conftest import edge_rows
 
 BYTES, WORDS, PIECES = (public_tokenizers.path(x) for x in
@@ -60,6 +62,22 @@ def test_encoder_equals_library():
     assert [np.frombuffer(x, "<u4").tolist() for x in own([t.encode() for t in texts])] == want
 
 
+@pytest.mark.parametrize("end, width", [(2, 2), (None, 4)])
+def test_files_are_encoded_a_batch_at_a_time_and_not_text_by_text(monkeypatch, end, width):
+    def text_by_text(self, texts):
+        raise AssertionError("slow path")
+    monkeypatch.setattr(Encoder, "__call__", text_by_text)
+    texts = [None, *odd_texts(seed=4), None]
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(len(texts))), "text": pa.array(texts, pa.string())})
+    library = Tokenizer.from_file(WORDS)
+    found = library.encode_batch([t or "" for t in texts], add_special_tokens=False)
+    want = [(i, e.ids + ([] if end is None else [end])) for i, e in enumerate(found)]
+    parts = encoded(RaggedEncoder(content(WORDS)), [batch.slice(0, 0), batch.slice(0, 7), batch.slice(7)], end, width)
+    rows = [r for part in parts for r in part.to_pylist()]
+    assert [(r["id"], np.frombuffer(r["ids"], f"<u{width}").tolist()) for r in rows] == want
+    assert [r["n"] for r in rows] == [len(ids) for _, ids in want]
+
+
 @pytest.mark.parametrize("file_ids", [1 << 23, 500])
 def test_token_files_round_trip(spark, edge_docs, tmp_path, file_ids):
     folder = str(tmp_path / "ids")
