@@ -23,9 +23,13 @@ the result is that of a comparison with every vector.
 
 The codebooks are fitted on a bounded sample (``SAMPLE`` vectors, chosen by a
 hash); every vector is indexed.  Of equal vectors only the k + 1 smallest ids
-can be among anyone's k nearest, so only those are kept in a cell.  Shards (all
-cells of one first centroid) are cut into blocks of vectors against blocks of
-queries, so that a crowded cell is spread over many tasks.
+can be among anyone's k nearest, so only those are kept in a cell.  Cells of
+neighbouring first centroids are gathered into stripes of about equal size; a
+query goes once to each stripe that has cells for it, with the sum down to which
+cells are visited, and the task tells its cells from that.  Stripes are cut into
+blocks of vectors against blocks of queries, so that a crowded cell is spread
+over many tasks, and a task keeps k vectors of each of its queries.  Vectors of
+single precision travel as such.
 
 Vectors that are null, empty or zero or hold null or non-finite components take
 no part, nor do vectors of another length than most have.  Repeated rows (same
@@ -49,8 +53,12 @@ from skyfare.llm.common import prepare
 from skyfare.session import write_once
 
 SAMPLE, MAX_CENTROIDS, ROUNDS = 1 << 14, 512, 12
-#: Vectors of a block and queries of a block.
-BLOCK_POINTS, BLOCK_QUERIES = 1 << 15, 1 << 12
+#: Vectors of a block, queries of a block, and bytes of either in double precision.
+BLOCK_POINTS, BLOCK_QUERIES, BLOCK_BYTES = 1 << 15, 1 << 14, 1 << 24
+#: Rows worked on at once where each has a value for every centroid or cell; scores worked on at once.
+ROWS, SCORES = 1 << 11, 1 << 20
+#: Queries that visit this share of a shard are compared with all of it in one product.
+DENSE = 0.25
 #: Queries compared with all vectors to measure the recall; entries of the sampled residuals at most.
 SAMPLE_QUERIES, SAMPLE_ENTRIES = 256, 1 << 22
 #: A centroid's own spread counts in full when many more than so many sampled vectors are at it.
@@ -70,7 +78,10 @@ def kmeans(points: np.ndarray, k: int) -> np.ndarray:
 
 
 def nearest(points: np.ndarray, centroids: np.ndarray) -> np.ndarray:
-    return ((centroids ** 2).sum(axis=1) - 2 * points @ centroids.T).argmin(axis=1)
+    out, size = np.empty(len(points), np.int64), (centroids ** 2).sum(axis=1)
+    for at in range(0, len(points), ROWS):
+        out[at:at + ROWS] = (size - 2 * points[at:at + ROWS] @ centroids.T).argmin(axis=1)
+    return out
 
 
 def traverse(first: np.ndarray, second: np.ndarray):
@@ -106,6 +117,7 @@ class Index:
         self.rest = np.concatenate([some[:, :self.half] - self.books[0][self.at[0]],
                                     some[:, self.half:] - self.books[1][self.at[1]]], axis=1).astype(np.float32)
         self.tail = np.zeros(1), np.ones(1), 0.0
+        self.stripe = np.arange(k)  # of each shard
 
     def assign(self, x: np.ndarray):
         """(cell, squared residual of each half) of vectors."""
@@ -147,17 +159,20 @@ class Index:
         fall = math.log(share[high] / share[-1]) / max(place[-1] - place[high], 1e-9) if high < len(share) - 1 else 1.0
         self.tail = place, share, fall
 
+    def sums(self, q: np.ndarray) -> np.ndarray:
+        """Sum of the centroids' inner products with ``q``, by cell."""
+        return ((self.books[0] @ q[:self.half])[:, None] + (self.books[1] @ q[self.half:])[None, :]).ravel()
+
     def expected(self, q: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
         """(sums, vectors): sum of the centroids' inner products and vectors above ``bound`` to be expected, by cell."""
-        sums = ((self.books[0] @ q[:self.half])[:, None] + (self.books[1] @ q[self.half:])[None, :]).ravel()
+        sums = self.sums(q)
         z = (bound - sums) / np.sqrt(np.maximum(self.variance(q).ravel(), 1e-18))
         place, share, fall = self.tail
         a = np.abs(z)
         beyond = share[-1] * np.exp(-fall * np.maximum(a - place[-1], 0.0))
         above = np.where(a > place[-1], beyond, np.interp(a, place, share)) / 2
         out = self.count * np.where(z > 0, above, 1 - above)
-        slack = 1e-9 * (1 + abs(bound)) if math.isfinite(bound) else 0.0
-        out[sums + np.linalg.norm(q) * self.reach < bound - slack] = 0.0
+        out[sums + np.linalg.norm(q) * self.reach < bound - _slack(bound)] = 0.0
         return sums, out
 
     def needed(self, q: np.ndarray, bound: float, cells: np.ndarray, enough: int) -> np.ndarray:
@@ -182,26 +197,49 @@ class Index:
                     break
         return out
 
-    def more_cells(self, q: np.ndarray, bound: float, skip: int, allowed: float) -> list[int]:
-        """The cells after the first ``skip`` until ``allowed`` vectors above ``bound`` can be expected in the rest."""
+    def more_cells(self, q: np.ndarray, bound: float, skip: int, allowed: float) -> np.ndarray:
+        """The cells after the first ``skip`` until ``allowed`` vectors above ``bound`` can be expected in the rest.
+
+        They can be most of all cells: one sort of their sums costs less than the heap.
+        """
         if not math.isfinite(bound):  # fewer than k found: all the others are wanted
             allowed = min(allowed, 0.0)
-        _, expected = self.expected(q, bound)
-        flat, count = expected.tolist(), self.count
-        left, todo, out = float(expected.sum()), int((expected > 0).sum()), []
-        for i, j in traverse(self.books[0] @ q[:self.half], self.books[1] @ q[self.half:]):
-            cell = i * self.k + j
-            if not count[cell]:
-                continue
-            if skip <= 0 and (left <= allowed or not todo):
-                break
-            left -= flat[cell]
-            todo -= flat[cell] > 0
-            if skip > 0:
-                skip -= 1
-            elif flat[cell] > 0:
-                out.append(cell)
-        return out
+        sums, expected = self.expected(q, bound)
+        cells = np.flatnonzero(self.count)
+        cells = cells[np.argsort(-sums[cells], kind="stable")][skip:]
+        cells = cells[expected[cells] > 0]
+        return cells[np.cumsum(expected[cells][::-1])[::-1] > allowed]
+
+    def reaches(self, q: np.ndarray, first: int, bound: float, allowed: float | None) -> tuple[float, list[int]]:
+        """(sum, stripes): cells of at least this sum are visited, which are in these stripes; ``allowed`` None: the first cells.
+
+        The second round's cells include the first's; a small margin allows for sums that are rounded otherwise.
+        """
+        sums, head = self.sums(q), self.first_cells(q, first)
+        low = float(sums[head].min()) if head else math.inf
+        margin = 1e-9 * (1 + abs(low))
+        if allowed is not None:
+            more = self.more_cells(q, bound, len(head), allowed)
+            low = -math.inf if allowed == -math.inf else min(low, float(sums[more].min())) if len(more) else low
+            margin *= 2
+        low -= margin
+        seen = (self.count > 0) & (sums >= low) & (sums + np.linalg.norm(q) * self.reach >= bound - _slack(bound))
+        return low, np.unique(self.stripe[seen.reshape(self.k, self.k).any(axis=1)]).tolist()
+
+    def stripes(self, size: int) -> np.ndarray:
+        """Vectors of each stripe; a stripe has shards that follow each other with ``size`` vectors in all, or one shard."""
+        held, out = self.count.reshape(self.k, self.k).sum(axis=1), [0]
+        for shard, n in enumerate(held.tolist()):
+            if out[-1] and out[-1] + n > size:
+                out.append(0)
+            out[-1] += n
+            self.stripe[shard] = len(out) - 1
+        return np.array(out)
+
+
+def _slack(bound):
+    """Allowance for rounding when something is compared with a bound."""
+    return 1e-9 * (1 + np.where(np.isfinite(bound), np.abs(bound), 0.0))
 
 
 def allowance(needs: list[np.ndarray], aim: float, most: float) -> float:
@@ -217,64 +255,130 @@ def allowance(needs: list[np.ndarray], aim: float, most: float) -> float:
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    values = column.flatten().to_numpy(zero_copy_only=False)
+    values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
     return values.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
-def _rerank(k: int):
+class Best:
+    """The best ``k`` of the pairs (query, vector) added, and for each query a bound that others have to reach."""
+
+    def __init__(self, x: np.ndarray, ids: np.ndarray, q: np.ndarray, own: np.ndarray, bound: np.ndarray, k: int):
+        self.x, self.ids, self.q, self.own, self.k = x, ids, q, own, k
+        self.place = np.unique(ids, return_inverse=True)[1]
+        self.bound = bound.astype(np.float64)
+        self.rounding = 1e-12 * np.linalg.norm(q, axis=1) * np.sqrt((x ** 2).sum(axis=1).max())
+        self.held, self.waiting = [], 0
+
+    def compare(self, n: np.ndarray, rows: slice, asks: np.ndarray | None = None, column: np.ndarray | None = None) -> None:
+        """Add the pairs of queries ``n`` with vectors ``rows``; of them those with ``asks[query, column of the vector]``."""
+        size = rows.stop - rows.start
+        step = max(1, SCORES // size)
+        for at in range(0, len(n), step):
+            some = n[at:at + step]
+            low = self.bound[some] - _slack(self.bound[some]) - self.rounding[some]
+            for begin in range(rows.start, rows.stop, SCORES):
+                end = min(rows.stop, begin + SCORES)
+                a, b = np.nonzero(self.q[some] @ self.x[begin:end].T >= low[:, None])
+                if asks is not None:
+                    asked = asks[at + a, column[b + begin - rows.start]]
+                    a, b = a[asked], b[asked]
+                self.add(some[a], b + begin)
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        other = self.ids[b] != self.own[a]
+        a, b = a[other], b[other]
+        score, step = np.empty(len(a)), max(1, SCORES // self.x.shape[1])
+        for at in range(0, len(a), step):  # pair by pair: equal vectors get equal scores
+            score[at:at + step] = (self.q[a[at:at + step]] * self.x[b[at:at + step]]).sum(axis=1)
+        self.held.append((a, b, score))
+        self.waiting += len(a)
+        if self.waiting > SCORES:
+            self.cut()
+
+    def cut(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, vector, score) of the best so far, by query, then score, then id."""
+        a, b, score = (np.concatenate(part) for part in zip(*self.held, strict=True)) if self.held else \
+            (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        order = np.lexsort((self.place[b], -score, a))
+        a, b, score = a[order], b[order], score[order]
+        nth = np.arange(len(a)) - np.searchsorted(a, a)
+        last = nth == self.k - 1
+        self.bound[a[last]] = np.maximum(self.bound[a[last]], score[last])
+        best = nth < self.k
+        self.held, self.waiting = [(a[best], b[best], score[best])], 0
+        return self.held[0]
+
+
+def _rerank(k: int, shared, scores_only: bool):
     """Task function for one block of vectors and one block of queries."""
+    def found(points: pd.DataFrame, queries: pd.DataFrame):
+        index: Index = shared.value
+        cell = points["cell"].to_numpy()
+        order = np.argsort(cell, kind="stable")
+        cell = cell[order].astype(np.int64)
+        x = np.stack(points["v"].to_numpy())[order].astype(np.float64, copy=False)
+        q, low = np.stack(queries["v"].to_numpy()).astype(np.float64, copy=False), queries["low"].to_numpy()
+        norm, h = np.linalg.norm(q, axis=1), index.half
+        best = Best(x, points["id"].to_numpy()[order], q, queries["query"].to_numpy(), queries["bound"].to_numpy(), k)
+        starts = np.flatnonzero(np.diff(cell, prepend=-1))
+        ends = np.append(starts[1:], len(cell))
+        here = cell[starts]
+        parts = np.split(np.arange(len(here)), np.flatnonzero(np.diff(here // index.k)) + 1)  # the cells of each shard
+        for at in range(0, len(q), ROWS):
+            n = np.arange(at, min(at + ROWS, len(q)))
+            one, two = q[n, :h] @ index.books[0].T, q[n, h:] @ index.books[1].T
+            for part in parts:
+                sums = one[:, here[part[0]] // index.k, None] + two[:, here[part] % index.k]
+                least = best.bound[n] - _slack(best.bound[n])
+                asks = (sums >= low[n, None]) & (sums + norm[n, None] * index.reach[here[part]] >= least[:, None])
+                size = ends[part] - starts[part]
+                dense = asks @ size >= DENSE * size.sum()
+                if dense.any():
+                    best.compare(n[dense], slice(starts[part[0]], ends[part[-1]]), asks[dense], np.repeat(np.arange(len(part)), size))
+                    asks[dense] = False
+                for j in np.flatnonzero(asks.any(axis=0)):
+                    best.compare(n[asks[:, j]], slice(starts[part[j]], ends[part[j]]))
+        return best
+
     def task(points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        found = {"query": [], "key": [], "id": [], "score": []}
-        if len(points) and len(queries):
-            x, q = np.stack(points["v"].to_numpy()), np.stack(queries["v"].to_numpy())
-            cell, ids = points["cell"].to_numpy(), points["id"].to_numpy()
-            order = np.argsort(cell, kind="stable")
-            starts = np.flatnonzero(np.diff(cell[order], prepend=-1))
-            rows_of = dict(zip(cell[order][starts].tolist(), np.split(order, starts[1:]), strict=True))
-            asks: dict[int, list[int]] = {}
-            for n, cells in enumerate(queries["cells"]):
-                for c in cells:
-                    asks.setdefault(int(c), []).append(n)
-            bound = queries["bound"].to_numpy()
-            qs, ps = [], []
-            for c, rows in rows_of.items():
-                if c in asks:
-                    n = np.array(asks[c])
-                    a, b = np.nonzero(q[n] @ x[rows].T >= bound[n, None] - 1e-9)
-                    qs.append(n[a])
-                    ps.append(rows[b])
-            if qs:
-                a, b = np.concatenate(qs), np.concatenate(ps)
-                score = np.empty(len(a))
-                for at in range(0, len(a), 1 << 16):  # pair by pair: equal vectors get equal scores
-                    score[at:at + (1 << 16)] = (q[a[at:at + (1 << 16)]] * x[b[at:at + (1 << 16)]]).sum(axis=1)
-                order = np.lexsort((ids[b], -score, a))
-                a, b, score = a[order], b[order], score[order]
-                first = np.searchsorted(a, a)
-                best = np.arange(len(a)) - first <= k  # k and one more: the query itself may be among them
-                found = {"query": queries["query"].to_numpy()[a[best]], "key": queries["key"].to_numpy()[a[best]],
-                         "id": ids[b[best]], "score": score[best]}
-        return pd.DataFrame(found)
+        if not len(points) or not len(queries):
+            return pd.DataFrame({c: [] for c in (["query", "key", "scores"] if scores_only else ["query", "key", "id", "score"])})
+        best = found(points, queries)
+        a, b, score = best.cut()
+        if scores_only:
+            own, start = np.unique(a, return_index=True)
+            return pd.DataFrame({"query": queries["query"].to_numpy()[own], "key": queries["key"].to_numpy()[own],
+                                 "scores": np.split(score, start[1:]) if len(own) else []})
+        return pd.DataFrame({"query": queries["query"].to_numpy()[a], "key": queries["key"].to_numpy()[a],
+                             "id": best.ids[b], "score": score})
 
     return task
 
 
-def _probe(points: DataFrame, queries: DataFrame, k: int, kinds: str) -> DataFrame:
-    """Rerank: ``points`` (id, v, cell, shard), ``queries`` (query, key, v, bound, shard, cells)."""
-    n_points = points.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
-    n_queries = queries.groupBy("shard").agg(F.count(F.lit(1)).alias("m"))
-    blocks = F.broadcast(n_points.join(n_queries, "shard").select(  # one row a shard: MAX_CENTROIDS at most
-        "shard", F.ceil(F.col("n") / BLOCK_POINTS).cast("int").alias("pb"),
-        F.ceil(F.col("m") / BLOCK_QUERIES).cast("int").alias("qb")))
-    left = points.join(blocks, "shard").select(
-        "shard", F.pmod(F.xxhash64("id"), F.col("pb")).cast("int").alias("i"),
+def _probe(points: DataFrame, queries: DataFrame, k: int, kinds: str, shared, held: np.ndarray, most: tuple[int, int],
+           scores_only: bool) -> DataFrame:
+    """Rerank: ``points`` (id, v, cell, shard), ``queries`` (query, key, v, bound, low, stripes); ``held``: vectors by stripe.
+
+    (query, key, scores) with at most ``k`` scores of each block, or (query, key, id, score).
+    """
+    spark = points.sparkSession
+    asked = queries.select(F.explode("stripes").alias("stripe")).groupBy("stripe").count().collect()  # a row a stripe
+    blocks = {r["stripe"]: (-(-int(held[r["stripe"]]) // most[0]), -(-r["count"] // most[1])) for r in asked}
+    by_shard = spark.createDataFrame(  # MAX_CENTROIDS rows at most
+        [(shard, int(s), *blocks[s]) for shard, s in enumerate(shared.value.stripe.tolist()) if s in blocks],
+        "shard int, stripe int, pb int, qb int")
+    by_stripe = spark.createDataFrame([(s, *b) for s, b in blocks.items()], "stripe int, pb int, qb int")
+    left = points.join(F.broadcast(by_shard), "shard").select(
+        "stripe", F.pmod(F.xxhash64("id"), F.col("pb")).cast("int").alias("i"),
         F.explode(F.expr("sequence(0, qb - 1)")).alias("j"), "id", "v", "cell")
-    right = queries.join(blocks, "shard").select(
-        "shard", F.explode(F.expr("sequence(0, pb - 1)")).alias("i"),
-        F.pmod(F.xxhash64("query", "key"), F.col("qb")).cast("int").alias("j"), "query", "key", "v", "bound", "cells")
-    keys = ["shard", "i", "j"]
+    right = queries.withColumn("stripe", F.explode("stripes")).join(F.broadcast(by_stripe), "stripe").select(
+        "stripe", F.explode(F.expr("sequence(0, pb - 1)")).alias("i"),
+        F.pmod(F.xxhash64("query", "key"), F.col("qb")).cast("int").alias("j"), "query", "key", "v", "bound", "low")
+    keys = ["stripe", "i", "j"]
+    rest = "scores array<double>" if scores_only else f"id {kinds}, score double"
+    task = _rerank(k, shared, scores_only)
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        lambda p, q: _rerank(k)(p, q), f"query {kinds}, key long, id {kinds}, score double")
+        lambda p, q: task(p, q), f"query {kinds}, key long, {rest}")
 
 
 def _best_cells(points: DataFrame, ids: list, q: np.ndarray, bound: np.ndarray, k: int) -> list[np.ndarray]:
@@ -322,9 +426,11 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, firs
     """
     spark = prepare(vectors)
     kinds = vectors.schema[id_col].dataType.simpleString()
+    single = all(df.schema[vector_col].dataType.simpleString() == "array<float>" for df in (vectors, queries))
+    kind_v = "array<float>" if single else "array<double>"
 
     def clean(df):
-        df = df.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+        df = df.select(F.col(id_col).alias("id"), F.col(vector_col).cast(kind_v).alias("v"))
         bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
         return df.filter("id IS NOT NULL AND size(v) > 0").filter(~bad & F.exists("v", lambda x: x != 0))
 
@@ -339,7 +445,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, firs
              .filter(F.col("nth") <= k + 1).drop("nth"))
     found = write_once(found, "multi-index-vectors")
     asked = clean(queries).filter(F.size("v") == dim).dropDuplicates(["id", "v"])
-    asked = asked.select(F.col("id").alias("query"), F.xxhash64("v").alias("key"), "v")
+    asked = asked.select(F.col("id").alias("query"), F.xxhash64(F.col("v").cast("array<double>")).alias("key"), "v")
 
     centroids = min(MAX_CENTROIDS, max(2, 1 << round(math.log2(max(4.0, math.sqrt(total) / 3.5)))))
     one_in = max(1, total // SAMPLE)
@@ -353,15 +459,16 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, firs
 
     def assign(batches):
         for batch in batches:
-            if batch.num_rows:
-                cell, r1, r2 = shared.value.assign(_matrix(batch.column("v")))
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                cell, r1, r2 = shared.value.assign(_matrix(part.column("v")))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), batch.column("v"), pa.array(cell.astype(np.int32)),
+                    [part.column("id"), part.column("v"), pa.array(cell.astype(np.int32)),
                      pa.array((cell // shared.value.k).astype(np.int32)), pa.array(r1), pa.array(r2)],
                     names=["id", "v", "cell", "shard", "r1", "r2"])
 
     points = write_once(found.mapInArrow(
-        assign, f"id {kinds}, v array<double>, cell int, shard int, r1 double, r2 double"), "multi-index-points")
+        assign, f"id {kinds}, v {kind_v}, cell int, shard int, r1 double, r2 double"), "multi-index-points")
     by_cell = points.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.max(F.expr("r1 + r2"))).alias("far"))
     for r in by_cell.collect():  # MAX_CENTROIDS ** 2 rows at most
         index.count[r["cell"]], index.reach[r["cell"]] = r["n"], r["far"]
@@ -385,42 +492,41 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, firs
                .groupBy("at").agg(F.sum("x").alias("x")).toArrow())  # dim ** 2 rows
     index.shape.ravel()[entries.column("at").to_numpy()] = entries.column("x").to_numpy() / max(1, int(index.count.sum()))
     index.learn_tail(sample[::-(-len(sample) // 64)])
-    counted = spark.sparkContext.broadcast(index)
     points = points.select("id", "v", "cell", "shard")
+    at_once = spark.sparkContext.defaultParallelism * 4
+    rows_of_bytes = max(1, BLOCK_BYTES // (8 * dim))
+    most = min(BLOCK_POINTS, rows_of_bytes), min(BLOCK_QUERIES, rows_of_bytes)
+    held = index.stripes(min(most[0], max(512, -(-int(index.count.sum()) // at_once))))
+    counted = spark.sparkContext.broadcast(index)
 
     def cells(second: bool):
         def task(batches):
-            own = counted.value
             for batch in batches:
-                out = {"query": [], "key": [], "v": [], "bound": [], "shard": [], "cells": []}
-                q = _matrix(batch.column("v"))
-                for n, (query, key, bound) in enumerate(zip(*[batch.column(c).to_pylist() for c in
-                                                              ("query", "key", "bound")], strict=True)):
-                    some = own.first_cells(q[n], first)
-                    if second:
-                        some = own.more_cells(q[n], bound, len(some), allowed)
-                    by_shard: dict[int, list[int]] = {}
-                    for c in some:
-                        by_shard.setdefault(c // own.k, []).append(c)
-                    for shard, own_cells in by_shard.items():
-                        for name, value in zip(out, (query, key, q[n], bound, shard, own_cells), strict=True):
-                            out[name].append(value)
+                q, bound = _matrix(batch.column("v")), batch.column("bound").to_numpy()
+                found = [counted.value.reaches(*x, allowed if second else None)
+                         for x in zip(q, [first] * len(q), bound.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(out["query"], batch.column("query").type), pa.array(out["key"], pa.int64()),
-                     pa.array(out["v"], pa.list_(pa.float64())), pa.array(out["bound"], pa.float64()),
-                     pa.array(out["shard"], pa.int32()), pa.array(out["cells"], pa.list_(pa.int32()))], names=list(out))
+                    [*[batch.column(c) for c in ("query", "key", "v", "bound")], pa.array([x[0] for x in found], pa.float64()),
+                     pa.array([x[1] for x in found], pa.list_(pa.int32()))],
+                    names=["query", "key", "v", "bound", "low", "stripes"])
 
         return task
 
-    ask = f"query {kinds}, key long, v array<double>, bound double, shard int, cells array<int>"
+    def ask(rows, second: bool):
+        """The queries with what they visit, dealt evenly: a query takes milliseconds, however few its bytes are."""
+        rows = rows.select("query", "key", "v", "bound").repartition(parts, "query", "key")
+        return write_once(rows.mapInArrow(
+            cells(second), f"query {kinds}, key long, v {kind_v}, bound double, low double, stripes array<int>"), "multi-index-asks")
+
     lowest = F.lit(float("-inf"))
-    asked = write_once(asked.repartition("query", "key"), "multi-index-queries")
-    near = write_once(_probe(points, asked.withColumn("bound", lowest).mapInArrow(cells(False), ask), k, kinds),
-                      "multi-index-first")
-    ranked = Window.partitionBy("query", "key").orderBy(F.desc("score"), "id")
-    bounds = (near.filter(F.col("id") != F.col("query")).withColumn("n", F.row_number().over(ranked))
-              .filter(F.col("n") == k).select("query", "key", F.col("score").alias("bound")))
-    again = asked.join(bounds, ["query", "key"], "left").withColumn("bound", F.coalesce("bound", lowest))
+    asked = write_once(asked, "multi-index-queries")
+    n_asked = asked.count()
+    parts = max(1, min(at_once, -(-n_asked // 64)), -(-n_asked // most[1]))
+    near = _probe(points, ask(asked.withColumn("bound", lowest), False), k, kinds, counted, held, most, True)
+    bounds = near.groupBy("query", "key").agg(
+        F.expr(f"try_element_at(sort_array(flatten(collect_list(scores)), false), {k})").alias("bound"))
+    again = write_once(asked.join(bounds, ["query", "key"], "left").withColumn("bound", F.coalesce("bound", lowest)),
+                       "multi-index-bounds")
     allowed = -math.inf
     if not exact:
         tried = (again.orderBy(F.xxhash64("query", "key"), "query").limit(SAMPLE_QUERIES)
@@ -430,7 +536,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, firs
             low = tried.column("bound").to_numpy()
             best = _best_cells(points, tried.column("query").to_pylist(), q, low, k)
             allowed = allowance([index.needed(*x, first) for x in zip(q, low, best, strict=True)], aim, miss * k)
-    more = _probe(points, again.select("query", "key", "v", "bound").mapInArrow(cells(True), ask), k, kinds)
-    best = (near.unionByName(more).filter(F.col("id") != F.col("query"))
-            .withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k))
+    more = _probe(points, ask(again, True), k, kinds, counted, held, most, False)
+    ranked = Window.partitionBy("query", "key").orderBy(F.desc("score"), "id")
+    best = more.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
     return best.select(F.col("query").alias("query_id"), "rank", F.col("id").alias(id_col), "score")

@@ -1,6 +1,9 @@
 import random
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 
@@ -196,3 +199,48 @@ def test_needed_tells_which_cells_are_visited():
         for allowed in (-np.inf, 0.0, 0.5, 5.0):
             seen = set(head) | set(index.more_cells(q, bound, len(head), allowed))
             assert {c for c, n in zip(cells, needs) if n > allowed} == set(cells) & seen
+
+
+def test_queries_are_sent_once_and_not_for_each_cell(spark, monkeypatch):
+    import skyfare.llm.multi_index as m
+    written, write_once = {}, m.write_once
+
+    def noted(df, name):
+        written.setdefault(name, []).append(write_once(df, name))
+        return written[name][-1]
+
+    monkeypatch.setattr(m, "write_once", noted)
+    rng = np.random.default_rng(4)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(3000, 8)).astype(np.float32))]
+    df = frame(spark, rows).repartition(4)
+    got = found(nearest_neighbours(df, df.filter("vec_id % 20 = 0"), k=20, exact=True))
+    assert got == brute(rows, 20, [r for r in rows if r[0] % 20 == 0])
+    assert [a.count() for a in written["multi-index-asks"]] == [150, 150]
+    for asks in written["multi-index-asks"]:
+        assert not {"cells", "shard"} & set(asks.columns)
+        assert asks.schema["v"].dataType.simpleString() == "array<float>"
+
+
+@pytest.mark.parametrize("scores_only", [False, True])
+def test_a_crowded_cell_is_compared_in_bounded_memory(monkeypatch, scores_only):
+    import skyfare.llm.multi_index as m
+    monkeypatch.setattr(m, "SCORES", 1 << 16)
+    rng = np.random.default_rng(6)
+    x, q = rng.integers(-3, 4, (4000, 8)).astype(float), rng.integers(-3, 4, (2500, 8)).astype(float)
+    index = Index(x[:200], 1)  # one cell
+    index.count, index.reach = np.array([len(x)]), np.array([100.0])
+    low = np.full(len(q), -np.inf)
+    points = pd.DataFrame({"id": np.arange(len(x)), "v": list(x), "cell": np.zeros(len(x), np.int32)})
+    queries = pd.DataFrame({"query": np.arange(len(q)), "key": np.arange(len(q)), "v": list(q), "bound": low, "low": low})
+    tracemalloc.start()
+    out = m._rerank(20, SimpleNamespace(value=index), scores_only)(points, queries)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20  # all pairs with their scores: 240 MB
+    score = q @ x.T
+    score[np.arange(len(q)), np.arange(len(q))] = -np.inf
+    order = np.argsort(-score, axis=1, kind="stable")[:, :20]  # ties: smaller ids
+    if scores_only:
+        assert np.array_equal(np.stack(out.scores), np.take_along_axis(score, order, axis=1))
+    else:
+        assert np.array_equal(out.id.to_numpy().reshape(-1, 20), order)
